@@ -122,7 +122,8 @@ def join_sources(
 ) -> DataFrame:
     """Every lookup attached to the prepared lead table."""
     ld = prepare_leads(leads)
-    stats = bounded_broadcast(A.lead_group_stats(ld, ref_date), max_broadcast_rows)
+    stats = bounded_broadcast(A.lead_group_stats(ld, ref_date), max_broadcast_rows,
+                              materialize=True)
     ld = left_lookup(ld, A.channel_stats(stats), "lead_channel", "s_channel", null_safe=True)
     ld = left_lookup(ld, A.campaign_stats(stats), "campaign_name", "s_campaign")
     ld = left_lookup(ld, A.owner_stats(stats), "lead_owner", "s_owner", null_safe=True)

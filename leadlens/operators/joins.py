@@ -15,7 +15,6 @@ side keyed on a unique value.  Two physical shapes are used:
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,9 +23,18 @@ from pyspark.sql import functions as F
 DEFAULT_MAX_BROADCAST_ROWS = 500_000
 
 
-def bounded_broadcast(side: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``side`` only after checking its row count."""
-    side = side.persist(StorageLevel.MEMORY_AND_DISK)
+def bounded_broadcast(side: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                      materialize: bool = False) -> DataFrame:
+    """Broadcast ``side`` only after checking its row count.
+
+    ``materialize=True`` is for computed sides (group statistics): the side is
+    checkpointed into the shared checkpoint folder first, so the count and the
+    join read the same stored rows, the lineage is cut, and a lost executor
+    does not force the aggregate to be recomputed.  Plain lookup scans are
+    only counted.
+    """
+    if materialize:
+        side = side.checkpoint(eager=True)
     n = side.count()
     return F.broadcast(side) if n <= max_rows else side
 

@@ -31,3 +31,14 @@ def feature_table(spark: SparkSession, sf_dir: str, ref_date: _dt.date = TV.REF_
         t.status_master, ref_date=ref_date, computed_at=computed_at,
         keywords=test_view_keywords(), voicebot_action=TV.VOICEBOT_ACTION,
         voicebot_id_path=TV.JSON_ID_PATH)
+
+
+def stored_feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature table written once per application (S4) and read back.
+
+    Downstream steps (scores, summaries, preprocessing, training) read this
+    copy, as the source pipeline reads its written feature table.
+    """
+    from leadlens.sources.tables import stored
+
+    return stored(spark, f"features:{sf_dir}", lambda: feature_table(spark, sf_dir))
