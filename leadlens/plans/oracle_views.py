@@ -140,3 +140,30 @@ ALL_VIEWS = [LEADS, ACTIVITIES, CONTACTS, USERS, STATUS, FACEBOOK, VOICEBOT]
 def with_views(*extra_ctes: str) -> str:
     """``WITH`` clause holding every CRM view plus extra CTEs (name AS (...))."""
     return "WITH " + ",\n".join(ALL_VIEWS + list(extra_ctes)) + "\n"
+
+TRAINING = """
+training AS (
+  SELECT
+    o.o_orderkey AS id,
+    CAST(CASE WHEN o.o_orderkey % 31 = 0 THEN NULL ELSE round(o.o_totalprice / 4900, 2) END AS DOUBLE) AS lead_score,
+    CAST(o.o_custkey % 999 AS INTEGER) AS company_size,
+    CAST(CASE WHEN o.o_orderkey % 37 = 0 THEN NULL ELSE ((o.o_orderkey * 37) % 1000) / 10.0 END AS DOUBLE) AS engagement_score,
+    CAST((o.o_orderkey % 97) / 2.0 - 0.5 AS DOUBLE) AS response_time_hours,
+    CAST((o.o_orderkey % 101) / 100.0 AS DOUBLE) AS email_open_rate,
+    CAST(CASE WHEN o.o_orderkey % 43 = 0 THEN NULL ELSE (o.o_orderkey % 103) / 100.0 END AS DOUBLE) AS email_click_rate,
+    CAST(o.o_orderkey % 100 AS INTEGER) AS page_views,
+    CAST(date_diff('day', CAST(o.o_orderdate AS DATE), DATE '2001-07-15') AS INTEGER) AS time_since_signup_days,
+    CASE WHEN o.o_orderkey % 41 = 0 THEN NULL ELSE c.c_mktsegment END AS industry,
+    o.o_orderpriority AS company_type,
+    'R' || CAST(c.c_nationkey % 4 AS VARCHAR) AS location,
+    o.o_orderstatus AS product_interest,
+    CASE o.o_orderkey % 4 WHEN 0 THEN 'LinkedIn' WHEN 1 THEN 'Direct' WHEN 2 THEN 'Partner' ELSE 'Event' END AS source,
+    CASE o.o_orderkey % 5 WHEN 4 THEN '' WHEN 0 THEN 'Awareness' WHEN 1 THEN 'Consideration'
+         WHEN 2 THEN 'Decision' ELSE 'Qualification' END AS sales_stage,
+    CAST(CASE WHEN o.o_orderstatus = 'F' THEN 1 ELSE 0 END AS INTEGER) AS intent_label
+  FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+)"""
+
+
+def with_training(*extra_ctes: str) -> str:
+    return "WITH " + ",\n".join([TRAINING] + list(extra_ctes)) + "\n"

@@ -202,3 +202,50 @@ def crm_tables(spark: SparkSession, sf_dir: str) -> CrmTables:
         users=users_view(spark, sf_dir),
         status_master=status_view(spark, sf_dir),
     )
+
+
+# The small lead table's feature lists (numeric, categorical, target).
+NUMERIC_FEATURES = ("lead_score", "company_size", "engagement_score", "response_time_hours",
+                    "email_open_rate", "email_click_rate", "page_views", "time_since_signup_days")
+CATEGORICAL_FEATURES = ("industry", "company_type", "location", "product_interest", "source",
+                        "sales_stage")
+TARGET = "intent_label"
+SOURCES = ("LinkedIn", "Direct", "Partner", "Event")
+STAGES = ("Awareness", "Consideration", "Decision", "Qualification")
+
+
+def training_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The small lead table (8 numeric, 6 categorical, ``intent_label``).
+
+    Built from orders ⋈ customer with planted nulls, blanks and out-of-range
+    values (lead_score above 100, company_size 0, negative response time,
+    click rate above 1, future sign-up).
+    """
+    o = read(spark, sf_dir, "orders")
+    c = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    j = o.join(c, o.o_custkey == c.c_custkey, "left")
+    id_ = F.col("o_orderkey")
+    src = F.element_at(F.array(*[F.lit(s) for s in SOURCES]), (_m(id_, 4) + 1).cast("int"))
+    stage = F.when(_m(id_, 5) == 4, F.lit("")).otherwise(
+        F.element_at(F.array(*[F.lit(s) for s in STAGES]), (_m(id_, 5) + 1).cast("int")))
+    return j.select(
+        id_.alias("id"),
+        F.when(_m(id_, 31) == 0, _null()).otherwise(F.round(F.col("o_totalprice") / 4900, 2))
+         .cast("double").alias("lead_score"),
+        _m(F.col("o_custkey"), 999).cast("int").alias("company_size"),
+        F.when(_m(id_, 37) == 0, _null()).otherwise(_m(id_ * 37, 1000) / 10.0)
+         .cast("double").alias("engagement_score"),
+        (_m(id_, 97) / 2.0 - 0.5).cast("double").alias("response_time_hours"),
+        (_m(id_, 101) / 100.0).cast("double").alias("email_open_rate"),
+        F.when(_m(id_, 43) == 0, _null()).otherwise(_m(id_, 103) / 100.0)
+         .cast("double").alias("email_click_rate"),
+        _m(id_, 100).cast("int").alias("page_views"),
+        F.datediff(F.lit(REF_DATE), F.to_date("o_orderdate")).alias("time_since_signup_days"),
+        F.when(_m(id_, 41) == 0, _null()).otherwise(F.col("c_mktsegment")).alias("industry"),
+        F.col("o_orderpriority").alias("company_type"),
+        F.concat(F.lit("R"), _m(F.col("c_nationkey"), 4).cast("string")).alias("location"),
+        F.col("o_orderstatus").alias("product_interest"),
+        src.alias("source"),
+        stage.alias("sales_stage"),
+        F.when(F.col("o_orderstatus") == "F", 1).otherwise(0).cast("int").alias("intent_label"),
+    )
