@@ -51,3 +51,16 @@ def left_lookup(df: DataFrame, side: DataFrame, left_key: str | Column, right_ke
     cond = lk.eqNullSafe(rk) if null_safe else (lk == rk)
     out = df.join(side, cond, "left")
     return out.drop(rk) if drop_key else out
+
+
+def attach_row(df: DataFrame, row: DataFrame) -> DataFrame:
+    """Attach the columns of a one-row frame (fitted constants) to every row.
+
+    ``row`` comes from a global aggregate, so it has exactly one row; it is
+    broadcast and joined on a constant key, which plans as a broadcast hash
+    join instead of a cartesian product.
+    """
+    key = "_attach_key"
+    return (df.withColumn(key, F.lit(1))
+            .join(F.broadcast(row.withColumn(key, F.lit(1))), key, "left")
+            .drop(key))

@@ -23,6 +23,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from leadlens.operators.joins import attach_row
+
 BUCKET = "_bucket"
 
 
@@ -143,8 +145,8 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
             vhi = F.max(F.when((F.col("_cnt_cum") > hi) & (F.col("_cnt_cum") - F.col("_cnt") <= hi), F.col("_v")))
             cols.append((vlo + F.max(h - lo) * (vhi - vlo)).alias(f"{c}_q{i}"))
         # total is one row, so the cross join is a bounded broadcast.
-        row = cum.crossJoin(F.broadcast(total)).select(*cols)
-        result = row if result is None else result.crossJoin(row)
+        row = attach_row(cum, total).select(*cols)
+        result = row if result is None else attach_row(result, row)
     if result is None:
         return spark.range(1).select()
     return result

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadlens.functions.exprs import clip, exp_decay
+from leadlens.operators.joins import attach_row
 from leadlens.operators.ordered import exact_quantiles
 
 SCORE_COLUMNS = ("eligibility_score", "demographic_score", "quality_score", "engagement_score",
@@ -77,7 +78,7 @@ def lead_aging() -> Column:
 def score_table(features: DataFrame, params: DataFrame | None = None) -> DataFrame:
     """Feature table → lead id, seven scores, ``converted``."""
     params = params if params is not None else p95_params(features)
-    j = features.crossJoin(F.broadcast(params))
+    j = attach_row(features, params)
     return j.select(
         F.col("lead_id"),
         eligibility().alias("eligibility_score"),

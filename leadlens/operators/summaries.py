@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from leadlens.operators.joins import attach_row
+
 # Fixed value: the 20 features whose correlation with the target is reported.
 CORRELATION_FEATURES = (
     "channel_historical_cvr", "campaign_historical_cvr", "owner_historical_cvr",
@@ -90,7 +92,7 @@ def scored_summary(scored: DataFrame, params: DataFrame,
     p = params.select(F.bround("p95_channel_cvr", 6).alias("p95_channel_cvr"),
                       F.bround("p95_campaign_cvr", 6).alias("p95_campaign_cvr"),
                       F.bround("p95_engagement", 4).alias("p95_engagement"))
-    return s.crossJoin(p)
+    return attach_row(s, p)
 
 
 def class_balance(df: DataFrame, label: str) -> DataFrame:
