@@ -39,4 +39,4 @@ def oracle_sql() -> dict[str, str]:
 
 def _load() -> None:
     # Importing the query modules fills the registry.
-    from leadlens.plans import q_eval, q_features, q_quality, q_scores  # noqa: F401
+    from leadlens.plans import q_eval, q_features, q_models, q_quality, q_scores  # noqa: F401
