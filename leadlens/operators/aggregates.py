@@ -1,10 +1,10 @@
 """Per-key aggregates of the CRM sources.
 
-Each aggregate is a single ``groupBy().agg()``; Spark runs a partial
-(map-side) aggregate before the shuffle, so a hot key (one lead with a third
-of all activities, one channel with a third of all leads) is reduced to one
-row per task before it moves.  Distinct counts use Spark's Expand rewrite,
-which shuffles on (key, value) first and therefore spreads a hot key too.
+Each aggregate is a ``groupBy().agg()``; Spark runs a partial (map-side)
+aggregate before the shuffle, so a hot key (one lead with a third of all
+activities, one channel with a third of all leads) is reduced to one row per
+task before it moves.  Distinct counts dedup on (key, value) first, which
+shuffles on the pair and therefore spreads a hot key too.
 """
 
 from __future__ import annotations
@@ -51,16 +51,14 @@ def activity_aggregate(
            | X.contains_any("description", positive_description))
     neg = (X.contains_any("activity_details", negative_details)
            | X.contains_any("description", negative_description))
-    return a.groupBy("lead_id").agg(
+    main = a.groupBy("lead_id").agg(
         F.count(F.lit(1)).alias("total_activities"),
-        F.count_distinct("activity_id").alias("unique_activity_types"),
         F.count_if(F.col("call_status").isNotNull()).alias("total_calls_logged"),
         F.count_if(F.lower("call_status").isin(*ANSWERED_STATUSES)).alias("answered_calls"),
         F.coalesce(F.sum("duration"), F.lit(0.0)).alias("total_call_duration_sec"),
         F.avg(F.when(F.coalesce("duration", F.lit(0.0)) > 0, F.col("duration"))).alias("avg_call_duration_sec"),
         F.max("duration").alias("max_call_duration_sec"),
         F.count_if(F.col("call_recordings").isNotNull()).alias("calls_with_recording"),
-        F.count_distinct("follow_up_id").alias("followup_count"),
         F.min(F.when(has_fu, F.col("created_at"))).alias("first_followup_at"),
         F.max(F.when(has_fu, F.col("created_at"))).alias("last_followup_at"),
         F.min("created_at").alias("first_activity_at"),
@@ -68,6 +66,19 @@ def activity_aggregate(
         F.sum(F.when(pos, 1).otherwise(0)).cast("long").alias("positive_intent_kw_count"),
         F.sum(F.when(neg, 1).otherwise(0)).cast("long").alias("negative_intent_kw_count"),
     )
+    # The two distinct counts run as narrow dedup-then-count aggregates instead
+    # of Catalyst's Expand rewrite, which would triple every (wide) row; all
+    # three results are hash-partitioned on lead_id, so the joins add no exchange.
+    out = main
+    for col_name, alias in (("activity_id", "unique_activity_types"), ("follow_up_id", "followup_count")):
+        d = (a.where(F.col(col_name).isNotNull()).select("lead_id", col_name).distinct()
+             .groupBy("lead_id").agg(F.count(F.lit(1)).alias(alias)))
+        out = out.join(d, "lead_id", "left").withColumn(alias, F.coalesce(F.col(alias), F.lit(0)))
+    return out.select("lead_id", "total_activities", "unique_activity_types", "total_calls_logged",
+                      "answered_calls", "total_call_duration_sec", "avg_call_duration_sec",
+                      "max_call_duration_sec", "calls_with_recording", "followup_count",
+                      "first_followup_at", "last_followup_at", "first_activity_at", "last_activity_at",
+                      "positive_intent_kw_count", "negative_intent_kw_count")
 
 
 # A2 -------------------------------------------------------------------------

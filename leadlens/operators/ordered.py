@@ -111,11 +111,13 @@ def fill_forward_backward(df: DataFrame, key: str, columns: Sequence[str],
                        F.first(f"_first_{c}", ignorenulls=True).over(after).alias(f"_bc_{c}")]
     carry = per_bucket.select(BUCKET, *carry_cols)
     out = d.join(F.broadcast(carry), BUCKET, "left")
-    w_fwd = Window.partitionBy(BUCKET).orderBy(k).rowsBetween(Window.unboundedPreceding, 0)
-    w_bwd = Window.partitionBy(BUCKET).orderBy(k).rowsBetween(0, Window.unboundedFollowing)
+    # Both fills use growing frames (unbounded preceding → current row): an
+    # unbounded-following frame is re-evaluated per row, quadratic per bucket.
+    w_fwd = Window.partitionBy(BUCKET).orderBy(k.asc()).rowsBetween(Window.unboundedPreceding, 0)
+    w_bwd = Window.partitionBy(BUCKET).orderBy(k.desc()).rowsBetween(Window.unboundedPreceding, 0)
     for c in columns:
         fwd = F.coalesce(F.last(c, ignorenulls=True).over(w_fwd), F.col(f"_fc_{c}"))
-        bwd = F.coalesce(F.first(c, ignorenulls=True).over(w_bwd), F.col(f"_bc_{c}"))
+        bwd = F.coalesce(F.last(c, ignorenulls=True).over(w_bwd), F.col(f"_bc_{c}"))
         out = out.withColumn(c, F.coalesce(fwd, bwd))
     return out.drop(BUCKET, *[f"_fc_{c}" for c in columns], *[f"_bc_{c}" for c in columns])
 
