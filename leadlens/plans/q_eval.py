@@ -153,3 +153,24 @@ FROM pred""")
 def q_batch_summary(spark, sf_dir):
     p = predictions(spark, sf_dir).withColumn("predicted_label", F.col("prediction") == 1)
     return batch_summary(p)
+
+
+@register("s7_results_csv_rows", BASE + """SELECT
+  CAST(row_number() OVER (ORDER BY lead_id) AS BIGINT) AS row,
+  printf('%.4f', probability) AS probability,
+  CASE WHEN prediction = 1 THEN 'true' ELSE 'false' END AS predicted_label,
+  printf('%.4f', greatest(probability, 1 - probability)) AS confidence,
+  'v1.0.0' AS model_version,
+  'pred_' || CAST(lead_id AS VARCHAR) AS prediction_id
+FROM pred""")
+def q_results_rows(spark, sf_dir):
+    """Result rows numbered in lead order with 4-decimal text fields."""
+    from leadlens.operators.scoring import MODEL_VERSION
+    from leadlens.sources.csv_io import format_results
+
+    p = predictions(spark, sf_dir).select(
+        "lead_id", "probability", (F.col("prediction") == 1).alias("predicted_label"),
+        F.greatest(F.col("probability"), 1 - F.col("probability")).alias("confidence"),
+        F.lit(MODEL_VERSION).alias("model_version"),
+        F.concat(F.lit("pred_"), F.col("lead_id").cast("string")).alias("prediction_id"))
+    return format_results(p, "lead_id")
