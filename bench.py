@@ -3,8 +3,9 @@
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
 Each query is forced with a ``noop`` write (full execution, no collect).
-The feature build runs first from the raw tables; downstream steps read the
-stored feature table, as the build pipeline does.
+The feature build runs from the raw tables and writes the feature table once
+(S4); downstream steps read that stored copy, as the build pipeline does.
+An untimed scan of the largest table warms the JVM and the file cache first.
 """
 
 from __future__ import annotations
@@ -24,8 +25,7 @@ from leadlens.operators import metrics as E  # noqa: E402
 from leadlens.operators import quality as Q  # noqa: E402
 from leadlens.operators import scores as C  # noqa: E402
 from leadlens.operators import summaries as S  # noqa: E402
-from leadlens.plans.feature_build import (feature_table, stored_feature_table,  # noqa: E402
-                                          test_view_keywords)
+from leadlens.plans.feature_build import stored_feature_table, test_view_keywords  # noqa: E402
 from leadlens.plans.q_eval import scored  # noqa: E402
 from leadlens.session import local_session  # noqa: E402
 from leadlens.sources import testviews as TV  # noqa: E402
@@ -48,12 +48,13 @@ def main() -> None:
             force(out)
         timings[name] = round(time.perf_counter() - t0, 3)
 
+    force(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))  # warm-up, untimed
     run("activity_aggregate", lambda: A.activity_aggregate(TV.activities_view(spark, sf_dir),
                                                            **test_view_keywords()))
-    run("feature_build", lambda: feature_table(spark, sf_dir))
-    run("feature_store", lambda: stored_feature_table(spark, sf_dir) and None)
-    run("build_stats_correlations", lambda: attach(S.build_stats(stored_feature_table(spark, sf_dir)),
-                                                   S.target_correlations(stored_feature_table(spark, sf_dir))))
+    run("feature_build_and_store", lambda: stored_feature_table(spark, sf_dir) and None)
+    run("build_stats_correlations", lambda: force_both(
+        S.build_stats(stored_feature_table(spark, sf_dir)),
+        S.target_correlations(stored_feature_table(spark, sf_dir))))
     run("p95_scores_split", lambda: scored(spark, sf_dir) and None)
     run("auc_ap_7_scores", lambda: E.evaluate_scores(
         scored(spark, sf_dir).where(F.col("split") == "validation"), "converted", list(C.SCORE_COLUMNS)))
@@ -68,12 +69,9 @@ def main() -> None:
                       "cpus": int(cpus)}))
 
 
-def attach(a, b):
-    # two independent results forced together: union of their string forms is
-    # not needed; force both and return nothing.
+def force_both(a, b):
     force(a)
     force(b)
-    return None
 
 
 if __name__ == "__main__":
