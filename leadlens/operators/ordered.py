@@ -127,28 +127,48 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     """Exact quantiles with linear interpolation (numpy's default), one row.
 
     Output columns ``<col>_q<i>`` for the i-th probability; null for a column
-    with no non-null value.  Values are grouped first (partial aggregation,
-    skew-safe), then ranks come from bucketed prefix counts; nothing is
-    gathered into one task.
+    with no non-null value.  All columns are handled in one pass: values are
+    stacked as (column index, value) and grouped (partial aggregation,
+    skew-safe), bucket bounds for every column come from one
+    ``approxQuantile`` call, and ranks come from bucketed prefix counts whose
+    carries stay within each column.  Nothing is gathered into one task.
     """
     spark = df.sparkSession
-    result = None
-    for c in columns:
-        g = (df.where(F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")))
-             .groupBy(F.col(c).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_cnt")))
-        cum = prefix_sums(g, "_v", ["_cnt"], n=n)  # _cnt_cum = rows with value ≤ _v
-        total = g.agg(F.sum("_cnt").alias("_tot"))
-        cols = []
-        for i, p in enumerate(probs):
+    cols = list(columns)
+    if not cols:
+        return spark.range(1).select()
+    n = n or default_buckets(df)
+    qs = [i / n for i in range(1, n)]
+    raw_bounds = df.approxQuantile(cols, qs, 1e-3) if qs else [[] for _ in cols]
+    pairs = ", ".join(f"{i}, CAST(`{c}` AS DOUBLE)" for i, c in enumerate(cols))
+    long = df.selectExpr(f"stack({len(cols)}, {pairs}) AS (_ci, _v)")
+    g = (long.where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+         .groupBy("_ci", "_v").agg(F.count(F.lit(1)).alias("_cnt")))
+    bucket = None
+    for i, b in enumerate(raw_bounds):
+        tree = _bucket_expr(F.col("_v"), sorted({float(x) for x in b if x is not None}))
+        bucket = (F.when(F.col("_ci") == i, tree) if bucket is None
+                  else bucket.when(F.col("_ci") == i, tree))
+    d = g.withColumn(BUCKET, bucket.otherwise(F.lit(0)))
+    totals = d.groupBy("_ci", BUCKET).agg(F.sum("_cnt").alias("_t"))
+    # ≤ len(cols)·n rows: bounded single-partition windows and broadcasts.
+    before = Window.partitionBy("_ci").orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    carry = totals.select("_ci", BUCKET, F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_c"))
+    tot = totals.groupBy("_ci").agg(F.sum("_t").alias("_tot"))
+    w = Window.partitionBy("_ci", BUCKET).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    cum = (d.join(F.broadcast(carry), ["_ci", BUCKET], "left")
+           .withColumn("_cnt_cum", F.sum("_cnt").over(w) + F.col("_c"))
+           .join(F.broadcast(tot), "_ci", "left"))
+    out = []
+    for i, c in enumerate(cols):
+        mine = F.col("_ci") == i
+        for j, p in enumerate(probs):
             h = (F.col("_tot") - 1) * F.lit(float(p))
             lo = F.floor(h)
             hi = F.least(lo + 1, F.col("_tot") - 1)
-            vlo = F.max(F.when((F.col("_cnt_cum") > lo) & (F.col("_cnt_cum") - F.col("_cnt") <= lo), F.col("_v")))
-            vhi = F.max(F.when((F.col("_cnt_cum") > hi) & (F.col("_cnt_cum") - F.col("_cnt") <= hi), F.col("_v")))
-            cols.append((vlo + F.max(h - lo) * (vhi - vlo)).alias(f"{c}_q{i}"))
-        # total is one row, so the cross join is a bounded broadcast.
-        row = attach_row(cum, total).select(*cols)
-        result = row if result is None else attach_row(result, row)
-    if result is None:
-        return spark.range(1).select()
-    return result
+            at_lo = mine & (F.col("_cnt_cum") > lo) & (F.col("_cnt_cum") - F.col("_cnt") <= lo)
+            at_hi = mine & (F.col("_cnt_cum") > hi) & (F.col("_cnt_cum") - F.col("_cnt") <= hi)
+            vlo, vhi = F.max(F.when(at_lo, F.col("_v"))), F.max(F.when(at_hi, F.col("_v")))
+            frac = F.max(F.when(mine, h - lo))
+            out.append((vlo + frac * (vhi - vlo)).alias(f"{c}_q{j}"))
+    return cum.agg(*out)
