@@ -196,3 +196,11 @@ def user_active(status: Column | None, deleted_at: Column | None) -> Column:
     if deleted_at is not None:
         cond = deleted_at.isNull() & cond
     return bool_flag(cond)
+
+
+def ts_literal(value: _dt.datetime | _dt.date) -> Column:
+    """A wall-clock timestamp literal (``timestamp_ntz``) independent of the
+    Python process and session time zones."""
+    if not isinstance(value, _dt.datetime):
+        value = _dt.datetime(value.year, value.month, value.day)
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")

@@ -108,7 +108,7 @@ def voicebot_aggregate(logs: DataFrame, action_type: str = VOICEBOT_ACTION,
 
 # A4–A7 ----------------------------------------------------------------------
 def ref_midnight(ref_date: _dt.date) -> F.Column:
-    return F.lit(_dt.datetime(ref_date.year, ref_date.month, ref_date.day))
+    return X.ts_literal(ref_date)
 
 
 def lead_group_stats(leads: DataFrame, ref_date: _dt.date, active_days: int = 30) -> DataFrame:
@@ -122,8 +122,8 @@ def lead_group_stats(leads: DataFrame, ref_date: _dt.date, active_days: int = 30
     reference midnight, null when every ``created_at`` is null.
     """
     ref = ref_midnight(ref_date)
-    cutoff = F.lit(_dt.datetime(ref_date.year, ref_date.month, ref_date.day)
-                   - _dt.timedelta(days=active_days))
+    cutoff = X.ts_literal(_dt.datetime(ref_date.year, ref_date.month, ref_date.day)
+                          - _dt.timedelta(days=active_days))
     base = leads.select(
         F.col("id"), F.col("is_interested"), F.col("created_at"), F.col("updated_at"),
         F.col("lead_channel").alias("key_channel"),

@@ -24,7 +24,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from leadlens.functions import exprs as X
 from leadlens.operators import aggregates as A
@@ -265,7 +264,7 @@ def feature_columns(ld: DataFrame, ref_date: _dt.date, computed_at: _dt.datetime
         z("voicebot_initiated_count").cast("long").alias("voicebot_initiated_count"),
         # G16 timestamps
         c("lead_date"), c("created_at"), c("updated_at"),
-        F.lit(computed_at).cast(T.TimestampNTZType()).alias("feature_computed_at"),
+        X.ts_literal(computed_at).alias("feature_computed_at"),
     ]
     return cols
 

@@ -23,7 +23,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from leadlens.operators.joins import attach_row
 
 BUCKET = "_bucket"
 

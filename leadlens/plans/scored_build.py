@@ -5,9 +5,8 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from leadlens.functions.exprs import ts_literal
 from leadlens.operators import scores as C
 from leadlens.operators import split as D
 from leadlens.operators.summaries import scored_summary
@@ -20,7 +19,7 @@ def scored_from_features(features: DataFrame, scored_at: _dt.datetime,
     params = params if params is not None else C.p95_params(features)
     scored = C.score_table(features, params)
     scored = D.three_way_split(scored, "lead_id", seed)
-    return scored.withColumn("scored_at", F.lit(scored_at).cast(T.TimestampNTZType()))
+    return scored.withColumn("scored_at", ts_literal(scored_at))
 
 
 def scored_table(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -163,7 +163,7 @@ def users_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select(
         k.alias("id"),
         F.when(F.col("s_acctbal") > 0, 1).otherwise(0).cast("int").alias("status"),
-        F.when(_m(k, 9) == 0, F.lit(_dt.datetime(2001, 1, 1))).alias("deleted_at"),
+        F.when(_m(k, 9) == 0, F.lit("2001-01-01 00:00:00").cast("timestamp_ntz")).alias("deleted_at"),
         F.col("s_nationkey").alias("role_id"),
     )
 
