@@ -65,3 +65,40 @@ def test_batch_scoring_and_streaming(spark, prepared, tmp_path):
     assert q.exception() is None
     got = spark.read.parquet(str(sink))
     assert got.count() == 30 and got.where("probability < 0 or probability > 1").count() == 0
+
+
+def test_tier_parameter_mapping():
+    lr, p = M.build_classifier("baseline", 1000, 2.0)
+    assert abs(lr.getRegParam() - 1e-3) < 1e-15 and not lr.getStandardization()
+    gbt, p2 = M.build_classifier("challenger", 1000, 2.0)
+    assert (gbt.getMaxIter(), gbt.getMaxDepth(), gbt.getStepSize(), gbt.getSubsamplingRate()) == (200, 4, 0.05, 0.8)
+    champ, p3 = M.build_classifier("champion", 1000, 2.04)
+    assert (champ.getMaxIter(), champ.getMaxDepth(), champ.getFeatureSubsetStrategy()) == (300, 6, "0.8")
+    assert champ.getWeightCol() == "weight" and p3["scale_pos_weight"] == "2.04"
+
+
+def test_champion_weighted_fit_smoke(prepared):
+    # a short fit of the champion configuration checks the weighted pipeline end to end
+    _, data = prepared
+    small = M.pos_weighted(data.limit(300), "label", 2.0)
+    clf, _ = M.build_classifier("champion", 300, 2.0)
+    model = clf.copy({clf.maxIter: 3}).fit(small)
+    assert M.evaluate(model, small).first().roc_auc > 0.6
+
+
+def test_fit_stable_under_repartition(prepared):
+    _, data = prepared
+    a, _, _ = M.train_tier("baseline", data.repartition(1), data)
+    b, _, _ = M.train_tier("baseline", data.repartition(7), data)
+    assert max(abs(x - y) for x, y in zip(a.coefficients, b.coefficients)) < 1e-3
+
+
+def test_raw_mode_on_feature_table(spark):
+    from leadlens.plans.feature_build import feature_table
+    from leadlens.plans.training import raw_mode
+    from tests.conftest import SF_SMALL
+
+    ranked, models, pre, cols = raw_mode(feature_table(spark, SF_SMALL), ["baseline"])
+    r = ranked.first()
+    assert r.tier == "baseline" and r.is_winner and 0 <= r.primary_metric <= 1
+    assert any(c.startswith("lead_channel_") for c in cols) and "lead_age_days" in cols
