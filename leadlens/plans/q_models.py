@@ -87,3 +87,17 @@ def q_baseline(spark, sf_dir):
     return run.select("tier", "run_id", "primary_metric").unionByName(
         imp.select(F.col("feature").alias("tier"), F.lit("importance").alias("run_id"),
                    F.col("importance").alias("primary_metric")))
+
+
+@register("m1_table_mode_baseline")
+def q_table_mode(spark, sf_dir):
+    """Baseline tier on the small lead table (config features, exact stratified
+    split, population scaler + drop-first one-hot + variance filter).
+
+    Iterative fit, so rows-only: one run row per tier.
+    """
+    from leadlens.plans.training import table_mode
+
+    ranked, _models, _fp = table_mode(_training(spark, sf_dir), list(TV.NUMERIC_FEATURES),
+                                      list(TV.CATEGORICAL_FEATURES), TV.TARGET, tiers=["baseline"])
+    return ranked.select("tier", "run_id", "primary_metric", "rank", "is_winner")

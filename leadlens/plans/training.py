@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
@@ -52,6 +53,12 @@ TARGET = "is_interested"
 SCORED_TARGET = "converted"
 
 
+def _keep(df: DataFrame) -> DataFrame:
+    """Persist a frame that several fits and evaluations read (spills to disk;
+    a lost block is recomputed from lineage)."""
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def available(df: DataFrame, wanted: Sequence[str]) -> tuple[list[str], list[str]]:
     """(present columns, missing columns) of a wanted list."""
     cols = set(df.columns)
@@ -81,12 +88,12 @@ def fit_preprocessor(train: DataFrame, numeric: Sequence[str], categorical: Sequ
 
 def scored_mode(scored: DataFrame, tiers: Sequence[str] = M.TIERS):
     feats, _missing = available(scored, SCORE_COLUMNS)
-    data = prepare(scored, feats, [], SCORED_TARGET, extra=["lead_id", "split"])
+    data = _keep(prepare(scored, feats, [], SCORED_TARGET, extra=["lead_id", "split"]))
     train = data.where(F.col("split") == "train")
     val = data.where(F.col("split") == "validation")
     test = data.where(F.col("split") == "test")
     pre, cols = fit_preprocessor(train, feats, [])
-    tr, va, te = (pre.transform(x) for x in (train, val, test))
+    tr, va, te = (_keep(pre.transform(x)) for x in (train, val, test))
     runs, models = M.train_tiers(tr, va, tiers)
     ranked = R.rank_runs(runs)
     win = ranked.where(F.col("is_winner")).select("tier").first()["tier"]
@@ -97,9 +104,25 @@ def scored_mode(scored: DataFrame, tiers: Sequence[str] = M.TIERS):
 def raw_mode(features: DataFrame, tiers: Sequence[str] = M.TIERS, test_size: float = 0.2):
     num, _ = available(features, NUMERIC_FEATURES)
     cat, _ = available(features, CATEGORICAL_FEATURES)
-    data = prepare(features, num, cat, TARGET, extra=["lead_id"])
+    data = _keep(prepare(features, num, cat, TARGET, extra=["lead_id"]))
     train, test = D.train_test_split(data, "lead_id", test_size)
     pre, cols = fit_preprocessor(train, num, cat)
-    tr, te = pre.transform(train), pre.transform(test)
+    tr, te = _keep(pre.transform(train)), _keep(pre.transform(test))
     runs, models = M.train_tiers(tr, te, tiers)
     return R.rank_runs(runs), models, pre, cols
+
+
+def table_mode(training: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
+               target: str, id_col: str = "id", tiers: Sequence[str] = M.TIERS,
+               test_size: float = 0.2):
+    """Config-driven training table: exact stratified split (D1), the feature
+    pipeline (population scaler, drop-first one-hot, variance filter 0.01,
+    fitted on train), tiers evaluated on test, winner selected (R1)."""
+    data = training.select(id_col, *numeric, *categorical,
+                           F.col(target).cast("int").alias("label"))
+    flagged = _keep(D.exact_test_flag(data, id_col, "label", test_size))
+    train = flagged.where(~F.col("_is_test")).drop("_is_test")
+    test = flagged.where(F.col("_is_test")).drop("_is_test")
+    fp = T.FeaturePipeline(numeric, categorical, impute=True).fit(train)
+    runs, models = M.train_tiers(_keep(fp.transform(train)), _keep(fp.transform(test)), tiers)
+    return R.rank_runs(runs), models, fp

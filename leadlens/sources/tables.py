@@ -65,3 +65,21 @@ def stored(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> Da
         write_table(build(), path)
         _STORED[key] = path
     return spark.read.parquet(_STORED[key])
+
+
+def load_training(spark: SparkSession, path: str, numeric: list[str], categorical: list[str],
+                  fmt: str = "parquet", validate: bool = True):
+    """Scan a training table and validate it (V1–V4).
+
+    Returns ``(df, report)`` where ``report`` holds the lazy duplicate-row and
+    null-count frames plus the schema warnings; V1 raises on an empty table.
+    """
+    from leadlens.operators import quality as Q
+
+    df = read_table(spark, path, fmt)
+    if not validate:
+        return df, {}
+    Q.check_shape(df)
+    report = {"duplicates": Q.duplicate_rows(df), "nulls": Q.null_counts(df),
+              "dtype_warnings": Q.dtype_warnings(df, numeric, categorical)}
+    return df, report

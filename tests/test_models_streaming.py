@@ -102,3 +102,17 @@ def test_raw_mode_on_feature_table(spark):
     r = ranked.first()
     assert r.tier == "baseline" and r.is_winner and 0 <= r.primary_metric <= 1
     assert any(c.startswith("lead_channel_") for c in cols) and "lead_age_days" in cols
+
+
+def test_table_mode_and_validated_load(spark, tmp_path):
+    from leadlens.plans.training import table_mode
+    from leadlens.sources.tables import load_training
+
+    df = synthetic.sample_leads(spark, 600)
+    df.write.parquet(str(tmp_path / "train"))
+    loaded, report = load_training(spark, str(tmp_path / "train"), list(NUMERIC_FEATURES),
+                                   list(CATEGORICAL_FEATURES))
+    assert report["duplicates"].first()[0] == 0 and report["dtype_warnings"] == []
+    ranked, models, fp = table_mode(loaded, list(NUMERIC_FEATURES), list(CATEGORICAL_FEATURES),
+                                    "intent_label", tiers=["baseline"])
+    assert ranked.first().is_winner and "baseline" in models and fp.columns
