@@ -93,10 +93,10 @@ def q_confusion(spark, sf_dir):
 
 
 E5_SQL = f"""SELECT metric, value, threshold, value >= threshold AS passed FROM (
-  SELECT 'roc_auc' AS metric, CAST(roc_auc AS DOUBLE) AS value, 0.8 AS threshold
+  SELECT 'roc_auc' AS metric, CAST(roc_auc AS DOUBLE) AS value, CAST(0.8 AS DOUBLE) AS threshold
     FROM ({_rank_sql(CANDIDATE)}) a
   UNION ALL
-  SELECT 'f1', CAST(f1 AS DOUBLE), 0.75 FROM ({E1_SQL}) b
+  SELECT 'f1', CAST(f1 AS DOUBLE), CAST(0.75 AS DOUBLE) FROM ({E1_SQL}) b
 ) t"""
 
 

@@ -31,7 +31,7 @@ ONEHOT_LEVELS = {"source": ("Direct", "Event", "LinkedIn", "Partner"),
 
 
 @register("t2_onehot_drop_first", with_training() + "SELECT id, " + ", ".join(
-    f"CASE WHEN {c} = '{v}' THEN 1.0 ELSE 0.0 END AS {c}_{v}"
+    f"CAST(CASE WHEN {c} = '{v}' THEN 1.0 ELSE 0.0 END AS DOUBLE) AS {c}_{v}"
     for c, levels in ONEHOT_LEVELS.items() for v in levels[1:]) + " FROM training")
 def q_onehot_drop(spark, sf_dir):
     t = _training(spark, sf_dir).select("id", *ONEHOT_LEVELS)
@@ -39,7 +39,7 @@ def q_onehot_drop(spark, sf_dir):
 
 
 @register("t3_onehot_all_levels", with_training() + "SELECT id, " + ", ".join(
-    f"CASE WHEN {c} = '{v}' THEN 1.0 ELSE 0.0 END AS {c}_{v}"
+    f"CAST(CASE WHEN {c} = '{v}' THEN 1.0 ELSE 0.0 END AS DOUBLE) AS {c}_{v}"
     for c, levels in ONEHOT_LEVELS.items() for v in levels) + " FROM training")
 def q_onehot_all(spark, sf_dir):
     t = _training(spark, sf_dir).select("id", *ONEHOT_LEVELS)
