@@ -101,3 +101,62 @@ def q_table_mode(spark, sf_dir):
     ranked, _models, _fp = table_mode(_training(spark, sf_dir), list(TV.NUMERIC_FEATURES),
                                       list(TV.CATEGORICAL_FEATURES), TV.TARGET, tiers=["baseline"])
     return ranked.select("tier", "run_id", "primary_metric", "rank", "is_winner")
+
+
+_MODELS: dict[tuple[str, str], str] = {}
+
+
+def baseline_pipeline(spark, sf_dir):
+    """Preprocessor + baseline tier fitted once per application on the scored
+    table's train split, saved under the checkpoint folder and loaded back."""
+    from pyspark.ml import PipelineModel
+
+    from leadlens.plans.q_eval import scored
+    from leadlens.plans.training import scored_mode
+    from leadlens.session import checkpoint_dir
+
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _MODELS:
+        _ranked, models, pre, _cols, _test = scored_mode(scored(spark, sf_dir), ["baseline"])
+        path = f"{checkpoint_dir(spark).rstrip('/')}/models/{key[0]}/baseline_{abs(hash(sf_dir))}"
+        PipelineModel(stages=[*pre.stages, models["baseline"]]).write().overwrite().save(path)
+        _MODELS[key] = path
+    return PipelineModel.load(_MODELS[key])
+
+
+def _test_requests(spark, sf_dir):
+    from leadlens.operators.scores import SCORE_COLUMNS
+    from leadlens.plans.q_eval import scored
+
+    return scored(spark, sf_dir).where(F.col("split") == "test").select(
+        "lead_id", *SCORE_COLUMNS, F.lit("test").alias("split"), F.col("converted").alias("label"))
+
+
+@register("b1_batch_scoring")
+def q_batch_scoring(spark, sf_dir):
+    """B1: score the test split in one transform; ids pred_<request>_<i> in lead order."""
+    from leadlens.operators.scoring import score_batch
+
+    return score_batch(baseline_pipeline(spark, sf_dir), _test_requests(spark, sf_dir), "lead_id",
+                       "test")
+
+
+@register("b2_streaming_scoring")
+def q_streaming_scoring(spark, sf_dir):
+    """B2: the test split lands as request files and is scored by a streaming
+    query (availableNow trigger); returns the sink table."""
+    from leadlens.session import checkpoint_dir
+    from leadlens.streaming.scoring_stream import scoring_stream
+
+    import uuid
+
+    # one folder per invocation: requests, sink and stream checkpoint start empty
+    base = f"{checkpoint_dir(spark).rstrip('/')}/streams/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    req = _test_requests(spark, sf_dir)
+    req.write.mode("overwrite").parquet(f"{base}/requests")
+    q = scoring_stream(spark, baseline_pipeline(spark, sf_dir), f"{base}/requests", req.schema,
+                       f"{base}/scored", request_id="stream", checkpoint=f"{base}/checkpoint")
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return spark.read.parquet(f"{base}/scored").drop("batch_id")
