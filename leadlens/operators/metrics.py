@@ -18,8 +18,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadlens.operators.joins import attach_row
-from leadlens.operators.ordered import prefix_sums
+from leadlens.operators.ordered import column_bounds, grouped_prefix_sums
 
 # Minimum quality thresholds of the base configuration.
 DEFAULT_THRESHOLDS = {"min_roc_auc": 0.8, "min_f1": 0.75}
@@ -43,24 +42,30 @@ def classification_metrics(df: DataFrame, label: str, prediction: str, digits: i
                     F.bround(rec, digits).alias("recall"), F.bround(f1, digits).alias("f1"))
 
 
-def score_groups(df: DataFrame, label: str, score: str) -> DataFrame:
-    y = _y(label)
-    return (df.where(F.col(score).isNotNull())
-            .groupBy(F.col(score).cast("double").alias("_s"))
-            .agg(F.sum(y).alias("_pos"), F.sum(1 - y).alias("_neg")))
+def _stacked_groups(df: DataFrame, label: str, scores: Sequence[str]) -> DataFrame:
+    """(``_ci``, ``_s``, ``_pos``, ``_neg``): one row per score column and distinct value."""
+    pairs = ", ".join(f"{i}, CAST(`{s}` AS DOUBLE)" for i, s in enumerate(scores))
+    long = df.select(F.expr(f"stack({len(scores)}, {pairs}) AS (_ci, _s)"), _y(label).alias("_y"))
+    return (long.where(F.col("_s").isNotNull())
+            .groupBy("_ci", "_s")
+            .agg(F.sum("_y").alias("_pos"), F.sum(1 - F.col("_y")).alias("_neg")))
 
 
-def _ranked_groups(df: DataFrame, label: str, score: str) -> DataFrame:
-    """Distinct scores with inclusive ascending prefix counts and class totals.
+def _ranked_groups(df: DataFrame, label: str, scores: Sequence[str]) -> DataFrame:
+    """Distinct values of every score column with inclusive ascending prefix counts.
 
-    For a score s: negatives below s = ``_neg_cum − _neg``; true / false
-    positives at threshold s (score ≥ s) = P − ``_pos_cum`` + ``_pos`` and
-    N − ``_neg_cum`` + ``_neg``.  One prefix pass serves both AUC and AP.
+    All score columns are stacked as (column index, value) and handled in one
+    pass: bucket bounds for every column come from one ``approxQuantile``
+    call and the prefix runs per column.  For a value s: negatives below s =
+    ``_neg_cum − _neg``; true / false positives at threshold s (score ≥ s) =
+    P − ``_pos_cum`` + ``_pos`` and N − ``_neg_cum`` + ``_neg``.  One prefix
+    pass serves both AUC and AP.
     """
-    g = score_groups(df, label, score)
-    cum = prefix_sums(g, "_s", ["_pos", "_neg"], inclusive=True)
-    totals = g.agg(F.sum("_pos").alias("_P"), F.sum("_neg").alias("_N"))
-    return attach_row(cum, totals)
+    g = _stacked_groups(df, label, scores)
+    cum = grouped_prefix_sums(g, "_ci", "_s", ["_pos", "_neg"], column_bounds(df, scores))
+    totals = g.groupBy("_ci").agg(F.sum("_pos").alias("_P"), F.sum("_neg").alias("_N"))
+    # One row per score column: a bounded broadcast.
+    return cum.join(F.broadcast(totals), "_ci", "left")
 
 
 def _auc_expr() -> Column:
@@ -76,20 +81,37 @@ def _ap_expr() -> Column:
     return F.sum(F.col("_pos") * tp / (tp + fp)) / F.when(p > 0, p)
 
 
+def ranking_table(df: DataFrame, label: str, scores: Sequence[str],
+                  digits: int | None = None) -> DataFrame:
+    """(candidate, roc_auc, pr_auc) for several score columns in one pass.
+
+    A column whose rows are all null, or that sees a single class, gets a
+    null AUC (and a null AP without positives).
+    """
+    scores = list(scores)
+    rnd = (lambda c: F.bround(c, digits)) if digits is not None else (lambda c: c)
+    got = _ranked_groups(df, label, scores).groupBy("_ci").agg(
+        rnd(_auc_expr()).alias("roc_auc"), rnd(_ap_expr()).alias("pr_auc"))
+    names = df.sparkSession.range(len(scores)).select(
+        F.col("id").cast("int").alias("_ci"),
+        F.element_at(F.array(*[F.lit(s) for s in scores]), F.col("id").cast("int") + 1).alias("candidate"))
+    # Every candidate appears, also one without any non-null score.
+    return (names.join(got, "_ci", "left").select("candidate", "roc_auc", "pr_auc"))
+
+
 def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
     """One row ``roc_auc``; null when only one class is present."""
-    return _ranked_groups(df, label, score).agg(_auc_expr().alias("roc_auc"))
+    return ranking_table(df, label, [score]).select("roc_auc")
 
 
 def average_precision(df: DataFrame, label: str, score: str) -> DataFrame:
     """One row ``pr_auc``: Σ_s (pos_s / P) · precision at threshold s (descending)."""
-    return _ranked_groups(df, label, score).agg(_ap_expr().alias("pr_auc"))
+    return ranking_table(df, label, [score]).select("pr_auc")
 
 
 def ranking_metrics(df: DataFrame, label: str, score: str, digits: int = 4) -> DataFrame:
     """E2 + E3 in one row from one prefix pass, rounded like the training report."""
-    return _ranked_groups(df, label, score).agg(
-        F.bround(_auc_expr(), digits).alias("roc_auc"), F.bround(_ap_expr(), digits).alias("pr_auc"))
+    return ranking_table(df, label, [score], digits).select("roc_auc", "pr_auc")
 
 
 def confusion_matrix(df: DataFrame, label: str, prediction: str) -> DataFrame:
@@ -118,10 +140,6 @@ def threshold_check(spark: SparkSession, metrics_row: DataFrame,
             .withColumn("passed", F.col("value") >= F.col("threshold")))
 
 
-def evaluate_scores(df: DataFrame, label: str, scores: Sequence[str]) -> DataFrame:
-    """E2/E3 for several score columns: (candidate, roc_auc, pr_auc)."""
-    out = None
-    for s in scores:
-        r = ranking_metrics(df, label, s).select(F.lit(s).alias("candidate"), "roc_auc", "pr_auc")
-        out = r if out is None else out.unionByName(r)
-    return out
+def evaluate_scores(df: DataFrame, label: str, scores: Sequence[str], digits: int = 4) -> DataFrame:
+    """E2/E3 for several score columns: (candidate, roc_auc, pr_auc), one pass over ``df``."""
+    return ranking_table(df, label, scores, digits)

@@ -83,6 +83,45 @@ def prefix_sums(df: DataFrame, key: str, values: Sequence[str], inclusive: bool
     return out.drop(BUCKET, *[f"_c_{v}" for v in values])
 
 
+def group_bucket(group: Column, key: Column, bounds: Sequence[Sequence[float]]) -> Column:
+    """Range bucket of ``key`` with its own bounds per group index 0..k−1."""
+    expr = None
+    for i, b in enumerate(bounds):
+        tree = _bucket_expr(key, sorted({float(x) for x in (b or []) if x is not None}))
+        expr = F.when(group == i, tree) if expr is None else expr.when(group == i, tree)
+    return expr.otherwise(F.lit(0)) if expr is not None else F.lit(0)
+
+
+def column_bounds(df: DataFrame, columns: Sequence[str], n: int | None = None,
+                  rel_error: float = 1e-3) -> list[list[float]]:
+    """Bucket bounds for several columns from one ``approxQuantile`` pass."""
+    n = n or default_buckets(df)
+    qs = [i / n for i in range(1, n)]
+    return df.approxQuantile(list(columns), qs, rel_error) if qs else [[] for _ in columns]
+
+
+def grouped_prefix_sums(df: DataFrame, group: str, key: str, values: Sequence[str],
+                        bounds: Sequence[Sequence[float]], suffix: str = "_cum") -> DataFrame:
+    """Inclusive running sums of ``values`` in ascending ``key`` order within each group.
+
+    ``group`` holds indices 0..k−1 and ``bounds[i]`` are group i's bucket
+    bounds (``column_bounds``).  Several stacked columns are thus handled in
+    one pass; the carry table has at most k·n rows.  ``key`` must be unique
+    within a group (pre-aggregate per value first).
+    """
+    d = df.withColumn(BUCKET, group_bucket(F.col(group), F.col(key), bounds))
+    totals = d.groupBy(group, BUCKET).agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
+    wb = Window.partitionBy(group).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    carry = totals.select(group, BUCKET, *[F.coalesce(F.sum(f"_t_{v}").over(wb), F.lit(0)).alias(f"_c_{v}")
+                                           for v in values])
+    w = (Window.partitionBy(group, BUCKET).orderBy(F.col(key).asc())
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    out = d.join(F.broadcast(carry), [group, BUCKET], "left")
+    for v in values:
+        out = out.withColumn(v + suffix, F.coalesce(F.sum(v).over(w), F.lit(0)) + F.col(f"_c_{v}"))
+    return out.drop(BUCKET, *[f"_c_{v}" for v in values])
+
+
 def row_numbers(df: DataFrame, key: str, name: str = "row", n: int | None = None,
                 tie_breakers: Sequence[str] = ()) -> DataFrame:
     """1-based position of each row in (key, tie_breakers) order."""
@@ -136,19 +175,12 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     cols = list(columns)
     if not cols:
         return spark.range(1).select()
-    n = n or default_buckets(df)
-    qs = [i / n for i in range(1, n)]
-    raw_bounds = df.approxQuantile(cols, qs, 1e-3) if qs else [[] for _ in cols]
+    raw_bounds = column_bounds(df, cols, n)
     pairs = ", ".join(f"{i}, CAST(`{c}` AS DOUBLE)" for i, c in enumerate(cols))
     long = df.selectExpr(f"stack({len(cols)}, {pairs}) AS (_ci, _v)")
     g = (long.where(F.col("_v").isNotNull() & ~F.isnan("_v"))
          .groupBy("_ci", "_v").agg(F.count(F.lit(1)).alias("_cnt")))
-    bucket = None
-    for i, b in enumerate(raw_bounds):
-        tree = _bucket_expr(F.col("_v"), sorted({float(x) for x in b if x is not None}))
-        bucket = (F.when(F.col("_ci") == i, tree) if bucket is None
-                  else bucket.when(F.col("_ci") == i, tree))
-    d = g.withColumn(BUCKET, bucket.otherwise(F.lit(0)))
+    d = g.withColumn(BUCKET, group_bucket(F.col("_ci"), F.col("_v"), raw_bounds))
     totals = d.groupBy("_ci", BUCKET).agg(F.sum("_cnt").alias("_t"))
     # ≤ len(cols)·n rows: bounded single-partition windows and broadcasts.
     before = Window.partitionBy("_ci").orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
