@@ -96,16 +96,44 @@ class OneHotModel(Model, _Stage):
         return df.select(*out)
 
 
+# Largest level count per column that one-hot encoding accepts; every level
+# becomes an output column and part of the fitted state on the driver.
+MAX_LEVELS = 100_000
+
+
 class OneHot(Estimator, _Stage):
     """Levels are the sorted distinct non-null values; the level list per
-    column is the fitted state (its size is the column's cardinality)."""
+    column is the fitted state (its size is the column's cardinality).
+
+    Fitting takes two passes over all columns at once: a fixed-memory
+    cardinality estimate (HyperLogLog) that rejects a column with more than
+    ``maxLevels`` levels, then one ``collect_set`` aggregate whose size that
+    check has bounded.  No level is ever dropped.
+    """
+
+    maxLevels = Param(Params._dummy(), "maxLevels", "largest accepted level count per column",
+                      typeConverter=TypeConverters.toInt)
+
+    def __init__(self, inputCols: Sequence[str] | None = None, **kw):
+        super().__init__(inputCols, **kw)
+        self._setDefault(maxLevels=MAX_LEVELS)
 
     def _fit(self, df: DataFrame) -> OneHotModel:
+        cols = self.getInputCols()
+        limit = self.getOrDefault(self.maxLevels)
+        est = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
+        # approx_count_distinct has ~5 % relative error; only a clear excess fails.
+        too_many = {c: est[c] for c in cols if est[c] > limit * 1.1}
+        if too_many:
+            raise ValueError(f"too many categories for one-hot encoding (limit {limit}): {too_many}")
+        row = df.agg(*[F.collect_set(c).alias(c) for c in cols]).first()
         st = {}
-        for c in self.getInputCols():
-            levels = sorted(r[0] for r in df.where(F.col(c).isNotNull()).select(c).distinct().collect())
+        for c in cols:
+            levels = sorted(row[c])
+            if len(levels) > limit:
+                raise ValueError(f"too many categories for one-hot encoding in {c}: {len(levels)} > {limit}")
             st[c] = levels[1:] if self.getOrDefault(self.dropFirst) else levels
-        return self._copy_to(OneHotModel(self.getInputCols(), stats=json.dumps(st)))
+        return self._copy_to(OneHotModel(cols, stats=json.dumps(st)))
 
 
 # T4 -------------------------------------------------------------------------

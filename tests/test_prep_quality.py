@@ -23,6 +23,14 @@ def test_onehot_drop_first_and_unknown(spark):
     assert rows == [(0.0, 0.0), (0.0, 1.0), (0.0, 0.0), (0.0, 0.0)]
 
 
+def test_onehot_rejects_unbounded_levels(spark):
+    df = spark.range(500).select(F.col("id").cast("string").alias("k"), F.lit("x").alias("j"))
+    with pytest.raises(ValueError, match="too many categories"):
+        T.OneHot(["j", "k"], maxLevels=100).fit(df)
+    model = T.OneHot(["j", "k"], maxLevels=500).fit(df)
+    assert len(model.output_columns()) == 501  # every level kept, none dropped
+
+
 def test_imputers_and_variance(spark):
     df = spark.createDataFrame([(1.0, None, 1.0), (None, "x", 1.0), (4.0, "y", 1.0), (10.0, None, 1.0)],
                                "a double, s string, k double")
