@@ -5,7 +5,10 @@
 Each query is forced with a ``noop`` write (full execution, no collect).
 The feature build runs from the raw tables and writes the feature table once
 (S4); downstream steps read that stored copy, as the build pipeline does.
-An untimed scan of the largest table warms the JVM and the file cache first.
+Every step first runs once, untimed, on the smallest fixture (sf0.001) so
+the timings measure steady-state execution rather than JVM class loading and
+code generation, which a long job on a cluster amortises.  The timed pass
+then runs all steps from scratch at ``BENCH_SF_DIR``.
 """
 
 from __future__ import annotations
@@ -40,7 +43,18 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = local_session(cores=cpus, shuffle_partitions=max(8, 2 * int(cpus)), app="leadlens-bench")
     timings: dict[str, float] = {}
+    warm_dir = os.environ.get("BENCH_WARM_DIR", "/root/testdata/sf0.001")
+    if Path(warm_dir).is_dir() and warm_dir != sf_dir:
+        steps(spark, warm_dir, {})  # warm-up, untimed
+    steps(spark, sf_dir, timings)
+    spark.stop()
+    total = round(sum(timings.values()), 3)
+    print(json.dumps({"metric": "headline_total", "value": total, "unit": "sec",
+                      "queries": timings, "sf": Path(sf_dir).name.replace("sf", ""),
+                      "cpus": int(cpus)}))
+
 
+def steps(spark, sf_dir: str, timings: dict[str, float]) -> None:
     def run(name, build):
         t0 = time.perf_counter()
         out = build()
@@ -48,7 +62,6 @@ def main() -> None:
             force(out)
         timings[name] = round(time.perf_counter() - t0, 3)
 
-    force(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))  # warm-up, untimed
     run("activity_aggregate", lambda: A.activity_aggregate(TV.activities_view(spark, sf_dir),
                                                            **test_view_keywords()))
     run("feature_build_and_store", lambda: stored_feature_table(spark, sf_dir) and None)
@@ -62,11 +75,6 @@ def main() -> None:
                                                      list(TV.NUMERIC_FEATURES)))
     run("ordered_ffill", lambda: Q.fill_ordered(TV.training_view(spark, sf_dir), "id",
                                                 list(TV.NUMERIC_FEATURES)))
-    spark.stop()
-    total = round(sum(timings.values()), 3)
-    print(json.dumps({"metric": "headline_total", "value": total, "unit": "sec",
-                      "queries": timings, "sf": Path(sf_dir).name.replace("sf", ""),
-                      "cpus": int(cpus)}))
 
 
 def force_both(a, b):

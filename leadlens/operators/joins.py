@@ -28,13 +28,15 @@ def bounded_broadcast(side: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROW
     """Broadcast ``side`` only after checking its row count.
 
     ``materialize=True`` is for computed sides (group statistics): the side is
-    checkpointed into the shared checkpoint folder first, so the count and the
-    join read the same stored rows, the lineage is cut, and a lost executor
-    does not force the aggregate to be recomputed.  Plain lookup scans are
-    only counted.
+    written as a table under the shared checkpoint folder and read back, so the
+    count (answered from file metadata) and the join read the same stored
+    rows, the lineage is cut, and a lost executor does not force the
+    aggregate to be recomputed.  Plain lookup scans are only counted.
     """
     if materialize:
-        side = side.checkpoint(eager=True)
+        from leadlens.sources.tables import materialized
+
+        side = materialized(side, "broadcast-side")
     n = side.count()
     return F.broadcast(side) if n <= max_rows else side
 

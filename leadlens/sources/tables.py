@@ -9,10 +9,12 @@
 * ``stored``       – write once into the shared checkpoint folder and read the
   stored copy back: the lineage is cut and a lost executor re-reads files
   instead of recomputing the whole build.
+* ``materialized`` – the same for an unnamed computed side (group statistics).
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -67,6 +69,20 @@ def stored(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> Da
     return spark.read.parquet(_STORED[key])
 
 
+def materialized(df: DataFrame, label: str = "side") -> DataFrame:
+    """Write ``df`` once to a fresh folder under the checkpoint folder; read it back.
+
+    Like ``stored`` but unnamed: for computed intermediate sides.  The read-back
+    copy carries file-size statistics for the optimiser, and a lost executor
+    re-reads files instead of recomputing the lineage.
+    """
+    spark = df.sparkSession
+    app = spark.sparkContext.applicationId
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{app}/{label}-{uuid.uuid4().hex}"
+    write_table(df, path)
+    return spark.read.parquet(path)
+
+
 def load_training(spark: SparkSession, path: str, numeric: list[str], categorical: list[str],
                   fmt: str = "parquet", validate: bool = True):
     """Scan a training table and validate it (V1–V4).
