@@ -46,3 +46,11 @@ def test_fill_forward_backward(spark):
     out = O.fill_forward_backward(df, "k", ["v"], n=3).toPandas().sort_values("k")
     exp = pdf["v"].ffill().bfill()
     assert list(out["v"]) == list(exp)
+
+
+def test_range_buckets_stay_balanced_at_many_buckets(spark):
+    n = 2000  # 1e-3 rank error would span two whole buckets here
+    df = spark.range(400_000).select(((F.col("id") * 7919) % 400_000).alias("k"))
+    sizes = [r[1] for r in df.groupBy(O.range_bucket(df, "k", n).alias("b")).count().collect()]
+    assert len(sizes) == n
+    assert max(sizes) <= 1.6 * 400_000 / n
