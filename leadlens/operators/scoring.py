@@ -35,13 +35,24 @@ def score_batch(model, df: DataFrame, order_key: str, request_id: str,
     )
 
 
-def score_rows(model, df: DataFrame, request_id: str, version: str = MODEL_VERSION) -> DataFrame:
-    """Stateless per-row scoring (used by the streaming path, no ordering)."""
+def score_rows(model, df: DataFrame, request_id: str, version: str = MODEL_VERSION,
+               key_col: str | None = None, batch_id: int | None = None) -> DataFrame:
+    """Stateless per-row scoring (used by the streaming path, no ordering).
+
+    Every row is one request, so each gets its own id: ``pred_<key>`` from
+    ``key_col`` when given, else ``pred_<request_id>_<batch>_<n>`` with ``n``
+    unique within the micro-batch.
+    """
     out = model.transform(df)
     p = vector_to_array(F.col("probability")).getItem(1)
+    if key_col is not None:
+        pid = F.concat(F.lit("pred_"), F.col(key_col).cast("string"))
+    else:
+        prefix = f"pred_{request_id}_" + ("" if batch_id is None else f"{batch_id}_")
+        pid = F.concat(F.lit(prefix), F.monotonically_increasing_id().cast("string"))
     return out.select(
         *df.columns,
-        F.concat(F.lit(f"pred_{request_id}")).alias("prediction_id"),
+        pid.alias("prediction_id"),
         p.alias("probability"),
         (F.col("prediction") == 1).alias("predicted_label"),
         F.lit(version).alias("model_version"),

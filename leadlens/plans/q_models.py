@@ -155,7 +155,8 @@ def q_streaming_scoring(spark, sf_dir):
     req = _test_requests(spark, sf_dir)
     req.write.mode("overwrite").parquet(f"{base}/requests")
     q = scoring_stream(spark, baseline_pipeline(spark, sf_dir), f"{base}/requests", req.schema,
-                       f"{base}/scored", request_id="stream", checkpoint=f"{base}/checkpoint")
+                       f"{base}/scored", request_id="stream", checkpoint=f"{base}/checkpoint",
+                       key_col="lead_id")
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))

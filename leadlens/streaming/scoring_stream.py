@@ -21,16 +21,20 @@ from leadlens.session import checkpoint_dir
 def scoring_stream(spark: SparkSession, model, source_dir: str, schema, sink_dir: str,
                    request_id: str = "stream", fmt: str = "parquet",
                    checkpoint: str | None = None, trigger_once: bool = True,
-                   max_files_per_trigger: int | None = None):
-    """Start a streaming scoring query over files landing in ``source_dir``."""
+                   max_files_per_trigger: int | None = None, key_col: str | None = None):
+    """Start a streaming scoring query over files landing in ``source_dir``.
+
+    ``key_col`` names the request key column (ids ``pred_<key>``); without it
+    ids are ``pred_<request_id>_<batch>_<n>``.
+    """
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     requests = reader.load(source_dir)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        scored = score_rows(model, batch, request_id, MODEL_VERSION).withColumn(
-            "batch_id", F.lit(batch_id))
+        scored = score_rows(model, batch, request_id, MODEL_VERSION, key_col=key_col,
+                            batch_id=batch_id).withColumn("batch_id", F.lit(batch_id))
         (scored.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(sink_dir))
 

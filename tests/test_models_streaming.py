@@ -65,6 +65,9 @@ def test_batch_scoring_and_streaming(spark, prepared, tmp_path):
     assert q.exception() is None
     got = spark.read.parquet(str(sink))
     assert got.count() == 30 and got.where("probability < 0 or probability > 1").count() == 0
+    # every streamed request gets its own prediction id
+    assert got.select("prediction_id").distinct().count() == 30
+    assert got.where(~F.col("prediction_id").startswith("pred_s_0_")).count() == 0
 
 
 def test_tier_parameter_mapping():
