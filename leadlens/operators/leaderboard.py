@@ -30,6 +30,7 @@ def rank_runs(runs: DataFrame, metric: str = PRIMARY_METRIC) -> DataFrame:
     """
     if runs.isEmpty():
         raise ValueError("No model results to compare.")
+    # One row per model run: this single-partition window is bounded by the number of fits.
     w = Window.orderBy(F.col("primary_metric").desc(), F.col("seq").asc())
     return (runs.withColumn("primary_metric", _metric(metric))
             .withColumn("rank", F.row_number().over(w))

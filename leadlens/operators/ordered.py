@@ -87,9 +87,8 @@ def prefix_sums(df: DataFrame, key: str, values: Sequence[str], inclusive: bool
     frame_end = Window.currentRow if inclusive else -1
     w = Window.partitionBy(BUCKET).orderBy(*order).rowsBetween(Window.unboundedPreceding, frame_end)
     out = d.join(F.broadcast(carry), BUCKET, "left")
-    for v in values:
-        out = out.withColumn(v + suffix, F.coalesce(F.sum(v).over(w), F.lit(0)) + F.col(f"_c_{v}"))
-    return out.drop(BUCKET, *[f"_c_{v}" for v in values])
+    sums = [(F.coalesce(F.sum(v).over(w), F.lit(0)) + F.col(f"_c_{v}")).alias(v + suffix) for v in values]
+    return out.select(*[F.col(c) for c in df.columns if c not in {v + suffix for v in values}], *sums)
 
 
 def group_bucket(group: Column, key: Column, bounds: Sequence[Sequence[float]]) -> Column:
@@ -128,9 +127,8 @@ def grouped_prefix_sums(df: DataFrame, group: str, key: str, values: Sequence[st
     w = (Window.partitionBy(group, BUCKET).orderBy(F.col(key).asc())
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     out = d.join(F.broadcast(carry), [group, BUCKET], "left")
-    for v in values:
-        out = out.withColumn(v + suffix, F.coalesce(F.sum(v).over(w), F.lit(0)) + F.col(f"_c_{v}"))
-    return out.drop(BUCKET, *[f"_c_{v}" for v in values])
+    sums = [(F.coalesce(F.sum(v).over(w), F.lit(0)) + F.col(f"_c_{v}")).alias(v + suffix) for v in values]
+    return out.select(*[F.col(c) for c in df.columns if c not in {v + suffix for v in values}], *sums)
 
 
 def row_numbers(df: DataFrame, key: str, name: str = "row", n: int | None = None,
@@ -164,11 +162,14 @@ def fill_forward_backward(df: DataFrame, key: str, columns: Sequence[str],
     # unbounded-following frame is re-evaluated per row, quadratic per bucket.
     w_fwd = Window.partitionBy(BUCKET).orderBy(k.asc()).rowsBetween(Window.unboundedPreceding, 0)
     w_bwd = Window.partitionBy(BUCKET).orderBy(k.desc()).rowsBetween(Window.unboundedPreceding, 0)
+    # One projection for all columns: Catalyst then plans one Window operator
+    # per direction instead of one per column.
+    filled = {}
     for c in columns:
         fwd = F.coalesce(F.last(c, ignorenulls=True).over(w_fwd), F.col(f"_fc_{c}"))
         bwd = F.coalesce(F.last(c, ignorenulls=True).over(w_bwd), F.col(f"_bc_{c}"))
-        out = out.withColumn(c, F.coalesce(fwd, bwd))
-    return out.drop(BUCKET, *[f"_fc_{c}" for c in columns], *[f"_bc_{c}" for c in columns])
+        filled[c] = F.coalesce(fwd, bwd).alias(c)
+    return out.select(*[filled.get(c, F.col(c)) for c in df.columns])
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
