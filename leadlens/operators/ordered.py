@@ -18,6 +18,7 @@ land a third of the rows in one bucket.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -33,20 +34,37 @@ def default_buckets(df: DataFrame) -> int:
     return max(2, min(n, 4096))
 
 
-def _bucket_expr(key: Column, bounds: Sequence[float]) -> Column:
-    """Index of the range holding ``key`` (balanced CASE tree, depth log2 n)."""
-    k = key.cast("double")
+def _double_sql(x: float) -> str:
+    """A DOUBLE literal that parses back to exactly ``x``."""
+    if math.isnan(x):
+        return "CAST('NaN' AS DOUBLE)"
+    if math.isinf(x):
+        return f"CAST('{'-' if x < 0 else ''}Infinity' AS DOUBLE)"
+    return f"{x!r}D"
 
-    def build(lo: int, hi: int) -> Column:
+
+def _bucket_sql(key: str, bounds: Sequence[float]) -> str:
+    """Index of the range holding column ``key`` (balanced CASE tree, depth log2 n).
+
+    Built as SQL text and parsed once: one JVM call instead of one per node.
+    A null key falls through to the last bucket.
+    """
+    k = f"CAST(`{key}` AS DOUBLE)"
+
+    def build(lo: int, hi: int) -> str:
         # buckets lo..hi; bounds[i] separates bucket i (≤) from bucket i+1
         if lo == hi:
-            return F.lit(lo)
+            return str(lo)
         mid = (lo + hi) // 2
-        return F.when(k <= F.lit(bounds[mid]), build(lo, mid)).otherwise(build(mid + 1, hi))
+        return f"CASE WHEN {k} <= {_double_sql(bounds[mid])} THEN {build(lo, mid)} ELSE {build(mid + 1, hi)} END"
 
     return build(0, len(bounds))
 
 
+def _clean(bounds) -> list[float]:
+    return sorted({float(x) for x in (bounds or []) if x is not None})
+
+
 def bound_error(n: int) -> float:
     """Relative rank error for ``n`` buckets: a quarter of one bucket's share.
 
@@ -61,8 +79,7 @@ def range_bucket(df: DataFrame, key: str, n: int | None = None,
     n = n or default_buckets(df)
     probs = [i / n for i in range(1, n)]
     raw = df.approxQuantile(key, probs, rel_error or bound_error(n)) if probs else []
-    bounds = sorted({float(b) for b in raw if b is not None})
-    return _bucket_expr(F.col(key), bounds)
+    return F.expr(_bucket_sql(key, _clean(raw)))
 
 
 def prefix_sums(df: DataFrame, key: str, values: Sequence[str], inclusive: bool = True,
@@ -91,13 +108,12 @@ def prefix_sums(df: DataFrame, key: str, values: Sequence[str], inclusive: bool
     return out.select(*[F.col(c) for c in df.columns if c not in {v + suffix for v in values}], *sums)
 
 
-def group_bucket(group: Column, key: Column, bounds: Sequence[Sequence[float]]) -> Column:
-    """Range bucket of ``key`` with its own bounds per group index 0..k−1."""
-    expr = None
-    for i, b in enumerate(bounds):
-        tree = _bucket_expr(key, sorted({float(x) for x in (b or []) if x is not None}))
-        expr = F.when(group == i, tree) if expr is None else expr.when(group == i, tree)
-    return expr.otherwise(F.lit(0)) if expr is not None else F.lit(0)
+def group_bucket(group: str, key: str, bounds: Sequence[Sequence[float]]) -> Column:
+    """Range bucket of column ``key`` with its own bounds per group index 0..k−1."""
+    if not bounds:
+        return F.lit(0)
+    arms = " ".join(f"WHEN {i} THEN {_bucket_sql(key, _clean(b))}" for i, b in enumerate(bounds))
+    return F.expr(f"CASE `{group}` {arms} ELSE 0 END")
 
 
 def column_bounds(df: DataFrame, columns: Sequence[str], n: int | None = None,
@@ -119,7 +135,7 @@ def grouped_prefix_sums(df: DataFrame, group: str, key: str, values: Sequence[st
     one pass; the carry table has at most k·n rows.  ``key`` must be unique
     within a group (pre-aggregate per value first).
     """
-    d = df.withColumn(BUCKET, group_bucket(F.col(group), F.col(key), bounds))
+    d = df.withColumn(BUCKET, group_bucket(group, key, bounds))
     totals = d.groupBy(group, BUCKET).agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
     wb = Window.partitionBy(group).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     carry = totals.select(group, BUCKET, *[F.coalesce(F.sum(f"_t_{v}").over(wb), F.lit(0)).alias(f"_c_{v}")
@@ -192,7 +208,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     long = df.selectExpr(f"stack({len(cols)}, {pairs}) AS (_ci, _v)")
     g = (long.where(F.col("_v").isNotNull() & ~F.isnan("_v"))
          .groupBy("_ci", "_v").agg(F.count(F.lit(1)).alias("_cnt")))
-    d = g.withColumn(BUCKET, group_bucket(F.col("_ci"), F.col("_v"), raw_bounds))
+    d = g.withColumn(BUCKET, group_bucket("_ci", "_v", raw_bounds))
     totals = d.groupBy("_ci", BUCKET).agg(F.sum("_cnt").alias("_t"))
     # ≤ len(cols)·n rows: bounded single-partition windows and broadcasts.
     before = Window.partitionBy("_ci").orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
@@ -202,16 +218,17 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     cum = (d.join(F.broadcast(carry), ["_ci", BUCKET], "left")
            .withColumn("_cnt_cum", F.sum("_cnt").over(w) + F.col("_c"))
            .join(F.broadcast(tot), "_ci", "left"))
+    # Value at 0-based rank h = (n−1)·p interpolated between ranks floor(h)
+    # and floor(h)+1; a value row covers ranks [_cnt_cum − _cnt, _cnt_cum).
+    # Written as SQL text: one JVM call per output instead of one per node.
     out = []
     for i, c in enumerate(cols):
-        mine = F.col("_ci") == i
         for j, p in enumerate(probs):
-            h = (F.col("_tot") - 1) * F.lit(float(p))
-            lo = F.floor(h)
-            hi = F.least(lo + 1, F.col("_tot") - 1)
-            at_lo = mine & (F.col("_cnt_cum") > lo) & (F.col("_cnt_cum") - F.col("_cnt") <= lo)
-            at_hi = mine & (F.col("_cnt_cum") > hi) & (F.col("_cnt_cum") - F.col("_cnt") <= hi)
-            vlo, vhi = F.max(F.when(at_lo, F.col("_v"))), F.max(F.when(at_hi, F.col("_v")))
-            frac = F.max(F.when(mine, h - lo))
-            out.append((vlo + frac * (vhi - vlo)).alias(f"{c}_q{j}"))
+            h = f"((_tot - 1) * {_double_sql(float(p))})"
+            lo = f"FLOOR({h})"
+            hi = f"LEAST({lo} + 1, _tot - 1)"
+            vlo = f"MAX(CASE WHEN _ci = {i} AND _cnt_cum > {lo} AND _cnt_cum - _cnt <= {lo} THEN _v END)"
+            vhi = f"MAX(CASE WHEN _ci = {i} AND _cnt_cum > {hi} AND _cnt_cum - _cnt <= {hi} THEN _v END)"
+            frac = f"MAX(CASE WHEN _ci = {i} THEN {h} - {lo} END)"
+            out.append(F.expr(f"{vlo} + {frac} * ({vhi} - {vlo})").alias(f"{c}_q{j}"))
     return cum.agg(*out)

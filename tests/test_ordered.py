@@ -54,3 +54,9 @@ def test_range_buckets_stay_balanced_at_many_buckets(spark):
     sizes = [r[1] for r in df.groupBy(O.range_bucket(df, "k", n).alias("b")).count().collect()]
     assert len(sizes) == n
     assert max(sizes) <= 1.6 * 400_000 / n
+
+
+def test_bucket_bounds_round_trip_exactly_through_sql(spark):
+    vals = [0.1, 1 / 3, -2.5e17, 1e-300, 5e-324, 123456789.123456789, float("inf"), float("-inf")]
+    got = spark.sql("SELECT " + ", ".join(O._double_sql(v) for v in vals)).first()
+    assert list(got) == vals
