@@ -66,14 +66,15 @@ def activity_aggregate(
         F.sum(F.when(pos, 1).otherwise(0)).cast("long").alias("positive_intent_kw_count"),
         F.sum(F.when(neg, 1).otherwise(0)).cast("long").alias("negative_intent_kw_count"),
     )
-    # The two distinct counts run as narrow dedup-then-count aggregates instead
-    # of Catalyst's Expand rewrite, which would triple every (wide) row; all
-    # three results are hash-partitioned on lead_id, so the joins add no exchange.
-    out = main
-    for col_name, alias in (("activity_id", "unique_activity_types"), ("follow_up_id", "followup_count")):
-        d = (a.where(F.col(col_name).isNotNull()).select("lead_id", col_name).distinct()
-             .groupBy("lead_id").agg(F.count(F.lit(1)).alias(alias)))
-        out = out.join(d, "lead_id", "left").withColumn(alias, F.coalesce(F.col(alias), F.lit(0)))
+    # Both distinct counts come from one branch pruned to three columns: its
+    # Expand only doubles those narrow rows (the wide measures above never
+    # pass through it), the first shuffle keys on (lead, value) so a hot lead
+    # spreads, and both results are hash-partitioned on lead_id, so the join
+    # adds no exchange.
+    distinct = (a.select("lead_id", "activity_id", "follow_up_id").groupBy("lead_id")
+                .agg(F.count_distinct("activity_id").alias("unique_activity_types"),
+                     F.count_distinct("follow_up_id").alias("followup_count")))
+    out = main.join(distinct, "lead_id", "left")
     return out.select("lead_id", "total_activities", "unique_activity_types", "total_calls_logged",
                       "answered_calls", "total_call_duration_sec", "avg_call_duration_sec",
                       "max_call_duration_sec", "calls_with_recording", "followup_count",
