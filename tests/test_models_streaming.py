@@ -1,5 +1,4 @@
 import pytest
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from leadlens.operators import leaderboard as R
