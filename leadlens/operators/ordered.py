@@ -49,7 +49,7 @@ def _bucket_sql(key: str, bounds: Sequence[float]) -> str:
     Built as SQL text and parsed once: one JVM call instead of one per node.
     A null key falls through to the last bucket.
     """
-    k = f"CAST(`{key}` AS DOUBLE)"
+    k = f"CAST({_quoted(key)} AS DOUBLE)"
 
     def build(lo: int, hi: int) -> str:
         # buckets lo..hi; bounds[i] separates bucket i (≤) from bucket i+1
@@ -61,6 +61,10 @@ def _bucket_sql(key: str, bounds: Sequence[float]) -> str:
     return build(0, len(bounds))
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def _clean(bounds) -> list[float]:
     return sorted({float(x) for x in (bounds or []) if x is not None})
 
@@ -113,13 +117,18 @@ def group_bucket(group: str, key: str, bounds: Sequence[Sequence[float]]) -> Col
     if not bounds:
         return F.lit(0)
     arms = " ".join(f"WHEN {i} THEN {_bucket_sql(key, _clean(b))}" for i, b in enumerate(bounds))
-    return F.expr(f"CASE `{group}` {arms} ELSE 0 END")
+    return F.expr(f"CASE {_quoted(group)} {arms} ELSE 0 END")
 
 
 def column_bounds(df: DataFrame, columns: Sequence[str], n: int | None = None,
                   rel_error: float | None = None) -> list[list[float]]:
-    """Bucket bounds for several columns from one ``approxQuantile`` pass."""
-    n = n or default_buckets(df)
+    """Bucket bounds for several columns from one ``approxQuantile`` pass.
+
+    ``n`` is the bucket count per column.  By default the session's bucket
+    count is shared among the columns: the stacked pass needs about that
+    many buckets in total, and the CASE trees stay small with many columns.
+    """
+    n = n or max(2, -(-default_buckets(df) // max(1, len(columns))))
     qs = [i / n for i in range(1, n)]
     if not qs:
         return [[] for _ in columns]

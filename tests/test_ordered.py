@@ -60,3 +60,18 @@ def test_bucket_bounds_round_trip_exactly_through_sql(spark):
     vals = [0.1, 1 / 3, -2.5e17, 1e-300, 5e-324, 123456789.123456789, float("inf"), float("-inf")]
     got = spark.sql("SELECT " + ", ".join(O._double_sql(v) for v in vals)).first()
     assert list(got) == vals
+
+
+def test_exact_quantiles_many_stacked_columns(spark):
+    rng = np.random.default_rng(7)
+    k, n = 25, 400
+    data = rng.normal(size=(n, k)).round(3)
+    data[rng.random((n, k)) < 0.1] = np.nan  # planted nulls
+    pdf = pd.DataFrame(data, columns=[f"c{i}" for i in range(k)])
+    df = spark.createDataFrame(pdf.astype(object).where(pdf.notna(), None),
+                               ", ".join(f"c{i} double" for i in range(k)))
+    row = O.exact_quantiles(df, list(pdf.columns), [0.1, 0.5, 0.95]).first()
+    for c in pdf.columns:
+        vals = pdf[c].dropna().to_numpy()
+        for j, p in enumerate([0.1, 0.5, 0.95]):
+            assert abs(row[f"{c}_q{j}"] - np.percentile(vals, p * 100)) < 1e-9
