@@ -33,6 +33,28 @@ def feature_table(spark: SparkSession, sf_dir: str, ref_date: _dt.date = TV.REF_
         voicebot_id_path=TV.JSON_ID_PATH)
 
 
+def run_feature_build(tables: TV.CrmTables, output_path: str, ref_date: _dt.date,
+                      computed_at: _dt.datetime, keywords: dict | None = None,
+                      **kw) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Lifecycle A: build the feature table, write it (S4), read it back.
+
+    Returns ``(features, build_stats, correlations)``.  The statistics (A8)
+    and correlations (A9/O1) are lazy aggregates over the written copy, so
+    the CRM sources are scanned once per build.  ``kw`` passes voicebot and
+    broadcast options through to ``build_features``.
+    """
+    from leadlens.operators import summaries as S
+    from leadlens.sources.tables import write_table
+
+    t = tables
+    feats = G.build_features(t.leads, t.activities, t.contacts, t.facebook_events, t.voicebot_logs,
+                             t.users, t.status_master, ref_date=ref_date, computed_at=computed_at,
+                             keywords=keywords, **kw)
+    write_table(feats, output_path)
+    stored = feats.sparkSession.read.parquet(output_path)
+    return stored, S.build_stats(stored), S.target_correlations(stored)
+
+
 def stored_feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feature table written once per application (S4) and read back.
 

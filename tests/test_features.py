@@ -153,3 +153,15 @@ def test_correlation_constant_column_is_null(spark, crm):
     df = spark.createDataFrame([(1, 0, 5.0), (1, 1, 6.0), (1, 0, 7.0)], "c int, y int, x double")
     corr = {r.feature: r.correlation for r in S.target_correlations(df, "y", ["c", "x"]).collect()}
     assert "c" not in corr and abs(corr["x"]) < 1e-12  # constant column dropped, no ANSI error
+
+
+def test_run_feature_build_writes_and_summarises(spark, crm, feats, tmp_path):
+    from leadlens.plans.feature_build import run_feature_build
+    from leadlens.sources.testviews import CrmTables
+
+    stored, stats, corr = run_feature_build(CrmTables(*crm), str(tmp_path / "features"), REF, NOW)
+    assert sorted(r.lead_id for r in stored.select("lead_id").collect()) == sorted(feats.index)
+    assert len(stored.columns) == 99
+    s = stats.first()
+    assert s.total_rows == 4 and s.positive_class == int(feats["is_interested"].sum())
+    assert corr.count() <= 15
