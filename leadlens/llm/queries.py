@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadlens.llm import op1_secrets, op3_chat_format, op4_exact_dedup, op8_url_filter, op9_warc
+from leadlens.llm import op1_secrets, op3_chat_format, op4_exact_dedup, op7_minhash, op8_url_filter, op9_warc
 from leadlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +75,8 @@ def op9_warc(spark, sf_dir, op=op9_warc):
     folder = op.archive_folder(spark)
     index = op.write_archives(table(spark, sf_dir, "pages"), folder)
     return op.read_archives(index, folder, payloads=False).drop("url", "payload")
+
+
+@query
+def op7_minhash(spark, sf_dir, op=op7_minhash):
+    return op.near_duplicates(table(spark, sf_dir, "documents"), words=2).drop("raw_hash")
