@@ -9,7 +9,7 @@ from leadlens.sources.tables import materialized
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
-__all__ = ["UPPER", "ascii_lower", "broadcast_if_small", "keep_rows", "materialized", "table"]
+__all__ = ["UPPER", "ascii_lower", "broadcast_if_small", "drop_rows", "keep_rows", "materialized", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,3 +53,11 @@ def keep_rows(docs: DataFrame, keep: DataFrame, id_col: str, text_col: str) -> D
     kept = rows.join(keep, F.col("row_id").eqNullSafe(F.col("keep_id"))
                      & (F.col("row_text") == F.col("keep_text")), "left_semi")
     return kept.dropDuplicates(["row_id", "row_text"]).select("row.*")
+
+
+def drop_rows(docs: DataFrame, bad: DataFrame, id_col: str, text_col: str, max_broadcast: int = 500_000) -> DataFrame:
+    """``docs`` without the rows that the stored ``bad(bad_id, bad_text)`` names by id and text hash."""
+    own = F.xxhash64(F.coalesce(docs[text_col], F.lit("")))
+    # 16 bytes a row: 500,000 are some 8 MB.
+    side = broadcast_if_small(bad.select("bad_id", "bad_text"), max_broadcast)
+    return docs.join(side, docs[id_col].eqNullSafe(side["bad_id"]) & (own == side["bad_text"]), "left_anti")

@@ -106,10 +106,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``hash_bits`` below 64 makes hashes collide, for tests of the verification.
     """
     listed = recipes(docs, id_col, text_col, hash_bits)
-    groups = listed.groupBy("recipe").agg(
+    groups = materialized(listed.groupBy("recipe").agg(
         F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("copies"),
-        F.coalesce(F.min_by("row_no", "doc_id"), F.min("row_no")).alias("keep_row")).where("copies > 1")
-    # Only texts that occur again need a partner; AQE splits the lists of a hot group.
+        F.coalesce(F.min_by("row_no", "doc_id"), F.min("row_no")).alias("keep_row")).where("copies > 1"), "copies")
+    # Only texts that occur again need a partner.  Both sides are stored, so AQE can split the rows of a hot group.
     joined = listed.join(groups, "recipe", "left")
     return joined.select(
         "doc_id",

@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadlens.llm import op1_secrets, op3_chat_format, op4_exact_dedup, op7_minhash, op8_url_filter, op9_warc
+from leadlens.llm import (
+    op1_secrets,
+    op2_mixing,
+    op3_chat_format,
+    op4_exact_dedup,
+    op6_decontaminate,
+    op7_minhash,
+    op8_url_filter,
+    op9_warc,
+)
 from leadlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +36,22 @@ def op1_secrets(spark, sf_dir, op=op1_secrets):
     return found
 
 
+#: Shares of the mixture by labelled quality.
+MIX_WEIGHTS = {"high": 0.9, "low": 0.1}
+
+
+def quality_domains(labels: DataFrame) -> DataFrame:
+    return labels.where("quality is not null").select(
+        "doc_id", F.when(F.col("quality") == 1, "high").otherwise("low").alias("domain"))
+
+
+@query
+def op2_mixing(spark, sf_dir, op=op2_mixing):
+    """Domains: high and low quality, as ``labels`` has them."""
+    return op.mixed_documents(table(spark, sf_dir, "documents"), quality_domains(table(spark, sf_dir, "labels")),
+                              MIX_WEIGHTS)
+
+
 @query
 def op3_chat_format(spark, sf_dir, op=op3_chat_format):
     """All conversations, and conversation -1, whose texts hold control strings."""
@@ -77,6 +102,39 @@ def op9_warc(spark, sf_dir, op=op9_warc):
     return op.read_archives(index, folder, payloads=False).drop("url", "payload")
 
 
+@query
+def op6_decontaminate(spark, sf_dir, op=op6_decontaminate):
+    return op.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op6_decontaminate"] = r"""
+WITH words AS MATERIALIZED (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
+docs AS MATERIALIZED (SELECT doc_id, coalesce(w, []) AS w, len(coalesce(w, [])) AS n FROM words),
+items AS MATERIALIZED (
+  SELECT item_id, w, len(w) AS n FROM (
+    SELECT item_id, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark) AS t
+  WHERE len(w) > 0),
+item_windows AS MATERIALIZED (
+  SELECT DISTINCT item_id, least(n, 10) AS size, array_to_string(w[s:s + least(n, 10) - 1], ' ') AS win
+  FROM items, unnest(range(1, greatest(n - 10 + 1, 1) + 1)) AS r(s)),
+sizes AS (SELECT DISTINCT size FROM item_windows),
+doc_windows AS (
+  SELECT doc_id, s, size, array_to_string(w[s:s + size - 1], ' ') AS win
+  FROM docs, sizes, unnest(range(1, n - size + 2)) AS r(s)),
+found AS MATERIALIZED (
+  SELECT doc_id, item_id, s, i.size FROM doc_windows AS d JOIN item_windows AS i ON d.win = i.win AND d.size = i.size),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM found, unnest(range(s, s + size)) AS r(p) GROUP BY doc_id),
+named AS (
+  SELECT doc_id, count(*) AS n_items, sha256(string_agg(item_id, ',' ORDER BY item_id)) AS items_sha256
+  FROM (SELECT DISTINCT doc_id, cast(item_id AS VARCHAR) AS item_id FROM found) AS t GROUP BY doc_id)
+SELECT docs.doc_id, n AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  coalesce(items_sha256, sha256('')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)"""
+
+
 @query
 def op7_minhash(spark, sf_dir, op=op7_minhash):
     return op.near_duplicates(table(spark, sf_dir, "documents"), words=2).drop("raw_hash")
