@@ -56,7 +56,8 @@ def items_of(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def key_positions(items: DataFrame, docs: DataFrame, text_col: str, window: int) -> DataFrame:
     """Stored: item_no, item_id, item_words, p, word: the rarest word of each window, by position."""
     vocabulary = materialized(items.select(F.explode("item_words").alias("word")).distinct(), "item-vocabulary")
-    found = docs.select(F.explode(words_of(F.col(text_col))).alias("word"))
+    # The outer form keeps Catalyst from splitting each text once more to see whether it has words.
+    found = docs.select(F.explode_outer(words_of(F.col(text_col))).alias("word"))
     uses = found.join(broadcast_if_small(vocabulary, MAX_BROADCAST_WORDS), "word").groupBy("word").agg(
         F.count(F.lit(1)).alias("uses"))
     placed = items.select("item_no", F.posexplode("item_words").alias("p", "word")).join(uses, "word", "left")
@@ -82,24 +83,23 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: st
     keys = key_positions(items, docs, text_col, window)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("raw_hash"),
                        words_of(F.col(text_col)).alias("words"))
-    rows = rows.select("doc_id", "raw_hash", "words", F.posexplode("words").alias("q", "word"))
+    rows = rows.select("doc_id", "raw_hash", "words", F.posexplode_outer("words").alias("q", "word"))
     n, reach = F.size("item_words"), F.lit(window - 1)
-    found = rows.join(broadcast_if_small(keys, MAX_BROADCAST_KEYS), "word").withColumns({
-        "room_left": F.least("p", "q", reach),
-        "room_right": F.least(n - 1 - F.col("p"), F.size("words") - 1 - F.col("q"), reach),
-        "need": F.least(n, F.lit(window))})
-    found = found.where(F.col("room_left") + F.col("room_right") + 1 >= F.col("need"))
-
-    def before(words: str, at: str) -> Column:
-        return F.reverse(F.slice(words, F.col(at) - F.col("room_left") + 1, F.col("room_left")))
-
-    def behind(words: str, at: str) -> Column:
-        return F.slice(words, F.col(at) + 2, F.col("room_right"))
-
-    found = found.select(
-        "doc_id", "raw_hash", "item_id", "q", "need",
-        same_run(before("words", "q"), before("item_words", "p"), F.col("room_left")).alias("run_left"),
-        same_run(behind("words", "q"), behind("item_words", "p"), F.col("room_right")).alias("run_right"))
+    room_left = F.least("p", "q", reach)
+    room_right = F.least(n - 1 - F.col("p"), F.size("words") - 1 - F.col("q"), reach)
+    need = F.least(n, F.lit(window))
+    near = rows.join(broadcast_if_small(keys, MAX_BROADCAST_KEYS), "word").where(room_left + room_right + 1 >= need)
+    # Only the words around a candidate leave the scan, which stays one generated loop up to here.
+    near = materialized(near.select(
+        "doc_id", "raw_hash", "item_id", "q", need.alias("need"), room_left.alias("room_left"),
+        room_right.alias("room_right"),
+        F.slice("words", F.col("q") - room_left + 1, room_left).alias("before"),
+        F.slice("item_words", F.col("p") - room_left + 1, room_left).alias("item_before"),
+        F.slice("words", F.col("q") + 2, room_right).alias("behind"),
+        F.slice("item_words", F.col("p") + 2, room_right).alias("item_behind")), "item-candidates")
+    found = near.withColumns({
+        "run_left": same_run(F.reverse("before"), F.reverse("item_before"), F.col("room_left")),
+        "run_right": same_run(F.col("behind"), F.col("item_behind"), F.col("room_right"))})
     found = found.where(F.col("run_left") + F.col("run_right") + 1 >= F.col("need"))
     return materialized(found.select(
         "doc_id", "raw_hash", "item_id", (F.col("q") - F.col("run_left")).alias("low"),
