@@ -12,6 +12,7 @@ from leadlens.llm import (
     op2_mixing,
     op3_chat_format,
     op4_exact_dedup,
+    op5_toxicity,
     op6_decontaminate,
     op7_minhash,
     op8_url_filter,
@@ -138,3 +139,8 @@ FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)"""
 @query
 def op7_minhash(spark, sf_dir, op=op7_minhash):
     return op.near_duplicates(table(spark, sf_dir, "documents"), words=2).drop("raw_hash")
+
+
+@query
+def op5_toxicity(spark, sf_dir, op=op5_toxicity):
+    return op.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("raw_hash")
