@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from leadlens.llm import (
     op1_secrets,
+    op10_pii,
     op2_mixing,
     op3_chat_format,
     op4_exact_dedup,
@@ -144,3 +145,8 @@ def op7_minhash(spark, sf_dir, op=op7_minhash):
 @query
 def op5_toxicity(spark, sf_dir, op=op5_toxicity):
     return op.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("raw_hash")
+
+
+@query
+def op10_pii(spark, sf_dir, op=op10_pii):
+    return op.personal_data(table(spark, sf_dir, "documents"))

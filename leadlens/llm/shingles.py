@@ -17,7 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Texts are taken together up to so many bytes.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 _rng = np.random.default_rng(20240607)
 _TABLE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -35,7 +35,7 @@ def powers(base: int, n: int) -> np.ndarray:
     """base**0 ... base**(n - 1) modulo 2**64."""
     have = _powers.get(base)
     if have is None or len(have) < n:
-        size = max(n, 1 << 16)
+        size = max(n + 1, 1 << 18)
         have = np.full(size, base, dtype=np.uint64)
         have[0] = 1
         _powers[base] = have = np.multiply.accumulate(have)
