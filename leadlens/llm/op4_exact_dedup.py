@@ -2,9 +2,10 @@
 
 Every text is normalised (each run of ASCII white space becomes one space) and
 cut into chunks where its own content says so: after at least ``MIN_CHUNK``
-characters at the first cut mark (three ASCII characters in a row whose code
-is 1 modulo 4), or after ``MAX_CHUNK``.  An edit therefore changes the chunks
-around it and leaves the others as they are.
+characters at the first cut mark (every other one of eleven characters is
+ASCII with a code of 1 modulo 4, once in a thousand characters or so), or
+after ``MAX_CHUNK``.  An edit therefore changes the chunks around it and
+leaves the others as they are.
 
 1. *Catalogue.*  The distinct chunks of the corpus are gathered once, grouped
    by their own text.  This is the only time that text moves; a chunk that is
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 
 from leadlens.llm.common import broadcast_if_small, keep_rows, materialized
 
-MIN_CHUNK = 512
+MIN_CHUNK = 256
 MAX_CHUNK = 8192
 #: Texts of collided chunks up to this number are broadcast (some 8 MB at most); more are joined by shuffle.
 MAX_BROADCAST_CHUNKS = 1000
@@ -47,7 +48,8 @@ def normalised(text: Column) -> Column:
 
 def chunks_of(norm: Column) -> Column:
     """Array of chunks whose concatenation is ``norm``; a short text is one chunk."""
-    pattern = f"(?s).{{{MIN_CHUNK - 3},{MAX_CHUNK - 3}}}?{cut_mark() * 3}|.{{1,{MAX_CHUNK}}}"
+    mark = ".".join([cut_mark()] * 6)
+    pattern = f"(?s).{{{MIN_CHUNK - 11},{MAX_CHUNK - 11}}}?{mark}|.{{1,{MAX_CHUNK}}}"
     return (F.when(F.octet_length(norm) <= MIN_CHUNK, F.array(norm))
             .otherwise(F.regexp_extract_all(norm, F.lit(pattern), F.lit(0))))
 
