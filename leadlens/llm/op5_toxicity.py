@@ -52,7 +52,7 @@ PLAIN = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t
 WORD = re.compile(r"[^\W\d_]+")
 DISGUISED = re.compile(r"[^\W\d_]+(?:[*@$#!0-9.\-_]{1,2}[^\W\d_]+)+")
 REPEATED = re.compile(r"([^\W\d_])\1\1")
-N_FEATURES = 17
+N_FEATURES = 16
 
 
 def fold(doc_id: Column) -> Column:
@@ -104,7 +104,6 @@ def features_of(text: str, lexicon: dict[str, float]) -> list[float]:
     letters = max(sum(map(len, words)), 1)
     capitals = sum(map(len, re.findall(r"[A-Z]+", text)))
     return [
-        math.log1p(len(words)),
         sum(c for w, c in count.items() if w in whole) / n, float(len(whole)),
         sum(c for w, c in count.items() if w in begun) / n, float(len(begun)),
         max(marked.values(), default=0.0), sum(marked.values()), sum(marked.values()) / n,

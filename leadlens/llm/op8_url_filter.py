@@ -13,7 +13,8 @@ along the edges from the hosts of pages that a rule allows; distrust is the
 same against the edges from the hosts of pages that a rule blocks, so whoever
 links to blocked hosts receives it.  Seeds weigh by their pages.  A host is
 blocked where distrust / (trust + distrust) is above ``BLOCK_ABOVE`` and its
-distrust above an even share of all hosts; hosts that neither reaches are allowed.
+distrust above what an even spread of seeds would give each host by itself;
+hosts that neither reaches are allowed.
 
 Links are counted per pair of hosts within each task before any shuffle, and
 only the host graph is iterated: one join and one aggregate a step, with the
@@ -120,7 +121,7 @@ def pagerank(edges: DataFrame, seeds: DataFrame, steps: int = STEPS, damping: fl
 
 
 def host_scores(pages: DataFrame, rules=RULES, steps: int = STEPS) -> DataFrame:
-    """(host, trust, distrust, average) of every host that either has reached; average is one host's even share."""
+    """(host, trust, distrust, even) of every host that either has reached; even is a host's part of evenly spread seeds."""
     edges = materialized(host_edges(pages), "host-edges")
     sides = edges.withColumn("side", F.lit("trust")).unionByName(edges.select(
         F.col("dst").alias("src"), F.col("src").alias("dst"), "weight", F.lit("distrust").alias("side")))
@@ -129,7 +130,7 @@ def host_scores(pages: DataFrame, rules=RULES, steps: int = STEPS) -> DataFrame:
         F.coalesce(F.sum(F.when(F.col("side") == s, F.col("score"))), F.lit(0.0)).alias(s)
         for s in ("trust", "distrust")])
     hosts = pages.select(host_of(F.col("url")).alias("host")).distinct().count()
-    return table.withColumn("average", F.lit(1.0 / max(hosts, 1)))
+    return table.withColumn("even", F.lit((1.0 - DAMPING) / max(hosts, 1)))
 
 
 def url_verdicts(pages: DataFrame, rules=RULES, steps: int = STEPS, block_above: float = BLOCK_ABOVE) -> DataFrame:
@@ -138,7 +139,7 @@ def url_verdicts(pages: DataFrame, rules=RULES, steps: int = STEPS, block_above:
     rows = judged(pages, rules).join(broadcast_if_small(scores, MAX_BROADCAST_HOSTS),
                                      F.col("host") == F.col("known_host"), "left")
     blocked = F.coalesce((F.col("distrust") > block_above * (F.col("trust") + F.col("distrust")))
-                         & (F.col("distrust") > F.col("average")), F.lit(False))
+                         & (F.col("distrust") > F.col("even")), F.lit(False))
     return rows.select("page_id", "host", "path", "rule",
                        F.coalesce("by_rule", F.when(blocked, "block").otherwise("allow")).alias("verdict"),
                        F.coalesce("trust", F.lit(0.0)).alias("trust"),
