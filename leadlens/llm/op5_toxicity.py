@@ -6,7 +6,8 @@
 2. *Features* of every whole text: densities and weights of lexicon words and
    beginnings, how near they stand to a second-person word, shares of
    capitals and punctuation, and rates of obfuscation (signs or digits inside
-   words, letters repeated three times).  Disguised words are read as plain ones as well.
+   words, letters repeated three times).  Disguised words are read as plain ones as
+   well.
 3. *Trees* on the fitting rows, *isotonic calibration* on others of the
    labelled rows.
 
@@ -28,6 +29,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,13 +47,16 @@ LEAST_TEXTS, LEAST_SHARE, LEAST_RATIO = 3, 0.004, 12.0
 #: Second-person words in English, German, French and Spanish.
 SECOND_PERSON = frozenset(
     "you your yours yourself u ya du dich dir dein deine deinen ihr euch euer sie tu te toi ton ta tes vous votre vos "
-    "usted ustedes tú ti tus vosotros vuestro".split())
+    "usted ustedes tú ti tus vosotros vuestro".encode().split())
 #: Signs and digits that stand for letters.
-PLAIN = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"})
-
-WORD = re.compile(r"[^\W\d_]+")
-DISGUISED = re.compile(r"[^\W\d_]+(?:[*@$#!0-9.\-_]{1,2}[^\W\d_]+)+")
-REPEATED = re.compile(r"([^\W\d_])\1\1")
+PLAIN = bytes.maketrans(b"013457@$!", b"oieastasi")
+
+#: Texts are read as lower-cased UTF-8; all bytes beyond ASCII count as letters.
+WORD = re.compile(rb"[a-z\x80-\xff]+")
+INSIDE = re.compile(rb"[*@$#!0-9.\-_]{1,2}[a-z\x80-\xff]")
+DISGUISED = re.compile(rb"(?<![a-z\x80-\xff])[a-z\x80-\xff]++(?:[*@$#!0-9.\-_]{1,2}[a-z\x80-\xff]++)+")
+MARK = np.zeros(128, dtype=bool)
+MARK[[c for c in range(33, 127) if not chr(c).isalnum()]] = True
 N_FEATURES = 16
 
 
@@ -60,58 +65,78 @@ def fold(doc_id: Column) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))), F.lit(4))
 
 
-def tokens_of(text: str) -> set[str]:
+def lowered(text: str) -> bytes:
+    return text.lower().encode("utf-8", "surrogatepass")
+
+
+def tokens_of(text: str) -> set[bytes]:
     """Distinct words, and their beginnings marked by a dash."""
-    words = set(WORD.findall(text.lower()))
-    words |= plain_words(text)
-    return words | {w[:k] + "-" for w in words for k in BEGINNINGS if len(w) > k}
+    low = lowered(text)
+    words = set(WORD.findall(low)) | plain_words(low)
+    return words | {w[:k] + b"-" for w in words for k in BEGINNINGS if len(w) > k}
+
 
+def disguised(low: bytes) -> list[bytes]:
+    return DISGUISED.findall(low) if INSIDE.search(low) else []
 
-def plain_words(text: str) -> set[str]:
+
+def plain_words(low: bytes) -> set[bytes]:
     """Words read out of disguise: signs read as letters, or left out."""
-    out = set()
-    for m in DISGUISED.finditer(text):
-        low = m[0].lower()
-        out |= {"".join(WORD.findall(low.translate(PLAIN))), "".join(WORD.findall(low))}
-    return out
+    return {b"".join(WORD.findall(x)) for w in disguised(low) for x in (w, w.translate(PLAIN))}
+
+
+class Lexicon:
+    """Weights of words and of beginnings (``abcd-``)."""
+
+    def __init__(self, weights: dict[bytes, float]):
+        self.words = {t: x for t, x in weights.items() if not t.endswith(b"-")}
+        self.begun = {t[:-1]: x for t, x in weights.items() if t.endswith(b"-")}
+        self.first = frozenset(t[:min(BEGINNINGS)] for t in self.begun)
+        self.keys = frozenset(self.words)
 
 
-def features_of(text: str, lexicon: dict[str, float]) -> list[float]:
-    words = WORD.findall(text.lower())
+def features_of(text: str, lexicon: Lexicon) -> list[float]:
+    low = lowered(text)
+    words = WORD.findall(low)
     n = max(len(words), 1)
     distinct = set(words)
-    whole = {w: lexicon[w] for w in distinct if w in lexicon}
+    whole = {w: lexicon.words[w] for w in distinct & lexicon.keys}
+    least = min(BEGINNINGS)
     begun = {}
-    for w in distinct:
-        for k in BEGINNINGS:
-            if len(w) > k and (x := lexicon.get(w[:k] + "-")) is not None:
-                begun[w] = max(x, begun.get(w, 0.0))
-    hidden = [lexicon[w] for w in plain_words(text) - distinct if w in lexicon]
+    for w in [w for w in distinct if w[:least] in lexicon.first]:
+        found = [x for k in BEGINNINGS if len(w) > k and (x := lexicon.begun.get(w[:k])) is not None]
+        if found:
+            begun[w] = max(found)
+    signs = disguised(low)
+    hidden = [lexicon.words[w] for w in (plain_words(low) - distinct) & lexicon.keys] if signs else []
     marked = {**begun, **whole}
-    count = Counter(w for w in words if w in marked) if marked else Counter()
-    near = 0.0
+    you = distinct & SECOND_PERSON
+    near, count = 0.0, Counter()
     if marked:
         last_you, last_hit = -10**9, -10**9
         for i, w in enumerate(words):
             if w in marked:
                 last_hit = i
-            elif w in SECOND_PERSON:
+                count[w] += 1
+            elif w in you:
                 last_you = i
             else:
                 continue
             near = max(near, 1.0 / (1 + abs(last_hit - last_you)))
-    chars = max(len(text), 1)
+    codes = np.frombuffer(text.encode("utf-8", "surrogatepass"), dtype=np.uint8)
+    plain = codes[codes < 128]
+    same = codes[1:] == codes[:-1]
+    runs = np.flatnonzero(same[1:] & same[:-1])
     letters = max(sum(map(len, words)), 1)
-    capitals = sum(map(len, re.findall(r"[A-Z]+", text)))
     return [
         sum(c for w, c in count.items() if w in whole) / n, float(len(whole)),
         sum(c for w, c in count.items() if w in begun) / n, float(len(begun)),
         max(marked.values(), default=0.0), sum(marked.values()), sum(marked.values()) / n,
         float(len(hidden)), sum(hidden),
-        near, sum(w in SECOND_PERSON for w in words) / n,
-        capitals / letters, (text.count("!") + text.count("?")) / n,
-        len(re.findall(r"[^\w\s]", text)) / chars,
-        len(DISGUISED.findall(text)) / n, len(REPEATED.findall(text)) / n,
+        near, sum(map(words.count, you)) / n,
+        float(((codes >= 65) & (codes <= 90)).sum()) / letters, (text.count("!") + text.count("?")) / n,
+        float(MARK[plain].sum()) / max(len(codes), 1),
+        len(signs) / n, float(((codes[runs] | 32) - 97 < 26).sum()) / n,
     ]
 
 
@@ -130,7 +155,7 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
         "toxic-rows")
 
 
-def learned_lexicon(rows: DataFrame) -> dict[str, float]:
+def learned_lexicon(rows: DataFrame) -> dict[bytes, float]:
     """Log odds of words and beginnings (``abcd-``) that mark toxic texts."""
     n = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     toxic, other = n.get(1, 0), n.get(0, 0)
@@ -144,24 +169,24 @@ def learned_lexicon(rows: DataFrame) -> dict[str, float]:
                 for text in batch.column(0).to_pylist():
                     found = tokens_of(text)
                     count.update(found if wanted is None else found & wanted)
-                yield pa.RecordBatch.from_arrays([pa.array(list(count), pa.string()),
+                yield pa.RecordBatch.from_arrays([pa.array(list(count), pa.binary()),
                                                   pa.array(list(count.values()), pa.int64())], ["token", "n"])
         return run
 
     least = max(LEAST_TEXTS, math.ceil(LEAST_SHARE * toxic))
-    often = rows.where("label = 1").select("text").mapInArrow(counted(None), "token string, n long").groupBy(
+    often = rows.where("label = 1").select("text").mapInArrow(counted(None), "token binary, n long").groupBy(
         "token").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     # An entry has to be in LEAST_SHARE of the toxic texts, which bounds their number by that of words in 250 texts.
-    inside = {r["token"]: r["n"] for r in often.collect()}
-    outside = {r["token"]: r["n"] for r in rows.where("label = 0").select("text").mapInArrow(
-        counted(frozenset(inside)), "token string, n long").groupBy("token").agg(F.sum("n").alias("n")).collect()}
+    inside = {bytes(r["token"]): r["n"] for r in often.collect()}
+    outside = {bytes(r["token"]): r["n"] for r in rows.where("label = 0").select("text").mapInArrow(
+        counted(frozenset(inside)), "token binary, n long").groupBy("token").agg(F.sum("n").alias("n")).collect()}
     odds = {t: (k / toxic) / ((outside.get(t, 0) + 0.5) / (other + 1)) for t, k in inside.items()}
     good = sorted(((o, t) for t, o in odds.items() if o >= LEAST_RATIO), reverse=True)
-    kinds = [[(t, math.log(o)) for o, t in good if t.endswith("-") is mark][:MAX_LEXICON] for mark in (False, True)]
+    kinds = [[(t, math.log(o)) for o, t in good if t.endswith(b"-") is mark][:MAX_LEXICON] for mark in (False, True)]
     return dict(kinds[0] + kinds[1])
 
 
-def featured(rows: DataFrame, lexicon: dict[str, float], keep: list[str]) -> DataFrame:
+def featured(rows: DataFrame, lexicon: Lexicon, keep: list[str]) -> DataFrame:
     """``keep`` columns and ``features`` of ``rows``, which has ``text``."""
     out = rows.select(*keep, "text")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema.fields if f.name != "text")
@@ -179,7 +204,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
              limit: int = MAX_LABELLED) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted, raw_hash."""
     rows = labelled_rows(docs, labels, id_col, text_col, limit)
-    lexicon = learned_lexicon(rows.where("fold in (0, 1)"))
+    lexicon = Lexicon(learned_lexicon(rows.where("fold in (0, 1)")))
     known = materialized(featured(rows, lexicon, ["label", "fold"]), "toxic-features")
     model = Boosted(known.where("fold in (0, 1)"), known.where("fold = 3"))
     text = F.coalesce(F.col(text_col), F.lit(""))

@@ -51,11 +51,12 @@ def test_labels_of_held_out_rows_are_never_used(spark, scored):
 
 
 def test_disguise_and_features():
-    lexicon = {"loser": 4.0, "slim-": 3.0}
-    assert "loser" in T.plain_words("what a l0s3r") and "loser" in T.plain_words("l*o*s*e*r")
+    lexicon = T.Lexicon({b"loser": 4.0, b"slim-": 3.0, b"slimor-": 2.0})
+    assert b"loser" in T.plain_words(b"what a l0s3r") and b"loser" in T.plain_words(b"l*o*s*e*r")
     plain, none = T.features_of("You LOSER!!", lexicon), T.features_of("", lexicon)
     assert len(plain) == len(none) == T.N_FEATURES and plain[9] == 0.5 and plain[4] == 4.0 and not any(none)
-    assert T.features_of("slimora", lexicon)[3] == 1.0
+    assert T.features_of("slimora", lexicon)[3:5] == [1.0, 3.0] and T.features_of("slim", lexicon)[3] == 0.0
+    assert T.features_of("a l0ser", lexicon)[7:9] == [1.0, 4.0] and T.features_of("sooo baaad 111", lexicon)[15] > 0
 
 
 def test_awkward_rows_and_missing_labels(spark):
