@@ -74,7 +74,9 @@ def activity_aggregate(
     distinct = (a.select("lead_id", "activity_id", "follow_up_id").groupBy("lead_id")
                 .agg(F.count_distinct("activity_id").alias("unique_activity_types"),
                      F.count_distinct("follow_up_id").alias("followup_count")))
-    out = main.join(distinct, "lead_id", "left")
+    # Activities without a lead are one group, which a plain equality would not find.
+    distinct = distinct.withColumnRenamed("lead_id", "d_lead_id")
+    out = main.join(distinct, main["lead_id"].eqNullSafe(distinct["d_lead_id"]), "left")
     return out.select("lead_id", "total_activities", "unique_activity_types", "total_calls_logged",
                       "answered_calls", "total_call_duration_sec", "avg_call_duration_sec",
                       "max_call_duration_sec", "calls_with_recording", "followup_count",

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from leadlens.functions import exprs as X
 from leadlens.operators import aggregates as A
-from leadlens.operators.joins import (DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast,
+from leadlens.operators.joins import (DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast, unique_key,
                                       left_lookup)
 
 FEATURE_COLUMNS: tuple[str, ...] = (
@@ -86,7 +86,7 @@ def prepare_leads(leads: DataFrame) -> DataFrame:
 def _status_lookup(status_master: DataFrame, max_rows: int) -> DataFrame:
     s = A.lower_columns(status_master).select(
         F.col("id").cast("double").alias("st_id"), F.col("name").alias("st_name"))
-    return bounded_broadcast(s, max_rows)
+    return bounded_broadcast(unique_key(s, "st_id", "status master"), max_rows)
 
 
 def _user_lookup(users: DataFrame, max_rows: int) -> DataFrame:
@@ -97,7 +97,7 @@ def _user_lookup(users: DataFrame, max_rows: int) -> DataFrame:
     u = u.select(F.col("id").alias("u_id"),
                  X.user_active(status, deleted).alias("u_active"),
                  role.alias("u_role_id"))
-    return bounded_broadcast(u, max_rows)
+    return bounded_broadcast(unique_key(u, "u_id", "users"), max_rows)
 
 
 def _contact_lookup(contacts: DataFrame, max_rows: int) -> DataFrame:
@@ -105,7 +105,7 @@ def _contact_lookup(contacts: DataFrame, max_rows: int) -> DataFrame:
     lc = F.col("lead_count") if "lead_count" in c.columns else F.lit(None).cast("int")
     dom = F.col("is_domestic") if "is_domestic" in c.columns else F.lit(None).cast("int")
     c = c.select(F.col("id").alias("c_id"), lc.alias("c_lead_count"), dom.alias("c_is_domestic"))
-    return bounded_broadcast(c, max_rows)
+    return bounded_broadcast(unique_key(c, "c_id", "contacts"), max_rows)
 
 
 def _map_status(ld: DataFrame, status: DataFrame, source: str, out: str) -> DataFrame:
@@ -134,7 +134,7 @@ def join_sources(
         ld = _map_status(ld, status, src, out)
     act = A.lower_columns(act_agg).withColumnRenamed("lead_id", "a_lead_id")
     fb = A.lower_columns(fb_agg).withColumnRenamed("lead_id", "f_lead_id")
-    vb = (A.lower_columns(vb_agg).withColumn("lead_id", F.col("lead_id").cast("long"))
+    vb = (A.lower_columns(vb_agg).withColumn("lead_id", F.col("lead_id").try_cast("long"))
           .withColumnRenamed("lead_id", "v_lead_id"))
     ld = left_lookup(ld, act, "id", "a_lead_id")
     ld = left_lookup(ld, fb, "id", "f_lead_id")

@@ -41,6 +41,15 @@ def bounded_broadcast(side: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROW
     return F.broadcast(side) if n <= max_rows else side
 
 
+def unique_key(side: DataFrame, key: str, label: str) -> DataFrame:
+    """``side``, after making sure that no key repeats; a repeated key would multiply rows."""
+    again = side.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    row = again.first()
+    if row is not None:
+        raise ValueError(f"{label}: key {row[key]} occurs {row['n']} times")
+    return side
+
+
 def prefixed(side: DataFrame, prefix: str) -> DataFrame:
     return side.select([F.col(c).alias(prefix + c) for c in side.columns])
 
@@ -58,11 +67,9 @@ def left_lookup(df: DataFrame, side: DataFrame, left_key: str | Column, right_ke
 def attach_row(df: DataFrame, row: DataFrame) -> DataFrame:
     """Attach the columns of a one-row frame (fitted constants) to every row.
 
-    ``row`` comes from a global aggregate, so it has exactly one row; it is
-    broadcast and joined on a constant key, which plans as a broadcast hash
-    join instead of a cartesian product.
+    ``row`` comes from a global aggregate, so it has exactly one row.  It is
+    evaluated once, as a scalar subquery whose value is a constant of the plan.
     """
-    key = "_attach_key"
-    return (df.withColumn(key, F.lit(1))
-            .join(F.broadcast(row.withColumn(key, F.lit(1))), key, "left")
-            .drop(key))
+    fitted = "_fitted_row"
+    out = df.withColumn(fitted, row.select(F.struct(*row.columns).alias(fitted)).scalar())
+    return out.select(*[F.col(c) for c in df.columns], *[F.col(fitted)[c].alias(c) for c in row.columns])

@@ -18,7 +18,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadlens.operators.ordered import column_bounds, grouped_prefix_sums
+from leadlens.operators.ordered import group_bounds, grouped_prefix_sums
 
 # Minimum quality thresholds of the base configuration.
 DEFAULT_THRESHOLDS = {"min_roc_auc": 0.8, "min_f1": 0.75}
@@ -61,8 +61,10 @@ def _ranked_groups(df: DataFrame, label: str, scores: Sequence[str]) -> DataFram
     P − ``_pos_cum`` + ``_pos`` and N − ``_neg_cum`` + ``_neg``.  One prefix
     pass serves both AUC and AP.
     """
-    g = _stacked_groups(df, label, scores)
-    cum = grouped_prefix_sums(g, "_ci", "_s", ["_pos", "_neg"], column_bounds(df, scores))
+    from leadlens.sources.tables import materialized
+
+    g = materialized(_stacked_groups(df, label, scores), "score-values")
+    cum = grouped_prefix_sums(g, "_ci", "_s", ["_pos", "_neg"], group_bounds(g, "_ci", "_s", len(scores)))
     totals = g.groupBy("_ci").agg(F.sum("_pos").alias("_P"), F.sum("_neg").alias("_N"))
     # One row per score column: a bounded broadcast.
     return cum.join(F.broadcast(totals), "_ci", "left")

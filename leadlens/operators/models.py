@@ -199,7 +199,7 @@ def search(train: DataFrame, model_type: str = "xgboost", n_trials: int = 10, fo
                 pm[est.featureSubsetStrategy] = f"{d['colsample_bytree']:.3f}"
         grid.append(pm)
     ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction",
-                                       metricName="areaUnderROC")
+                                       metricName="areaUnderROC", numBins=0)
     cv = CrossValidator(estimator=est, estimatorParamMaps=grid or ParamGridBuilder().build(),
                         evaluator=ev, numFolds=folds, parallelism=parallelism, seed=seed)
     return cv.fit(data)

@@ -3,17 +3,21 @@
 A window with an ORDER BY but no PARTITION BY pulls every row into one task.
 The helpers here split the order key into ``n`` ranges instead:
 
-1. range boundaries come from ``approxQuantile`` (n−1 scalars on the driver);
-2. ``bucket`` is a literal CASE tree over the key – a pure function of the
-   key, so ties always share a bucket and every pass agrees on it;
+1. the key is read as a number that keeps its order (``order_number``), and
+   range boundaries come from ``approxQuantile`` over it (n−1 numbers on the
+   driver);
+2. a row's bucket is found by binary search (``Bucketizer``) – a pure function
+   of the key, so ties always share a bucket and every pass agrees on it.
+   Null keys have a bucket of their own before all others;
 3. the window runs inside each bucket (``partitionBy(bucket)``);
 4. one carry row per bucket (a total, or a last/first non-null value) is
    prefixed over the ≤ n bucket rows and joined back as a broadcast whose
    size is bounded by ``n``.
 
-The key must be unique, or the input pre-aggregated per key (AUC groups by
-score first; quantiles group by value first), so a hot key value cannot
-land a third of the rows in one bucket.
+The key must be nearly unique, or the input pre-aggregated per key with the
+boundaries drawn from the aggregated values (AUC groups by score first;
+quantiles group by value first).  Then a hot value can't take the boundaries
+for itself and leave the rest in one bucket.
 """
 
 from __future__ import annotations
@@ -21,17 +25,18 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-
+from pyspark.sql import types as T
 
 BUCKET = "_bucket"
+_KEY = "_order_number"
 
 
 def default_buckets(df: DataFrame) -> int:
-    spark = df.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(2, min(n, 4096))
+    """As many buckets as the session's shuffles have partitions."""
+    return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
 def _double_sql(x: float) -> str:
@@ -43,30 +48,27 @@ def _double_sql(x: float) -> str:
     return f"{x!r}D"
 
 
-def _bucket_sql(key: str, bounds: Sequence[float]) -> str:
-    """Index of the range holding column ``key`` (balanced CASE tree, depth log2 n).
+def order_number(df: DataFrame, key: str) -> Column:
+    """A double that never falls as the key rises.
 
-    Built as SQL text and parsed once: one JVM call instead of one per node.
-    A null key falls through to the last bucket.
+    Dates and times count microseconds; a text counts its first six bytes as
+    one number.  Equal numbers share a bucket, where the key itself orders.
     """
-    k = f"CAST({_quoted(key)} AS DOUBLE)"
-
-    def build(lo: int, hi: int) -> str:
-        # buckets lo..hi; bounds[i] separates bucket i (≤) from bucket i+1
-        if lo == hi:
-            return str(lo)
-        mid = (lo + hi) // 2
-        return f"CASE WHEN {k} <= {_double_sql(bounds[mid])} THEN {build(lo, mid)} ELSE {build(mid + 1, hi)} END"
+    kind, k = df.schema[key].dataType, F.col(key)
+    if isinstance(kind, T.StringType):
+        return F.conv(F.rpad(F.substring(F.hex(k.cast("binary")), 1, 12), 12, "0"), 16, 10).cast("double")
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(k.cast("timestamp")).cast("double")
+    return k.cast("double")
 
-    return build(0, len(bounds))
 
+def _clean(bounds) -> list[float]:
+    return sorted({float(x) for x in (bounds or []) if x is not None and not math.isnan(x)})
 
-def _quoted(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
 
-
-def _clean(bounds) -> list[float]:
-    return sorted({float(x) for x in (bounds or []) if x is not None})
+def _splits(bounds: Sequence[float]) -> list[float]:
+    inside = [b for b in _clean(bounds) if not math.isinf(b)]
+    return [-math.inf, *(inside or [0.0]), math.inf]
 
 
 def bound_error(n: int) -> float:
@@ -78,12 +80,14 @@ def bound_error(n: int) -> float:
     return min(1e-3, 0.25 / n)
 
 
-def range_bucket(df: DataFrame, key: str, n: int | None = None,
-                 rel_error: float | None = None) -> Column:
+def with_range_bucket(df: DataFrame, key: str, n: int | None = None) -> DataFrame:
+    """Adds ``BUCKET``, ascending with ``key``; null keys are in bucket -1, NaN in the last."""
     n = n or default_buckets(df)
-    probs = [i / n for i in range(1, n)]
-    raw = df.approxQuantile(key, probs, rel_error or bound_error(n)) if probs else []
-    return F.expr(_bucket_sql(key, _clean(raw)))
+    d = df.withColumn(_KEY, order_number(df, key))
+    splits = _splits(d.approxQuantile(_KEY, [i / n for i in range(1, n)], bound_error(n)))
+    found = Bucketizer(splits=splits, inputCol=_KEY, outputCol=BUCKET, handleInvalid="keep").transform(d)
+    return found.withColumn(BUCKET, F.when(F.col(key).isNull(), -1).otherwise(
+        F.col(BUCKET).cast("int"))).drop(_KEY)
 
 
 def prefix_sums(df: DataFrame, key: str, values: Sequence[str], inclusive: bool = True,
@@ -95,10 +99,9 @@ def prefix_sums(df: DataFrame, key: str, values: Sequence[str], inclusive: bool
     ``descending`` accumulates from the largest key down.  ``tie_breakers``
     order rows that share a key value (they always share a bucket).
     """
-    b = range_bucket(df, key, n)
+    d = with_range_bucket(df, key, n)
     if descending:
-        b = -b
-    d = df.withColumn(BUCKET, b)
+        d = d.withColumn(BUCKET, -F.col(BUCKET))
     totals = d.groupBy(BUCKET).agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
     # ≤ n rows: a single-partition window here is bounded by n.
     wb = Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
@@ -112,27 +115,28 @@ def prefix_sums(df: DataFrame, key: str, values: Sequence[str], inclusive: bool
     return out.select(*[F.col(c) for c in df.columns if c not in {v + suffix for v in values}], *sums)
 
 
-def group_bucket(group: str, key: str, bounds: Sequence[Sequence[float]]) -> Column:
-    """Range bucket of column ``key`` with its own bounds per group index 0..k−1."""
+def with_group_bucket(df: DataFrame, group: str, key: str, bounds: Sequence[Sequence[float]]) -> DataFrame:
+    """Adds ``BUCKET``: the range of ``key`` by the bounds of its row's group index 0..k−1."""
     if not bounds:
-        return F.lit(0)
-    arms = " ".join(f"WHEN {i} THEN {_bucket_sql(key, _clean(b))}" for i, b in enumerate(bounds))
-    return F.expr(f"CASE {_quoted(group)} {arms} ELSE 0 END")
+        return df.withColumn(BUCKET, F.lit(0))
+    inputs, outputs = ([f"{p}{i}" for i in range(len(bounds))] for p in ("_key_", "_range_"))
+    d = df.withColumns({c: F.when(F.col(group) == i, F.col(key).cast("double")) for i, c in enumerate(inputs)})
+    found = Bucketizer(splitsArray=[_splits(b) for b in bounds], inputCols=inputs, outputCols=outputs,
+                       handleInvalid="keep").transform(d)
+    chosen = F.coalesce(*[F.when(F.col(group) == i, F.col(c)) for i, c in enumerate(outputs)], F.lit(0.0))
+    return found.withColumn(BUCKET, chosen.cast("int")).drop(*inputs, *outputs)
 
 
-def column_bounds(df: DataFrame, columns: Sequence[str], n: int | None = None,
-                  rel_error: float | None = None) -> list[list[float]]:
-    """Bucket bounds for several columns from one ``approxQuantile`` pass.
+def group_bounds(df: DataFrame, group: str, key: str, groups: int, n: int | None = None) -> list[list[float]]:
+    """Bucket bounds of ``key`` for each group index, from one pass over ``df``.
 
-    ``n`` is the bucket count per column.  By default the session's bucket
-    count is shared among the columns: the stacked pass needs about that
-    many buckets in total, and the CASE trees stay small with many columns.
+    ``df`` holds each value of a group once, so a frequent value counts as one.
+    ``n`` is the bucket count per group; by default the groups share the
+    session's bucket count, about what the stacked pass needs in total.
     """
-    n = n or max(2, -(-default_buckets(df) // max(1, len(columns))))
-    qs = [i / n for i in range(1, n)]
-    if not qs:
-        return [[] for _ in columns]
-    return df.approxQuantile(list(columns), qs, rel_error or bound_error(n))
+    n = n or max(2, -(-default_buckets(df) // max(1, groups)))
+    own = df.select(*[F.when(F.col(group) == i, F.col(key).cast("double")).alias(f"_v{i}") for i in range(groups)])
+    return own.approxQuantile(own.columns, [i / n for i in range(1, n)], bound_error(n)) if groups else []
 
 
 def grouped_prefix_sums(df: DataFrame, group: str, key: str, values: Sequence[str],
@@ -140,11 +144,11 @@ def grouped_prefix_sums(df: DataFrame, group: str, key: str, values: Sequence[st
     """Inclusive running sums of ``values`` in ascending ``key`` order within each group.
 
     ``group`` holds indices 0..k−1 and ``bounds[i]`` are group i's bucket
-    bounds (``column_bounds``).  Several stacked columns are thus handled in
+    bounds (``group_bounds``).  Several stacked columns are thus handled in
     one pass; the carry table has at most k·n rows.  ``key`` must be unique
     within a group (pre-aggregate per value first).
     """
-    d = df.withColumn(BUCKET, group_bucket(group, key, bounds))
+    d = with_group_bucket(df, group, key, bounds)
     totals = d.groupBy(group, BUCKET).agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
     wb = Window.partitionBy(group).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     carry = totals.select(group, BUCKET, *[F.coalesce(F.sum(f"_t_{v}").over(wb), F.lit(0)).alias(f"_c_{v}")
@@ -164,12 +168,16 @@ def row_numbers(df: DataFrame, key: str, name: str = "row", n: int | None = None
     return out.withColumnRenamed("_one_cum", name).drop("_one")
 
 
-def fill_forward_backward(df: DataFrame, key: str, columns: Sequence[str],
-                          n: int | None = None) -> DataFrame:
-    """Forward fill then backward fill of ``columns`` in ``key`` order."""
-    b = range_bucket(df, key, n)
-    d = df.withColumn(BUCKET, b)
-    k = F.col(key)
+def fill_forward_backward(df: DataFrame, key: str, columns: Sequence[str], n: int | None = None,
+                          tie_breakers: Sequence[str] = ()) -> DataFrame:
+    """Forward fill then backward fill of ``columns`` in (``key``, ``tie_breakers``) order.
+
+    Rows that agree in all of these are ordered by the filled columns
+    themselves, so that the backward pass is always the forward one reversed.
+    """
+    d = with_range_bucket(df, key, n)
+    order = [key, *tie_breakers, *[c for c in columns if c not in (key, *tie_breakers)]]
+    k = F.struct(*order)
     aggs = []
     for c in columns:
         present = F.when(F.col(c).isNotNull(), k)
@@ -185,8 +193,8 @@ def fill_forward_backward(df: DataFrame, key: str, columns: Sequence[str],
     out = d.join(F.broadcast(carry), BUCKET, "left")
     # Both fills use growing frames (unbounded preceding → current row): an
     # unbounded-following frame is re-evaluated per row, quadratic per bucket.
-    w_fwd = Window.partitionBy(BUCKET).orderBy(k.asc()).rowsBetween(Window.unboundedPreceding, 0)
-    w_bwd = Window.partitionBy(BUCKET).orderBy(k.desc()).rowsBetween(Window.unboundedPreceding, 0)
+    w_fwd = Window.partitionBy(BUCKET).orderBy(*[F.col(c).asc() for c in order]).rowsBetween(Window.unboundedPreceding, 0)
+    w_bwd = Window.partitionBy(BUCKET).orderBy(*[F.col(c).desc() for c in order]).rowsBetween(Window.unboundedPreceding, 0)
     # One projection for all columns: Catalyst then plans one Window operator
     # per direction instead of one per column.
     filled = {}
@@ -204,20 +212,22 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     Output columns ``<col>_q<i>`` for the i-th probability; null for a column
     with no non-null value.  All columns are handled in one pass: values are
     stacked as (column index, value) and grouped (partial aggregation,
-    skew-safe), bucket bounds for every column come from one
-    ``approxQuantile`` call, and ranks come from bucketed prefix counts whose
+    skew-safe) into a stored table; bucket bounds for every column come from one
+    ``approxQuantile`` call over it, and ranks come from bucketed prefix counts whose
     carries stay within each column.  Nothing is gathered into one task.
     """
+    from leadlens.sources.tables import materialized
+
     spark = df.sparkSession
     cols = list(columns)
     if not cols:
         return spark.range(1).select()
-    raw_bounds = column_bounds(df, cols, n)
     pairs = ", ".join(f"{i}, CAST(`{c}` AS DOUBLE)" for i, c in enumerate(cols))
     long = df.selectExpr(f"stack({len(cols)}, {pairs}) AS (_ci, _v)")
     g = (long.where(F.col("_v").isNotNull() & ~F.isnan("_v"))
          .groupBy("_ci", "_v").agg(F.count(F.lit(1)).alias("_cnt")))
-    d = g.withColumn(BUCKET, group_bucket("_ci", "_v", raw_bounds))
+    g = materialized(g, "quantile-values")
+    d = with_group_bucket(g, "_ci", "_v", group_bounds(g, "_ci", "_v", len(cols), n))
     totals = d.groupBy("_ci", BUCKET).agg(F.sum("_cnt").alias("_t"))
     # ≤ len(cols)·n rows: bounded single-partition windows and broadcasts.
     before = Window.partitionBy("_ci").orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leadlens.operators.ordered import exact_quantiles
+from leadlens.operators.quality import missing_as_null
 
 MISSING = "missing"
 
@@ -76,6 +77,7 @@ class PopulationScalerModel(Model, _Stage):
 class PopulationScaler(Estimator, _Stage):
     def _fit(self, df: DataFrame) -> PopulationScalerModel:
         cols = self.getInputCols()
+        df = missing_as_null(df, cols)
         row = df.agg(*[x for c in cols for x in (F.avg(c).alias(f"m_{c}"), F.stddev_pop(c).alias(f"s_{c}"))]).first()
         st = {c: [row[f"m_{c}"], (row[f"s_{c}"] if row[f"s_{c}"] else 1.0)] for c in cols}
         return self._copy_to(PopulationScalerModel(cols, stats=json.dumps(st)))
@@ -139,9 +141,11 @@ class OneHot(Estimator, _Stage):
 # T4 -------------------------------------------------------------------------
 class MedianImputerModel(Model, _Stage):
     def _transform(self, df: DataFrame) -> DataFrame:
+        # A column without any value to learn from is filled with 0.
         st = self._stats()
-        return df.select(*[F.coalesce(F.col(c).cast("double"), F.lit(st[c])).alias(c) if c in st
-                           else F.col(c) for c in df.columns])
+        null = F.lit(None).cast("double")
+        return df.select(*[F.coalesce(F.nanvl(F.col(c).cast("double"), null), F.lit(st[c] or 0.0)).alias(c)
+                           if c in st else F.col(c) for c in df.columns])
 
 
 class MedianImputer(Estimator, _Stage):

@@ -1,6 +1,6 @@
 """Deterministic stratified splits.
 
-A row's band comes from a hash of ``seed || id``: the first 8 hex digits of
+A row's band comes from a hash of ``seed || ':' || id``: the first 8 hex digits of
 its MD5 as a fraction in [0, 1).  The fraction is independent of the class,
 so every class is split in the same proportions in expectation, with no
 shuffle and no dependence on partitioning.  (The source's shuffled
@@ -26,7 +26,7 @@ DEFAULT_SEED = 42
 
 def hash_fraction(id_col: str | Column, seed: int = DEFAULT_SEED) -> Column:
     c = F.col(id_col) if isinstance(id_col, str) else id_col
-    h = F.md5(F.concat(F.lit(str(seed)), c.cast("string")))
+    h = F.md5(F.concat(F.lit(f"{seed}:"), c.cast("string")))
     return F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint") / F.lit(4294967296.0)
 
 
@@ -62,24 +62,54 @@ def train_test_split(df: DataFrame, id_col: str, test_size: float = 0.2,
             flagged.where(F.col("_is_test")).drop("_is_test"))
 
 
+#: A label with more classes than this is no class label (the class table is one task's work).
+MAX_CLASSES = 10_000
+
+
+def class_table(df: DataFrame, label_col: str) -> DataFrame:
+    """(_class, _index, _cls_n, _off) per class, null being a class of its own: a few rows."""
+    from pyspark.sql import Window
+
+    counts = df.groupBy(F.col(label_col).alias("_class")).agg(F.count(F.lit(1)).alias("_cls_n"))
+    classes = counts.limit(MAX_CLASSES + 1).count()
+    if classes > MAX_CLASSES:
+        raise ValueError(f"{label_col} has more than {MAX_CLASSES} values: not a class label")
+    order = Window.orderBy(F.col("_class").asc_nulls_first())
+    return counts.select("_class", "_cls_n", F.row_number().over(order).alias("_index"),
+                         F.coalesce(F.sum("_cls_n").over(order.rowsBetween(Window.unboundedPreceding, -1)),
+                                    F.lit(0)).alias("_off"))
+
+
+def ranked_in_class(df: DataFrame, id_col: str, label_col: str, seed: int = DEFAULT_SEED) -> DataFrame:
+    """Adds ``_rank`` (1-based, by hash within the class) and ``_cls_n``.
+
+    Rows are numbered once in (class index, hash, id) order by bucketed prefix
+    counts, so no class is pulled into one task; a class's offset is the
+    number of rows of the classes before it in that same order.
+    """
+    classes = class_table(df, label_col)
+    named = df.join(F.broadcast(classes), F.col(label_col).eqNullSafe(F.col("_class"))).drop("_class")
+    keyed = named.withColumn("_k", F.col("_index") * 2.0 + hash_fraction(id_col, seed))
+    ranked = row_numbers(keyed, "_k", name="_rn", tie_breakers=[id_col])
+    return ranked.withColumn("_rank", F.col("_rn") - F.col("_off")).drop("_k", "_index", "_off", "_rn")
+
+
 def exact_test_flag(df: DataFrame, id_col: str, label_col: str, test_size: float,
                     seed: int = DEFAULT_SEED) -> DataFrame:
     """Per class, the round(n_class·test_size) rows with the smallest hash are test.
 
-    Rows are ordered by (label, hash, id); a global bucketed row number minus
-    the class's offset gives the rank inside the class.  The only
-    single-partition step is the offset table, one row per class.  The label
-    must be numeric.
+    Rows without a label are a class like any other.  No row is dropped.
     """
-    from pyspark.sql import Window
-
-    keyed = df.withColumn("_k", F.col(label_col).cast("double") * 2 + hash_fraction(id_col, seed))
-    counts = keyed.groupBy(label_col).agg(F.count(F.lit(1)).alias("_cls_n"))
-    before = Window.orderBy(label_col).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(label_col, "_cls_n",
-                            F.coalesce(F.sum("_cls_n").over(before), F.lit(0)).alias("_off"))
-    ranked = row_numbers(keyed, "_k", name="_rn", tie_breakers=[id_col])
-    out = ranked.join(F.broadcast(offsets), label_col)
-    quota = F.round(F.col("_cls_n") * F.lit(test_size))
-    return (out.withColumn("_is_test", (F.col("_rn") - F.col("_off")) <= quota)
-            .drop("_k", "_cls_n", "_off", "_rn"))
+    ranked = ranked_in_class(df, id_col, label_col, seed)
+    return (ranked.withColumn("_is_test", F.col("_rank") <= F.round(F.col("_cls_n") * F.lit(test_size)))
+            .drop("_rank", "_cls_n"))
+
+
+def exact_three_way_split(df: DataFrame, id_col: str, label_col: str, seed: int = DEFAULT_SEED,
+                          holdout: float = 0.30, test_share_of_holdout: float = 1 / 3) -> DataFrame:
+    """D2 stratified: per class round(n·holdout) rows leave training, and a third of those is the test split."""
+    out = F.round(F.col("_cls_n") * F.lit(holdout))
+    test = F.round(out * F.lit(test_share_of_holdout))
+    return ranked_in_class(df, id_col, label_col, seed).withColumn(
+        "split", F.when(F.col("_rank") <= test, "test").when(F.col("_rank") <= out, "validation")
+        .otherwise("train")).drop("_rank", "_cls_n")

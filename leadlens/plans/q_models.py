@@ -46,7 +46,7 @@ def q_onehot_all(spark, sf_dir):
     return T.OneHot(list(ONEHOT_LEVELS), dropFirst=False).fit(t).transform(t).drop(*ONEHOT_LEVELS)
 
 
-_TRAIN_ROWS = ("(('0x' || substr(md5('42' || CAST(id AS VARCHAR)), 1, 8))::UBIGINT "
+_TRAIN_ROWS = ("(('0x' || substr(md5('42:' || CAST(id AS VARCHAR)), 1, 8))::UBIGINT "
                "/ 4294967296.0::DOUBLE) >= 0.2")
 _IMPUTED = ("lead_score", "engagement_score", "email_click_rate")
 

@@ -33,10 +33,10 @@ def _d(c: str) -> str:
     return f"CAST(f.{c} AS DOUBLE)"
 
 
-HASH = ("(('0x' || substr(md5('42' || CAST(f.lead_id AS VARCHAR)), 1, 8))::UBIGINT "
+HASH = ("(('0x' || substr(md5('42:' || CAST(f.lead_id AS VARCHAR)), 1, 8))::UBIGINT "
         "/ 4294967296.0::DOUBLE)")
 
-SCORED = f"""scored AS (
+SCORED = f"""scores AS (
   SELECT
     f.lead_id,
     {_d('is_employed_professional')} * 25 + {_d('has_ctc')} * 20 + {_d('has_experience')} * 15
@@ -59,10 +59,16 @@ SCORED = f"""scored AS (
       + {_d('has_campaign')} * 10 AS campaign_score,
     round_even(100 * exp(-{_d('lead_age_days')} / 30), 2) AS lead_aging,
     CAST(f.is_interested AS INTEGER) AS converted,
-    CASE WHEN {HASH} < 0.7 THEN 'train'
-         WHEN {HASH} < 0.7 + 0.3 * (1 - 1.0 / 3) THEN 'validation' ELSE 'test' END AS split,
+    row_number() OVER (PARTITION BY f.is_interested ORDER BY {HASH}, f.lead_id) AS rk,
+    round(count(*) OVER (PARTITION BY f.is_interested) * CAST(0.3 AS DOUBLE)) AS n_out,
     {COMPUTED_TS} AS scored_at
   FROM feat f CROSS JOIN p95 p
+),
+scored AS (
+  SELECT * EXCLUDE (rk, n_out, scored_at),
+    CASE WHEN rk <= round(n_out * (CAST(1 AS DOUBLE) / 3)) THEN 'test'
+         WHEN rk <= n_out THEN 'validation' ELSE 'train' END AS split, scored_at
+  FROM scores
 )"""
 
 
@@ -86,26 +92,32 @@ def q_split_sizes(spark, sf_dir):
     return _scored(spark, sf_dir).groupBy("split", "converted").agg(F.count(F.lit(1)).alias("n"))
 
 
-_EXACT_SPLIT = """ranked AS (
+_EXACT_SPLIT = """labelled AS (
+  SELECT lead_id, CASE WHEN lead_id % 7 <> 3 THEN is_interested END AS is_interested FROM feat
+),
+ranked AS (
   SELECT lead_id, is_interested,
     row_number() OVER (PARTITION BY is_interested ORDER BY
-      (('0x' || substr(md5('42' || CAST(lead_id AS VARCHAR)), 1, 8))::UBIGINT / 4294967296.0::DOUBLE), lead_id) AS rk,
+      (('0x' || substr(md5('42:' || CAST(lead_id AS VARCHAR)), 1, 8))::UBIGINT / 4294967296.0::DOUBLE), lead_id) AS rk,
     count(*) OVER (PARTITION BY is_interested) AS n_cls
-  FROM feat
+  FROM labelled
 )"""
 
 
 @register("d1_exact_stratified_test", features_with(_EXACT_SPLIT) +
-          "SELECT lead_id, is_interested FROM ranked WHERE rk <= round(n_cls * 0.2)")
+          "SELECT lead_id, is_interested, rk <= round(n_cls * CAST(0.2 AS DOUBLE)) AS is_test FROM ranked")
 def q_exact_split(spark, sf_dir):
-    f = feature_table(spark, sf_dir).select("lead_id", "is_interested")
-    _, test = D.train_test_split(f, "lead_id", 0.2, label_col="is_interested", exact=True)
-    return test.select("lead_id", "is_interested")
+    """Every row with its side; every seventh label is unknown, which is a class of its own."""
+    f = feature_table(spark, sf_dir).select(
+        "lead_id", F.when(F.col("lead_id") % 7 != 3, F.col("is_interested")).alias("is_interested"))
+    train, test = D.train_test_split(f, "lead_id", 0.2, label_col="is_interested", exact=True)
+    return train.withColumn("is_test", F.lit(False)).unionByName(test.withColumn("is_test", F.lit(True))).select(
+        "lead_id", "is_interested", "is_test")
 
 
 @register("d1_hash_split_test", features_with() +
           "SELECT lead_id FROM feat WHERE "
-          "(('0x' || substr(md5('42' || CAST(lead_id AS VARCHAR)), 1, 8))::UBIGINT / 4294967296.0::DOUBLE) < 0.2")
+          "(('0x' || substr(md5('42:' || CAST(lead_id AS VARCHAR)), 1, 8))::UBIGINT / 4294967296.0::DOUBLE) < 0.2")
 def q_hash_split(spark, sf_dir):
     f = feature_table(spark, sf_dir).select("lead_id")
     return D.train_test_split(f, "lead_id", 0.2)[1]

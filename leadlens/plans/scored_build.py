@@ -18,7 +18,7 @@ def scored_from_features(features: DataFrame, scored_at: _dt.datetime,
                          params: DataFrame | None = None, seed: int = D.DEFAULT_SEED) -> DataFrame:
     params = params if params is not None else C.p95_params(features)
     scored = C.score_table(features, params)
-    scored = D.three_way_split(scored, "lead_id", seed)
+    scored = D.exact_three_way_split(scored, "lead_id", "converted", seed)
     return scored.withColumn("scored_at", ts_literal(scored_at))
 
 

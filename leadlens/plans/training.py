@@ -105,7 +105,7 @@ def raw_mode(features: DataFrame, tiers: Sequence[str] = M.TIERS, test_size: flo
     num, _ = available(features, NUMERIC_FEATURES)
     cat, _ = available(features, CATEGORICAL_FEATURES)
     data = _keep(prepare(features, num, cat, TARGET, extra=["lead_id"]))
-    train, test = D.train_test_split(data, "lead_id", test_size)
+    train, test = D.train_test_split(data, "lead_id", test_size, label_col="label", exact=True)
     pre, cols = fit_preprocessor(train, num, cat)
     tr, te = _keep(pre.transform(train)), _keep(pre.transform(test))
     runs, models = M.train_tiers(tr, te, tiers)

@@ -37,8 +37,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Session settings the library relies on (idempotent)."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    """Make sure of the shared folder the library writes to (idempotent)."""
     checkpoint_dir(spark)
     return spark
 
@@ -47,7 +46,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is used
-    as is.  Only when it is unset (local tests) a scratch folder is created.
+    as is.  Only when it is unset (local tests) a scratch folder is created;
+    on a cluster an unset folder is an error.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
@@ -55,6 +55,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(configured)
         return configured
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="leadlens-ckpt-", dir="/tmp")
     spark.conf.set("spark.checkpoint.dir", local)
     sc.setCheckpointDir(local)

@@ -16,6 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from leadlens.functions.exprs import strip_ws
 from leadlens.operators.ordered import row_numbers
 
 # Request fields, in order, and their numeric kinds.
@@ -31,7 +32,7 @@ INT_PREFIX = r"^\s*([+-]?\d+)"
 
 
 def _clean(c: Column) -> Column:
-    return F.regexp_replace(F.trim(F.coalesce(c, F.lit(""))), r'^"|"$', "")
+    return F.regexp_replace(strip_ws(F.coalesce(c, F.lit(""))), r'^"|"$', "")
 
 
 def parse_float(c: Column) -> Column:
@@ -59,9 +60,6 @@ def read_leads_csv(spark: SparkSession, path: str, fields: Sequence[str] = ALL_F
     raw = raw.toDF(*[f"_c{i}" for i in range(len(names))])
     idx = {n: i for i, n in enumerate(names)}
     cleaned = {f: _clean(F.col(f"_c{idx[f]}")) for f in fields}
-    non_blank = F.lit(False)
-    for i in range(len(names)):
-        non_blank = non_blank | (F.trim(F.coalesce(F.col(f"_c{i}"), F.lit(""))) != "")
     out = []
     for f in fields:
         if f in FLOAT_FIELDS:
@@ -70,8 +68,8 @@ def read_leads_csv(spark: SparkSession, path: str, fields: Sequence[str] = ALL_F
             out.append(parse_int(cleaned[f]).alias(f))
         else:
             out.append(cleaned[f].alias(f))
-    rows = raw.where(non_blank).select(*out)
-    return rows
+    # The reader leaves out blank lines; a line of commas only is a row of zeros and empty strings.
+    return raw.select(*out)
 
 
 def format_results(pred: DataFrame, order_key: str) -> DataFrame:

@@ -51,11 +51,42 @@ def test_fill_forward_backward(spark):
 def test_range_buckets_stay_balanced_at_many_buckets(spark):
     n = 2000  # 1e-3 rank error would span two whole buckets here
     df = spark.range(400_000).select(((F.col("id") * 7919) % 400_000).alias("k"))
-    sizes = [r[1] for r in df.groupBy(O.range_bucket(df, "k", n).alias("b")).count().collect()]
+    sizes = [r[1] for r in O.with_range_bucket(df, "k", n).groupBy(O.BUCKET).count().collect()]
     assert len(sizes) == n
     assert max(sizes) <= 1.6 * 400_000 / n
 
 
+def test_a_frequent_value_leaves_the_others_spread(spark):
+    n = 64
+    df = spark.range(400_000).select(F.when(F.col("id") % 100 == 0, F.col("id") / 100.0).otherwise(0.0).alias("v"))
+    g = df.groupBy(F.lit(0).alias("g"), "v").count()
+    d = O.with_group_bucket(g, "g", "v", O.group_bounds(g, "g", "v", 1, n))
+    sizes = [r[1] for r in d.groupBy(O.BUCKET).count().collect()]
+    assert len(sizes) == n and max(sizes) <= 2 * 4_000 / n
+
+
+def test_fill_with_repeated_keys_reverses_the_order(spark):
+    df = spark.createDataFrame([(1, 1, None), (1, 2, 5.0), (2, 3, None)], "k long, id long, v double")
+    assert [r.v for r in O.fill_forward_backward(df, "k", ["v"], n=2).collect()] == [5.0] * 3
+    out = O.fill_forward_backward(df, "k", ["v"], n=2, tie_breakers=["id"]).orderBy("id").collect()
+    assert [r.v for r in out] == [5.0] * 3
+
+
+def test_keys_that_are_null_text_or_times(spark):
+    rows = [(None, 1), ("b", 2), ("abcdefgh", 3), ("abcdefga", 4), ("é", 5), ("", 6)]
+    df = spark.createDataFrame(rows, "k string, id long")
+    order = [r.id for r in O.row_numbers(df, "k", n=3, tie_breakers=["id"]).orderBy("row").collect()]
+    assert order == [1, 6, 4, 3, 2, 5]
+    t = spark.sql("SELECT id, timestamp_seconds(1000 - id * 7) AS k, date_from_unix_date(CAST(id AS INT) % 5) AS d FROM range(30)")
+    assert [r.id for r in O.row_numbers(t, "k", n=4).orderBy("row").collect()] == list(range(29, -1, -1))
+    assert [r.id % 5 for r in O.row_numbers(t, "d", n=4, tie_breakers=["id"]).orderBy("row").collect()] == sorted(i % 5 for i in range(30))
+
+
+def test_many_buckets_stay_small_code(spark):
+    df = spark.range(5000).withColumn("v", F.col("id") * 3)
+    assert O.row_numbers(df, "v", n=5000).agg(F.max("row")).first()[0] == 5000
+
+
 def test_bucket_bounds_round_trip_exactly_through_sql(spark):
     vals = [0.1, 1 / 3, -2.5e17, 1e-300, 5e-324, 123456789.123456789, float("inf"), float("-inf")]
     got = spark.sql("SELECT " + ", ".join(O._double_sql(v) for v in vals)).first()
