@@ -68,7 +68,8 @@ class PopulationScalerModel(Model, _Stage):
         for c in df.columns:
             if c in st:
                 mean, std = st[c]
-                cols.append(((F.col(c).cast("double") - F.lit(mean or 0.0)) / F.lit(std or 1.0)).alias(c))
+                value = F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+                cols.append(((value - F.lit(mean or 0.0)) / F.lit(std or 1.0)).alias(c))
             else:
                 cols.append(F.col(c))
         return df.select(*cols)
@@ -176,7 +177,7 @@ class VarianceFilterModel(Model, _Stage):
 
 def variance_table(df: DataFrame, cols: Sequence[str], threshold: float) -> DataFrame:
     """(column_name, variance, kept): population variance of each column, kept if > t."""
-    one = df.agg(*[F.var_pop(c).alias(c) for c in cols])
+    one = missing_as_null(df, cols).agg(*[F.var_pop(c).alias(c) for c in cols])
     pairs = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
     long = one.selectExpr(f"stack({len(cols)}, {pairs}) AS (column_name, variance)")
     return long.withColumn("kept", F.coalesce(F.col("variance") > F.lit(float(threshold)), F.lit(False)))

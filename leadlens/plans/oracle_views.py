@@ -77,7 +77,7 @@ leads AS (
 ACTIVITIES = """
 activities AS (
   SELECT
-    l.l_orderkey AS lead_id,
+    CASE WHEN l.l_partkey % 53 <> 0 THEN l.l_orderkey END AS lead_id,
     CAST(l.l_linenumber AS BIGINT) AS activity_id,
     CASE WHEN l.l_returnflag = 'N' THEN NULL WHEN l.l_returnflag = 'R' THEN 'Answered'
          WHEN l.l_linestatus = 'F' THEN 'CONNECTED' ELSE 'no answer' END AS call_status,

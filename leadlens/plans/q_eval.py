@@ -34,8 +34,8 @@ def validation(spark, sf_dir):
     return scored(spark, sf_dir).where(F.col("split") == "validation")
 
 
-def predictions(spark, sf_dir):
-    v = validation(spark, sf_dir)
+def predictions(spark, sf_dir, rows=validation):
+    v = rows(spark, sf_dir)
     p = F.col(CANDIDATE) / 100.0
     return v.select("lead_id", "converted", p.alias("probability"),
                     (p >= 0.5).cast("int").alias("prediction"))
@@ -45,6 +45,8 @@ VAL = "val AS (SELECT * FROM scored WHERE split = 'validation')"
 PRED = (f"pred AS (SELECT lead_id, converted, {CANDIDATE} / 100.0 AS probability, "
         f"CAST({CANDIDATE} / 100.0 >= 0.5 AS INTEGER) AS prediction FROM val)")
 BASE = features_with(P95, SCORED, VAL, PRED)
+#: The same over all splits, for what is no evaluation.
+EVERY = features_with(P95, SCORED, PRED.replace("FROM val)", "FROM scored)"))
 
 E1_SQL = """SELECT
   round_even(CASE WHEN count(*) > 0 THEN (count(*) FILTER (WHERE converted = prediction)) / count(*) ELSE 0 END, 4) AS accuracy,
@@ -146,16 +148,16 @@ def q_gate(spark, sf_dir):
     return R.promotion_gate(R.winner(runs), runs.where(F.col("tier") == CHAMPION))
 
 
-@register("b3_batch_summary", BASE + """SELECT CAST(count(*) AS BIGINT) AS total,
+@register("b3_batch_summary", EVERY + """SELECT CAST(count(*) AS BIGINT) AS total,
   CAST(count(*) FILTER (WHERE probability >= 0.5) AS BIGINT) AS high_intent,
   CAST(floor(count(*) FILTER (WHERE probability >= 0.5) * 100.0 / count(*) + 0.5) AS BIGINT) AS high_intent_pct
 FROM pred""")
 def q_batch_summary(spark, sf_dir):
-    p = predictions(spark, sf_dir).withColumn("predicted_label", F.col("prediction") == 1)
+    p = predictions(spark, sf_dir, scored).withColumn("predicted_label", F.col("prediction") == 1)
     return batch_summary(p)
 
 
-@register("s7_results_csv_rows", BASE + """SELECT
+@register("s7_results_csv_rows", EVERY + """SELECT
   CAST(row_number() OVER (ORDER BY lead_id) AS BIGINT) AS row,
   printf('%.4f', probability) AS probability,
   CASE WHEN prediction = 1 THEN 'true' ELSE 'false' END AS predicted_label,
@@ -168,7 +170,7 @@ def q_results_rows(spark, sf_dir):
     from leadlens.operators.scoring import MODEL_VERSION
     from leadlens.sources.csv_io import format_results
 
-    p = predictions(spark, sf_dir).select(
+    p = predictions(spark, sf_dir, scored).select(
         "lead_id", "probability", (F.col("prediction") == 1).alias("predicted_label"),
         F.greatest(F.col("probability"), 1 - F.col("probability")).alias("confidence"),
         F.lit(MODEL_VERSION).alias("model_version"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from leadlens.operators import prep as T
@@ -10,7 +12,7 @@ from leadlens.plans.oracle_views import with_training
 from leadlens.plans.registry import register
 from leadlens.sources import testviews as TV
 
-SCALED = ("lead_score", "engagement_score", "page_views")
+SCALED = TV.NUMERIC_FEATURES
 
 
 def _training(spark, sf_dir):
@@ -26,12 +28,19 @@ def q_scaler(spark, sf_dir):
     return T.PopulationScaler(list(SCALED)).fit(t).transform(t)
 
 
-ONEHOT_LEVELS = {"source": ("Direct", "Event", "LinkedIn", "Partner"),
-                 "location": ("R0", "R1", "R2", "R3")}
+# The levels of the driver's tables, in order.
+ONEHOT_LEVELS = {
+    "industry": ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"),
+    "company_type": ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"),
+    "location": ("R0", "R1", "R2", "R3"),
+    "product_interest": ("F", "O", "P"),
+    "source": ("Direct", "Event", "LinkedIn", "Partner"),
+    "sales_stage": ("", "Awareness", "Consideration", "Decision", "Qualification"),
+}
 
 
 @register("t2_onehot_drop_first", with_training() + "SELECT id, " + ", ".join(
-    f"CAST(CASE WHEN {c} = '{v}' THEN 1.0 ELSE 0.0 END AS DOUBLE) AS {c}_{v}"
+    f"CAST(CASE WHEN {c} = '{v}' THEN 1.0 ELSE 0.0 END AS DOUBLE) AS \"{c}_{v}\""
     for c, levels in ONEHOT_LEVELS.items() for v in levels[1:]) + " FROM training")
 def q_onehot_drop(spark, sf_dir):
     t = _training(spark, sf_dir).select("id", *ONEHOT_LEVELS)
@@ -39,7 +48,7 @@ def q_onehot_drop(spark, sf_dir):
 
 
 @register("t3_onehot_all_levels", with_training() + "SELECT id, " + ", ".join(
-    f"CAST(CASE WHEN {c} = '{v}' THEN 1.0 ELSE 0.0 END AS DOUBLE) AS {c}_{v}"
+    f"CAST(CASE WHEN {c} = '{v}' THEN 1.0 ELSE 0.0 END AS DOUBLE) AS \"{c}_{v}\""
     for c, levels in ONEHOT_LEVELS.items() for v in levels) + " FROM training")
 def q_onehot_all(spark, sf_dir):
     t = _training(spark, sf_dir).select("id", *ONEHOT_LEVELS)
@@ -48,18 +57,18 @@ def q_onehot_all(spark, sf_dir):
 
 _TRAIN_ROWS = ("(('0x' || substr(md5('42:' || CAST(id AS VARCHAR)), 1, 8))::UBIGINT "
                "/ 4294967296.0::DOUBLE) >= 0.2")
-_IMPUTED = ("lead_score", "engagement_score", "email_click_rate")
+_IMPUTED = TV.NUMERIC_FEATURES
 
 
 @register("t4_median_imputer_train_fit", with_training() + "SELECT id, " + ", ".join(
     f"coalesce(CAST({c} AS DOUBLE), (SELECT quantile_cont(CAST({c} AS DOUBLE), 0.5) FROM training "
-    f"WHERE {_TRAIN_ROWS})) AS {c}" for c in _IMPUTED) + ", coalesce(industry, 'missing') AS industry"
-    " FROM training")
+    f"WHERE {_TRAIN_ROWS})) AS {c}" for c in _IMPUTED) + ", " + ", ".join(
+    f"coalesce({c}, 'missing') AS {c}" for c in TV.CATEGORICAL_FEATURES) + " FROM training")
 def q_imputer(spark, sf_dir):
-    t = _training(spark, sf_dir).select("id", *_IMPUTED, "industry")
+    t = _training(spark, sf_dir).select("id", *_IMPUTED, *TV.CATEGORICAL_FEATURES)
     train, _ = D.train_test_split(t, "id", 0.2)
     model = T.MedianImputer(list(_IMPUTED)).fit(train)
-    return T.ConstantImputer(["industry"]).transform(model.transform(t))
+    return T.ConstantImputer(list(TV.CATEGORICAL_FEATURES)).transform(model.transform(t))
 
 
 @register("t6_variance_filter", with_training() + " UNION ALL ".join(
@@ -103,61 +112,81 @@ def q_table_mode(spark, sf_dir):
     return ranked.select("tier", "run_id", "primary_metric", "rank", "is_winner")
 
 
-_MODELS: dict[tuple[str, str], str] = {}
+# Coefficients of a logistic model over the seven scores, so that SQL can say what scoring has to give.
+WEIGHTS = {"eligibility_score": 0.021, "demographic_score": -0.013, "quality_score": 0.034, "engagement_score": 0.047,
+           "intent_score": 0.028, "campaign_score": -0.019, "lead_aging": 0.011}
+INTERCEPT = -4.5
 
 
-def baseline_pipeline(spark, sf_dir):
-    """Preprocessor + baseline tier fitted once per application on the scored
-    table's train split, saved under the checkpoint folder and loaded back."""
+def literal_pipeline(spark):
+    """A fitted pipeline with the coefficients above, saved and loaded back like any trained one."""
     from pyspark.ml import PipelineModel
+    from pyspark.ml.classification import LogisticRegressionModel
+    from pyspark.ml.feature import VectorAssembler
 
-    from leadlens.plans.q_eval import scored
-    from leadlens.plans.training import scored_mode
     from leadlens.session import checkpoint_dir
 
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _MODELS:
-        _ranked, models, pre, _cols, _test = scored_mode(scored(spark, sf_dir), ["baseline"])
-        path = f"{checkpoint_dir(spark).rstrip('/')}/models/{key[0]}/baseline_{abs(hash(sf_dir))}"
-        PipelineModel(stages=[*pre.stages, models["baseline"]]).write().overwrite().save(path)
-        _MODELS[key] = path
-    return PipelineModel.load(_MODELS[key])
+    jvm = spark.sparkContext._jvm
+    values = spark.sparkContext._gateway.new_array(jvm.double, len(WEIGHTS))
+    for i, w in enumerate(WEIGHTS.values()):
+        values[i] = w
+    java = jvm.org.apache.spark.ml.classification.LogisticRegressionModel(
+        "literal", jvm.org.apache.spark.ml.linalg.Vectors.dense(values), INTERCEPT)
+    model = LogisticRegressionModel(java)
+    model._resetUid(java.uid())
+    model.setFeaturesCol("features")
+    stages = [VectorAssembler(inputCols=list(WEIGHTS), outputCol="features"), model]
+    path = f"{checkpoint_dir(spark).rstrip('/')}/models/{spark.sparkContext.applicationId}/literal-{uuid.uuid4().hex}"
+    PipelineModel(stages=stages).write().save(path)
+    return PipelineModel.load(path)
+
+
+def _requests(spark, sf_dir):
+    """Every scored lead is a request."""
+    from leadlens.plans.q_eval import scored
 
+    return scored(spark, sf_dir).select("lead_id", *WEIGHTS)
 
-def _test_requests(spark, sf_dir):
-    from leadlens.operators.scores import SCORE_COLUMNS
-    from leadlens.plans.q_eval import scored
 
-    return scored(spark, sf_dir).where(F.col("split") == "test").select(
-        "lead_id", *SCORE_COLUMNS, F.lit("test").alias("split"), F.col("converted").alias("label"))
+_P = "1 / (1 + exp(-(" + " + ".join(f"{w} * {c}" for c, w in WEIGHTS.items()) + f" + {INTERCEPT})))"
+_SCORED_SQL = """SELECT lead_id, {id} AS prediction_id, round(p, 6) AS probability, p > 0.5 AS predicted_label,
+  'v1.0.0' AS model_version, round(greatest(p, 1 - p), 6) AS confidence FROM requests"""
+
 
+def _scoring_sql(prediction_id: str) -> str:
+    from leadlens.plans.oracle_features import features_with
+    from leadlens.plans.q_scores import P95, SCORED
 
-@register("b1_batch_scoring")
+    return features_with(P95, SCORED, f"requests AS (SELECT *, {_P} AS p FROM scored)") + _SCORED_SQL.format(id=prediction_id)
+
+
+def _rounded(df):
+    return df.withColumns({c: F.round(c, 6) for c in ("probability", "confidence")})
+
+
+@register("b1_batch_scoring", _scoring_sql("'pred_batch_' || CAST(row_number() OVER (ORDER BY lead_id) - 1 AS VARCHAR)"))
 def q_batch_scoring(spark, sf_dir):
-    """B1: score the test split in one transform; ids pred_<request>_<i> in lead order."""
+    """B1: score every lead in one transform; ids pred_<request>_<i> in lead order."""
     from leadlens.operators.scoring import score_batch
 
-    return score_batch(baseline_pipeline(spark, sf_dir), _test_requests(spark, sf_dir), "lead_id",
-                       "test")
+    return _rounded(score_batch(literal_pipeline(spark), _requests(spark, sf_dir), "lead_id", "batch"))
 
 
-@register("b2_streaming_scoring")
+@register("b2_streaming_scoring", _scoring_sql("'pred_' || CAST(lead_id AS VARCHAR)"))
 def q_streaming_scoring(spark, sf_dir):
-    """B2: the test split lands as request files and is scored by a streaming
+    """B2: every lead lands in request files and is scored by a streaming
     query (availableNow trigger); returns the sink table."""
     from leadlens.session import checkpoint_dir
     from leadlens.streaming.scoring_stream import scoring_stream
 
-    import uuid
-
     # one folder per invocation: requests, sink and stream checkpoint start empty
     base = f"{checkpoint_dir(spark).rstrip('/')}/streams/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
-    req = _test_requests(spark, sf_dir)
+    req = _requests(spark, sf_dir)
     req.write.mode("overwrite").parquet(f"{base}/requests")
-    q = scoring_stream(spark, baseline_pipeline(spark, sf_dir), f"{base}/requests", req.schema,
+    q = scoring_stream(spark, literal_pipeline(spark), f"{base}/requests", req.schema,
                        f"{base}/scored", request_id="stream", checkpoint=f"{base}/checkpoint",
                        key_col="lead_id")
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return spark.read.parquet(f"{base}/scored").drop("batch_id")
+    return _rounded(spark.read.parquet(f"{base}/scored").drop("batch_id", *WEIGHTS))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from leadlens.operators import quality as Q
@@ -34,10 +36,11 @@ def q_scan_limit(spark, sf_dir):
     return tables.scan_limit(spark.read.parquet(f"{sf_dir}/orders.parquet"), 10, ["o_orderkey"])
 
 
-PROFILED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+PROFILED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+            "embeddings", "pages", "benchmark", "labels", "conversations")
 _DTYPE = ("CASE typeof({c}) WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' "
           "WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string' "
-          "WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(typeof({c})) END")
+          "WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'FLOAT[]' THEN 'array<float>' ELSE lower(typeof({c})) END")
 
 
 def _profile_sql(duck_columns: dict[str, list[str]]) -> str:
@@ -65,6 +68,12 @@ _PROFILE_COLUMNS = {
                  "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
                  "l_shipdate"],
     "events": ["event_id", "ts", "user_id", "event_type", "value", "props"],
+    "documents": ["doc_id", "text", "lang", "source", "n_chars"],
+    "embeddings": ["vec_id", "embedding", "label"],
+    "pages": ["page_id", "url", "html"],
+    "benchmark": ["item_id", "text"],
+    "labels": ["doc_id", "quality", "toxic"],
+    "conversations": ["conv_id", "turn", "role", "text"],
 }
 
 
@@ -86,7 +95,7 @@ _CSV_ORACLE = with_training() + "SELECT " + ", ".join(
 @register("s6_csv_batch_roundtrip", _CSV_ORACLE)
 def q_csv_roundtrip(spark, sf_dir):
     """Training rows written as CSV text by Spark, then parsed with the batch rules."""
-    path = f"{checkpoint_dir(spark).rstrip('/')}/csv/{spark.sparkContext.applicationId}/leads_csv"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/csv/{spark.sparkContext.applicationId}/leads-{uuid.uuid4().hex}"
     (_training(spark, sf_dir).select(*csv_io.ALL_FIELDS)
      .write.mode("overwrite").option("header", True).csv(path))
     return csv_io.read_leads_csv(spark, path)
@@ -94,9 +103,59 @@ def q_csv_roundtrip(spark, sf_dir):
 
 @register("v2_duplicate_rows", with_training() +
           "SELECT CAST(coalesce(sum(c - 1), 0) AS BIGINT) AS duplicate_rows FROM ("
-          f"SELECT count(*) AS c FROM training GROUP BY {', '.join(CAT)}, intent_label) g")
+          f"SELECT count(*) AS c, {', '.join(['id', *NUM, *CAT, 'intent_label'])} FROM ("
+          "SELECT * FROM training UNION ALL SELECT * FROM training WHERE id % 9 = 0 UNION ALL "
+          "SELECT * FROM training WHERE id % 27 = 0) u GROUP BY ALL) g")
 def q_duplicates(spark, sf_dir):
-    return Q.duplicate_rows(_training(spark, sf_dir), [*CAT, "intent_label"])
+    """Every column counts; every ninth row stands there twice, every 27th three times."""
+    t = _training(spark, sf_dir)
+    return Q.duplicate_rows(t.unionByName(t.where(F.col("id") % 9 == 0)).unionByName(t.where(F.col("id") % 27 == 0)))
+
+
+@register("s4_s5_written_and_loaded", with_training() + "SELECT * FROM training")
+def q_written_and_loaded(spark, sf_dir):
+    """The training table is written, read back and validated (V1 raises on an empty one)."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{spark.sparkContext.applicationId}/training-{uuid.uuid4().hex}"
+    tables.write_table(_training(spark, sf_dir), path)
+    df, report = tables.load_training(spark, path, list(NUM), list(CAT))
+    if report["dtype_warnings"]:
+        raise ValueError(f"unexpected column types: {report['dtype_warnings']}")
+    return df
+
+
+_TYPED = {"lead_score": "VARCHAR", "page_views": "VARCHAR", "industry": "INTEGER"}
+
+
+@register("v1_v4_p8_schema", with_training() + " UNION ALL ".join(
+    [f"SELECT 'numeric' AS finding, '{c}' AS column_name, count({c}) AS present FROM training"
+     for c in ("id", *[c for c in NUM if c not in _TYPED], "industry", "intent_label")]
+    + [f"SELECT 'warning' AS finding, '{c}' AS column_name, count({c}) AS present FROM training" for c in _TYPED]))
+def q_schema(spark, sf_dir):
+    """V4 and P8 on a training table with three columns of another type than declared; V1 passes."""
+    t = _training(spark, sf_dir).withColumns({
+        "lead_score": F.nanvl("lead_score", F.lit(None).cast("double")).cast("string"),
+        "page_views": F.col("page_views").cast("string"), "industry": F.length("industry")})
+    Q.check_shape(t)
+    warned = [next(c for c in (*NUM, *CAT) if f"'{c}'" in w) for w in Q.dtype_warnings(t, NUM, CAT)]
+    found = [("numeric", c) for c in Q.numeric_columns(t)] + [("warning", c) for c in warned]
+    one = Q.missing_as_null(t).agg(*[F.count(c).alias(f"c{i}") for i, (_, c) in enumerate(found)])
+    rows = ", ".join(f"'{k}', '{c}', c{i}" for i, (k, c) in enumerate(found))
+    return one.selectExpr(f"stack({len(found)}, {rows}) AS (finding, column_name, present)")
+
+
+@register("f17_categories", with_training() + "SELECT id, " + ", ".join(
+    f"CASE WHEN lower(trim(coalesce({c}, 'missing'))) IN ('', 'nan', 'none') THEN 'missing' "
+    f"ELSE lower(trim(coalesce({c}, 'missing'))) END AS {c}" for c in CAT) + " FROM training")
+def q_categories(spark, sf_dir):
+    """The categorical columns that are there, normalised."""
+    from leadlens.functions.exprs import normalise_category
+    from leadlens.plans.training import available
+
+    t = _training(spark, sf_dir)
+    found, missing = available(t, [*CAT, "no_such_column"])
+    if missing != ["no_such_column"]:
+        raise ValueError(f"missing columns: {missing}")
+    return t.select("id", *[normalise_category(c).alias(c) for c in found])
 
 
 _ALL = ["id", *NUM, *CAT, "intent_label"]

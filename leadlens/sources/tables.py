@@ -85,14 +85,14 @@ def materialized(df: DataFrame, label: str = "side") -> DataFrame:
 
 def load_training(spark: SparkSession, path: str, numeric: list[str], categorical: list[str],
                   fmt: str = "parquet", validate: bool = True):
-    """Scan a training table and validate it (V1–V4).
+    """Scan a training table (NaN reads as null) and validate it (V1–V4).
 
     Returns ``(df, report)`` where ``report`` holds the lazy duplicate-row and
     null-count frames plus the schema warnings; V1 raises on an empty table.
     """
     from leadlens.operators import quality as Q
 
-    df = read_table(spark, path, fmt)
+    df = Q.missing_as_null(read_table(spark, path, fmt))
     if not validate:
         return df, {}
     Q.check_shape(df)

@@ -132,7 +132,7 @@ def activities_view(spark: SparkSession, sf_dir: str) -> DataFrame:
                 .otherwise(F.col("l_quantity")))
     minutes = _m(pk * 37 + F.col("l_suppkey"), 4000)
     return j.select(
-        F.col("l_orderkey").alias("lead_id"),
+        F.when(_m(pk, 53) != 0, F.col("l_orderkey")).alias("lead_id"),
         F.col("l_linenumber").cast("long").alias("activity_id"),
         status.alias("call_status"),
         duration.cast("double").alias("duration"),
@@ -217,8 +217,8 @@ STAGES = ("Awareness", "Consideration", "Decision", "Qualification")
 def training_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The small lead table (8 numeric, 6 categorical, ``intent_label``).
 
-    Built from orders ⋈ customer with planted nulls, blanks and out-of-range
-    values (lead_score above 100, company_size 0, negative response time,
+    Built from orders ⋈ customer with planted nulls, NaN (missing as well, so
+    the oracle's side has nulls), blanks and out-of-range values (lead_score above 100, company_size 0, negative response time,
     click rate above 1, future sign-up).
     """
     o = read(spark, sf_dir, "orders")
@@ -230,15 +230,15 @@ def training_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.element_at(F.array(*[F.lit(s) for s in STAGES]), (_m(id_, 5) + 1).cast("int")))
     return j.select(
         id_.alias("id"),
-        F.when(_m(id_, 31) == 0, _null()).otherwise(F.round(F.col("o_totalprice") / 4900, 2))
-         .cast("double").alias("lead_score"),
+        F.when(_m(id_, 62) == 0, F.lit(float("nan"))).when(_m(id_, 31) == 0, _null())
+         .otherwise(F.round(F.col("o_totalprice") / 4900, 2)).cast("double").alias("lead_score"),
         _m(F.col("o_custkey"), 999).cast("int").alias("company_size"),
         F.when(_m(id_, 37) == 0, _null()).otherwise(_m(id_ * 37, 1000) / 10.0)
          .cast("double").alias("engagement_score"),
         (_m(id_, 97) / 2.0 - 0.5).cast("double").alias("response_time_hours"),
         (_m(id_, 101) / 100.0).cast("double").alias("email_open_rate"),
-        F.when(_m(id_, 43) == 0, _null()).otherwise(_m(id_, 103) / 100.0)
-         .cast("double").alias("email_click_rate"),
+        F.when(_m(id_, 86) == 0, F.lit(float("nan"))).when(_m(id_, 43) == 0, _null())
+         .otherwise(_m(id_, 103) / 100.0).cast("double").alias("email_click_rate"),
         _m(id_, 100).cast("int").alias("page_views"),
         F.datediff(F.lit(REF_DATE), F.to_date("o_orderdate")).alias("time_since_signup_days"),
         F.when(_m(id_, 41) == 0, _null()).otherwise(F.col("c_mktsegment")).alias("industry"),
