@@ -45,7 +45,8 @@ def keep_rows(docs: DataFrame, keep: DataFrame, id_col: str, text_col: str) -> D
     repeats = keep.groupBy("keep_id").count().where("count > 1").limit(1).count()
     total = docs.select(id_col).groupBy(id_col).count().where("count > 1").limit(1).count()
     if not repeats and not total:
-        return docs.join(keep.select("keep_id"), docs[id_col].eqNullSafe(F.col("keep_id")), "left_semi")
+        side = keep.select("keep_id")
+        return docs.join(side, docs[id_col].eqNullSafe(side["keep_id"]), "left_semi")
     # A struct holds the row, so that no column name can clash.
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"),
                        docs[id_col].alias("row_id"),

@@ -18,8 +18,15 @@
    skipped coordinates are counted from the signatures, and pairs with at
    least ``LEAST_MATCHES`` stay.  They are confirmed on the full sets.
 6. *Long lists.*  Where the classes of a long list are still in different
-   components, the pairs across components are counted too, in blocks of
-   ``BLOCK`` classes, and confirmed likewise.  So no partner is given up.
+   components, pairs across components are counted in blocks of ``BLOCK``
+   classes; a pair counts only in the list of the first coordinate that both
+   prefixes share.  First, in up to ``ROUNDS`` rounds over the lists of the
+   first ``ROUND_COORDINATES`` coordinates, each class names its ``BEST``
+   closest ones in other components, which joins a group of copies within a
+   few rounds.  Then all pairs that still lie across components are confirmed,
+   so no partner is given up.  There can be many such pairs just below the
+   similarity.  They are packed by tiles (two buckets of up to ``BUCKET``
+   classes that share lists), and each set moves once per tile, not per pair.
 
 With 64 coordinates a pair at a similarity of exactly 0.8 is missed with a
 chance of some 1e-5.  ``links`` compares integers: 100 * intersection >=
@@ -48,7 +55,8 @@ COORDINATES, LEAST_MATCHES = 64, 37
 PREFIX = COORDINATES - LEAST_MATCHES + 1
 #: At most so many tokens can each have more than 1 / FREQUENT of all postings; they are sent to the tasks (4 MB).
 FREQUENT = 1 << 18
-SHORT, BLOCK = 16, 1024
+SHORT, BLOCK, BUCKET = 16, 1024, 256
+ROUNDS, ROUND_COORDINATES, BEST = 4, 12, 2
 
 _rng = np.random.default_rng(20240608)
 MULTIPLY = _rng.integers(0, 2**63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -102,35 +110,53 @@ def frequent_tokens(reps: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return often["token"].to_numpy(np.int64), often["uses"].to_numpy(np.int64)
 
 
-def postings(reps: DataFrame) -> DataFrame:
-    """(token, node, n): the rarest tokens of each representative."""
-    tokens, uses = frequent_tokens(reps)
-    sent = reps.sparkSession.sparkContext.broadcast((tokens, uses))
+def rarest(sig: np.ndarray, often: np.ndarray, uses: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(tokens, coordinates of the prefix) per signature, under one order of all tokens."""
+    token = (np.arange(COORDINATES, dtype=np.int64) << 32) + sig.astype(np.int64)
+    rank = np.zeros(token.shape, dtype=np.uint64)
+    if len(often):
+        at = np.minimum(np.searchsorted(often, token), len(often) - 1)
+        rank = np.where(often[at] == token, uses[at], 0).astype(np.uint64)
+    order = (rank << np.uint64(24)) | (mixed(token.view(np.uint64)) >> np.uint64(40))
+    # Ties in the 24 hash bits are broken by token, so that the order is one for all.
+    return token, np.lexsort((token, order), axis=1)[:, :PREFIX]
+
+
+def signature_rows(column: pa.Array) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).view(np.uint32).reshape(-1, COORDINATES)
+
+
+def postings(reps: DataFrame, frequent) -> DataFrame:
+    """(token, node, n): the rarest tokens of each representative; ``frequent`` is broadcast."""
     schema = pa.schema([("token", pa.int64()), ("node", pa.int64()), ("n", pa.int64())])
-    base = np.arange(COORDINATES, dtype=np.int64) << 32
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often, uses = sent.value
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            sig = batch.column(2).flatten().to_numpy(zero_copy_only=False).view(np.uint32).reshape(-1, COORDINATES)
-            token = base + sig.astype(np.int64)
-            rank = np.zeros(token.shape, dtype=np.uint64)
-            if len(often):
-                at = np.minimum(np.searchsorted(often, token), len(often) - 1)
-                rank = np.where(often[at] == token, uses[at], 0).astype(np.uint64)
-            order = (rank << np.uint64(24)) | (mixed(token.view(np.uint64)) >> np.uint64(40))
-            # Ties in the 24 hash bits are broken by token, so that the order is one for all.
-            chosen = np.lexsort((token, order), axis=1)[:, :PREFIX]
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.take_along_axis(token, chosen, 1).ravel()),
-                pa.array(np.repeat(batch.column(0).to_numpy(), PREFIX)),
-                pa.array(np.repeat(batch.column(1).to_numpy(), PREFIX))], schema=schema)
+            if batch.num_rows:
+                token, chosen = rarest(signature_rows(batch.column(2)), *frequent.value)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.take_along_axis(token, chosen, 1).ravel()),
+                    pa.array(np.repeat(batch.column(0).to_numpy(), PREFIX)),
+                    pa.array(np.repeat(batch.column(1).to_numpy(), PREFIX))], schema=schema)
 
     return reps.select("node", "n", "sig").mapInArrow(run, "token long, node long, n long")
 
 
+def prefix_masks(reps: DataFrame, frequent) -> DataFrame:
+    """(node, mask, sig): which coordinates are in the prefix, a bit each."""
+    schema = pa.schema([("node", pa.int64()), ("mask", pa.int64()), ("sig", pa.list_(pa.int32()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                _, chosen = rarest(signature_rows(batch.column(1)), *frequent.value)
+                mask = np.bitwise_or.reduce(np.uint64(1) << chosen.astype(np.uint64), axis=1)
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(mask.view(np.int64)), batch.column(1)],
+                                                 schema=schema)
+
+    return reps.select("node", "sig").mapInArrow(run, "node long, mask long, sig array<int>")
+
+
 def merged_lists(posted: DataFrame, percent: int) -> DataFrame:
     """Stored: (long_list, x, y, n): pairs of nodes, and (token, node, n) of the long lists."""
     schema = pa.schema([("long_list", pa.bool_()), ("x", pa.int64()), ("y", pa.int64()), ("n", pa.int64())])
@@ -200,18 +226,15 @@ def matched(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(same >= LEAST_MATCHES).select("a", "b")
 
 
-def confirmed(pairs: DataFrame, reps: DataFrame, docs: DataFrame, words: int, percent: int, id_col: str,
-              text_col: str) -> DataFrame:
-    """Stored: the pairs whose full sets reach the similarity."""
-    pairs = materialized(pairs, "candidates")
-    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+def full_sets(nodes: DataFrame, reps: DataFrame, docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
+    """Stored: (node, hashes) of ``nodes(node)``: the sorted shingle hashes as bytes, from the whole texts again."""
     nodes = materialized(reps.join(nodes, "node", "left_semi").select(
         "node", F.col("doc_id").alias("own_id"), F.col("digest").alias("own_digest")), "candidate-docs")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     texts = texts.join(nodes.select("own_id"), F.col("doc_id").eqNullSafe(F.col("own_id")), "left_semi")
     schema = pa.schema([("doc_id", pa.int64()), ("digest", pa.binary()), ("hashes", pa.binary())])
 
-    def run_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, raw, starts in chunks(batch.column(1)):
                 sets, counts = shingle_sets(raw, starts, words)
@@ -221,59 +244,150 @@ def confirmed(pairs: DataFrame, reps: DataFrame, docs: DataFrame, words: int, pe
                                                   pa.array([set_digest(s) for s in own], pa.binary()),
                                                   pa.array([s.tobytes() for s in own], pa.binary())], schema=schema)
 
-    sets = texts.mapInArrow(run_sets, "doc_id long, digest binary, hashes binary").join(
+    sets = texts.mapInArrow(run, "doc_id long, digest binary, hashes binary").join(
         nodes, F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("digest") == F.col("own_digest")))
-    sets = materialized(sets.select("node", "hashes"), "candidate-sets")
+    return materialized(sets.select("node", "hashes"), "candidate-sets")
+
+
+def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether 100 * intersection >= percent * union, for sorted distinct hashes."""
+    if len(x) > len(y):
+        x, y = y, x
+    if 100 * len(x) < percent * len(y):
+        return False
+    common = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+    return 100 * common >= percent * (len(x) + len(y) - common)
+
+
+def confirmed(pairs: DataFrame, sets_of, percent: int) -> DataFrame:
+    """Stored: the pairs whose full sets reach the similarity; ``sets_of`` gives the sets of nodes."""
+    pairs = materialized(pairs, "candidates")
+    sets = sets_of(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct())
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("x")), "a").join(
         sets.select(F.col("node").alias("b"), F.col("hashes").alias("y")), "b").select("a", "b", "x", "y")
 
-    def run_check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep, last, held = [], None, None
-            for a, x, y in zip(*(batch.column(c).to_pylist() for c in (0, 2, 3)), strict=True):
-                if a != last:
-                    last, held = a, np.frombuffer(x, np.uint64)
-                other = np.frombuffer(y, np.uint64)
-                common = len(held) + len(other) - len(np.unique(np.concatenate([held, other])))
-                keep.append(100 * common >= percent * (len(held) + len(other) - common))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep))
+            keep = [similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent)
+                    for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return materialized(both.mapInArrow(run, "a long, b long"), "near-links")
 
-    return materialized(both.mapInArrow(run_check, "a long, b long"), "near-links")
 
+def buckets(long_rows: DataFrame) -> DataFrame:
+    """Stored: (node, bucket): nodes whose lists have a first node in common, in buckets of about BUCKET."""
+    hubs = long_rows.groupBy("token").agg(F.min("node").alias("hub"))
+    near = long_rows.join(hubs, "token").groupBy("node").agg(F.min("hub").alias("hub"))
+    near = materialized(near, "list-hubs")
+    sizes = near.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / BUCKET).alias("parts"))
+    return materialized(near.join(sizes, "hub").select(
+        "node", F.xxhash64("hub", F.pmod(F.xxhash64("node"), F.col("parts"))).alias("bucket")), "list-buckets")
 
-def across(long_rows: DataFrame, labels: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """Pairs of long lists that lie in different components and agree in LEAST_MATCHES coordinates.
 
-    A list is dealt into blocks; each pair of blocks is compared in one place, which holds two blocks at most.
+def tiles_confirmed(tiles: DataFrame, sets_of, percent: int) -> DataFrame:
+    """Stored: the pairs packed in ``tiles(p, q, pairs)`` whose full sets reach the similarity."""
+    schema = pa.schema([("p", pa.int64()), ("q", pa.int64()), ("node", pa.int64()), ("data", pa.binary()),
+                        ("kind", pa.int32())])
+
+    def with_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row (kind 0) for each node of a tile, next to the tile's pairs (kind 1)."""
+        key, seen = None, set()
+        for batch in batches:
+            out = []
+            for p, q, pairs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (p, q) != key:
+                    key, seen = (p, q), set()
+                fresh = set(np.frombuffer(pairs, np.int64).tolist()) - seen
+                seen |= fresh
+                out += [(p, q, n, None, 0) for n in fresh]
+                out.append((p, q, None, pairs, 1))
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)]
+                                             if out else [pa.array([], f.type) for f in schema], schema=schema)
+
+    ordered = tiles.repartition("p", "q").sortWithinPartitions("p", "q").select("p", "q", "pairs")
+    tiles = materialized(ordered.mapInArrow(with_nodes, "p long, q long, node long, data binary, kind int"), "tiles")
+    nodes = tiles.where("kind = 0")
+    sets = sets_of(nodes.select("node").distinct())
+    rows = nodes.drop("data").join(sets, "node").select("p", "q", "node", F.col("hashes").alias("data"), "kind")
+    rows = rows.unionByName(tiles.where("kind = 1"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, {}
+        for batch in batches:
+            out = []
+            for p, q, node, data, kind in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (p, q) != key:
+                    key, held = (p, q), {}
+                if kind == 0:
+                    held[node] = np.frombuffer(data, np.uint64)
+                else:
+                    out += [ab for ab in np.frombuffer(data, np.int64).reshape(-1, 2).tolist()
+                            if similar(held[ab[0]], held[ab[1]], percent)]
+            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.int64()),
+                                              pa.array([b for _, b in out], pa.int64())], ["a", "b"])
+
+    ordered = rows.repartition("p", "q").sortWithinPartitions("p", "q", "kind").select("p", "q", "node", "data", "kind")
+    return materialized(ordered.mapInArrow(run, "a long, b long"), "near-links")
+
+
+def across(long_rows: DataFrame, labels: DataFrame, masks: DataFrame, percent: int, best: int | None) -> DataFrame:
+    """Pairs of long lists that lie in different components and agree in LEAST_MATCHES coordinates, packed by tile.
+
+    Rows are (p, q, pairs): two buckets and the int64 nodes (a, b) of any
+    number of pairs between them.  ``best`` keeps that many closest ones of
+    each class in each block; None keeps all.  A list is dealt into blocks;
+    each pair of blocks is compared in one place, which holds two blocks at
+    most.
     """
-    named = long_rows.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    named = materialized(named, "long-lists")
+    named = materialized(long_rows.join(labels, "node", "left").withColumn(
+        "component", F.coalesce("component", "node")), "long-lists")
     lists = named.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.min("component").alias("low"),
                                        F.max("component").alias("high")).where("low <> high")
-    blocks = F.ceil(F.col("m") / BLOCK)
-    parts = named.join(lists.select("token", blocks.alias("blocks")), "token").withColumn(
+    lists = materialized(lists.select("token", F.ceil(F.col("m") / BLOCK).alias("blocks")), "open-lists")
+    parts = named.join(lists, "token").withColumn(
         "own", F.pmod(F.xxhash64("node"), F.col("blocks"))).withColumn(
         "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     parts = parts.select("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
                          (F.col("own") <= F.col("other")).alias("first"), "node", "n", "component")
-    parts = parts.join(reps.select("node", "sig"), "node").select(
-        "token", "i", "j", "first", "node", "n", "component", "sig")
+    parts = parts.join(masks, "node").select("token", "i", "j", "first", "node", "n", "component", "mask", "bucket", "sig")
+    schema = pa.schema([("p", pa.int64()), ("q", pa.int64()), ("pairs", pa.binary())])
 
     def compare(key, held):
-        first, node, n, comp = (np.array([r[c] for r in held]) for c in (0, 1, 2, 3))
-        sig = np.array([r[4] for r in held], dtype=np.int32)
-        xs, ys = [], []
-        rows = np.arange(len(node)) if key[1] == key[2] else np.flatnonzero(first)
-        rest = np.ones(len(node), bool) if key[1] == key[2] else ~first
-        for r in rows.tolist():
-            ok = rest & (comp != comp[r]) & (100 * np.minimum(n, n[r]) >= percent * np.maximum(n, n[r]))
-            if key[1] == key[2]:
+        first, node, n, comp, mask, bucket = (np.array([r[c] for r in held]) for c in range(6))
+        sig = np.array([r[6] for r in held], dtype=np.int32)
+        mask = mask.astype(np.int64).view(np.uint64)
+        here = np.uint64(1) << np.uint64(key[0] >> 32)
+        same_block = key[1] == key[2]
+        none = np.zeros(0, np.int64)
+        xs, ys = [none], [none]
+        for r in range(len(node)) if same_block or best else np.flatnonzero(first).tolist():
+            ok = (comp != comp[r]) & (100 * np.minimum(n, n[r]) >= percent * np.maximum(n, n[r]))
+            if not same_block:
+                ok &= first != first[r]
+            elif not best:
                 ok &= node > node[r]
             at = np.flatnonzero(ok)
-            at = at[(sig[at] == sig[r]).sum(axis=1) >= LEAST_MATCHES]
-            xs += [node[r]] * len(at)
-            ys += node[at].tolist()
-        return pa.RecordBatch.from_arrays([pa.array(xs, pa.int64()), pa.array(ys, pa.int64())], ["x", "y"])
+            equal = sig[at] == sig[r]
+            shared = np.packbits(equal, axis=1, bitorder="little").view(np.uint64)[:, 0] & mask[at] & mask[r]
+            hits = equal.sum(axis=1)
+            chosen = (hits >= LEAST_MATCHES) & (shared & (~shared + np.uint64(1)) == here)
+            at, hits = at[chosen], hits[chosen]
+            if best and len(at) > best:
+                at = at[np.argsort(-hits, kind="stable")[:best]]
+            xs.append(np.full(len(at), r))
+            ys.append(at)
+        x, y = np.concatenate(xs), np.concatenate(ys)
+        p, q = np.minimum(bucket[x], bucket[y]), np.maximum(bucket[x], bucket[y])
+        order = np.lexsort((q, p))
+        x, y, p, q = x[order], y[order], p[order], q[order]
+        if not len(x):
+            return pa.RecordBatch.from_arrays([pa.array([], f.type) for f in schema], schema=schema)
+        cuts = np.flatnonzero(np.r_[True, (p[1:] != p[:-1]) | (q[1:] != q[:-1])])
+        nodes = np.stack([node[x], node[y]], axis=1).astype(np.int64)
+        return pa.RecordBatch.from_arrays([
+            pa.array(p[cuts], pa.int64()), pa.array(q[cuts], pa.int64()),
+            pa.array([nodes[a:b].tobytes() for a, b in zip(cuts, [*cuts[1:], len(p)], strict=True)], pa.binary())], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held = None, []
@@ -288,8 +402,28 @@ def across(long_rows: DataFrame, labels: DataFrame, reps: DataFrame, percent: in
             yield compare(key, held)
 
     ordered = parts.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
-    return ordered.mapInArrow(run, "x long, y long").select(
-        F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    return ordered.mapInArrow(run, "p long, q long, pairs binary")
+
+
+def joined_long_lists(links: DataFrame, long_rows: DataFrame, reps: DataFrame, frequent, percent: int, sets_of) -> DataFrame:
+    """Components of ``links`` and of all further links within long lists."""
+    labels = connected_components(links)
+    if long_rows.isEmpty():
+        return labels
+    bucket_of = buckets(long_rows)
+    masks = prefix_masks(reps.join(bucket_of.select("node"), "node", "left_semi"), frequent)
+    masks = materialized(masks.join(bucket_of, "node"), "prefix-masks")
+    few = long_rows.where(F.shiftright("token", 32) < ROUND_COORDINATES)
+    found = True
+    for best in [BEST] * ROUNDS + [None]:
+        if best is None or found:  # a round without a new link is followed by the last one
+            rows = few if best else long_rows
+            more = tiles_confirmed(across(rows, labels, masks, percent, best), sets_of, percent)
+            found = not more.isEmpty()
+            if found:
+                links = links.unionByName(more)
+                labels = connected_components(links)
+    return labels
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id",
@@ -303,16 +437,17 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     reps = materialized(whole.join(classes.select(F.col("node").alias("row_no")), "row_no", "left_semi").where(
         100 * F.col("n") >= percent * (F.col("n") + 1)).withColumnRenamed("row_no", "node"), "representatives")
 
-    merged = merged_lists(postings(reps), percent)
+    frequent = docs.sparkSession.sparkContext.broadcast(frequent_tokens(reps))
+
+    def sets_of(nodes):
+        return full_sets(nodes, reps, docs, words, id_col, text_col)
+
+    merged = merged_lists(postings(reps, frequent), percent)
     pairs = merged.where("not long_list").groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(
         F.count(F.lit(1)).alias("collisions")).select("a", "b")
-    links = confirmed(matched(pairs, reps), reps, docs, words, percent, id_col, text_col)
-    labels = connected_components(links)
+    links = confirmed(matched(pairs, reps), sets_of, percent)
     long_rows = merged.where("long_list").select(F.col("x").alias("token"), F.col("y").alias("node"), "n")
-    if not long_rows.isEmpty():
-        more = confirmed(across(long_rows, labels, reps, percent), reps, docs, words, percent, id_col, text_col)
-        if not more.isEmpty():
-            labels = connected_components(links.unionByName(more))
+    labels = joined_long_lists(links, long_rows, reps, frequent, percent, sets_of)
 
     named = materialized(classes.join(labels, "node", "left").withColumn(
         "component", F.coalesce("component", "node")), "class-components")

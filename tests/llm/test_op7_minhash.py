@@ -75,10 +75,12 @@ def corpus():
     return texts
 
 
-@pytest.mark.parametrize(("words", "short", "block"), [(2, 16, 1024), (2, 2, 7), (5, 3, 8)])
-def test_equals_all_pairs(spark, monkeypatch, words, short, block):
+@pytest.mark.parametrize(("words", "short", "block", "rounds"), [(2, 16, 1024, 1), (2, 2, 7, 0), (5, 3, 8, 2)])
+def test_equals_all_pairs(spark, monkeypatch, words, short, block, rounds):
     monkeypatch.setattr(M, "SHORT", short)
     monkeypatch.setattr(M, "BLOCK", block)
+    monkeypatch.setattr(M, "ROUNDS", rounds)
+    monkeypatch.setattr(M, "BUCKET", block)
     rows = [*enumerate(corpus(), 10), (3, "one two three four five six"), (3, "one two three four five six"), (None, "null id"),
             (None, "null id"), (5, "one two three four five six")]
     check(M.near_duplicates(docs_of(spark, rows, extra=True), words=words).collect(), rows, words)
