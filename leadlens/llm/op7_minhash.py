@@ -8,9 +8,10 @@
 3. *Prefix and skip.*  Two signatures that agree in ``LEAST_MATCHES`` tokens
    share one within the ``COORDINATES - LEAST_MATCHES + 1`` rarest tokens of
    each, under any one order of all tokens.  Only this prefix is posted; the
-   frequent tokens' lists are skipped.  The order is by exact frequency of the
-   frequent tokens (those with more than 1/2^18 of all postings, so at most
-   2^18 of them), then by a hash.
+   frequent tokens' lists are skipped.  The order is by frequency over all
+   classes, then by a hash.  Frequencies are run lengths of the sorted tokens,
+   up to ``COUNTED``, so that no run is held whole; a token that only one
+   class holds takes its place in the prefix and needs no posting.
 4. *Merging.*  Lists are merged in order of token.  A list of up to ``SHORT``
    classes gives its pairs.  A longer list pairs each class with the list's
    first one, so a group of thousands of copies gives one pair each.
@@ -49,14 +50,14 @@ from pyspark.sql import functions as F
 
 from leadlens.llm.common import keep_rows, materialized
 from leadlens.llm.components import connected_components
-from leadlens.llm.shingles import chunks, mixed, set_digest, shingle_sets
+from leadlens.llm.shingles import chunks, set_digest, shingle_sets
 
 COORDINATES, LEAST_MATCHES = 64, 37
 PREFIX = COORDINATES - LEAST_MATCHES + 1
-#: At most so many tokens can each have more than 1 / FREQUENT of all postings; they are sent to the tasks (4 MB).
-FREQUENT = 1 << 18
-SHORT, BLOCK, BUCKET = 16, 1024, 256
-ROUNDS, ROUND_COORDINATES, BEST = 4, 12, 2
+#: Frequencies from here on count as equal.
+COUNTED = 1000
+SHORT, BLOCK, BUCKET = 16, 1024, 512
+ROUNDS, ROUND_COORDINATES, BEST = 2, 12, 2
 
 _rng = np.random.default_rng(20240608)
 MULTIPLY = _rng.integers(0, 2**63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -99,62 +100,58 @@ def described(docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFr
     return materialized(found.withColumn("row_no", F.monotonically_increasing_id()), "minhash")
 
 
-def frequent_tokens(reps: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """(tokens, frequency), sorted by token; at most FREQUENT of them."""
-    total = reps.count() * COORDINATES
-    tokens = reps.select(F.posexplode("sig").alias("k", "v")).select(
-        (F.shiftleft(F.col("k").cast("long"), 32) + F.col("v").cast("long").bitwiseAND(0xFFFFFFFF)).alias("token"))
-    often = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("uses")).where(
-        F.col("uses") > max(SHORT, total // FREQUENT)).toPandas()
-    often = often.sort_values("token")
-    return often["token"].to_numpy(np.int64), often["uses"].to_numpy(np.int64)
+def shared_tokens(reps: DataFrame) -> DataFrame:
+    """(token, node, uses) of the tokens that several classes hold; uses is at most COUNTED."""
+    tokens = reps.select("node", F.posexplode("sig").alias("k", "v")).select(
+        (F.shiftleft(F.col("k").cast("long"), 32) + F.col("v").cast("long").bitwiseAND(0xFFFFFFFF)).alias("token"), "node")
+    schema = pa.schema([("token", pa.int64()), ("node", pa.int64()), ("uses", pa.int32())])
 
-
-def rarest(sig: np.ndarray, often: np.ndarray, uses: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(tokens, coordinates of the prefix) per signature, under one order of all tokens."""
-    token = (np.arange(COORDINATES, dtype=np.int64) << 32) + sig.astype(np.int64)
-    rank = np.zeros(token.shape, dtype=np.uint64)
-    if len(often):
-        at = np.minimum(np.searchsorted(often, token), len(often) - 1)
-        rank = np.where(often[at] == token, uses[at], 0).astype(np.uint64)
-    order = (rank << np.uint64(24)) | (mixed(token.view(np.uint64)) >> np.uint64(40))
-    # Ties in the 24 hash bits are broken by token, so that the order is one for all.
-    return token, np.lexsort((token, order), axis=1)[:, :PREFIX]
-
-
-def signature_rows(column: pa.Array) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).view(np.uint32).reshape(-1, COORDINATES)
-
-
-def postings(reps: DataFrame, frequent) -> DataFrame:
-    """(token, node, n): the rarest tokens of each representative; ``frequent`` is broadcast."""
-    schema = pa.schema([("token", pa.int64()), ("node", pa.int64()), ("n", pa.int64())])
+    def rows(token, node, uses):
+        return pa.RecordBatch.from_arrays([pa.array(token), pa.array(node), pa.array(uses.astype(np.int32))], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        token = node = np.zeros(0, np.int64)
+        open_token = None  # of a run that has more than COUNTED rows
         for batch in batches:
-            if batch.num_rows:
-                token, chosen = rarest(signature_rows(batch.column(2)), *frequent.value)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.take_along_axis(token, chosen, 1).ravel()),
-                    pa.array(np.repeat(batch.column(0).to_numpy(), PREFIX)),
-                    pa.array(np.repeat(batch.column(1).to_numpy(), PREFIX))], schema=schema)
+            token, node = (np.concatenate([old, new.to_numpy()]) for old, new in zip((token, node), batch.columns, strict=True))
+            if not len(token):
+                continue
+            starts = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
+            sizes = np.diff(np.r_[starts, len(token)])
+            if token[0] == open_token:
+                sizes[0] = max(sizes[0], COUNTED)
+            goes_on = sizes[-1] < COUNTED  # the last run may grow in the next batch
+            upto = int(starts[-1]) if goes_on else len(token)
+            if not goes_on:
+                open_token = int(token[-1])
+            uses = np.repeat(np.minimum(sizes, COUNTED), np.diff(np.r_[starts, len(token)]))[:upto]
+            shared = uses > 1
+            yield rows(token[:upto][shared], node[:upto][shared], uses[shared])
+            token, node = token[upto:], node[upto:]
+        if len(token):
+            uses = np.full(len(token), COUNTED if token[0] == open_token else len(token))
+            if uses[0] > 1:
+                yield rows(token, node, uses)
 
-    return reps.select("node", "n", "sig").mapInArrow(run, "token long, node long, n long")
+    ordered = tokens.repartition("token").sortWithinPartitions("token").select("token", "node")
+    return ordered.mapInArrow(run, "token long, node long, uses int")
 
 
-def prefix_masks(reps: DataFrame, frequent) -> DataFrame:
-    """(node, mask, sig): which coordinates are in the prefix, a bit each."""
-    schema = pa.schema([("node", pa.int64()), ("mask", pa.int64()), ("sig", pa.list_(pa.int32()))])
+def postings(reps: DataFrame) -> DataFrame:
+    """Stored: (token, node, n): of each representative's PREFIX rarest tokens those that others hold too."""
+    ranked = shared_tokens(reps).groupBy("node").agg(F.sort_array(F.collect_list(
+        F.struct("uses", F.xxhash64("token").alias("h"), "token"))).alias("tokens"))
+    # Tokens that no other class holds are the rarest and come first.
+    room = F.greatest(F.lit(0), F.lit(PREFIX - COORDINATES) + F.size("tokens"))
+    chosen = ranked.select("node", F.explode(F.slice("tokens", 1, room)).alias("t")).select("node", "t.token")
+    return materialized(chosen.join(reps.select("node", "n"), "node").select("token", "node", "n"), "postings")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                _, chosen = rarest(signature_rows(batch.column(1)), *frequent.value)
-                mask = np.bitwise_or.reduce(np.uint64(1) << chosen.astype(np.uint64), axis=1)
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(mask.view(np.int64)), batch.column(1)],
-                                                 schema=schema)
 
-    return reps.select("node", "sig").mapInArrow(run, "node long, mask long, sig array<int>")
+def prefix_masks(posted: DataFrame, reps: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, mask, sig) of ``nodes``: which coordinates are posted, a bit each."""
+    masks = posted.join(nodes, "node", "left_semi").groupBy("node").agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(shiftright(token, 32) as int))")).alias("mask"))
+    return masks.join(reps.select("node", "sig"), "node")
 
 
 def merged_lists(posted: DataFrame, percent: int) -> DataFrame:
@@ -405,14 +402,14 @@ def across(long_rows: DataFrame, labels: DataFrame, masks: DataFrame, percent: i
     return ordered.mapInArrow(run, "p long, q long, pairs binary")
 
 
-def joined_long_lists(links: DataFrame, long_rows: DataFrame, reps: DataFrame, frequent, percent: int, sets_of) -> DataFrame:
+def joined_long_lists(links: DataFrame, long_rows: DataFrame, posted: DataFrame, reps: DataFrame, percent: int,
+                      sets_of) -> DataFrame:
     """Components of ``links`` and of all further links within long lists."""
     labels = connected_components(links)
     if long_rows.isEmpty():
         return labels
     bucket_of = buckets(long_rows)
-    masks = prefix_masks(reps.join(bucket_of.select("node"), "node", "left_semi"), frequent)
-    masks = materialized(masks.join(bucket_of, "node"), "prefix-masks")
+    masks = materialized(prefix_masks(posted, reps, bucket_of.select("node")).join(bucket_of, "node"), "prefix-masks")
     few = long_rows.where(F.shiftright("token", 32) < ROUND_COORDINATES)
     found = True
     for best in [BEST] * ROUNDS + [None]:
@@ -437,17 +434,16 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     reps = materialized(whole.join(classes.select(F.col("node").alias("row_no")), "row_no", "left_semi").where(
         100 * F.col("n") >= percent * (F.col("n") + 1)).withColumnRenamed("row_no", "node"), "representatives")
 
-    frequent = docs.sparkSession.sparkContext.broadcast(frequent_tokens(reps))
-
     def sets_of(nodes):
         return full_sets(nodes, reps, docs, words, id_col, text_col)
 
-    merged = merged_lists(postings(reps, frequent), percent)
+    posted = postings(reps)
+    merged = merged_lists(posted, percent)
     pairs = merged.where("not long_list").groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(
         F.count(F.lit(1)).alias("collisions")).select("a", "b")
     links = confirmed(matched(pairs, reps), sets_of, percent)
     long_rows = merged.where("long_list").select(F.col("x").alias("token"), F.col("y").alias("node"), "n")
-    labels = joined_long_lists(links, long_rows, reps, frequent, percent, sets_of)
+    labels = joined_long_lists(links, long_rows, posted, reps, percent, sets_of)
 
     named = materialized(classes.join(labels, "node", "left").withColumn(
         "component", F.coalesce("component", "node")), "class-components")

@@ -81,6 +81,7 @@ def test_equals_all_pairs(spark, monkeypatch, words, short, block, rounds):
     monkeypatch.setattr(M, "BLOCK", block)
     monkeypatch.setattr(M, "ROUNDS", rounds)
     monkeypatch.setattr(M, "BUCKET", block)
+    monkeypatch.setattr(M, "COUNTED", 5 if block < 8 else 1000)
     rows = [*enumerate(corpus(), 10), (3, "one two three four five six"), (3, "one two three four five six"), (None, "null id"),
             (None, "null id"), (5, "one two three four five six")]
     check(M.near_duplicates(docs_of(spark, rows, extra=True), words=words).collect(), rows, words)
