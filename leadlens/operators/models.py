@@ -1,7 +1,8 @@
 """Model tiers, training, importances and CV search (M1–M6) on MLlib.
 
-Tier parameters follow the training script; where MLlib differs the
-mapping is stated:
+Tier parameters follow the training script (``script``), or the configuration
+file (``config``: boosting 100 × depth 3 and 100 × depth 6, step 0.1); where
+MLlib differs the mapping is stated:
 
 * baseline (M1) – L2 logistic regression, C = 1, balanced class weights:
   ``regParam = 1/(C·Σw)`` (MLlib averages the weighted loss; sklearn sums it),
@@ -54,10 +55,22 @@ def pos_weighted(df: DataFrame, label: str, spw: float, out: str = "weight") ->
     return df.withColumn(out, F.when(F.col(label) == 1, F.lit(float(spw))).otherwise(F.lit(1.0)))
 
 
+# Boosting parameters of the training script and of the configuration file.
+BOOSTING = {
+    "script": {"challenger": {"n_estimators": 200, "max_depth": 4, "learning_rate": 0.05},
+               "champion": {"n_estimators": 300, "max_depth": 6, "learning_rate": 0.05, "min_child_weight": 5}},
+    "config": {"challenger": {"n_estimators": 100, "max_depth": 3, "learning_rate": 0.1},
+               "champion": {"n_estimators": 100, "max_depth": 6, "learning_rate": 0.1, "min_child_weight": 1}},
+}
+CHALLENGERS = ("gradient_boosting", "random_forest")
+
+
 def build_classifier(tier: str, n_rows: int, spw: float, label: str = "label",
                      features: str = "features", weight: str = "weight",
-                     challenger: str = "gradient_boosting"):
-    """Return (estimator, params dict) for a tier."""
+                     challenger: str = "gradient_boosting", parameters: str = "script"):
+    """Return (estimator, params dict) for a tier; ``parameters`` names a set of ``BOOSTING``."""
+    if challenger not in CHALLENGERS:
+        raise ValueError(f"challenger must be one of {CHALLENGERS}, not {challenger!r}")
     if tier == "baseline":
         return LogisticRegression(featuresCol=features, labelCol=label, weightCol=weight,
                                   regParam=1.0 / max(n_rows, 1), elasticNetParam=0.0,
@@ -67,15 +80,14 @@ def build_classifier(tier: str, n_rows: int, spw: float, label: str = "label",
         return RandomForestClassifier(featuresCol=features, labelCol=label, weightCol=weight,
                                       numTrees=100, maxDepth=30, minInstancesPerNode=1, seed=SEED), \
             {"n_estimators": "100", "max_depth": "None", "class_weight": "balanced"}
+    p = BOOSTING[parameters][tier]
+    shown = {k: str(p[k]) for k in ("n_estimators", "max_depth", "learning_rate")}
+    trees = GBTClassifier(featuresCol=features, labelCol=label, maxIter=p["n_estimators"], maxDepth=p["max_depth"],
+                          stepSize=p["learning_rate"], subsamplingRate=0.8, seed=SEED)
     if tier == "challenger":
-        return GBTClassifier(featuresCol=features, labelCol=label, maxIter=200, maxDepth=4,
-                             stepSize=0.05, subsamplingRate=0.8, seed=SEED), \
-            {"n_estimators": "200", "max_depth": "4", "learning_rate": "0.05"}
-    return GBTClassifier(featuresCol=features, labelCol=label, weightCol=weight, maxIter=300,
-                         maxDepth=6, stepSize=0.05, subsamplingRate=0.8,
-                         featureSubsetStrategy="0.8", minInstancesPerNode=5, seed=SEED), \
-        {"n_estimators": "300", "max_depth": "6", "learning_rate": "0.05",
-         "scale_pos_weight": str(spw)}
+        return trees, shown
+    trees.setWeightCol(weight).setFeatureSubsetStrategy("0.8").setMinInstancesPerNode(p["min_child_weight"])
+    return trees, {**shown, "scale_pos_weight": str(spw)}
 
 
 def with_probability(pred: DataFrame) -> DataFrame:
@@ -91,7 +103,7 @@ def evaluate(model, df: DataFrame, label: str = "label") -> DataFrame:
 
 
 def train_tier(tier: str, train: DataFrame, eval_df: DataFrame, label: str = "label",
-               features: str = "features", challenger: str = "gradient_boosting"):
+               features: str = "features", challenger: str = "gradient_boosting", parameters: str = "script"):
     """Fit one tier; returns (model, metrics_row_df, params)."""
     bal = class_balance(train, label).first()
     n_pos, n_neg = bal["n_pos"], bal["n_neg"]
@@ -101,7 +113,7 @@ def train_tier(tier: str, train: DataFrame, eval_df: DataFrame, label: str = "la
     else:
         data = pos_weighted(train, label, spw if tier == "champion" else 1.0)
     clf, params = build_classifier(tier, n_pos + n_neg, spw, label, features,
-                                   challenger=challenger)
+                                   challenger=challenger, parameters=parameters)
     model = clf.fit(data)
     return model, evaluate(model, eval_df, label), params
 
@@ -117,11 +129,12 @@ def run_row(tier: str, seq: int, run_id: str, metrics_row: DataFrame, params: di
 
 
 def train_tiers(train: DataFrame, eval_df: DataFrame, tiers: Sequence[str] = TIERS,
-                label: str = "label", features: str = "features"):
+                label: str = "label", features: str = "features", challenger: str = "gradient_boosting",
+                parameters: str = "script"):
     """Train every tier; returns (run_results_df, {tier: model})."""
     models, rows = {}, None
     for i, tier in enumerate(tiers):
-        model, met, params = train_tier(tier, train, eval_df, label, features)
+        model, met, params = train_tier(tier, train, eval_df, label, features, challenger, parameters)
         models[tier] = model
         r = run_row(tier, i, f"{tier}-{i}", met, params)
         rows = r if rows is None else rows.unionByName(r)

@@ -86,7 +86,8 @@ def fit_preprocessor(train: DataFrame, numeric: Sequence[str], categorical: Sequ
                                                  handleInvalid="keep")]), cols
 
 
-def scored_mode(scored: DataFrame, tiers: Sequence[str] = M.TIERS):
+def scored_mode(scored: DataFrame, tiers: Sequence[str] = M.TIERS, challenger: str = "gradient_boosting",
+                parameters: str = "script"):
     feats, _missing = available(scored, SCORE_COLUMNS)
     data = _keep(prepare(scored, feats, [], SCORED_TARGET, extra=["lead_id", "split"]))
     train = data.where(F.col("split") == "train")
@@ -94,27 +95,28 @@ def scored_mode(scored: DataFrame, tiers: Sequence[str] = M.TIERS):
     test = data.where(F.col("split") == "test")
     pre, cols = fit_preprocessor(train, feats, [])
     tr, va, te = (_keep(pre.transform(x)) for x in (train, val, test))
-    runs, models = M.train_tiers(tr, va, tiers)
+    runs, models = M.train_tiers(tr, va, tiers, challenger=challenger, parameters=parameters)
     ranked = R.rank_runs(runs)
     win = ranked.where(F.col("is_winner")).select("tier").first()["tier"]
     test_metrics = M.evaluate(models[win], te)
     return ranked, models, pre, cols, test_metrics
 
 
-def raw_mode(features: DataFrame, tiers: Sequence[str] = M.TIERS, test_size: float = 0.2):
+def raw_mode(features: DataFrame, tiers: Sequence[str] = M.TIERS, test_size: float = 0.2,
+             challenger: str = "gradient_boosting", parameters: str = "script"):
     num, _ = available(features, NUMERIC_FEATURES)
     cat, _ = available(features, CATEGORICAL_FEATURES)
     data = _keep(prepare(features, num, cat, TARGET, extra=["lead_id"]))
     train, test = D.train_test_split(data, "lead_id", test_size, label_col="label", exact=True)
     pre, cols = fit_preprocessor(train, num, cat)
     tr, te = _keep(pre.transform(train)), _keep(pre.transform(test))
-    runs, models = M.train_tiers(tr, te, tiers)
+    runs, models = M.train_tiers(tr, te, tiers, challenger=challenger, parameters=parameters)
     return R.rank_runs(runs), models, pre, cols
 
 
 def table_mode(training: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
                target: str, id_col: str = "id", tiers: Sequence[str] = M.TIERS,
-               test_size: float = 0.2):
+               test_size: float = 0.2, challenger: str = "gradient_boosting", parameters: str = "config"):
     """Config-driven training table: exact stratified split (D1), the feature
     pipeline (population scaler, drop-first one-hot, variance filter 0.01,
     fitted on train), tiers evaluated on test, winner selected (R1)."""
@@ -124,5 +126,6 @@ def table_mode(training: DataFrame, numeric: Sequence[str], categorical: Sequenc
     train = flagged.where(~F.col("_is_test")).drop("_is_test")
     test = flagged.where(F.col("_is_test")).drop("_is_test")
     fp = T.FeaturePipeline(numeric, categorical, impute=True).fit(train)
-    runs, models = M.train_tiers(_keep(fp.transform(train)), _keep(fp.transform(test)), tiers)
+    runs, models = M.train_tiers(_keep(fp.transform(train)), _keep(fp.transform(test)), tiers, challenger=challenger,
+                                 parameters=parameters)
     return R.rank_runs(runs), models, fp

@@ -118,3 +118,27 @@ def test_table_mode_and_validated_load(spark, tmp_path):
     ranked, models, fp = table_mode(loaded, list(NUMERIC_FEATURES), list(CATEGORICAL_FEATURES),
                                     "intent_label", tiers=["baseline"])
     assert ranked.first().is_winner and "baseline" in models and fp.columns
+
+
+@pytest.mark.parametrize(("parameters", "tier", "want"), [
+    ("script", "challenger", (200, 4, 0.05, 1)), ("config", "challenger", (100, 3, 0.1, 1)),
+    ("script", "champion", (300, 6, 0.05, 5)), ("config", "champion", (100, 6, 0.1, 1))])
+def test_parameter_sets_reach_the_estimator(parameters, tier, want):
+    trees, shown = M.build_classifier(tier, 100, 2.0, parameters=parameters)
+    assert (trees.getMaxIter(), trees.getMaxDepth(), trees.getStepSize(), trees.getMinInstancesPerNode()) == want
+    assert trees.getSubsamplingRate() == 0.8 and shown["learning_rate"] == str(want[2])
+
+
+def test_tiers_take_challenger_and_parameters(prepared, monkeypatch):
+    monkeypatch.setitem(M.BOOSTING, "tiny", {"challenger": {"n_estimators": 2, "max_depth": 2, "learning_rate": 0.1},
+                                             "champion": {"n_estimators": 2, "max_depth": 2, "learning_rate": 0.1,
+                                                          "min_child_weight": 1}})
+    _, data = prepared
+    runs, models = M.train_tiers(data, data, ["challenger", "champion"], parameters="tiny")
+    rows = {r.tier: r for r in runs.collect()}
+    assert all(r.params["n_estimators"] == "2" and 0.5 < r.metrics["roc_auc"] <= 1 for r in rows.values())
+    for model in models.values():
+        low, high = M.with_probability(model.transform(data)).agg(F.min("p1"), F.max("p1")).first()
+        assert 0 <= low < high <= 1 and model.getNumTrees == 2
+    with pytest.raises(ValueError, match="challenger must be"):
+        M.build_classifier("challenger", 10, 1.0, challenger="other")
