@@ -56,7 +56,7 @@ COORDINATES, LEAST_MATCHES = 64, 37
 PREFIX = COORDINATES - LEAST_MATCHES + 1
 #: Frequencies from here on count as equal.
 COUNTED = 1000
-SHORT, BLOCK, BUCKET = 16, 1024, 512
+SHORT, BLOCK, BUCKET = 16, 4096, 512
 ROUNDS, ROUND_COORDINATES, BEST = 2, 12, 2
 
 _rng = np.random.default_rng(20240608)
