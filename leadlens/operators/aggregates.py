@@ -27,7 +27,6 @@ NEGATIVE_DETAILS = ("not interested", "wrong number", "not responding", "do not
                     "not received", "switched off")
 NEGATIVE_DESCRIPTION = ("not interested", "not responding")
 ANSWERED_STATUSES = ("answered", "connected")
-VOICEBOT_ACTION = "init_call_nurix_bot"
 VOICEBOT_ID_PATH = "$.lead_id"
 VOICEBOT_STARTED_STATUS = "202"
 
@@ -96,7 +95,7 @@ def facebook_aggregate(events: DataFrame) -> DataFrame:
 
 
 # A3 -------------------------------------------------------------------------
-def voicebot_aggregate(logs: DataFrame, action_type: str = VOICEBOT_ACTION,
+def voicebot_aggregate(logs: DataFrame, action_type: str,
                        id_path: str = VOICEBOT_ID_PATH) -> DataFrame:
     v = lower_columns(logs)
     lead = X.json_number("request", id_path)

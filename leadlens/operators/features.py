@@ -272,12 +272,16 @@ def feature_columns(ld: DataFrame, ref_date: _dt.date, computed_at: _dt.datetime
 def build_features(
     leads: DataFrame, activities: DataFrame, contacts: DataFrame, facebook_events: DataFrame,
     voicebot_logs: DataFrame, users: DataFrame, status_master: DataFrame,
-    ref_date: _dt.date, computed_at: _dt.datetime,
-    keywords: dict[str, Sequence[str]] | None = None,
-    voicebot_action: str = A.VOICEBOT_ACTION, voicebot_id_path: str = A.VOICEBOT_ID_PATH,
+    ref_date: _dt.date, computed_at: _dt.datetime, voicebot_action: str,
+    keywords: dict[str, Sequence[str]] | None = None, voicebot_id_path: str = A.VOICEBOT_ID_PATH,
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
 ) -> DataFrame:
-    """Raw CRM tables → 99-column feature table (lazy)."""
+    """Raw CRM tables → 99-column feature table.
+
+    ``voicebot_action`` is the action type that starts a call.  The group
+    statistics are written, and the lookup tables checked, while the plan is
+    built; the table itself is lazy.
+    """
     act = A.activity_aggregate(activities, **(keywords or {}))
     fb = A.facebook_aggregate(facebook_events)
     vb = A.voicebot_aggregate(voicebot_logs, voicebot_action, voicebot_id_path)

@@ -58,9 +58,9 @@ def crm(spark):
     contacts = spark.createDataFrame([(101, 3, None), (103, 1, 0)], "id long, lead_count int, is_domestic int")
     fb = spark.createDataFrame([(1, True, None), (1, False, 2), (3, True, 1)],
                                "lead_id long, success boolean, retry_count int")
-    vb = spark.createDataFrame([('{"lead_id": "1"}', "202", "init_call_nurix_bot"),
-                                ('{"lead_id": "12.5"}', "500", "init_call_nurix_bot"),
-                                ("{malformed", "202", "init_call_nurix_bot"),
+    vb = spark.createDataFrame([('{"lead_id": "1"}', "202", "start_call"),
+                                ('{"lead_id": "12.5"}', "500", "start_call"),
+                                ("{malformed", "202", "start_call"),
                                 ('{"lead_id": 5}', "202", "other_action")],
                                "request string, status_code string, action_type string")
     users = spark.createDataFrame([(7, 1, None, 3), (99, 1, NOW, 4)],
@@ -71,7 +71,7 @@ def crm(spark):
 
 @pytest.fixture(scope="module")
 def feats(crm):
-    f = G.build_features(*crm, ref_date=REF, computed_at=NOW).toPandas()
+    f = G.build_features(*crm, ref_date=REF, computed_at=NOW, voicebot_action="start_call").toPandas()
     return f.set_index("lead_id")
 
 
@@ -142,12 +142,12 @@ def test_contact_facebook_voicebot(feats):
 
 
 def test_voicebot_id_rounds_like_warehouse(spark, crm):
-    vb = A.voicebot_aggregate(crm[4]).toPandas()
+    vb = A.voicebot_aggregate(crm[4], "start_call").toPandas()
     assert sorted(int(x) for x in vb["lead_id"]) == [1, 13]
 
 
 def test_correlation_constant_column_is_null(spark, crm):
-    f = G.build_features(*crm, ref_date=REF, computed_at=NOW)
+    f = G.build_features(*crm, ref_date=REF, computed_at=NOW, voicebot_action="start_call")
     out = S.target_correlations(f).toPandas()
     assert out["correlation"].abs().is_monotonic_decreasing and len(out) <= 15
     df = spark.createDataFrame([(1, 0, 5.0), (1, 1, 6.0), (1, 0, 7.0)], "c int, y int, x double")
@@ -159,7 +159,8 @@ def test_run_feature_build_writes_and_summarises(spark, crm, feats, tmp_path):
     from leadlens.plans.feature_build import run_feature_build
     from leadlens.sources.testviews import CrmTables
 
-    stored, stats, corr = run_feature_build(CrmTables(*crm), str(tmp_path / "features"), REF, NOW)
+    stored, stats, corr = run_feature_build(CrmTables(*crm), str(tmp_path / "features"), REF, NOW,
+                                             voicebot_action="start_call")
     assert sorted(r.lead_id for r in stored.select("lead_id").collect()) == sorted(feats.index)
     assert len(stored.columns) == 99
     s = stats.first()
