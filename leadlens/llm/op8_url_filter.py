@@ -16,6 +16,12 @@ blocked where distrust / (trust + distrust) is above ``BLOCK_ABOVE`` and its
 distrust above what an even spread of seeds would give each host by itself;
 hosts that neither reaches are allowed.
 
+The scores are iterated until what is still to move is settled: a step changes
+them by ``DAMPING`` times the last change at most, so after a summed change c
+all later ones add up to c * DAMPING / (1 - DAMPING) at most.  The iteration
+ends where this is below ``TOLERANCE`` of the even spread of one host, on each
+side, so that no host's score is off by more, however long its chain of links.
+
 Links are counted per pair of hosts within each task before any shuffle, and
 only the host graph is iterated: one join and one aggregate a step, with the
 scores written to the checkpoint folder at each step.
@@ -35,7 +41,9 @@ from leadlens.llm.common import UPPER, broadcast_if_small, materialized
 #: (verdict, host, path)
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"),
          ("allow", "org", "/fr/"))
-DAMPING, STEPS = 0.85, 10
+DAMPING = 0.85
+#: Error that a score may keep, as a share of what an even spread of seeds gives each host.
+TOLERANCE = 0.01
 PARENT_WEIGHT = 0.5
 BLOCK_ABOVE = 0.5
 #: Hosts (some 100 bytes each) up to this number are broadcast to the pages.
@@ -102,38 +110,49 @@ def seed_mass(rows: DataFrame) -> DataFrame:
         "side", "host", (F.col("pages") / F.col("whole")).alias("mass")), "host-seeds")
 
 
-def pagerank(edges: DataFrame, seeds: DataFrame, steps: int = STEPS, damping: float = DAMPING) -> DataFrame:
+def pagerank(edges: DataFrame, seeds: DataFrame, steps: int | None = None, damping: float = DAMPING,
+             error: float = 1e-6) -> DataFrame:
     """(side, host, score): personalised PageRank of ``seeds(side, host, mass)`` over ``edges(side, src, dst, weight)``.
 
-    All sides advance in one step.  Mass at a host without outgoing edges ends there.
+    All sides advance in one step, until the scores of each are off by ``error`` in sum at most, or for exactly
+    ``steps`` steps where given.  Mass at a host without outgoing edges ends there.
     """
     out = edges.groupBy("side", "src").agg(F.sum("weight").alias("whole"))
     share = materialized(edges.join(out, ["side", "src"]).select(
         "side", F.col("src").alias("host"), "dst", (F.col("weight") / F.col("whole")).alias("share")), "host-shares")
-    restart = seeds.select("side", "host", (F.col("mass") * (1.0 - damping)).alias("x"))
+    restart = seeds.select("side", "host", (F.col("mass") * (1.0 - damping)).alias("x"), F.lit(0.0).alias("old"))
     scores = seeds.select("side", "host", F.col("mass").alias("score"))
-    for _ in range(steps):
+    done = 0
+    while steps is None or done < steps:
         moved = share.join(scores, ["side", "host"]).select(
-            "side", F.col("dst").alias("host"), (F.col("score") * F.col("share") * damping).alias("x"))
-        scores = materialized(moved.unionByName(restart).groupBy("side", "host").agg(F.sum("x").alias("score")),
-                              "host-scores")
-    return scores
-
-
-def host_scores(pages: DataFrame, rules=RULES, steps: int = STEPS) -> DataFrame:
+            "side", F.col("dst").alias("host"), (F.col("score") * F.col("share") * damping).alias("x"), F.lit(0.0).alias("old"))
+        last = scores.select("side", "host", F.lit(0.0).alias("x"), F.col("score").alias("old"))
+        scores = materialized(moved.unionByName(restart).unionByName(last).groupBy("side", "host").agg(
+            F.sum("x").alias("score"), F.abs(F.sum("x") - F.sum("old")).alias("change")), "host-scores")
+        done += 1
+        if steps is None:
+            changes = scores.groupBy("side").agg(F.sum("change").alias("change")).collect()  # a row a side
+            # Rounding keeps a change of some 1e-16 alive.
+            if max((r["change"] for r in changes), default=0.0) * damping <= max(error, 1e-13) * (1.0 - damping):
+                break
+    return scores.select("side", "host", "score")
+
+
+def host_scores(pages: DataFrame, rules=RULES, steps: int | None = None) -> DataFrame:
     """(host, trust, distrust, even) of every host that either has reached; even is a host's part of evenly spread seeds."""
     edges = materialized(host_edges(pages), "host-edges")
     sides = edges.withColumn("side", F.lit("trust")).unionByName(edges.select(
         F.col("dst").alias("src"), F.col("src").alias("dst"), "weight", F.lit("distrust").alias("side")))
-    scores = pagerank(sides, seed_mass(judged(pages, rules)), steps)
+    hosts = pages.select(host_of(F.col("url")).alias("host")).distinct().count()
+    even = (1.0 - DAMPING) / max(hosts, 1)
+    scores = pagerank(sides, seed_mass(judged(pages, rules)), steps, error=TOLERANCE * even)
     table = scores.groupBy("host").agg(*[
         F.coalesce(F.sum(F.when(F.col("side") == s, F.col("score"))), F.lit(0.0)).alias(s)
         for s in ("trust", "distrust")])
-    hosts = pages.select(host_of(F.col("url")).alias("host")).distinct().count()
-    return table.withColumn("even", F.lit((1.0 - DAMPING) / max(hosts, 1)))
+    return table.withColumn("even", F.lit(even))
 
 
-def url_verdicts(pages: DataFrame, rules=RULES, steps: int = STEPS, block_above: float = BLOCK_ABOVE) -> DataFrame:
+def url_verdicts(pages: DataFrame, rules=RULES, steps: int | None = None, block_above: float = BLOCK_ABOVE) -> DataFrame:
     """page_id, host, path, rule, verdict, trust, distrust per page."""
     scores = materialized(host_scores(pages, rules, steps).withColumnRenamed("host", "known_host"), "host-verdicts")
     rows = judged(pages, rules).join(broadcast_if_small(scores, MAX_BROADCAST_HOSTS),

@@ -72,3 +72,12 @@ def test_parent_domains_and_empty_table(spark):
     assert edges == {("a.b.example.com", "b.example.com"): 0.5, ("b.example.com", "a.b.example.com"): 0.5,
                      ("b.example.com", "example.com"): 0.5, ("example.com", "b.example.com"): 0.5, ("localhost", "x.y"): 1.0}
     assert U.url_verdicts(spark.createDataFrame([], PAGES)).count() == 0
+
+
+def test_distrust_reaches_the_end_of_a_long_chain(spark):
+    chain = [page(0, "bad.net", [], "/")] + [page(i, f"h{i}.test{i}", [f"h{i - 1}.test{i - 1}" if i > 1 else "bad.net"]) for i in range(1, 14)]
+    got = {r.page_id: r for r in U.url_verdicts(spark.createDataFrame(chain, PAGES)).collect()}
+    assert [got[i].verdict for i in range(14)] == ["block"] * 14
+    # Each host has one link in and one out, so what arrives is damped once an edge, and all scores are settled.
+    for i in range(1, 14):
+        assert got[i].distrust == pytest.approx(0.15 * 0.85 ** i, abs=U.TOLERANCE * 0.15 / 14)
