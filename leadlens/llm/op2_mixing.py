@@ -5,20 +5,28 @@
    smoothed share of its documents; a naive Bayes sum over the features gives
    each document's posterior over the domains, to three decimals.
 2. *Fit.*  Document i has tokens n_i, posteriors p_id and a rate r_i >= 0.
-   The expected tokens of domain d are sum_i r_i n_i p_id.  Least squares holds
-   them against the targets T_d, each residual weighted by 1 / M_d, the
-   domain's tokens at rate 1.  Projected gradient from r = 1, in the metric
-   that weighs a document by its tokens, is
-
-       r_i <- clip(r_i - sum_d p_id (m_d - T_d) / M_d, 0, cap)
-
-   where m_d are the expected tokens so far.  M^-1 (sum_i n_i p_i p_i') has rows
-   that add up to 1, so a step of 1 always converges.  The update of a
-   document depends on its posteriors alone: documents are summed up by their
-   posteriors once, and the steps run over that small table.  Its size is
-   bounded by the grid of posteriors, not by the corpus.
-3. *Rates.*  The gradients, a few numbers per step, give any document its rate
-   in one expression.  ``copies`` rounds the rate up or down by a hash of the id.
+   The expected tokens of domain d are m_d = sum_i r_i n_i p_id.  Among the
+   rates that meet the targets T_d, those nearest to 1 (by tokens) are
+
+       r_i = max(0, 1 - sum_d p_id x_d)
+
+   with one number x_d per domain.  These minimise a convex function whose
+   gradient is T_d - m_d, to which RIDGE / 2 sum_d M_d x_d^2 is added (M_d are
+   the domain's tokens at rate 1): so there is a minimum where no rates meet
+   the targets, too, and it is their least squares with residuals weighted by
+   1 / M_d.  Newton steps with halving find it; weakly separated posteriors
+   take no more of them.  The rate of a document depends on its posteriors
+   alone: documents are summed up by their posteriors once, and each step is
+   one aggregate over that small table.  Its size is bounded by the grid of
+   posteriors, not by the corpus.  The fit ends where the gradient is below
+   TOLERANCE of M_d in each domain.  There is no upper bound of a rate unless
+   the caller gives a ``cap``.
+3. *Rates.*  The numbers x_d give any document its rate in one expression.
+   ``copies`` rounds the rate up or down by a hash of the id.
+
+Where the optimum misses a target by more than UNMET of the token budget, a
+warning names the tokens reached, or an error is raised if the caller asks so;
+``unmet`` is the largest miss as a share of the budget.
 
 A domain that no document can belong to is left out of the fit.  Without any
 labelled row all posteriors are equal.  A null or empty text has no tokens,
@@ -32,7 +40,9 @@ The main path is DataFrame functions only.
 from __future__ import annotations
 
 import math
+import warnings
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,7 +52,9 @@ BINS = 24
 #: Pseudo-count of each bin.
 SMOOTH = 1.0
 DECIMALS = 3
-STEPS, TOLERANCE, CAP = 200, 1e-4, 20.0
+#: Newton steps at most (an error beyond), gradient at the end, and upper bound of the rates (none).
+STEPS, TOLERANCE, CAP = 200, 1e-8, None
+RIDGE, UNMET = 1e-8, 1e-3
 
 
 def counted(text: Column) -> dict[str, Column]:
@@ -77,12 +89,14 @@ def featured(docs: DataFrame, text_col: str) -> list[Column]:
 
 
 class SoftMix:
-    """What has been fitted: domains, log shares by feature and bin, gradients of the steps."""
+    """What has been fitted: domains, log shares by feature and bin, the numbers x of the rates."""
 
     def __init__(self, domains: list[str], prior: list[float], shares: list[list[list[float]]]):
         self.domains, self.prior, self.shares = domains, prior, shares
-        self.steps: list[list[float]] = []
+        self.shift = [0.0] * len(domains)
+        self.cap: float | None = None
         self.reached: list[float] = []
+        self.unmet = 0.0
 
     def posteriors(self, binned: list[Column]) -> list[Column]:
         """Posterior of each domain but the last, to DECIMALS places; the last one is the rest."""
@@ -99,14 +113,13 @@ class SoftMix:
         whole = sum(weights[1:], weights[0])
         return [F.round(w / whole, DECIMALS) for w in weights[:-1]]
 
-    def rate(self, p: list[Column]) -> Column:
-        """The rate after all steps so far, from the posteriors of all domains."""
-        start = F.lit(1.0)
-        if not self.steps:
-            return start
-        steps = F.array(*[F.array(*[F.lit(float(g)) for g in step]) for step in self.steps])
-        return F.aggregate(steps, start, lambda r, g: F.least(F.lit(CAP), F.greatest(
-            F.lit(0.0), r - sum((p[d] * g[d] for d in range(1, len(p))), p[0] * g[0]))))
+    def rate(self, p: list[Column], shift: list[float] | None = None) -> Column:
+        """The rate from the posteriors of all domains."""
+        free = F.lit(1.0)
+        for x, d in zip(self.shift if shift is None else shift, p, strict=True):
+            free = free - d * F.lit(float(x))
+        rate = F.greatest(F.lit(0.0), free)
+        return rate if self.cap is None else F.least(F.lit(float(self.cap)), rate)
 
 
 def learned(binned: DataFrame, labels: DataFrame, domains: list[str]) -> SoftMix:
@@ -124,34 +137,77 @@ def learned(binned: DataFrame, labels: DataFrame, domains: list[str]) -> SoftMix
     return SoftMix(domains, [math.log((per[d] + 1) / whole) for d in domains], shares)
 
 
-def fitted(mix: SoftMix, cells: DataFrame, weights: dict[str, float], tokens: float | None) -> SoftMix:
-    """Projected-gradient steps over ``cells(p, n)``: posteriors and the tokens of the documents that have them."""
-    p = [F.col("p")[d] for d in range(len(mix.domains))]
-
-    def expected() -> list[float]:
-        row = cells.agg(*[F.sum(F.col("n") * mix.rate(p) * x).alias(f"m{d}") for d, x in enumerate(p)]).first()
-        return [float(x or 0.0) for x in row]
-
-    mass = expected()
-    budget = sum(mass) if tokens is None else float(tokens)
-    whole = sum(weights[d] for d, m in zip(mix.domains, mass, strict=True) if m > 0) or 1.0
-    target = [budget * weights[d] / whole for d in mix.domains]
-    now = mass
-    for _ in range(STEPS):
-        off = [(m - t) / a if a > 0 else 0.0 for m, t, a in zip(now, target, mass, strict=True)]
-        if max(map(abs, off), default=0.0) <= TOLERANCE:
+def fitted(mix: SoftMix, cells: DataFrame, weights: dict[str, float], tokens: float | None, cap: float | None = CAP,
+           must_meet: bool = False) -> SoftMix:
+    """Newton steps over ``cells(p, n)``: posteriors and the tokens of the documents that have them."""
+    mix.cap = cap
+    size = len(mix.domains)
+    p = [F.col("p")[d] for d in range(size)]
+    pairs = [(d, e) for d in range(size) for e in range(d, size)]
+
+    def sums(shift) -> tuple[float, np.ndarray, np.ndarray]:
+        """Of the rates: their part of the function, expected tokens by domain, second derivatives."""
+        rate = mix.rate(p, list(shift))
+        free = F.lit(1.0)
+        for x, d in zip(shift, p, strict=True):
+            free = free - d * F.lit(float(x))
+        moves = (free > 0) if cap is None else (free > 0) & (free < F.lit(float(cap)))
+        n = F.col("n")
+        row = cells.agg(F.sum(n * (rate * free - 0.5 * rate * rate)), *[F.sum(n * rate * x) for x in p],
+                        *[F.sum(F.when(moves, n * p[d] * p[e]).otherwise(0.0)) for d, e in pairs]).first()
+        row = [float(x or 0.0) for x in row]
+        second = np.zeros((size, size))
+        for (d, e), x in zip(pairs, row[1 + size:], strict=True):
+            second[d, e] = second[e, d] = x
+        return row[0], np.array(row[1:1 + size]), second
+
+    shift = np.zeros(size)
+    part, now, second = sums(shift)
+    mass = np.array([float(x or 0.0) for x in cells.agg(*[F.sum(F.col("n") * x) for x in p]).first()])
+    budget = mass.sum() if tokens is None else float(tokens)
+    seen = mass > 0
+    whole = sum(weights[d] for d, m in zip(mix.domains, seen, strict=True) if m) or 1.0
+    target = np.array([budget * weights[d] / whole for d in mix.domains])
+    ridge = RIDGE * mass
+
+    def value(part, shift):
+        return part + target[seen] @ shift[seen] + 0.5 * ridge @ (shift * shift)
+
+    for _ in range(STEPS if seen.any() else 0):
+        slope = (target - now + ridge * shift)[seen]
+        # Rounding leaves some 1e-16 of the largest x in a rate.
+        if np.abs(slope / mass[seen]).max() <= TOLERANCE + 1e-15 * np.abs(shift).max():
             break
-        mix.steps.append(off)
-        before, now = now, expected()
-        # At a constrained optimum the totals stand still short of the targets.
-        if all(abs(a - b) <= 0.01 * TOLERANCE * max(budget, 1.0) for a, b in zip(before, now, strict=True)):
+        # In units in which each domain has mass 1, so that small domains count.
+        unit = np.sqrt(mass[seen])
+        curve = (second + np.diag(ridge))[np.ix_(seen, seen)] / np.outer(unit, unit)
+        step = np.zeros(size)
+        step[seen] = -np.linalg.solve(curve, slope / unit) / unit
+        here, gain, length = value(part, shift), slope @ step[seen], 1.0
+        found = sums(shift + step)
+        while length > 1e-9 and value(found[0], shift + length * step) > here + 1e-4 * length * gain + 1e-12 * abs(here):
+            length /= 2
+            found = sums(shift + length * step)
+        if length <= 1e-9:  # downhill no step is lower: settled to rounding
             break
-    mix.reached = now
+        shift = shift + length * step
+        part, now, second = found
+    else:
+        if seen.any():
+            raise RuntimeError(f"The mixing rates have not settled in {STEPS} steps")
+    mix.shift, mix.reached = shift.tolist(), now.tolist()
+    mix.unmet = float(np.abs(now - target)[seen].max() / budget) if seen.any() and budget > 0 else 0.0
+    if mix.unmet > UNMET:
+        said = ", ".join(f"{d}: {r:.0f} of {t:.0f}" for d, r, t in zip(mix.domains, now, target, strict=True))
+        if must_meet:
+            raise ValueError(f"No rates meet the mixing targets; tokens reached {said}")
+        warnings.warn(f"No rates meet the mixing targets; tokens reached {said}", stacklevel=2)
     return mix
 
 
 def soft_mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float], tokens: float | None = None,
-             id_col: str = "doc_id", text_col: str = "text") -> tuple[SoftMix, DataFrame]:
+             id_col: str = "doc_id", text_col: str = "text", cap: float | None = CAP,
+             must_meet: bool = False) -> tuple[SoftMix, DataFrame]:
     """Learn and fit; returns the fit and the stored (doc_id, n_tokens, p) of every document."""
     domains = sorted(weights)
     counts = docs.select(F.col(id_col).alias("doc_id"), *featured(docs, text_col))
@@ -161,7 +217,7 @@ def soft_mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float], toke
     last = F.round(F.greatest(F.lit(1.0) - sum(first, F.lit(0.0)), F.lit(0.0)), DECIMALS)
     soft = materialized(binned.select("doc_id", "n_tokens", F.array(*first, last).alias("p")), "mix-posteriors")
     cells = materialized(soft.groupBy("p").agg(F.sum("n_tokens").cast("double").alias("n")), "mix-cells")
-    return fitted(mix, cells, weights, tokens), soft
+    return fitted(mix, cells, weights, tokens, cap, must_meet), soft
 
 
 def decided(mix: SoftMix, rows: DataFrame, id_col: str = "doc_id") -> dict[str, Column]:
@@ -172,19 +228,21 @@ def decided(mix: SoftMix, rows: DataFrame, id_col: str = "doc_id") -> dict[str,
 
 
 def mixed_documents(docs: DataFrame, labels: DataFrame, weights: dict[str, float], tokens: float | None = None,
-                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_tokens, one p_<domain> each, rate, copies."""
-    mix, soft = soft_mix(docs, labels, weights, tokens, id_col, text_col)
+                    id_col: str = "doc_id", text_col: str = "text", cap: float | None = CAP,
+                    must_meet: bool = False) -> DataFrame:
+    """doc_id, n_tokens, one p_<domain> each, rate, copies, unmet (the same in all rows)."""
+    mix, soft = soft_mix(docs, labels, weights, tokens, id_col, text_col, cap, must_meet)
     new = decided(mix, soft)
     out = soft.withColumn("rate", new["rate"]).withColumn("copies", new["copies"])
     return out.select("doc_id", "n_tokens", *[F.col("p")[d].alias(f"p_{name}") for d, name in enumerate(mix.domains)],
-                      "rate", "copies")
+                      "rate", "copies", F.lit(mix.unmet).alias("unmet"))
 
 
 def with_rates(docs: DataFrame, labels: DataFrame, weights: dict[str, float], tokens: float | None = None,
-               id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+               id_col: str = "doc_id", text_col: str = "text", cap: float | None = CAP,
+               must_meet: bool = False) -> DataFrame:
     """The rows of ``docs`` with all their columns, n_tokens, rate and copies; texts don't move."""
-    mix, _ = soft_mix(docs, labels, weights, tokens, id_col, text_col)
+    mix, _ = soft_mix(docs, labels, weights, tokens, id_col, text_col, cap, must_meet)
     row = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[id_col].alias("doc_id"),
                       *featured(docs, text_col))
     binned = row.select("row", "doc_id", "n_tokens", F.array(*bins()).alias("bins"))

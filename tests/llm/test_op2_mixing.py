@@ -68,3 +68,31 @@ def test_plan_has_no_python(spark, capsys):
 def test_totals_keep_the_budget(spark, weights):
     out = M.mixed_documents(docs_of(spark, GOOD + BAD), labels_of(spark), weights, tokens=2000.0).toPandas()
     assert abs((out.n_tokens * out.rate).sum() - 2000) < 20
+
+
+CELLS = "p array<double>, n double"
+
+
+def test_rates_have_no_cap_unless_given_and_weak_separation_is_settled(spark, recwarn):
+    small = [([1.0, 0.0], 100.0), ([0.0, 1.0], 9900.0)]
+    weak = [([0.55, 0.45], 500.0), ([0.45, 0.55], 500.0)]
+    for cells, weights in ((small, {"a": 0.9, "b": 0.1}), (weak, {"a": 0.54, "b": 0.46})):
+        frame = spark.createDataFrame(cells, CELLS)
+        mix = M.fitted(M.SoftMix(["a", "b"], [0, 0], []), frame, weights, None, must_meet=True)
+        rows = frame.withColumn("rate", mix.rate([F.col("p")[0], F.col("p")[1]])).collect()
+        total = sum(n for _, n in cells)
+        got = [sum(r.n * r.rate * r.p[d] for r in rows) / total for d in range(2)]
+        assert got == pytest.approx(list(weights.values()), abs=1e-6) and mix.unmet < 1e-6
+        assert min(r.rate for r in rows) >= 0
+    assert not [w for w in recwarn if "mixing targets" in str(w.message)]
+    capped = M.fitted(M.SoftMix(["a", "b"], [0, 0], []), spark.createDataFrame(small, CELLS), {"a": 0.9, "b": 0.1}, None, cap=20.0)
+    assert capped.unmet == pytest.approx(0.7) and capped.reached == pytest.approx([2000.0, 1000.0], rel=1e-4)
+
+
+def test_unmet_targets_are_reported_or_raise(spark):
+    cells = spark.createDataFrame([([0.9, 0.1], 800.0), ([0.3, 0.7], 200.0)], CELLS)
+    with pytest.warns(UserWarning, match="mixing targets"):
+        mix = M.fitted(M.SoftMix(["a", "b"], [0, 0], []), cells, {"a": 1.0, "b": 0.0}, None)
+    assert mix.unmet > 0.05
+    with pytest.raises(ValueError, match="tokens reached"):
+        M.fitted(M.SoftMix(["a", "b"], [0, 0], []), cells, {"a": 1.0, "b": 0.0}, None, must_meet=True)
