@@ -7,10 +7,13 @@ turn's span is what has been added; where it does not, the template has
 rewritten history, and the turn is counted in ``n_rewritten``.  The turn's
 text is then looked up in its span, which gives the loss mask.
 
-Rendering every prefix costs the square of the number of turns.  Beyond
-``WHOLE_PREFIXES`` turns each step renders the last ``CONTEXT`` turns with and
-without the new one, and the joined spans are compared with one rendering of
-the whole conversation; only if they differ are all prefixes rendered.
+Rendering every prefix costs the square of the number of turns.  It is done
+at all sizes unless the caller declares the template prefix-stable (a longer
+prefix's rendering always begins with a shorter one's), as ``chat_markup`` is
+by its form.  For a declared template each step beyond ``WHOLE_PREFIXES`` turns
+renders the last ``CONTEXT`` turns with and without the new one, and the joined
+spans are compared with one rendering of the whole conversation; if they
+differ, all prefixes are rendered.
 
 The template ``chat_markup`` marks turns with ``<|im_start|>`` and
 ``<|im_end|>``.  Inside a text each ``<``, any backslashes, ``|`` gets one
@@ -104,9 +107,9 @@ def last_prefixes(template: Template, turns: list[Turn]) -> tuple[str, list[tupl
     return (whole, spans, 0) if at == len(whole) else None
 
 
-def render(template: Template, turns: list[Turn], inside: Callable[[str], str]):
+def render(template: Template, turns: list[Turn], inside: Callable[[str], str], stable: bool = False):
     """(formatted, rows of spans, n_rewritten); ``inside`` is how the template writes a text."""
-    found = last_prefixes(template, turns) if len(turns) > WHOLE_PREFIXES else None
+    found = last_prefixes(template, turns) if stable and len(turns) > WHOLE_PREFIXES else None
     out, spans, rewritten = found or every_prefix(template, turns)
     rows = []
     for (role, text), (start, end) in zip(turns, spans, strict=True):
@@ -119,8 +122,12 @@ def render(template: Template, turns: list[Turn], inside: Callable[[str], str]):
 
 
 def format_conversations(turns: DataFrame, template: Template = chat_markup,
-                         inside: Callable[[str], str] = escape) -> DataFrame:
-    """(conv_id, formatted, spans, n_rewritten), one row per conversation."""
+                         inside: Callable[[str], str] = escape, stable: bool | None = None) -> DataFrame:
+    """(conv_id, formatted, spans, n_rewritten), one row per conversation.
+
+    ``stable`` declares the template prefix-stable; None: only ``chat_markup`` is.
+    """
+    stable = template is chat_markup if stable is None else stable
     rows = turns.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"),
                         F.coalesce("text", F.lit("")).alias("text"))
 
@@ -132,7 +139,7 @@ def format_conversations(turns: DataFrame, template: Template = chat_markup,
         conv, held, any_held = None, [], False
 
         def close():
-            out, spans, rewritten = render(template, held, inside)
+            out, spans, rewritten = render(template, held, inside, stable)
             done.append({"conv_id": conv, "formatted": out, "spans": spans, "n_rewritten": rewritten})
 
         for batch in batches:

@@ -56,3 +56,14 @@ def test_awkward_conversations(spark):
         assert (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) == expected([x for x in rows if x[0] == conv])
         assert r.n_rewritten == 0
     assert C.read_back(C.format_conversations(spark.createDataFrame([], TURNS))).count() == 0
+
+
+def test_rewriting_that_is_undone_by_the_end_is_found_at_any_size(spark):
+    banner = lambda ts: ("#" if len(ts) % 10 == 0 and ts else "") + "".join(f"[{r}:{t}]" for r, t in ts)
+    for n in (64, 65, 99):
+        turns = [("user", f"t{i}") for i in range(n)]
+        # Each tenth prefix changes what came before, and so does the one behind it.
+        want = n // 10 + (n - 1) // 10
+        assert C.render(banner, turns, lambda t: t)[2] == want
+        rows = spark.createDataFrame([(1, i, *t) for i, t in enumerate(turns)], TURNS)
+        assert C.format_conversations(rows, banner, lambda t: t).first().n_rewritten == want
