@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadlens.llm import (
     op1_secrets,
     op10_pii,
+    op11_repair_ids,
+    op12_align,
+    op13_hard_negatives,
     op2_mixing,
     op3_chat_format,
     op4_exact_dedup,
@@ -150,3 +154,45 @@ def op5_toxicity(spark, sf_dir, op=op5_toxicity):
 @query
 def op10_pii(spark, sf_dir, op=op10_pii):
     return op.personal_data(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_repair_ids(spark, sf_dir, op=op11_repair_ids):
+    return op.stored_and_read(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op12_align(spark, sf_dir, op=op12_align):
+    return op.aligned(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                      public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op13_hard_negatives(spark, sf_dir, op=op13_hard_negatives):
+    """Anchors: ids divisible by 100; labels of ids divisible by 7 are moved on by one first."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return op.hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
+ORACLES["op13_hard_negatives"] = r"""
+WITH whole AS MATERIALIZED (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    [cast(floor(256 * cast(x AS DOUBLE)) AS BIGINT) for x in embedding] AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, r.vec_id AS other_id, a.label = r.label AS same,
+    cast(list_sum(list_transform(list_zip(a.v, r.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM whole AS a JOIN whole AS r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id AND len(a.v) = len(r.v)),
+positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM pairs WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5),
+ranked AS (
+  SELECT anchor_id, positive_id, other_id AS negative_id, positive_score, score AS negative_score,
+    row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) AS rank
+  FROM positives JOIN pairs USING (anchor_id)
+  WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+SELECT anchor_id, positive_id, cast(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM ranked WHERE rank <= 10"""
