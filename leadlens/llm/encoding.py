@@ -3,7 +3,8 @@
 A chunk ends where the tokenizer's own rules end a token for certain, so the
 ids of a text are those of its chunks one after the other:
 
-* word tokenizers that drop white space: a run without white space;
+* word tokenizers that drop white space: a run without white space, or one of
+  the words that the tokenizer itself would split the text into;
 * byte-level and piece tokenizers, for texts that begin with a space: a space
   and what stands behind it, up to the next space that follows no white
   space.  Their split pattern takes white space only in front of a token, and
@@ -47,7 +48,19 @@ def pieces(text: str, size: int = PIECE_CHARS) -> Iterator[str]:
         start = end
 
 
+#: Texts of these alone (ASCII and Latin-1 letters) are the same under NFC and get lower case letter by letter.
+SIMPLE = re.compile("[\x00-\x7f\xc0-\xd6\xd8-\xf6\xf8-\xff]*")
+#: The split of the word tokenizer, as its file has it, for such texts in lower case.
+SIMPLE_WORD = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^\t-\r a-z\xdf-\xf6\xf8-\xff0-9]+")
+
+
 def word_chunks(text: str) -> list[str]:
+    """The chunks of a text for a word tokenizer: its own words where the text is simple, else runs without white space.
+
+    Words in lower case without the signs behind them repeat far more often.  Texts that may hold special tokens aren't simple.
+    """
+    if SIMPLE.fullmatch(text) and "<|" not in text:
+        return SIMPLE_WORD.findall(text.lower())
     return WORD.findall(text) if SEPARATORS.search(text) else text.split()
 
 
@@ -93,18 +106,21 @@ class ChunkEncoder:
 
     def of(self, texts: list[list[str]]) -> tuple[list[bytes], list[bool]]:
         """The packed ids of each text, given as its chunks, and whether the ids of each of its chunks spell that chunk."""
-        parts = list(map(self.known.get, chain.from_iterable(texts)))
-        new = list({c for c, ids in zip(chain.from_iterable(texts), parts, strict=True) if ids is None})
+        flat = list(chain.from_iterable(texts))
+        parts = list(map(self.known.get, flat))
+        missing = [i for i, ids in enumerate(parts) if ids is None]
+        new = list({flat[i] for i in missing})
         if new:
             if len(self.known) + len(new) > self.most:
-                self.known, self.odd = {}, set()
-                new = list(set(chain.from_iterable(texts)))
+                self.known, self.odd, missing = {}, set(), range(len(flat))
+                new = list(set(flat))
             self.known.update(zip(new, self.encode(new), strict=True))
             if self.spelled is not None:
                 of = self.spelled
                 self.odd.update(c for c in new if b"".join([of[i] for i in np.frombuffer(self.known[c], "<u4").tolist()])
                                 != self.lead + c.encode("utf-8", "surrogatepass"))
-            parts = list(map(self.known.__getitem__, chain.from_iterable(texts)))
+            for i in missing:
+                parts[i] = self.known[flat[i]]
         out, at = [], 0
         for chunks in texts:
             out.append(b"".join(parts[at:at + len(chunks)]))
@@ -139,12 +155,31 @@ def encode_json(t) -> Callable[[list[str]], list[list[int]]]:
     return lambda texts: [e.ids for e in t.encode_batch_fast(texts, add_special_tokens=False)]
 
 
-def word_encoder(path: str) -> ChunkEncoder:
-    """For ``word_chunks``."""
+def word_encoder(path: str, word_end: str = "</w>") -> ChunkEncoder:
+    """For ``word_chunks``; the last token of each word, and no other, ends in ``word_end``."""
     t = json_tokenizer(path)
     encode = encode_json(t)
+    names = t.get_vocab(with_added_tokens=True)
+    ends = np.zeros(max(names.values()) + 1, bool)
+    ends[[i for s, i in names.items() if s.endswith(word_end)]] = True
     (mark_id,) = encode([f" {MARK} "])[0]
-    return ChunkEncoder(lambda chunks: by_mark(chunks, encode, lambda c: encode([c])[0], " ", " ", mark_id))
+
+    def by_words(chunks: list[str], group: int = 1024) -> Iterator[tuple[str, bytes]]:
+        groups = [chunks[i:i + group] for i in range(0, len(chunks), group)]
+        for own, found in zip(groups, encode([" ".join(g) for g in groups]) if groups else [], strict=True):
+            ids = np.array(found, dtype="<u4")
+            at = ((np.flatnonzero(ends[ids]) + 1) * 4).tolist()
+            raw = ids.tobytes()
+            yield from zip(own, map(raw.__getitem__, map(slice, [0, *at], at)), strict=True)
+
+    def all_chunks(chunks: list[str]) -> list[bytes]:
+        word = SIMPLE_WORD.fullmatch
+        out = dict(by_words([c for c in chunks if word(c)]))
+        rest = [c for c in chunks if c not in out]
+        out.update(zip(rest, by_mark(rest, encode, lambda c: encode([c])[0], " ", " ", mark_id), strict=True))
+        return [out[c] for c in chunks]
+
+    return ChunkEncoder(all_chunks)
 
 
 def byte_values() -> dict[str, int]:

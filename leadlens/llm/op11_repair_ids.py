@@ -1,7 +1,8 @@
 """Token ids in a binary format that is compressed by a Re-Pair grammar and decodes at any place.
 
 Encoding: each task turns its texts into ids and appends the end id to each
-document.  The documents are then dealt out by ranges of (id, text hash) and
+document; they are stored and shuffled in two bytes an id where all ids of the
+tokenizer fit.  The documents are then dealt out by ranges of (id, text hash) and
 sorted, and each task writes one file of blocks.  A block holds whole
 documents of about ``BLOCK_TOKENS`` ids (or one longer one).  In it, frequent
 pairs of neighbouring symbols are replaced by new symbols, round after round:
@@ -42,7 +43,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from leadlens.llm.common import materialized
-from leadlens.llm.encoding import per_worker, pieces, word_chunks, word_encoder
+from leadlens.llm.encoding import json_tokenizer, per_worker, pieces, word_chunks, word_encoder
 from leadlens.session import checkpoint_dir
 
 BLOCK_TOKENS = 1 << 21
@@ -52,7 +53,7 @@ LEAST_COUNT = 8
 STEP = 16
 SLOT_BITS = 18
 #: Bytes of ids that a task sorts and writes.
-PART_BYTES = 32 << 20
+PART_BYTES = 16 << 20
 MAGIC = b"RPG1"
 HEAD = "<4sIQIIB"  # magic, documents, symbols, rules, first rule's symbol, bytes of a symbol
 
@@ -62,58 +63,56 @@ TOKENS = "doc_id long, start long, n_tokens long, ids_crc32 long, ids binary"
 
 # The grammar of a block.
 
-def pair_ranks(seq: np.ndarray, inner: np.ndarray, least: int, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """(pairs, positions' ranks): the pairs of at least one part in ``STEP`` of the greatest count, most frequent first.
+def frequent_pairs(seq: np.ndarray, last: np.ndarray, least: int, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(pairs, positions, their ranks): pairs of at least one part in ``STEP`` of the greatest count, most frequent first.
 
-    ``inner`` marks the positions whose pair may be replaced; the ranks of all other positions are -1.
+    ``last`` marks the symbols that end a document; no pair begins there.
     """
-    key = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:]
-    slot = ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOT_BITS)).view(np.int64)
+    mixed = seq * np.uint32(0x9E3779B1)
+    slot = ((mixed[:-1] + seq[1:]) * np.uint32(0x85EBCA6B) >> np.uint32(32 - SLOT_BITS)).astype(np.int64)
     # Upper bounds by hash slot; only pairs in slots with enough of them are counted one by one.
     bound = np.bincount(slot, minlength=1 << SLOT_BITS)
-    rank = np.full(len(key), -1, np.int32)
     want = max(least, int(bound.max(initial=0)) // STEP)
     while True:
         at = np.flatnonzero((bound >= want)[slot])
-        at = at[inner[at]]
-        pairs, which, n = np.unique(key[at], return_inverse=True, return_counts=True)
+        at = at[~last[at]]
+        key = seq[at].astype(np.uint64) << np.uint64(32) | seq[at + 1]
+        pairs, which, n = np.unique(key, return_inverse=True, return_counts=True)
         if len(n) and n.max() >= want:
             break
         if want == least:
-            return pairs[:0], rank
+            return pairs[:0], at[:0], at[:0]
         want = max(least, want // STEP)
     order = np.lexsort((pairs, -n))
     order = order[n[order] >= want][:most]
     of = np.full(len(pairs), -1, np.int64)
     of[order] = np.arange(len(order))
-    rank[at] = of[which]
-    return pairs[order], rank
-
-
-def chosen(rank: np.ndarray, pairs: np.ndarray) -> np.ndarray:
-    """Positions to replace: no two overlap, the more frequent pair wins, in a run of one symbol every second."""
-    at = np.flatnonzero(rank >= 0)
-    r = rank[at]
-    near = np.zeros(len(at), bool)  # follows its neighbour at once
-    near[1:] = at[1:] == at[:-1] + 1
-    same = near.copy()
-    same[1:] &= r[1:] == r[:-1]
+    rank = of[which]
+    return pairs[order], at[rank >= 0], rank[rank >= 0]
+
+
+def chosen(at: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions to replace and their ranks: none overlap, the more frequent pair wins, in a run of one symbol every second."""
+    same = np.zeros(len(at), bool)
+    same[1:] = (at[1:] == at[:-1] + 1) & (rank[1:] == rank[:-1])
     run = np.arange(len(at))
     first = np.maximum.accumulate(np.where(same, 0, run))
     keep = (run - first) % 2 == 0
-    at, r = at[keep], r[keep]
+    at, rank = at[keep], rank[keep]
     taken = []
     while len(at):
         near = np.flatnonzero(at[1:] == at[:-1] + 1)
         best = np.ones(len(at), bool)
-        best[near] &= r[near] < r[near + 1]
-        best[near + 1] &= r[near + 1] < r[near]
-        taken.append(at[best])
+        best[near] &= rank[near] < rank[near + 1]
+        best[near + 1] &= rank[near + 1] < rank[near]
+        taken.append((at[best], rank[best]))
         gone = best.copy()
         gone[near] |= best[near + 1]
         gone[near + 1] |= best[near]
-        at, r = at[~gone], r[~gone]
-    return np.sort(np.concatenate(taken)) if taken else np.zeros(0, np.int64)
+        at, rank = at[~gone], rank[~gone]
+    if not taken:
+        return at, rank
+    return np.concatenate([x for x, _ in taken]), np.concatenate([x for _, x in taken])
 
 
 def grammar(ids: np.ndarray, ends: np.ndarray, most: int = MOST_RULES,
@@ -128,16 +127,15 @@ def grammar(ids: np.ndarray, ends: np.ndarray, most: int = MOST_RULES,
     rules: list[np.ndarray] = []
     made = 0
     while made < most and len(seq) > 1:
-        pairs, rank = pair_ranks(seq, ~last[:-1], least, most - made)
-        at = chosen(rank, pairs)
-        used = np.bincount(rank[at], minlength=len(pairs)) if len(at) else np.zeros(0, np.int64)
-        worth = used >= 2
+        pairs, at, rank = frequent_pairs(seq, last, least, most - made)
+        at, rank = chosen(at, rank)
+        worth = np.bincount(rank, minlength=len(pairs)) >= 2
         if not worth.any():
             break
         name = np.cumsum(worth) - 1
-        at = at[worth[rank[at]]]
+        at, rank = at[worth[rank]], rank[worth[rank]]
         rules.append(np.stack([pairs[worth] >> np.uint64(32), pairs[worth] & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
-        seq[at] = (first + made + name[rank[at]]).astype(np.uint32)
+        seq[at] = (first + made + name[rank]).astype(np.uint32)
         last[at] = last[at + 1]
         stay = np.ones(len(seq), bool)
         stay[at + 1] = False
@@ -239,15 +237,21 @@ class Block:
 
 # Spark.
 
+def id_type(tokenizer: str, end_id: int) -> str:
+    """How ids are packed between encoding and writing: two bytes each where the vocabulary allows."""
+    return "<u2" if max(json_tokenizer(tokenizer).get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
+
+
 def token_ids(docs: DataFrame, tokenizer: str, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, row_key, ids: the packed ids of each whole text and the end id, by the tokenizer file at ``tokenizer``."""
+    """doc_id, row_key, ids: the ids of each whole text and the end id as ``id_type``, by the tokenizer file at ``tokenizer``."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text"),
                        F.xxhash64(F.coalesce(text_col, F.lit(""))).alias("row_key"))
     schema = pa.schema([("doc_id", pa.int64()), ("row_key", pa.int64()), ("ids", pa.binary())])
+    kind = id_type(tokenizer, end_id)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = per_worker(f"words {tokenizer}", lambda: word_encoder(tokenizer))
-        end = np.array([end_id], "<u4").tobytes()
+        end = np.array([end_id], kind).tobytes()
         for batch in batches:
             doc_ids, texts, keys = (c.to_pylist() for c in batch.columns)
             for i in range(0, len(texts), 500):
@@ -258,13 +262,13 @@ def token_ids(docs: DataFrame, tokenizer: str, end_id: int = 1, id_col: str = "d
                        for c, t in zip(some, texts[i:i + 500], strict=True)]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(doc_ids[i:i + 500], pa.int64()), pa.array(keys[i:i + 500], pa.int64()),
-                    pa.array([x + end for x in ids], pa.binary())], schema=schema)
+                    pa.array([np.frombuffer(x, "<u4").astype(kind).tobytes() + end for x in ids], pa.binary())], schema=schema)
 
     return rows.mapInArrow(run, "doc_id long, row_key long, ids binary")
 
 
-def write_ids(tokens: DataFrame, folder: str, block_tokens: int = BLOCK_TOKENS, part_bytes: int = PART_BYTES) -> DataFrame:
-    """Write stored ``tokens(doc_id, row_key, ids)`` in ascending id order into ``folder``; return the stored index."""
+def write_ids(tokens: DataFrame, folder: str, kind: str, block_tokens: int = BLOCK_TOKENS, part_bytes: int = PART_BYTES) -> DataFrame:
+    """Write stored ``tokens(doc_id, row_key, ids)``, packed as ``kind``, in ascending id order; return the stored index."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, path = pafs.FileSystem.from_uri(folder)
@@ -287,7 +291,7 @@ def write_ids(tokens: DataFrame, folder: str, block_tokens: int = BLOCK_TOKENS,
         try:
             for batch in batches:
                 for doc_id, ids in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                    own = np.frombuffer(ids.as_py(), "<u4")
+                    own = np.frombuffer(ids.as_py(), kind).astype(np.uint32)
                     if docs and held + len(own) > block_tokens:
                         yield flush()
                     doc_ids.append(doc_id)
@@ -353,5 +357,5 @@ def ids_folder(spark: SparkSession) -> str:
 def stored_and_read(docs: DataFrame, tokenizer: str, end_id: int = 1) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document, read back from the files it was written to."""
     folder = ids_folder(docs.sparkSession)
-    index = write_ids(materialized(token_ids(docs, tokenizer, end_id), "token-ids"), folder)
+    index = write_ids(materialized(token_ids(docs, tokenizer, end_id), "token-ids"), folder, id_type(tokenizer, end_id))
     return read_ids(index, folder, ids=False)

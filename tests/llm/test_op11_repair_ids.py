@@ -78,7 +78,7 @@ def test_ids_starts_and_order(spark):
     random.Random(0).shuffle(texts)
     frame = docs_of(spark, texts, extra=True).repartition(5)
     folder = R.ids_folder(spark)
-    index = R.write_ids(materialized(R.token_ids(frame, PATH), "t"), folder, block_tokens=700, part_bytes=4_000)
+    index = R.write_ids(materialized(R.token_ids(frame, PATH), "t"), folder, R.id_type(PATH, 1), block_tokens=700, part_bytes=4_000)
     assert index.count() > 5 and index.select("part").distinct().count() > 2
     got = sorted(R.read_ids(index, folder).collect(), key=lambda r: r.start)
     assert [(r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in got] == expected(rows)
