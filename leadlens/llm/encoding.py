@@ -3,8 +3,7 @@
 A chunk ends where the tokenizer's own rules end a token for certain, so the
 ids of a text are those of its chunks one after the other:
 
-* word tokenizers that drop white space: a run without white space, or one of
-  the words that the tokenizer itself would split the text into;
+* word tokenizers that drop white space: a run without white space;
 * byte-level and piece tokenizers, for texts that begin with a space: a space
   and what stands behind it, up to the next space that follows no white
   space.  Their split pattern takes white space only in front of a token, and
@@ -34,7 +33,7 @@ CUT = re.compile(f"(?<=[^{SPACES}{PIECE_SPACE}]) ")
 #: Longer texts are handled in pieces of about so many characters.
 PIECE_CHARS = 1 << 21
 #: Python's ``split`` takes these for white space as well.
-SEPARATORS = re.compile("[\x1c-\x1f]")
+SEPARATORS = "\x1c\x1d\x1e\x1f"
 WORD = re.compile(f"[^{SPACES}]+")
 
 
@@ -55,13 +54,10 @@ SIMPLE_WORD = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]
 
 
 def word_chunks(text: str) -> list[str]:
-    """The chunks of a text for a word tokenizer: its own words where the text is simple, else runs without white space.
-
-    Words in lower case without the signs behind them repeat far more often.  Texts that may hold special tokens aren't simple.
-    """
-    if SIMPLE.fullmatch(text) and "<|" not in text:
-        return SIMPLE_WORD.findall(text.lower())
-    return WORD.findall(text) if SEPARATORS.search(text) else text.split()
+    """The runs of a text without white space, in lower case where that can't differ from the tokenizer's own."""
+    if any(c in text for c in SEPARATORS):
+        return WORD.findall(text)
+    return text.lower().split() if text.isascii() and "<|" not in text else text.split()
 
 
 def spaced_chunks(text: str) -> list[str]:
@@ -155,7 +151,7 @@ def encode_json(t) -> Callable[[list[str]], list[list[int]]]:
     return lambda texts: [e.ids for e in t.encode_batch_fast(texts, add_special_tokens=False)]
 
 
-def word_encoder(path: str, word_end: str = "</w>") -> ChunkEncoder:
+def word_encoder(path: str, word_end: str = "</w>", most_words: int = 600_000) -> ChunkEncoder:
     """For ``word_chunks``; the last token of each word, and no other, ends in ``word_end``."""
     t = json_tokenizer(path)
     encode = encode_json(t)
@@ -172,9 +168,17 @@ def word_encoder(path: str, word_end: str = "</w>") -> ChunkEncoder:
             raw = ids.tobytes()
             yield from zip(own, map(raw.__getitem__, map(slice, [0, *at], at)), strict=True)
 
+    words: dict[str, bytes] = {}
+
     def all_chunks(chunks: list[str]) -> list[bytes]:
-        word = SIMPLE_WORD.fullmatch
-        out = dict(by_words([c for c in chunks if word(c)]))
+        # Chunks of simple signs are split as the tokenizer would, so that a word is encoded once, whatever stands behind it.
+        split = {c: SIMPLE_WORD.findall(c.lower()) for c in chunks if SIMPLE.fullmatch(c) and "<|" not in c}
+        new = list(set(chain.from_iterable(split.values())).difference(words))
+        if len(words) + len(new) > most_words:
+            words.clear()
+            new = list(set(chain.from_iterable(split.values())))
+        words.update(by_words(new))
+        out = {c: b"".join([words[w] for w in own]) for c, own in split.items()}
         rest = [c for c in chunks if c not in out]
         out.update(zip(rest, by_mark(rest, encode, lambda c: encode([c])[0], " ", " ", mark_id), strict=True))
         return [out[c] for c in chunks]
