@@ -9,13 +9,21 @@ from leadlens.sources.tables import materialized
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
-__all__ = ["UPPER", "ascii_lower", "broadcast_if_small", "drop_rows", "keep_rows", "materialized", "table"]
+__all__ = ["UPPER", "ascii_lower", "broadcast_if_small", "drop_rows", "keep_rows", "materialized", "removed", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def removed(stored: DataFrame) -> None:
+    """Delete the folder of a ``materialized`` table that nothing reads any more."""
+    spark = stored.sparkSession
+    for folder in {f.rpartition("/")[0] for f in stored.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-case A-Z and nothing else.
 

@@ -16,15 +16,20 @@ blocked where distrust / (trust + distrust) is above ``BLOCK_ABOVE`` and its
 distrust above what an even spread of seeds would give each host by itself;
 hosts that neither reaches are allowed.
 
-The scores are iterated until what is still to move is settled: a step changes
-them by ``DAMPING`` times the last change at most, so after a summed change c
-all later ones add up to c * DAMPING / (1 - DAMPING) at most.  The iteration
-ends where this is below ``TOLERANCE`` of the even spread of one host, on each
-side, so that no host's score is off by more, however long its chain of links.
-
+After k steps a score is off by at most DAMPING^k times the largest share of a
+host's neighbours that flows into it: all the mass that is still to move at a
+step is DAMPING^k, and no more than that share of it can arrive.  So each
+host's error is known, and the iteration ends as soon as no host's verdict can
+change any more; where scores are too close to be told apart, it ends where
+every error is below ``TOLERANCE`` of the even spread of one host.  A
+comparison that is closer than that may fall on either side.
+
+Pages are parsed once, into a stored table of hosts, rules and linked hosts.
 Links are counted per pair of hosts within each task before any shuffle, and
-only the host graph is iterated: one join and one aggregate a step, with the
-scores written to the checkpoint folder at each step.
+only the host graph is iterated: ``STEPS_AT_ONCE`` steps are one plan, in which
+the edges are shuffled once and each step adds one aggregate whose result
+stays partitioned for the next join.  The scores are written after each such
+plan and the ones before removed.
 
 A null URL, or one without ``://``, has an empty host and path and fits no
 rule; it is allowed.  Null html has no links.  Repeated rows count as pages
@@ -33,10 +38,13 @@ each.  An empty table gives an empty result.  Extra columns are ignored.
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leadlens.llm.common import UPPER, broadcast_if_small, materialized
+from leadlens.llm.common import UPPER, broadcast_if_small, materialized, removed
 
 #: (verdict, host, path)
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"),
@@ -44,6 +52,8 @@ RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "exa
 DAMPING = 0.85
 #: Error that a score may keep, as a share of what an even spread of seeds gives each host.
 TOLERANCE = 0.01
+#: Steps in one plan, between two stored tables of scores.
+STEPS_AT_ONCE = 8
 PARENT_WEIGHT = 0.5
 BLOCK_ABOVE = 0.5
 #: Hosts (some 100 bytes each) up to this number are broadcast to the pages.
@@ -70,23 +80,28 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
 
 
 def judged(pages: DataFrame, rules=RULES) -> DataFrame:
-    """page_id, host, path, rule, by_rule."""
-    parts = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
+    """page_id, host, path, rule, by_rule, linked (the hosts of links, as they are written)."""
+    links = F.regexp_extract_all(
+        F.coalesce("html", F.lit("")),
+        F.lit(r"""(?i)(?:href|src)\s*=\s*["']?(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s>]+)"""), F.lit(1))
+    parts = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"),
+                         links.alias("linked"))
     name, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    return parts.select("page_id", "host", "path", name.alias("rule"), verdict.alias("by_rule"))
+    return parts.select("page_id", "host", "path", name.alias("rule"), verdict.alias("by_rule"), "linked")
 
 
 def host_edges(pages: DataFrame) -> DataFrame:
     """(src, dst, weight) between different hosts: links, and parent domains both ways."""
-    links = pages.select(
-        host_of(F.col("url")).alias("src"),
-        F.explode(F.regexp_extract_all(
-            F.coalesce("html", F.lit("")),
-            F.lit(r"""(?i)(?:href|src)\s*=\s*["']?(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s>]+)"""), F.lit(1))).alias("dst"))
+    return edges_of(judged(pages))
+
+
+def edges_of(rows: DataFrame) -> DataFrame:
+    """``host_edges`` from pages that are judged already."""
+    links = rows.select(F.col("host").alias("src"), F.explode("linked").alias("dst"))
     links = links.select("src", F.translate("dst", UPPER, UPPER.lower()).alias("dst"))
     links = links.where("src <> '' and dst <> '' and src <> dst").groupBy("src", "dst").agg(
         F.count(F.lit(1)).cast("double").alias("weight"))
-    hosts = pages.select(host_of(F.col("url")).alias("host")).where("host <> ''").distinct()
+    hosts = rows.select("host").where("host <> ''").distinct()
     hosts = hosts.unionByName(links.select(F.col("dst").alias("host"))).distinct()
     # Each name above the host that still has a dot: a.b.example.com, b.example.com, example.com.
     labels = F.split("host", r"\.")
@@ -110,53 +125,88 @@ def seed_mass(rows: DataFrame) -> DataFrame:
         "side", "host", (F.col("pages") / F.col("whole")).alias("mass")), "host-seeds")
 
 
+def advanced(share: DataFrame, seeds: DataFrame, scores: DataFrame, steps: int, damping: float) -> DataFrame:
+    """``scores`` after ``steps`` more steps, as one plan."""
+    restart = seeds.select("side", "host", (F.col("mass") * (1.0 - damping)).alias("x"))
+    for _ in range(steps):
+        moved = share.join(scores, ["side", "host"]).select(
+            "side", F.col("dst").alias("host"), (F.col("score") * F.col("share") * damping).alias("x"))
+        scores = moved.unionByName(restart).groupBy("side", "host").agg(F.sum("x").alias("score"))
+    return scores
+
+
+def shares(edges: DataFrame) -> DataFrame:
+    """(side, host, dst, share): what part of a host's mass each of its edges takes; stored."""
+    out = edges.groupBy("side", "src").agg(F.sum("weight").alias("whole"))
+    return materialized(edges.join(out, ["side", "src"]).select(
+        "side", F.col("src").alias("host"), "dst", (F.col("weight") / F.col("whole")).alias("share")), "host-shares")
+
+
 def pagerank(edges: DataFrame, seeds: DataFrame, steps: int | None = None, damping: float = DAMPING,
-             error: float = 1e-6) -> DataFrame:
+             error: float = 1e-6, settled: Callable[[DataFrame, int], bool] | None = None) -> DataFrame:
     """(side, host, score): personalised PageRank of ``seeds(side, host, mass)`` over ``edges(side, src, dst, weight)``.
 
-    All sides advance in one step, until the scores of each are off by ``error`` in sum at most, or for exactly
-    ``steps`` steps where given.  Mass at a host without outgoing edges ends there.
+    All sides advance together, for exactly ``steps`` steps where given, else until no score is off by more than ``error``
+    or ``settled(scores, steps done)`` says so.  Mass at a host without outgoing edges ends there.
     """
-    out = edges.groupBy("side", "src").agg(F.sum("weight").alias("whole"))
-    share = materialized(edges.join(out, ["side", "src"]).select(
-        "side", F.col("src").alias("host"), "dst", (F.col("weight") / F.col("whole")).alias("share")), "host-shares")
-    restart = seeds.select("side", "host", (F.col("mass") * (1.0 - damping)).alias("x"), F.lit(0.0).alias("old"))
+    share = shares(edges)
     scores = seeds.select("side", "host", F.col("mass").alias("score"))
-    done = 0
-    while steps is None or done < steps:
-        moved = share.join(scores, ["side", "host"]).select(
-            "side", F.col("dst").alias("host"), (F.col("score") * F.col("share") * damping).alias("x"), F.lit(0.0).alias("old"))
-        last = scores.select("side", "host", F.lit(0.0).alias("x"), F.col("score").alias("old"))
-        scores = materialized(moved.unionByName(restart).unionByName(last).groupBy("side", "host").agg(
-            F.sum("x").alias("score"), F.abs(F.sum("x") - F.sum("old")).alias("change")), "host-scores")
-        done += 1
-        if steps is None:
-            changes = scores.groupBy("side").agg(F.sum("change").alias("change")).collect()  # a row a side
-            # Rounding keeps a change of some 1e-16 alive.
-            if max((r["change"] for r in changes), default=0.0) * damping <= max(error, 1e-13) * (1.0 - damping):
-                break
-    return scores.select("side", "host", "score")
+    # After k steps the scores of a side differ from the final ones by damping^k in sum at most.
+    most = steps if steps is not None else max(1, math.ceil(math.log(max(error, 1e-15)) / math.log(damping)))
+    done, before = 0, None
+    while done < most:
+        k = min(STEPS_AT_ONCE, most - done)
+        scores = materialized(advanced(share, seeds, scores, k, damping), "host-scores")
+        done += k
+        if before is not None:
+            removed(before)
+        before = scores
+        if steps is None and settled is not None and settled(scores, done):
+            break
+    return scores
+
+
+def side_by_side(scores: DataFrame) -> DataFrame:
+    """(host, trust, distrust) from scores by side."""
+    return scores.groupBy("host").agg(*[
+        F.coalesce(F.sum(F.when(F.col("side") == s, F.col("score"))), F.lit(0.0)).alias(s)
+        for s in ("trust", "distrust")])
+
+
+def scored_hosts(rows: DataFrame, steps: int | None = None, block_above: float = BLOCK_ABOVE) -> DataFrame:
+    """(host, trust, distrust, even) of every host of the judged ``rows`` that either side has reached."""
+    edges = materialized(edges_of(rows), "host-edges")
+    sides = materialized(edges.withColumn("side", F.lit("trust")).unionByName(edges.select(
+        F.col("dst").alias("src"), F.col("src").alias("dst"), "weight", F.lit("distrust").alias("side"))), "host-sides")
+    hosts = rows.select("host").distinct().count()
+    even = (1.0 - DAMPING) / max(hosts, 1)
+    out = sides.groupBy("side", "src").agg(F.sum("weight").alias("whole"))
+    inflow = materialized(sides.join(out, ["side", "src"]).groupBy(F.col("dst").alias("host")).agg(
+        F.max(F.col("weight") / F.col("whole")).alias("most")), "host-inflow")
+
+    def settled(scores: DataFrame, done: int) -> bool:
+        # A seed without edges into it keeps its own restart mass, which is exact.
+        off = F.lit(DAMPING ** done) * F.coalesce("most", F.lit(0.0))
+        keep, part = 1.0 - block_above, block_above
+        lead = keep * F.col("distrust") - part * F.col("trust")  # blocked where it and distrust - even are above 0
+        blocked = (lead - off > 0) & (F.col("distrust") - off > even)
+        allowed = (lead + off <= 0) | (F.col("distrust") + off <= even)
+        return side_by_side(scores).join(inflow, "host", "left").where(~(blocked | allowed)).isEmpty()
+
+    scores = pagerank(sides, seed_mass(rows), steps, error=TOLERANCE * even, settled=settled)
+    return side_by_side(scores).withColumn("even", F.lit(even))
 
 
 def host_scores(pages: DataFrame, rules=RULES, steps: int | None = None) -> DataFrame:
     """(host, trust, distrust, even) of every host that either has reached; even is a host's part of evenly spread seeds."""
-    edges = materialized(host_edges(pages), "host-edges")
-    sides = edges.withColumn("side", F.lit("trust")).unionByName(edges.select(
-        F.col("dst").alias("src"), F.col("src").alias("dst"), "weight", F.lit("distrust").alias("side")))
-    hosts = pages.select(host_of(F.col("url")).alias("host")).distinct().count()
-    even = (1.0 - DAMPING) / max(hosts, 1)
-    scores = pagerank(sides, seed_mass(judged(pages, rules)), steps, error=TOLERANCE * even)
-    table = scores.groupBy("host").agg(*[
-        F.coalesce(F.sum(F.when(F.col("side") == s, F.col("score"))), F.lit(0.0)).alias(s)
-        for s in ("trust", "distrust")])
-    return table.withColumn("even", F.lit(even))
+    return scored_hosts(materialized(judged(pages, rules), "judged-pages"), steps)
 
 
 def url_verdicts(pages: DataFrame, rules=RULES, steps: int | None = None, block_above: float = BLOCK_ABOVE) -> DataFrame:
     """page_id, host, path, rule, verdict, trust, distrust per page."""
-    scores = materialized(host_scores(pages, rules, steps).withColumnRenamed("host", "known_host"), "host-verdicts")
-    rows = judged(pages, rules).join(broadcast_if_small(scores, MAX_BROADCAST_HOSTS),
-                                     F.col("host") == F.col("known_host"), "left")
+    pages = materialized(judged(pages, rules), "judged-pages")
+    scores = materialized(scored_hosts(pages, steps, block_above).withColumnRenamed("host", "known_host"), "host-verdicts")
+    rows = pages.join(broadcast_if_small(scores, MAX_BROADCAST_HOSTS), F.col("host") == F.col("known_host"), "left")
     blocked = F.coalesce((F.col("distrust") > block_above * (F.col("trust") + F.col("distrust")))
                          & (F.col("distrust") > F.col("even")), F.lit(False))
     return rows.select("page_id", "host", "path", "rule",
