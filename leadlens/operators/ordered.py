@@ -3,21 +3,22 @@
 A window with an ORDER BY but no PARTITION BY pulls every row into one task.
 The helpers here split the order key into ``n`` ranges instead:
 
-1. the key is read as a number that keeps its order (``order_number``), and
-   range boundaries come from ``approxQuantile`` over it (n−1 numbers on the
-   driver);
-2. a row's bucket is found by binary search (``Bucketizer``) – a pure function
-   of the key, so ties always share a bucket and every pass agrees on it.
-   Null keys have a bucket of their own before all others;
+1. range boundaries: of numbers and times, which are read as a number that
+   keeps their order (``order_number``), by ``approxQuantile``; of text keys and
+   of keys with tie-breakers by a sample in their own types and order
+   (``typed_bounds``).  n−1 boundaries come to the driver;
+2. a row's bucket is found by binary search (``Bucketizer``, or a tree of
+   comparisons) – a pure function of the key, so that ties always share a bucket
+   and every pass agrees on it.  Null keys come before all others;
 3. the window runs inside each bucket (``partitionBy(bucket)``);
 4. one carry row per bucket (a total, or a last/first non-null value) is
    prefixed over the ≤ n bucket rows and joined back as a broadcast whose
    size is bounded by ``n``.
 
 The key must be nearly unique, or the input pre-aggregated per key with the
-boundaries drawn from the aggregated values (AUC groups by score first;
-quantiles group by value first).  Then a hot value can't take the boundaries
-for itself and leave the rest in one bucket.
+boundaries drawn from the aggregated values (AUC groups by score first).  Then
+a hot value can't take the boundaries for itself and leave the rest in one
+bucket.  Quantiles need no order at all (``selection``).
 """
 
 from __future__ import annotations
@@ -30,6 +31,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from leadlens.operators.selection import double_sql as _double_sql
+from leadlens.operators.selection import values_at_ranks
+
 BUCKET = "_bucket"
 _KEY = "_order_number"
 
@@ -39,29 +43,58 @@ def default_buckets(df: DataFrame) -> int:
     return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
-def _double_sql(x: float) -> str:
-    """A DOUBLE literal that parses back to exactly ``x``."""
-    if math.isnan(x):
-        return "CAST('NaN' AS DOUBLE)"
-    if math.isinf(x):
-        return f"CAST('{'-' if x < 0 else ''}Infinity' AS DOUBLE)"
-    return f"{x!r}D"
-
-
 def order_number(df: DataFrame, key: str) -> Column:
-    """A double that never falls as the key rises.
+    """A double that never falls as the key (a number, date or time) rises; dates and times count microseconds.
 
-    Dates and times count microseconds; a text counts its first six bytes as
-    one number.  Equal numbers share a bucket, where the key itself orders.
+    Equal numbers share a bucket, where the key itself orders.
     """
     kind, k = df.schema[key].dataType, F.col(key)
-    if isinstance(kind, T.StringType):
-        return F.conv(F.rpad(F.substring(F.hex(k.cast("binary")), 1, 12), 12, "0"), 16, 10).cast("double")
     if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         return F.unix_micros(k.cast("timestamp")).cast("double")
     return k.cast("double")
 
 
+#: Sampled rows per bucket, and the most buckets that a tree of comparisons finds.
+SAMPLE_PER_BUCKET, MAX_TYPED_BUCKETS = 64, 1024
+
+
+def typed_bounds(df: DataFrame, keys: Sequence[str], n: int) -> list[tuple]:
+    """Up to n−1 ascending tuples of ``keys`` that split the rows about evenly, in the keys' own types and order.
+
+    The sample is taken by a hash of the keys, so it does not depend on partitions, and is counted per key within the
+    tasks before it moves.
+    """
+    total = df.count()
+    if total == 0:
+        return []
+    least = min(1.0, SAMPLE_PER_BUCKET * n / total)
+    hashed = F.pmod(F.xxhash64(*keys, F.lit(7)), F.lit(1 << 30))
+    sample = df.select(*keys).where(hashed < int(least * (1 << 30)) + 1).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    # Some SAMPLE_PER_BUCKET * n distinct keys at most: one task may order them.
+    order = Window.orderBy(*[F.col(k).asc_nulls_first() for k in keys])
+    placed = sample.withColumn("_upto", F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, 0))).withColumn(
+        "_all", F.sum("_n").over(Window.partitionBy()))
+    bucket = F.least(F.floor((F.col("_upto") - F.col("_n")) * n / F.col("_all")), F.lit(n - 1))
+    firsts = (placed.groupBy(bucket.alias("_b")).agg(F.min(F.struct(*keys)).alias("_k"))
+              .where("_b > 0").orderBy("_b").collect())
+    return [tuple(r["_k"]) for r in firsts]
+
+
+def typed_bucket(df: DataFrame, keys: Sequence[str], bounds: Sequence[tuple]) -> Column:
+    """0 for rows below the first bound, else the number of the last bound that the row's keys reach."""
+    key = F.struct(*keys)
+    types = [df.schema[k].dataType for k in keys]
+    edges = [F.struct(*[F.lit(v).cast(t).alias(k) for k, v, t in zip(keys, b, types, strict=True)]) for b in bounds]
+
+    def pick(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        mid = (low + high + 1) // 2
+        return F.when(key >= edges[mid - 1], pick(mid, high)).otherwise(pick(low, mid - 1))
+
+    return pick(0, len(edges))
+
+
 def _clean(bounds) -> list[float]:
     return sorted({float(x) for x in (bounds or []) if x is not None and not math.isnan(x)})
 
@@ -80,9 +113,17 @@ def bound_error(n: int) -> float:
     return min(1e-3, 0.25 / n)
 
 
-def with_range_bucket(df: DataFrame, key: str, n: int | None = None) -> DataFrame:
-    """Adds ``BUCKET``, ascending with ``key``; null keys are in bucket -1, NaN in the last."""
+def with_range_bucket(df: DataFrame, key: str, n: int | None = None, tie_breakers: Sequence[str] = ()) -> DataFrame:
+    """Adds ``BUCKET``, ascending with ``key`` (and ``tie_breakers``, which split a frequent key).
+
+    Null keys without tie-breakers are in bucket -1, NaN in the last.
+    """
     n = n or default_buckets(df)
+    keys = [key, *[c for c in tie_breakers if c != key]]
+    if len(keys) > 1 or isinstance(df.schema[key].dataType, T.StringType):
+        bounds = typed_bounds(df, keys, min(n, MAX_TYPED_BUCKETS))
+        found = typed_bucket(df, keys, bounds)
+        return df.withColumn(BUCKET, F.when(F.col(key).isNull(), -1).otherwise(found) if len(keys) == 1 else found)
     d = df.withColumn(_KEY, order_number(df, key))
     splits = _splits(d.approxQuantile(_KEY, [i / n for i in range(1, n)], bound_error(n)))
     found = Bucketizer(splits=splits, inputCol=_KEY, outputCol=BUCKET, handleInvalid="keep").transform(d)
@@ -97,9 +138,9 @@ def prefix_sums(df: DataFrame, key: str, values: Sequence[str], inclusive: bool
 
     Adds ``<v><suffix>`` per value.  ``inclusive`` includes the current row;
     ``descending`` accumulates from the largest key down.  ``tie_breakers``
-    order rows that share a key value (they always share a bucket).
+    order rows that share a key value, and split them into buckets.
     """
-    d = with_range_bucket(df, key, n)
+    d = with_range_bucket(df, key, n, tie_breakers)
     if descending:
         d = d.withColumn(BUCKET, -F.col(BUCKET))
     totals = d.groupBy(BUCKET).agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
@@ -173,81 +214,72 @@ def fill_forward_backward(df: DataFrame, key: str, columns: Sequence[str], n: in
     """Forward fill then backward fill of ``columns`` in (``key``, ``tie_breakers``) order.
 
     Rows that agree in all of these are ordered by the filled columns
-    themselves, so that the backward pass is always the forward one reversed.
+    themselves, so that the result does not depend on partitions.
+
+    A null that is left after the forward fill has no value before it, so the
+    backward fill gives it the first value of the whole order: one sort serves
+    both.  Each bucket is filled by itself and stored; its last row then holds
+    what it hands on, its last and its first value, and these few rows fill
+    what is left.
     """
-    d = with_range_bucket(df, key, n)
+    from leadlens.sources.tables import materialized
+
+    d = with_range_bucket(df, key, n, tie_breakers)
     order = [key, *tie_breakers, *[c for c in columns if c not in (key, *tie_breakers)]]
-    k = F.struct(*order)
-    aggs = []
-    for c in columns:
-        present = F.when(F.col(c).isNotNull(), k)
-        aggs += [F.max_by(c, present).alias(f"_last_{c}"), F.min_by(c, present).alias(f"_first_{c}")]
-    per_bucket = d.groupBy(BUCKET).agg(*aggs)
+    rows = Window.partitionBy(BUCKET).orderBy(*[F.col(c).asc() for c in order])
+    upto = rows.rowsBetween(Window.unboundedPreceding, 0)
+    # One projection for all columns: Catalyst then plans one Window operator.
+    last = F.lead(F.lit(1)).over(rows).isNull()
+    own = materialized(d.select(
+        *[F.col(c) for c in df.columns if c not in columns], BUCKET, last.alias("_last"),
+        *[F.last(c, ignorenulls=True).over(upto).alias(c) for c in columns],
+        *[F.when(last, F.first(c, ignorenulls=True).over(upto)).alias(f"_first_{c}") for c in columns]), "filled-buckets")
+    # One row per bucket: bounded single-partition windows and a bounded broadcast.
     before = Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    after = Window.orderBy(BUCKET).rowsBetween(1, Window.unboundedFollowing)
-    carry_cols = []
-    for c in columns:
-        carry_cols += [F.last(f"_last_{c}", ignorenulls=True).over(before).alias(f"_fc_{c}"),
-                       F.first(f"_first_{c}", ignorenulls=True).over(after).alias(f"_bc_{c}")]
-    carry = per_bucket.select(BUCKET, *carry_cols)
-    out = d.join(F.broadcast(carry), BUCKET, "left")
-    # Both fills use growing frames (unbounded preceding → current row): an
-    # unbounded-following frame is re-evaluated per row, quadratic per bucket.
-    w_fwd = Window.partitionBy(BUCKET).orderBy(*[F.col(c).asc() for c in order]).rowsBetween(Window.unboundedPreceding, 0)
-    w_bwd = Window.partitionBy(BUCKET).orderBy(*[F.col(c).desc() for c in order]).rowsBetween(Window.unboundedPreceding, 0)
-    # One projection for all columns: Catalyst then plans one Window operator
-    # per direction instead of one per column.
-    filled = {}
-    for c in columns:
-        fwd = F.coalesce(F.last(c, ignorenulls=True).over(w_fwd), F.col(f"_fc_{c}"))
-        bwd = F.coalesce(F.last(c, ignorenulls=True).over(w_bwd), F.col(f"_bc_{c}"))
-        filled[c] = F.coalesce(fwd, bwd).alias(c)
-    return out.select(*[filled.get(c, F.col(c)) for c in df.columns])
+    whole = Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    carry = own.where("_last").select(F.col(BUCKET).alias("_carried"), *[
+        F.coalesce(F.last(c, ignorenulls=True).over(before), F.first(f"_first_{c}", ignorenulls=True).over(whole)).alias(f"_carry_{c}")
+        for c in columns])
+    out = own.join(F.broadcast(carry), F.col(BUCKET) == F.col("_carried"), "left")
+    return out.select(*[F.coalesce(c, f"_carry_{c}").alias(c) if c in columns else F.col(c) for c in df.columns])
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
-                    n: int | None = None) -> DataFrame:
+                    n: int | None = None, stored: bool = False) -> DataFrame:
     """Exact quantiles with linear interpolation (numpy's default), one row.
 
     Output columns ``<col>_q<i>`` for the i-th probability; null for a column
-    with no non-null value.  All columns are handled in one pass: values are
-    stacked as (column index, value) and grouped (partial aggregation,
-    skew-safe) into a stored table; bucket bounds for every column come from one
-    ``approxQuantile`` call over it, and ranks come from bucketed prefix counts whose
-    carries stay within each column.  Nothing is gathered into one task.
+    with no non-null value.  All columns are handled together by narrowing
+    (``selection.values_at_ranks``): a sketch, a count, and a pass that moves
+    the few values around the wanted ranks.  Unless ``df`` is a stored table
+    already (``stored``), its wanted columns are stored first, so that what it
+    is made of runs once.  ``n`` bounds the rows that one rank brings to the
+    last pass.
     """
     from leadlens.sources.tables import materialized
 
-    spark = df.sparkSession
-    cols = list(columns)
+    spark, cols = df.sparkSession, list(columns)
     if not cols:
         return spark.range(1).select()
-    pairs = ", ".join(f"{i}, CAST(`{c}` AS DOUBLE)" for i, c in enumerate(cols))
-    long = df.selectExpr(f"stack({len(cols)}, {pairs}) AS (_ci, _v)")
-    g = (long.where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-         .groupBy("_ci", "_v").agg(F.count(F.lit(1)).alias("_cnt")))
-    g = materialized(g, "quantile-values")
-    d = with_group_bucket(g, "_ci", "_v", group_bounds(g, "_ci", "_v", len(cols), n))
-    totals = d.groupBy("_ci", BUCKET).agg(F.sum("_cnt").alias("_t"))
-    # ≤ len(cols)·n rows: bounded single-partition windows and broadcasts.
-    before = Window.partitionBy("_ci").orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    carry = totals.select("_ci", BUCKET, F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_c"))
-    tot = totals.groupBy("_ci").agg(F.sum("_t").alias("_tot"))
-    w = Window.partitionBy("_ci", BUCKET).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    cum = (d.join(F.broadcast(carry), ["_ci", BUCKET], "left")
-           .withColumn("_cnt_cum", F.sum("_cnt").over(w) + F.col("_c"))
-           .join(F.broadcast(tot), "_ci", "left"))
-    # Value at 0-based rank h = (n−1)·p interpolated between ranks floor(h)
-    # and floor(h)+1; a value row covers ranks [_cnt_cum − _cnt, _cnt_cum).
-    # Written as SQL text: one JVM call per output instead of one per node.
+    values = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    if not stored:
+        values = materialized(values, "quantile-columns")
+
+    def ranks(_: str, rows: int, p: float) -> tuple[int, int]:
+        low = math.floor((rows - 1) * p)
+        return low, min(low + 1, rows - 1)
+
+    wanted = sorted({float(p) for p in probs})
+    count, found = values_at_ranks(values, wanted, ranks, n)
     out = []
     for i, c in enumerate(cols):
-        for j, p in enumerate(probs):
-            h = f"((_tot - 1) * {_double_sql(float(p))})"
-            lo = f"FLOOR({h})"
-            hi = f"LEAST({lo} + 1, _tot - 1)"
-            vlo = f"MAX(CASE WHEN _ci = {i} AND _cnt_cum > {lo} AND _cnt_cum - _cnt <= {lo} THEN _v END)"
-            vhi = f"MAX(CASE WHEN _ci = {i} AND _cnt_cum > {hi} AND _cnt_cum - _cnt <= {hi} THEN _v END)"
-            frac = f"MAX(CASE WHEN _ci = {i} THEN {h} - {lo} END)"
-            out.append(F.expr(f"{vlo} + {frac} * ({vhi} - {vlo})").alias(f"{c}_q{j}"))
-    return cum.agg(*out)
+        for j, p in enumerate(map(float, probs)):
+            if (f"c{i}", p) not in found:
+                out.append(F.lit(None).cast("double").alias(f"{c}_q{j}"))
+                continue
+            low, high = found[f"c{i}", p]
+            h = (count[f"c{i}"] - 1) * p
+            part = h - math.floor(h)
+            exact = low if part == 0 or low == high else low + part * (high - low)  # infinite ends have no way between
+            out.append(F.expr(_double_sql(exact)).alias(f"{c}_q{j}"))
+    return spark.range(1, numPartitions=1).select(*out)

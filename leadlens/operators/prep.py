@@ -225,18 +225,24 @@ class FeaturePipeline:
     Numeric columns are scaled (population std), categoricals one-hot encoded
     with the first level dropped, the remainder dropped, then a variance
     filter (threshold 0.01) selects columns before assembly.
+
+    ``sparse`` encodes categoricals into one sparse vector from a stored level
+    dictionary, for columns of any cardinality; the variance filter then acts
+    on the levels' shares.  ``columns`` names the vector instead of the levels.
     """
 
     def __init__(self, numeric: Sequence[str], categorical: Sequence[str],
                  variance_threshold: float = 0.01, drop_first: bool = True,
-                 impute: bool = False, output_col: str = "features"):
+                 impute: bool = False, output_col: str = "features", sparse: bool = False):
         self.numeric, self.categorical = list(numeric), list(categorical)
         self.variance_threshold, self.drop_first = variance_threshold, drop_first
-        self.impute, self.output_col = impute, output_col
+        self.impute, self.output_col, self.sparse = impute, output_col, sparse
         self.model = None
         self.columns: list[str] = []
 
     def fit(self, df: DataFrame) -> FeaturePipeline:
+        if self.sparse:
+            return self._fit_sparse(df)
         stages = preprocessor(self.numeric, self.categorical, self.drop_first, impute=self.impute)
         prep = Pipeline(stages=stages).fit(df)
         cols = assembled_columns(prep.stages, self.numeric)
@@ -248,9 +254,25 @@ class FeaturePipeline:
         self.model = PipelineModel(stages=[*prep.stages, var, assembler])
         return self
 
+    def _fit_sparse(self, df: DataFrame) -> FeaturePipeline:
+        from pyspark.ml import PipelineModel
+
+        from leadlens.operators.sparse_onehot import SparseOneHot
+
+        prep = Pipeline(stages=preprocessor(self.numeric, [], impute=self.impute)).fit(df)
+        kept = VarianceFilter(self.numeric, threshold=self.variance_threshold).fit(prep.transform(df)).kept() if self.numeric else []
+        fills = [ConstantImputer(self.categorical)] if self.impute and self.categorical else []
+        source = fills[0].transform(df) if fills else df
+        levels = [SparseOneHot(self.categorical, dropFirst=self.drop_first, minVariance=self.variance_threshold,
+                               outputCol="_levels").fit(source)] if self.categorical else []
+        self.columns = [*kept, *["_levels" for _ in levels]]
+        assembler = VectorAssembler(inputCols=self.columns, outputCol=self.output_col, handleInvalid="keep")
+        self.model = PipelineModel(stages=[*prep.stages, *fills, *levels, assembler])
+        return self
+
     def transform(self, df: DataFrame) -> DataFrame:
         if self.model is None:
-            raise ValueError("Pipeline not fitted. Call fit() first.")
+            raise ValueError("this feature pipeline is not fitted yet: fit it on training rows before transforming")
         return self.model.transform(df)
 
     def fit_transform(self, df: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from leadlens.operators import prep as T
 from leadlens.operators import split as D
+from leadlens.operators.sparse_onehot import SparseOneHot
 from leadlens.plans.oracle_views import with_training
 from leadlens.plans.registry import register
 from leadlens.sources import testviews as TV
@@ -55,6 +56,17 @@ def q_onehot_all(spark, sf_dir):
     return T.OneHot(list(ONEHOT_LEVELS), dropFirst=False).fit(t).transform(t).drop(*ONEHOT_LEVELS)
 
 
+@register("t2_t3_sparse_levels", with_training() + " UNION ALL ".join(
+    f"SELECT id, '{c}' AS \"column\", {c} AS level FROM training "
+    f"WHERE {c} IS NOT NULL AND {c} > (SELECT min({c}) FROM training)" for c in ONEHOT_LEVELS))
+def q_sparse_levels(spark, sf_dir):
+    """The levels that are 1 in each row's sparse vector, read back through the stored dictionary."""
+    t = _training(spark, sf_dir).select("id", *ONEHOT_LEVELS)
+    model = SparseOneHot(list(ONEHOT_LEVELS), dropFirst=True).fit(t)
+    hot = model.slots(t).select("id", F.explode("slots").alias("slot"))
+    return hot.join(model.levels(), "slot").select("id", "column", "level")
+
+
 _TRAIN_ROWS = ("(('0x' || substr(md5('42:' || CAST(id AS VARCHAR)), 1, 8))::UBIGINT "
                "/ 4294967296.0::DOUBLE) >= 0.2")
 _IMPUTED = TV.NUMERIC_FEATURES

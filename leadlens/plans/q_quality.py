@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from leadlens.operators import quality as Q
+from leadlens.operators.ordered import row_numbers
 from leadlens.plans.oracle_views import with_training
 from leadlens.plans.registry import register
 from leadlens.session import checkpoint_dir
@@ -246,3 +247,12 @@ def _ffill_sql() -> str:
 def q_ffill(spark, sf_dir):
     t = _training(spark, sf_dir).select("id", *NUM, *CAT)
     return Q.fill_ordered(t, "id", [*NUM, *CAT])
+
+
+@register("w2_text_key_rows", """
+SELECT o_orderkey, row_number() OVER (ORDER BY 'order-of-' || lower(o_orderpriority), o_orderkey) AS row FROM orders""")
+def q_text_key_rows(spark, sf_dir):
+    """Row numbers along a text key with a common prefix and few values, split within a value by the order key."""
+    orders = tables.read_table(spark, f"{sf_dir}/orders.parquet").select(
+        "o_orderkey", F.concat(F.lit("order-of-"), F.lower("o_orderpriority")).alias("key"))
+    return row_numbers(orders, "key", tie_breakers=["o_orderkey"]).select("o_orderkey", "row")

@@ -106,3 +106,46 @@ def test_exact_quantiles_many_stacked_columns(spark):
         vals = pdf[c].dropna().to_numpy()
         for j, p in enumerate([0.1, 0.5, 0.95]):
             assert abs(row[f"{c}_q{j}"] - np.percentile(vals, p * 100)) < 1e-9
+
+
+def test_text_keys_with_a_common_prefix_are_spread(spark):
+    n = 16
+    df = spark.range(20_000).select(F.format_string("customer-%012d", F.col("id") * 7919 % 20_000).alias("k"), "id")
+    sizes = [r[1] for r in O.with_range_bucket(df, "k", n).groupBy(O.BUCKET).count().collect()]
+    assert len(sizes) == n and max(sizes) < 3 * 20_000 / n
+    rows = O.row_numbers(df, "k", n=n).orderBy("row").collect()
+    assert [r.k for r in rows] == sorted(r.k for r in rows) and [r.row for r in rows] == list(range(1, 20_001))
+
+
+def test_tie_breakers_split_a_hot_key(spark):
+    import decimal
+
+    n = 16
+    df = spark.range(9_000).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("k"),
+                                   (F.col("id") * 31 % 9_000).alias("id"), F.col("id").cast("decimal(30,2)").alias("d"))
+    for ties in (["id"], ["d"]):
+        d = O.with_range_bucket(df, "k", n, ties)
+        sizes = [r[1] for r in d.groupBy(O.BUCKET).count().collect()]
+        assert max(sizes) < 3 * 9_000 / n
+    numbered = O.row_numbers(df, "k", n=n, tie_breakers=["id"]).orderBy("row").collect()
+    assert [(r.k, r.id) for r in numbered] == sorted((r.k, r.id) for r in numbered)
+    assert isinstance(O.typed_bounds(df, ["d"], 4)[0][0], decimal.Decimal)
+
+
+def test_null_text_keys_and_few_rows(spark):
+    df = spark.createDataFrame([(None, 1), ("b", 2), ("", 3), (None, 4), ("é", 5)], "k string, id long")
+    got = O.row_numbers(df, "k", n=4, tie_breakers=["id"]).orderBy("row").collect()
+    assert [r.id for r in got] == [1, 4, 3, 2, 5]
+    assert sorted(r.row for r in O.row_numbers(df, "k", n=4).collect()) == [1, 2, 3, 4, 5]
+    assert O.row_numbers(df.limit(0), "k", n=4).count() == 0
+
+
+def test_fill_equals_pandas_over_many_buckets(spark):
+    rng = np.random.default_rng(5)
+    pdf = pd.DataFrame({"k": rng.permutation(400), "a": rng.normal(size=400), "b": rng.integers(0, 5, 400).astype(float)})
+    pdf.loc[rng.random(400) < 0.9, "a"] = np.nan
+    pdf.loc[pdf.k < 250, "b"] = np.nan
+    df = spark.createDataFrame(pdf).replace(float("nan"), None)
+    got = O.fill_forward_backward(df, "k", ["a", "b"], n=30).toPandas().sort_values("k")
+    want = pdf.sort_values("k").ffill().bfill()
+    assert np.allclose(got["a"], want["a"]) and np.allclose(got["b"], want["b"])
