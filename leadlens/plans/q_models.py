@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from leadlens.operators import models as M
 from leadlens.operators import prep as T
 from leadlens.operators import split as D
 from leadlens.operators.sparse_onehot import SparseOneHot
@@ -67,6 +68,17 @@ def q_sparse_levels(spark, sf_dir):
     return hot.join(model.levels(), "slot").select("id", "column", "level")
 
 
+@register("m6_stratified_folds", with_training() + """, placed AS (
+SELECT id, intent_label, count(*) OVER (PARTITION BY intent_label) AS n,
+  row_number() OVER (PARTITION BY intent_label ORDER BY ('0x' || substr(md5('42:' || CAST(id AS VARCHAR)), 1, 8))::UBIGINT, id) AS place
+FROM training)
+SELECT id, intent_label, CAST(len(list_filter([1, 2, 3, 4], lambda i: place > n * i // 5)) AS INTEGER) AS fold FROM placed""")
+def q_folds(spark, sf_dir):
+    """The fold of every training row; a class's folds differ by one row at most."""
+    t = _training(spark, sf_dir).select("id", "intent_label")
+    return M.stratified_folds(t, "id", "intent_label", 5)
+
+
 _TRAIN_ROWS = ("(('0x' || substr(md5('42:' || CAST(id AS VARCHAR)), 1, 8))::UBIGINT "
                "/ 4294967296.0::DOUBLE) >= 0.2")
 _IMPUTED = TV.NUMERIC_FEATURES
@@ -98,7 +110,6 @@ def q_baseline(spark, sf_dir):
 
     Iterative fit (L-BFGS), so there is no SQL oracle; the row check applies.
     """
-    from leadlens.operators import models as M
     from leadlens.plans.q_eval import scored
     from leadlens.plans.training import scored_mode
 
