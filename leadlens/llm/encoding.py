@@ -94,7 +94,7 @@ class ChunkEncoder:
     """``encode`` gives the packed ids of each of a list of distinct chunks, ``spelled`` the bytes of each id."""
 
     def __init__(self, encode: Callable[[list[str]], list[bytes]], spelled: list[bytes] | None = None, lead: bytes = b"",
-                 most: int = 800_000, longest: int = 64):
+                 most: int = 250_000, longest: int = 64):
         self.encode, self.spelled, self.lead = encode, spelled, lead
         self.most, self.longest = most, longest
         self.known: dict[str, bytes] = {}
@@ -183,7 +183,7 @@ def word_encoder(path: str, word_end: str = "</w>", most_words: int = 600_000) -
         out.update(zip(rest, by_mark(rest, encode, lambda c: encode([c])[0], " ", " ", mark_id), strict=True))
         return [out[c] for c in chunks]
 
-    return ChunkEncoder(all_chunks)
+    return ChunkEncoder(all_chunks, most=most_words)
 
 
 def byte_values() -> dict[str, int]:

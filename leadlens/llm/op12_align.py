@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from leadlens.llm.common import materialized
 from leadlens.llm.encoding import ChunkEncoder, byte_encoder, per_worker, piece_encoder, pieces, spaced_chunks
 
-PIECE_CHARS = 1 << 20
+PIECE_CHARS = 1 << 19
 BLOCK_CHARS = 1 << 22
 
 COUNTS = ("n_a", "n_b", "n_groups", "n_links")
