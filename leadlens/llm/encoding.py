@@ -10,7 +10,8 @@ ids of a text are those of its chunks one after the other:
   no piece has a space behind another character.
 
 Chunks that were met are kept, up to a bound in number; it bounds memory and
-has no effect on the ids.  A Python worker keeps its encoders from task to task.
+has no effect on the ids.  A Python worker keeps its encoders from task to task,
+and their chunks unless the task makes it forget them.
 """
 
 from __future__ import annotations
@@ -94,12 +95,16 @@ class ChunkEncoder:
     """``encode`` gives the packed ids of each of a list of distinct chunks, ``spelled`` the bytes of each id."""
 
     def __init__(self, encode: Callable[[list[str]], list[bytes]], spelled: list[bytes] | None = None, lead: bytes = b"",
-                 most: int = 250_000, longest: int = 64):
+                 most: int = 800_000, longest: int = 64):
         self.encode, self.spelled, self.lead = encode, spelled, lead
         self.most, self.longest = most, longest
         self.known: dict[str, bytes] = {}
         self.odd: set[str] = set()
 
+    def forget(self) -> None:
+        """Free the chunks that were kept: an idle worker would hold them while later stages need the memory."""
+        self.known, self.odd = {}, set()
+
     def of(self, texts: list[list[str]]) -> tuple[list[bytes], list[bool]]:
         """The packed ids of each text, given as its chunks, and whether the ids of each of its chunks spell that chunk."""
         flat = list(chain.from_iterable(texts))

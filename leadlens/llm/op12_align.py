@@ -206,6 +206,8 @@ def aligned_blocks(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc
             align(waiting, one, two, vocabulary)
         if found:
             yield stored(found, vocabulary)
+        one.encoder.forget()
+        two.encoder.forget()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return materialized(rows.mapInArrow(run, BLOCKS), "aligned-blocks")
