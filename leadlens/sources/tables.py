@@ -5,7 +5,7 @@
   caller selects/filters.
 * ``query``        – S2: a SQL text scan over registered views.
 * ``scan_limit``   – S3: scan with an optional row cap (0/None = no cap).
-* ``write_table``  – S4: idempotent overwrite of a table folder.
+* ``write_table``  – S4: overwrite of a table folder; the old rows stay until the new ones are complete.
 * ``stored``       – write once into the shared checkpoint folder and read the
   stored copy back: the lineage is cut and a lost executor re-reads files
   instead of recomputing the whole build.
@@ -45,15 +45,44 @@ def scan_limit(df: DataFrame, limit: int | None, order_by: list[str] | None = No
     return df.limit(int(limit))
 
 
-def write_table(df: DataFrame, path: str, fmt: str = "parquet",
-                partition_by: list[str] | None = None) -> None:
-    """Drop-and-create semantics as an atomic-per-job overwrite."""
+def _write(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> None:
     w = df.write.mode("overwrite").format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)
 
 
+def write_table(df: DataFrame, path: str, fmt: str = "parquet",
+                partition_by: list[str] | None = None) -> None:
+    """Drop-and-create that keeps the old rows until the new ones are complete.
+
+    The new table is written beside the old one, under a name that Spark's
+    readers skip, and takes its place by renaming.  A write that fails or is
+    killed leaves the old table, and a table may be overwritten with rows read
+    from itself.  Between the two renames a reader finds no table; a rename
+    that fails puts the old one back.
+    """
+    spark = df.sparkSession
+    folder, _, name = path.rstrip("/").rpartition("/")
+    beside, mark = f"{folder}/" if folder or path.startswith("/") else "", uuid.uuid4().hex
+    new_path = spark._jvm.org.apache.hadoop.fs.Path
+    target, fresh, old = (new_path(p) for p in (path.rstrip("/"), f"{beside}_{name}.new-{mark}", f"{beside}_{name}.old-{mark}"))
+    store = target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    try:
+        _write(df, fresh.toString(), fmt, partition_by)
+        replaced = store.exists(target)
+        if replaced and not store.rename(target, old):
+            raise OSError(f"cannot move the table at {path} aside")
+        if not store.rename(fresh, target):
+            if replaced:
+                store.rename(old, target)
+            raise OSError(f"cannot move the new table to {path}")
+        if replaced:
+            store.delete(old, True)
+    finally:
+        store.delete(fresh, True)
+
+
 _STORED: dict[tuple[str, str], str] = {}
 
 
@@ -64,7 +93,7 @@ def stored(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> Da
     if key not in _STORED:
         safe = "".join(ch if ch.isalnum() else "_" for ch in name)
         path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{app}/{safe}"
-        write_table(build(), path)
+        _write(build(), path)
         _STORED[key] = path
     return spark.read.parquet(_STORED[key])
 
@@ -79,7 +108,7 @@ def materialized(df: DataFrame, label: str = "side") -> DataFrame:
     spark = df.sparkSession
     app = spark.sparkContext.applicationId
     path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{app}/{label}-{uuid.uuid4().hex}"
-    write_table(df, path)
+    _write(df, path)
     return spark.read.parquet(path)
 
 

@@ -61,3 +61,21 @@ def test_generators_have_signal(spark):
     assert s.agg({"id": "min"}).first()[0] == 1
     assert abs(s.agg({"intent_label": "avg"}).first()[0] - 0.3) < 0.05
     assert synthetic.learnable_leads(spark, 50, seed=7).collect() == synthetic.learnable_leads(spark, 50, seed=7).collect()
+
+
+def test_overwriting_a_table_keeps_it_until_the_new_one_is_complete(spark, tmp_path):
+    import pytest
+    from pyspark.sql import functions as F
+
+    from leadlens.sources import tables
+
+    path = str(tmp_path / "deep" / "t")
+    tables.write_table(spark.range(10), path)
+    tables.write_table(spark.read.parquet(path).where("id < 5"), path)  # from itself
+    assert spark.read.parquet(path).count() == 5
+    with pytest.raises(Exception, match="on purpose"):
+        tables.write_table(spark.range(50).withColumn("x", F.when(F.col("id") == 49, F.raise_error(F.lit("on purpose")))), path)
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [0, 1, 2, 3, 4]
+    tables.write_table(spark.range(6).withColumn("p", F.col("id") % 2), path, partition_by=["p"])
+    assert spark.read.parquet(path).where("p = 1").count() == 3
+    assert [f.name for f in (tmp_path / "deep").iterdir()] == ["t"]
