@@ -103,3 +103,15 @@ def test_splits(spark):
     assert abs(s["train"] / 4000 - 0.7) < 0.03 and abs(s["test"] / 4000 - 0.1) < 0.02
     # deterministic: the same rows every time
     assert te.orderBy("id").collect() == D.train_test_split(df, "id", 0.2)[1].orderBy("id").collect()
+
+
+def test_duplicates_by_digest_are_compared_in_full(spark):
+    from leadlens.operators import quality as Q
+
+    rows = [(1, None, "a"), (None, 1.0, "a"), (1, None, "a"), (2, float("nan"), None), (2, None, None), (3, -0.0, ""), (3, 0.0, "")]
+    df = spark.createDataFrame(rows + [(i, 1.0, "x") for i in range(10, 200)], "i long, v double, t string")
+    want = df.count() - Q.missing_as_null(df, df.columns).distinct().count()
+    for bits in (128, 64, 4):  # 4 bits: nearly all digests collide
+        assert Q.duplicate_rows(df, bits=bits).first()[0] == want == 3
+    assert Q.duplicate_rows(df, ["t"], bits=128).first()[0] == df.count() - 4
+    assert Q.duplicate_rows(df.limit(0)).first()[0] == 0
