@@ -184,6 +184,10 @@ class SecondOrderTreesModel(Model, _Boosting):
     def fitted(self) -> list[dict[int, dict]]:
         return [{int(n): v for n, v in t.items()} for t in json.loads(self.getOrDefault(self.trees))]
 
+    @property
+    def getNumTrees(self) -> int:  # noqa: N802 (a property, as in MLlib's models)
+        return len(self.fitted())
+
     @property
     def featureImportances(self):  # noqa: N802 (as MLlib's tree models name it)
         total, n = {}, {}
