@@ -4,9 +4,10 @@ Tier parameters follow the training script (``script``), or the configuration
 file (``config``: boosting 100 × depth 3 and 100 × depth 6, step 0.1); where
 MLlib differs the mapping is stated:
 
-* baseline (M1) – L2 logistic regression, C = 1, balanced class weights:
-  ``regParam = 1/(C·Σw)`` (MLlib averages the weighted loss; sklearn sums it),
-  ``standardization=False`` because the preprocessor already scales.
+* baseline (M1) – L2 logistic regression (``operators.logit``, Newton steps to
+  the optimum), C = 1, balanced class weights: ``regParam = 1/(C·Σw)`` (the
+  weighted loss is averaged here and summed in sklearn), no scaling because the
+  preprocessor already scales.
 * challenger (M2) – gradient-boosted trees 200 × depth 4, step 0.05,
   subsample 0.8; (M3) random forest 100 trees, balanced weights, depth 30 for
   the unlimited depth.
@@ -40,6 +41,7 @@ from pyspark.sql import functions as F
 from leadlens.operators import metrics as E
 from leadlens.operators.boosting import SecondOrderTrees
 from leadlens.operators.joins import attach_row
+from leadlens.operators.logit import NewtonLogit
 from leadlens.operators.split import in_quota
 from leadlens.operators.summaries import class_balance
 from leadlens.sources.tables import materialized
@@ -77,9 +79,8 @@ def build_classifier(tier: str, n_rows: int, spw: float, label: str = "label",
     if challenger not in CHALLENGERS:
         raise ValueError(f"challenger must be one of {CHALLENGERS}, not {challenger!r}")
     if tier == "baseline":
-        return LogisticRegression(featuresCol=features, labelCol=label, weightCol=weight,
-                                  regParam=1.0 / max(n_rows, 1), elasticNetParam=0.0,
-                                  standardization=False, maxIter=1000), \
+        return NewtonLogit(featuresCol=features, labelCol=label, weightCol=weight,
+                           regParam=1.0 / max(n_rows, 1), maxIter=1000), \
             {"C": "1.0", "max_iter": "1000", "class_weight": "balanced"}
     if tier == "challenger" and challenger == "random_forest":
         return RandomForestClassifier(featuresCol=features, labelCol=label, weightCol=weight,
