@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 
 from leadlens.functions import exprs as X
 from leadlens.operators import aggregates as A
-from leadlens.operators.joins import (DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast, unique_key,
-                                      left_lookup)
+from leadlens.operators.joins import (DEFAULT_MAX_BROADCAST_BYTES, bounded_broadcast, bounded_lookup, fits_broadcast,
+                                      left_lookup, unique_key)
 
 FEATURE_COLUMNS: tuple[str, ...] = (
     "lead_id", "contact_id", "is_interested",
@@ -83,13 +83,13 @@ def prepare_leads(leads: DataFrame) -> DataFrame:
     return _coerce_timestamps(ld, LEAD_TIMESTAMPS)
 
 
-def _status_lookup(status_master: DataFrame, max_rows: int) -> DataFrame:
+def _status_lookup(status_master: DataFrame) -> DataFrame:
     s = A.lower_columns(status_master).select(
         F.col("id").cast("double").alias("st_id"), F.col("name").alias("st_name"))
-    return bounded_broadcast(unique_key(s, "st_id", "status master"), max_rows)
+    return unique_key(s, "st_id", "status master")
 
 
-def _user_lookup(users: DataFrame, max_rows: int) -> DataFrame:
+def _user_lookup(users: DataFrame) -> DataFrame:
     u = A.lower_columns(users)
     status = F.col("status") if "status" in u.columns else None
     deleted = F.col("deleted_at") if "deleted_at" in u.columns else None
@@ -97,41 +97,42 @@ def _user_lookup(users: DataFrame, max_rows: int) -> DataFrame:
     u = u.select(F.col("id").alias("u_id"),
                  X.user_active(status, deleted).alias("u_active"),
                  role.alias("u_role_id"))
-    return bounded_broadcast(unique_key(u, "u_id", "users"), max_rows)
+    return unique_key(u, "u_id", "users")
 
 
-def _contact_lookup(contacts: DataFrame, max_rows: int) -> DataFrame:
+def _contact_lookup(contacts: DataFrame) -> DataFrame:
     c = A.lower_columns(contacts)
     lc = F.col("lead_count") if "lead_count" in c.columns else F.lit(None).cast("int")
     dom = F.col("is_domestic") if "is_domestic" in c.columns else F.lit(None).cast("int")
     c = c.select(F.col("id").alias("c_id"), lc.alias("c_lead_count"), dom.alias("c_is_domestic"))
-    return bounded_broadcast(unique_key(c, "c_id", "contacts"), max_rows)
+    return unique_key(c, "c_id", "contacts")
 
 
-def _map_status(ld: DataFrame, status: DataFrame, source: str, out: str) -> DataFrame:
+def _map_status(ld: DataFrame, status: DataFrame, source: str, out: str, fits: bool) -> DataFrame:
     s = status.select(F.col("st_id").alias(f"{out}_k"), F.col("st_name").alias(out))
-    key = X.to_number(source, "double")
-    return ld.join(s, key == s[f"{out}_k"], "left").drop(f"{out}_k")
+    return bounded_lookup(ld, s, X.to_number(source, "double"), f"{out}_k", "id", fits=fits)
 
 
 def join_sources(
     leads: DataFrame, act_agg: DataFrame, contacts: DataFrame, fb_agg: DataFrame,
     vb_agg: DataFrame, users: DataFrame, status_master: DataFrame, ref_date: _dt.date,
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    max_broadcast_rows: int | None = None,
+    max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Every lookup attached to the prepared lead table."""
     ld = prepare_leads(leads)
-    stats = bounded_broadcast(A.lead_group_stats(ld, ref_date), max_broadcast_rows,
-                              materialize=True)
+    bounds = {"max_rows": max_broadcast_rows, "max_bytes": max_broadcast_bytes}
+    stats = bounded_broadcast(A.lead_group_stats(ld, ref_date), materialize=True, **bounds)
     ld = left_lookup(ld, A.channel_stats(stats), "lead_channel", "s_channel", null_safe=True)
     ld = left_lookup(ld, A.campaign_stats(stats), "campaign_name", "s_campaign")
     ld = left_lookup(ld, A.owner_stats(stats), "lead_owner", "s_owner", null_safe=True)
-    ld = left_lookup(ld, _user_lookup(users, max_broadcast_rows), "lead_owner", "u_id")
-    status = _status_lookup(status_master, max_broadcast_rows)
+    ld = bounded_lookup(ld, _user_lookup(users), "lead_owner", "u_id", "id", **bounds)
+    status = _status_lookup(status_master)
+    fits = fits_broadcast(status, **bounds)
     for src, out in (("lead_status", "lead_status_name"),
                      ("lead_sub_status", "lead_sub_status_name"),
                      ("previous_lead_status", "previous_lead_status_name")):
-        ld = _map_status(ld, status, src, out)
+        ld = _map_status(ld, status, src, out, fits)
     act = A.lower_columns(act_agg).withColumnRenamed("lead_id", "a_lead_id")
     fb = A.lower_columns(fb_agg).withColumnRenamed("lead_id", "f_lead_id")
     vb = (A.lower_columns(vb_agg).withColumn("lead_id", F.col("lead_id").try_cast("long"))
@@ -139,7 +140,7 @@ def join_sources(
     ld = left_lookup(ld, act, "id", "a_lead_id")
     ld = left_lookup(ld, fb, "id", "f_lead_id")
     ld = left_lookup(ld, vb, "id", "v_lead_id")
-    ld = left_lookup(ld, _contact_lookup(contacts, max_broadcast_rows), "contact_id", "c_id")
+    ld = bounded_lookup(ld, _contact_lookup(contacts), "contact_id", "c_id", "id", **bounds)
     return ld
 
 
@@ -274,7 +275,8 @@ def build_features(
     voicebot_logs: DataFrame, users: DataFrame, status_master: DataFrame,
     ref_date: _dt.date, computed_at: _dt.datetime, voicebot_action: str,
     keywords: dict[str, Sequence[str]] | None = None, voicebot_id_path: str = A.VOICEBOT_ID_PATH,
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    max_broadcast_rows: int | None = None,
+    max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Raw CRM tables → 99-column feature table.
 
@@ -286,5 +288,5 @@ def build_features(
     fb = A.facebook_aggregate(facebook_events)
     vb = A.voicebot_aggregate(voicebot_logs, voicebot_action, voicebot_id_path)
     ld = join_sources(leads, act, contacts, fb, vb, users, status_master, ref_date,
-                      max_broadcast_rows)
+                      max_broadcast_rows, max_broadcast_bytes)
     return ld.select(*feature_columns(ld, ref_date, computed_at))

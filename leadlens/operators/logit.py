@@ -12,7 +12,8 @@ passes; so its result can be checked against the optimality conditions.
 
 Rows without a label or with a null weight take no part.  Labels of one class
 only have no optimum without a penalised intercept: an error, as an empty
-table is.  Null or NaN features fail the fit.  Repeated rows count each.
+table is.  Null, NaN and infinite
+features are an error.  Repeated rows count each.
 """
 
 from __future__ import annotations
@@ -88,6 +89,8 @@ class NewtonLogit(Estimator, _Logit):
 
         point = np.zeros(width + 1)
         here, slope, curve = at(point)
+        if not np.isfinite(curve).all():
+            raise ValueError("features or weights are null, NaN or infinite")
         for _ in range(self.getMaxIter()):
             if np.abs(slope).max() <= self.getTol():
                 break

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import uuid
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leadlens.operators import quality as Q
@@ -83,6 +86,33 @@ def q_profile(spark, sf_dir):
     return profile.profile_tables({t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in PROFILED})
 
 
+#: What the sample rows are checked by: the columns of whole numbers, as text.
+_WHOLE = {"region": ("r_regionkey",), "nation": ("n_nationkey", "n_regionkey"), "customer": ("c_custkey", "c_nationkey"),
+          "supplier": ("s_suppkey", "s_nationkey"), "part": ("p_partkey", "p_size"), "orders": ("o_orderkey", "o_custkey"),
+          "lineitem": ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"), "events": ("event_id", "user_id"),
+          "documents": ("doc_id", "n_chars"), "embeddings": ("vec_id", "label"), "pages": ("page_id",), "benchmark": ("item_id",),
+          "labels": ("doc_id", "quality", "toxic"), "conversations": ("conv_id", "turn")}
+
+
+def _catalogue_sql() -> str:
+    def one(t: str, whole: tuple[str, ...]) -> str:
+        told = " || ':' || ".join(f"coalesce(CAST({c} AS VARCHAR), 'null')" for c in whole)
+        return (f"SELECT '{t}' AS table_name, (SELECT count(*) FROM {t}) AS row_count, CAST({len(_PROFILE_COLUMNS[t])} AS INTEGER) AS n_columns, "
+                f"(SELECT string_agg(told, ',') FROM (SELECT {told} AS told FROM (SELECT * FROM {t} ORDER BY ALL NULLS FIRST LIMIT 3))) AS sample")
+    return " UNION ALL ".join(one(t, w) for t, w in _WHOLE.items())
+
+
+@register("s8_catalogue", _catalogue_sql())
+def q_catalogue(spark, sf_dir):
+    """Every table that the folder holds, found by listing it, with its first rows in whole numbers."""
+    def one(name, df):
+        whole = [c for c, kind in df.dtypes if kind in ("int", "bigint")]
+        told = F.transform("sample", lambda r: F.array_join(F.array(*[r[c].cast("string") for c in whole]), ":", "null"))
+        return profile.summary(df, name).withColumn("sample", F.array_join(told, ","))
+
+    return reduce(DataFrame.unionByName, [one(name, df) for name, df in profile.folder_tables(spark, sf_dir).items()])
+
+
 def _training(spark, sf_dir):
     return TV.training_view(spark, sf_dir)
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from leadlens.operators import models as M
 from leadlens.operators.logit import NewtonLogit, NewtonLogitModel
+from leadlens.plans.training import SCORE_COLUMNS as M_SCORES
 
 
 def _gradient(x, y, w, ridge, point):
@@ -91,11 +92,24 @@ def test_separable_rows_have_an_optimum_with_a_penalty(spark):
     assert 0 < model.coefficients[0] < 10
 
 
-def test_baseline_on_the_scored_table_is_optimal(spark):
+def test_features_that_are_no_numbers_are_refused(spark):
+    x, y, w = _data(50)
+    x[7, 2] = np.nan
+    with pytest.raises(ValueError, match="NaN"):
+        NewtonLogit().fit(_frame(spark, x, y, w.tolist()))
+
+
+def test_baseline_on_the_scored_table_equals_an_independent_solution(spark):
     from leadlens.plans.q_eval import scored
-    from leadlens.plans.training import scored_mode
+    from leadlens.plans.training import SCORED_TARGET, prepare, scored_mode
     from tests.conftest import SF_SMALL
 
-    _, models, pre, cols, _ = scored_mode(scored(spark, SF_SMALL), ["baseline"])
-    model = models["baseline"]
-    assert isinstance(model, NewtonLogitModel) and len(model.coefficients) == len(cols)
+    table = scored(spark, SF_SMALL)
+    _, models, pre, cols, _ = scored_mode(table, ["baseline"])
+    names = [c for c in table.columns if c in M_SCORES]
+    train = pre.transform(prepare(table.where("split = 'train'"), names, [], SCORED_TARGET)).select("features", "label").collect()
+    x, y = np.array([r.features.toArray() for r in train]), np.array([float(r.label) for r in train])
+    w = np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (len(y) - y.sum())))
+    got = np.append(models["baseline"].coefficients.toArray(), models["baseline"].intercept)
+    assert x.shape[1] == len(cols) == len(got) - 1
+    assert np.abs(got - _descended(x, y, w, 1 / len(y))).max() < 1e-6

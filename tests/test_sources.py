@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from leadlens.sources import csv_io, profile, synthetic, tables
 
 FIELDS = ",".join(csv_io.ALL_FIELDS)
@@ -79,3 +81,32 @@ def test_overwriting_a_table_keeps_it_until_the_new_one_is_complete(spark, tmp_p
     tables.write_table(spark.range(6).withColumn("p", F.col("id") % 2), path, partition_by=["p"])
     assert spark.read.parquet(path).where("p = 1").count() == 3
     assert [f.name for f in (tmp_path / "deep").iterdir()] == ["t"]
+
+
+def test_tables_of_a_folder_and_of_the_catalogue(spark, tmp_path):
+    spark.range(5).withColumn("m", F.create_map(F.lit("a"), F.col("id"))).write.parquet(str(tmp_path / "numbers"))
+    spark.range(2).selectExpr("id", "IF(id = 0, NULL, 'x') AS t").write.parquet(str(tmp_path / "texts.parquet"))
+    spark.range(1).write.parquet(str(tmp_path / "_hidden"))
+    (tmp_path / "notes.txt").write_text("no table")
+    found = profile.folder_tables(spark, str(tmp_path))
+    assert list(found) == ["numbers", "texts"]
+    rows = {r.table_name: r for r in profile.summaries(found).collect()}
+    assert (rows["numbers"].row_count, rows["numbers"].n_columns, len(rows["numbers"].sample)) == (5, 2, 3)
+    assert rows["texts"].sample == ['{"id":0,"t":null}', '{"id":1,"t":"x"}']
+    (tmp_path / "none").mkdir()
+    assert profile.folder_tables(spark, str(tmp_path / "none")) == {}
+    (tmp_path / "none").rmdir()
+    found["texts"].createOrReplaceTempView("catalogue_texts")
+    try:
+        listed = profile.catalogue_tables(spark)
+        assert listed["catalogue_texts"].count() == 2
+    finally:
+        spark.catalog.dropTempView("catalogue_texts")
+
+
+def test_sample_of_ties_nulls_and_an_empty_table(spark):
+    df = spark.createDataFrame([(1, "b"), (1, None), (1, "a"), (0, "z"), (1, "a")], "k int, t string")
+    row = profile.summary(df.repartition(4), "ties", 4).first()
+    assert [(r.k, r.t) for r in row.sample] == [(0, "z"), (1, None), (1, "a"), (1, "a")] and row.row_count == 5
+    none = profile.summary(df.limit(0), "none").first()
+    assert (none.row_count, none.n_columns, none.sample) == (0, 2, [])
