@@ -16,8 +16,16 @@ each other in it.
    length each way.  A run as long as a window is exactly the union of the
    contained windows around this position; its words are hit.
 
-The items' vocabulary and keys are broadcast while they are small; larger
-benchmarks are joined by shuffle, where AQE splits frequent words.
+A key carries the words around it, at most a window's length each way.  The
+items' vocabulary and keys are broadcast while their bytes in memory allow.  For
+a larger benchmark the document words are narrowed to key words first (by a
+broadcast of the distinct key words, or by a shuffle of single words with their
+positions and one of the texts beyond its bound); only these positions, with the
+words around them, are shuffled to the keys, where AQE splits frequent words.
+
+The prefix is a word and not a shingle of several: counting shingles would move
+and hold a text's whole shingle set, while the words of an item are few, and the
+bounds and the comparison settle what a frequent word lets through.
 
 Null texts have no words.  Items without words never occur.  A null item id
 counts as one item and is written as nothing.  Rows that repeat id and text
@@ -32,14 +40,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from leadlens.llm.common import ascii_lower, broadcast_if_small, drop_rows, materialized
+from leadlens.llm.common import ascii_lower, drop_rows, materialized
+from leadlens.operators.joins import bounded_broadcast, fits_broadcast
 
 WINDOW = 10
 #: What stands between words, before and after lower-casing.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WORD_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-#: Item words, and key positions with their item, up to these numbers are broadcast (some 20 MB each).
-MAX_BROADCAST_WORDS, MAX_BROADCAST_KEYS = 400_000, 50_000
+#: Item words (or key words), and key positions with the words around, are broadcast up to so many bytes in memory.
+MAX_BROADCAST_WORDS, MAX_BROADCAST_KEYS = 64 << 20, 64 << 20
 
 
 def words_of(text: Column) -> Column:
@@ -54,11 +63,11 @@ def items_of(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def key_positions(items: DataFrame, docs: DataFrame, text_col: str, window: int) -> DataFrame:
-    """Stored: item_no, item_id, item_words, p, word: the rarest word of each window, by position."""
+    """Stored: item_id, word, item_size, item_before, item_behind: the rarest word of each window and the words around it."""
     vocabulary = materialized(items.select(F.explode("item_words").alias("word")).distinct(), "item-vocabulary")
     # The outer form keeps Catalyst from splitting each text once more to see whether it has words.
     found = docs.select(F.explode_outer(words_of(F.col(text_col))).alias("word"))
-    uses = found.join(broadcast_if_small(vocabulary, MAX_BROADCAST_WORDS), "word").groupBy("word").agg(
+    uses = found.join(bounded_broadcast(vocabulary, max_bytes=MAX_BROADCAST_WORDS), "word").groupBy("word").agg(
         F.count(F.lit(1)).alias("uses"))
     placed = items.select("item_no", F.posexplode("item_words").alias("p", "word")).join(uses, "word", "left")
     # A word that no document has settles its windows: nothing can contain them, and the join finds nothing.
@@ -67,7 +76,36 @@ def key_positions(items: DataFrame, docs: DataFrame, text_col: str, window: int)
     starts = F.sequence(F.lit(1), F.greatest(F.size("ranks") - window + 1, F.lit(1)))
     keys = ranked.select("item_no", F.explode(F.array_distinct(F.transform(
         starts, lambda s: F.array_min(F.transform(F.slice("ranks", s, window), lambda r: r["rank"]))))).alias("k"))
-    return materialized(keys.select("item_no", "k.p", "k.word").join(items, "item_no"), "item-keys")
+    before, behind = around("item_words", "p", window)
+    return materialized(keys.select("item_no", "k.p", "k.word").join(items, "item_no").select(
+        "item_id", "word", F.size("item_words").alias("item_size"), before.alias("item_before"), behind.alias("item_behind")),
+        "item-keys")
+
+
+def around(words: str, at: str, window: int) -> tuple[Column, Column]:
+    """The words before and behind a position, fewer than a window each."""
+    reach = F.lit(window - 1)
+    left, right = F.least(at, reach), F.least(F.size(words) - 1 - F.col(at), reach)
+    return F.slice(words, F.col(at) - left + 1, left), F.slice(words, F.col(at) + 2, right)
+
+
+def positions(rows: DataFrame, keys: DataFrame, window: int) -> DataFrame:
+    """doc_id, raw_hash, q, before, behind and the columns of ``keys``, from ``rows(doc_id, raw_hash, words)``."""
+    before, behind = (c.alias(n) for c, n in zip(around("words", "q", window), ("before", "behind"), strict=True))
+    own = ["doc_id", "raw_hash", "q"]
+    placed = rows.select("doc_id", "raw_hash", "words", F.posexplode_outer("words").alias("q", "word"))
+    if fits_broadcast(keys, max_bytes=MAX_BROADCAST_KEYS):
+        # The scan stays one generated loop; words are cut out for candidates only.
+        return placed.join(F.broadcast(keys), "word").select(*own, before, behind, *[c for c in keys.columns if c != "word"])
+    key_words = materialized(keys.select("word").distinct(), "key-words")
+    if fits_broadcast(key_words, max_bytes=MAX_BROADCAST_WORDS):
+        placed = placed.join(F.broadcast(key_words), "word", "left_semi")
+    else:
+        found = placed.drop("words").join(key_words, "word", "left_semi").groupBy("doc_id", "raw_hash").agg(
+            F.collect_set(F.struct("q", "word")).alias("found")).withColumnsRenamed({"doc_id": "d", "raw_hash": "h"})
+        placed = rows.join(found, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("raw_hash") == F.col("h"))).select(
+            "doc_id", "raw_hash", "words", F.inline("found"))
+    return placed.select(*own, "word", before, behind).join(keys, "word").drop("word")
 
 
 def same_run(left: Column, right: Column, length: Column) -> Column:
@@ -83,20 +121,15 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: st
     keys = key_positions(items, docs, text_col, window)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("raw_hash"),
                        words_of(F.col(text_col)).alias("words"))
-    rows = rows.select("doc_id", "raw_hash", "words", F.posexplode_outer("words").alias("q", "word"))
-    n, reach = F.size("item_words"), F.lit(window - 1)
-    room_left = F.least("p", "q", reach)
-    room_right = F.least(n - 1 - F.col("p"), F.size("words") - 1 - F.col("q"), reach)
-    need = F.least(n, F.lit(window))
-    near = rows.join(broadcast_if_small(keys, MAX_BROADCAST_KEYS), "word").where(room_left + room_right + 1 >= need)
-    # Only the words around a candidate leave the scan, which stays one generated loop up to here.
+    room_left, room_right = F.least(F.size("before"), F.size("item_before")), F.least(F.size("behind"), F.size("item_behind"))
+    need = F.least("item_size", F.lit(window))
+    near = positions(rows, keys, window).where(room_left + room_right + 1 >= need)
     near = materialized(near.select(
-        "doc_id", "raw_hash", "item_id", "q", need.alias("need"), room_left.alias("room_left"),
-        room_right.alias("room_right"),
-        F.slice("words", F.col("q") - room_left + 1, room_left).alias("before"),
-        F.slice("item_words", F.col("p") - room_left + 1, room_left).alias("item_before"),
-        F.slice("words", F.col("q") + 2, room_right).alias("behind"),
-        F.slice("item_words", F.col("p") + 2, room_right).alias("item_behind")), "item-candidates")
+        "doc_id", "raw_hash", "item_id", "q", need.alias("need"), room_left.alias("room_left"), room_right.alias("room_right"),
+        F.slice("before", F.size("before") - room_left + 1, room_left).alias("before"),
+        F.slice("item_before", F.size("item_before") - room_left + 1, room_left).alias("item_before"),
+        F.slice("behind", F.lit(1), room_right).alias("behind"),
+        F.slice("item_behind", F.lit(1), room_right).alias("item_behind")), "item-candidates")
     found = near.withColumns({
         "run_left": same_run(F.reverse("before"), F.reverse("item_before"), F.col("room_left")),
         "run_right": same_run(F.col("behind"), F.col("item_behind"), F.col("room_right"))})

@@ -68,3 +68,11 @@ def test_rows_that_stay_and_empty_tables(spark):
 def test_plan_has_no_python(spark, capsys):
     D.contamination(docs_of(spark, ["a"]), spark.createDataFrame(ITEMS, "item_id long, text string")).explain()
     assert "Python" not in (text := capsys.readouterr().out) and "Arrow" not in text
+
+
+def test_keys_by_shuffle_and_key_words_by_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(D, "MAX_BROADCAST_KEYS", 0)
+    rows = [*enumerate(texts()), (7, "lone item"), (7, "lone item"), (None, ITEMS[4][1])]
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    got = sorted((str(r[0]), *r[1:]) for r in D.contamination(docs_of(spark, rows), items).collect())
+    assert got == sorted((str(i), *plain(t, ITEMS)) for i, t in rows)
