@@ -13,7 +13,8 @@ response and the others revisit it, without a payload of their own.  Equality
 is decided by SHA-256 and length before anything is written; payloads shorter
 than ``least_bytes`` are always responses.
 
-A null payload is empty; a null URL or id leaves its header line out, and null
+A payload is held in memory by the task that writes or reads it, however long it
+is.  A null payload is empty; a null URL or id leaves its header line out, and null
 ids sort last.  Rows that repeat both id and payload can't be told apart and
 have the same type.  An empty table gives an empty index and result.  Extra
 columns are ignored.
@@ -39,6 +40,8 @@ from leadlens.session import checkpoint_dir
 ARCHIVE_BYTES = 256 << 20
 #: Ranges no further apart are read at once, up to so many bytes.
 GAP_BYTES, READ_BYTES = 64 << 10, 8 << 20
+#: A reading task gets so many bytes of records, more where that would take more than so many tasks.
+STRETCH_BYTES, MAX_TASKS = 8 << 20, 20_000
 #: Revisits (id, hash, id: some 100 bytes each) up to this number are broadcast, which leaves the pages where they are.
 MAX_BROADCAST_REVISITS = 200_000
 DATE = "2001-01-01T00:00:00Z"
@@ -151,10 +154,12 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0, archive_
     return materialized(planned(pages, least_bytes).mapInArrow(run, INDEX), "warc-index")
 
 
-def read_archives(index: DataFrame, folder: str, payloads: bool = True, stretch: int = 32 << 20) -> DataFrame:
+def read_archives(index: DataFrame, folder: str, payloads: bool = True, stretch: int = STRETCH_BYTES) -> DataFrame:
     """The records that ``index`` (any selection of its rows) names, read by joined byte ranges.
 
-    Rows are dealt out by file and stretch of the file, so one large archive is read by many tasks.
+    Rows are dealt out by file and stretch of the file, so one large archive is read by many tasks: one per
+    ``stretch`` bytes of the selected records, and of longer stretches beyond ``MAX_TASKS``.  The number is given
+    explicitly, because index rows are short and Spark would join their partitions by size.
     ``payloads=False`` checks the payloads and leaves them out of the result.
     """
 
@@ -193,8 +198,10 @@ def read_archives(index: DataFrame, folder: str, payloads: bool = True, stretch:
         if source is not None:
             source.close()
 
+    total = index.agg(F.sum("length")).first()[0] or 0
+    stretch = max(stretch, -(-total // MAX_TASKS))
     part = F.floor(F.col("offset") / stretch)
-    rows = (index.select("file", "offset", "length").repartition("file", part)
+    rows = (index.select("file", "offset", "length").repartition(max(1, -(-total // stretch)), "file", part)
             .sortWithinPartitions("file", "offset"))
     return rows.mapInArrow(run, PAGES)
 

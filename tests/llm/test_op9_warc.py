@@ -65,3 +65,12 @@ def test_damage_is_found_and_empty_table(spark, tmp_path):
         W.parse_record(gzip.compress(gzip.decompress(member).replace(b"payload\r\n", b"paylaod\r\n")))
     index = W.write_archives(spark.createDataFrame([], PAGES), folder(tmp_path))
     assert W.read_archives(index, folder(tmp_path)).count() == 0
+
+
+def test_archives_are_read_by_as_many_tasks_as_their_bytes_need(spark, tmp_path):
+    import os
+    pages = spark.createDataFrame([(i, "u", os.urandom(2000).hex()) for i in range(200)], PAGES).repartition(1)
+    index = W.write_archives(pages, folder(tmp_path))
+    total = sum(r.length for r in index.collect())
+    got = W.read_archives(index, folder(tmp_path), payloads=False, stretch=total // 16)
+    assert got.rdd.getNumPartitions() >= 16 and got.count() == 200
