@@ -108,7 +108,7 @@ def q_variance(spark, sf_dir):
 def q_baseline(spark, sf_dir):
     """Baseline tier on the scored table: run results + |coefficient| importances.
 
-    Iterative fit (L-BFGS), so there is no SQL oracle; the row check applies.
+    Iterative fit, so there is no SQL oracle; tests hold it against an independent solution.
     """
     from leadlens.plans.q_eval import scored
     from leadlens.plans.training import scored_mode
