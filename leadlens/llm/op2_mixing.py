@@ -5,24 +5,37 @@
    smoothed share of its documents; a naive Bayes sum over the features gives
    each document's posterior over the domains, to three decimals.
 2. *Fit.*  Document i has tokens n_i, posteriors p_id and a rate r_i >= 0.
-   The expected tokens of domain d are m_d = sum_i r_i n_i p_id.  Among the
-   rates that meet the targets T_d, those nearest to 1 (by tokens) are
-
-       r_i = max(0, 1 - sum_d p_id x_d)
-
-   with one number x_d per domain.  These minimise a convex function whose
-   gradient is T_d - m_d, to which RIDGE / 2 sum_d M_d x_d^2 is added (M_d are
-   the domain's tokens at rate 1): so there is a minimum where no rates meet
-   the targets, too, and it is their least squares with residuals weighted by
-   1 / M_d.  Newton steps with halving find it; weakly separated posteriors
-   take no more of them.  The rate of a document depends on its posteriors
-   alone: documents are summed up by their posteriors once, and each step is
-   one aggregate over that small table.  Its size is bounded by the grid of
-   posteriors, not by the corpus.  The fit ends where the gradient is below
-   TOLERANCE of M_d in each domain.  There is no upper bound of a rate unless
-   the caller gives a ``cap``.
-3. *Rates.*  The numbers x_d give any document its rate in one expression.
-   ``copies`` rounds the rate up or down by a hash of the id.
+   The expected tokens of domain d are m_d = sum_i r_i n_i p_id.  The rates
+   minimise the least squares
+
+       1/2 sum_d (m_d - T_d)^2 / M_d
+
+   over r >= 0 (T_d are the targets, M_d the domain's tokens at rate 1) by
+   projected gradient from rate 1.  Measured by tokens, the gradient at
+   document i is sum_d p_id (m_d - T_d) / M_d, and its Lipschitz constant is
+   at most 1, so a step
+
+       r_i = max(0, r_i - a sum_d p_id (m_d - T_d) / M_d)
+
+   of length a = 1 always goes down.  Longer ones (Barzilai and Borwein's
+   length, from the last step) are taken as long as the loss falls below the
+   largest of the last ten; so weakly separated posteriors take few steps too.
+   A document's rate depends on its posteriors alone: documents are summed up
+   by their posteriors once, and each step is one aggregate over that table of
+   cells, which brings m_d and the length of the step to the driver.  For two
+   domains the grid of posteriors bounds it by 1,001 cells, for more domains
+   it is as large as their distinct posteriors, and stays a table.  The fit
+   ends where all targets are met to TOLERANCE of the domain's tokens, or,
+   where no rates meet them, where a step of length 1 moves the rates by less
+   than TOLERANCE (root mean square by tokens).  As long as no rate comes to 0, the
+   rates that meet the targets are those nearest to 1; else they are those
+   that the steps lead to.  There is no upper bound of a rate unless the caller
+   gives a ``cap``, onto which the steps then project.  Far-off targets of three or
+   more domains that no rates meet can take over STEPS steps; the fit then
+   ends with a warning, and the miss is reported as below.
+3. *Rates.*  The steps, a few numbers each, give any document its rate by one
+   fold over them, without a join.  ``copies`` rounds the rate up or down by a
+   hash of the id; ``drawn`` repeats rows by it.
 
 Where the optimum misses a target by more than UNMET of the token budget, a
 warning names the tokens reached, or an error is raised if the caller asks so;
@@ -42,19 +55,20 @@ from __future__ import annotations
 import math
 import warnings
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leadlens.llm.common import materialized
+from leadlens.llm.common import materialized, removed
 
 BINS = 24
 #: Pseudo-count of each bin.
 SMOOTH = 1.0
 DECIMALS = 3
-#: Newton steps at most (an error beyond), gradient at the end, and upper bound of the rates (none).
-STEPS, TOLERANCE, CAP = 200, 1e-8, None
-RIDGE, UNMET = 1e-8, 1e-3
+#: Steps at most (a warning beyond), exactness at the end, and upper bound of the rates (none).
+STEPS, TOLERANCE, CAP = 500, 1e-8, None
+UNMET = 1e-3
+#: A longer step has to fall below the largest of so many losses, and the cells' rates are stored each so many steps.
+LOSSES, STORED = 10, 16
 
 
 def counted(text: Column) -> dict[str, Column]:
@@ -89,11 +103,11 @@ def featured(docs: DataFrame, text_col: str) -> list[Column]:
 
 
 class SoftMix:
-    """What has been fitted: domains, log shares by feature and bin, the numbers x of the rates."""
+    """What has been fitted: domains, log shares by feature and bin, the steps of the rates."""
 
     def __init__(self, domains: list[str], prior: list[float], shares: list[list[list[float]]]):
         self.domains, self.prior, self.shares = domains, prior, shares
-        self.shift = [0.0] * len(domains)
+        self.steps: list[list[float]] = []
         self.cap: float | None = None
         self.reached: list[float] = []
         self.unmet = 0.0
@@ -113,13 +127,20 @@ class SoftMix:
         whole = sum(weights[1:], weights[0])
         return [F.round(w / whole, DECIMALS) for w in weights[:-1]]
 
-    def rate(self, p: list[Column], shift: list[float] | None = None) -> Column:
-        """The rate from the posteriors of all domains."""
-        free = F.lit(1.0)
-        for x, d in zip(self.shift if shift is None else shift, p, strict=True):
-            free = free - d * F.lit(float(x))
-        rate = F.greatest(F.lit(0.0), free)
-        return rate if self.cap is None else F.least(F.lit(float(self.cap)), rate)
+    def rate(self, p: list[Column], start: Column | None = None, steps: list[list[float]] | None = None) -> Column:
+        """The rate from the posteriors of all domains: all steps from rate 1, or ``steps`` from ``start``."""
+        def inside(rate):
+            rate = F.greatest(F.lit(0.0), rate)
+            return rate if self.cap is None else F.least(F.lit(float(self.cap)), rate)
+
+        def moved(rate, step):
+            for d, x in enumerate(p):
+                rate = rate - x * step[d]
+            return inside(rate)
+
+        steps = self.steps if steps is None else steps
+        start = inside(F.lit(1.0)) if start is None else start
+        return F.aggregate(F.lit(steps), start, moved) if steps else start
 
 
 def learned(binned: DataFrame, labels: DataFrame, domains: list[str]) -> SoftMix:
@@ -139,64 +160,63 @@ def learned(binned: DataFrame, labels: DataFrame, domains: list[str]) -> SoftMix
 
 def fitted(mix: SoftMix, cells: DataFrame, weights: dict[str, float], tokens: float | None, cap: float | None = CAP,
            must_meet: bool = False) -> SoftMix:
-    """Newton steps over ``cells(p, n)``: posteriors and the tokens of the documents that have them."""
-    mix.cap = cap
-    size = len(mix.domains)
-    p = [F.col("p")[d] for d in range(size)]
-    pairs = [(d, e) for d in range(size) for e in range(d, size)]
-
-    def sums(shift) -> tuple[float, np.ndarray, np.ndarray]:
-        """Of the rates: their part of the function, expected tokens by domain, second derivatives."""
-        rate = mix.rate(p, list(shift))
-        free = F.lit(1.0)
-        for x, d in zip(shift, p, strict=True):
-            free = free - d * F.lit(float(x))
-        moves = (free > 0) if cap is None else (free > 0) & (free < F.lit(float(cap)))
-        n = F.col("n")
-        row = cells.agg(F.sum(n * (rate * free - 0.5 * rate * rate)), *[F.sum(n * rate * x) for x in p],
-                        *[F.sum(F.when(moves, n * p[d] * p[e]).otherwise(0.0)) for d, e in pairs]).first()
-        row = [float(x or 0.0) for x in row]
-        second = np.zeros((size, size))
-        for (d, e), x in zip(pairs, row[1 + size:], strict=True):
-            second[d, e] = second[e, d] = x
-        return row[0], np.array(row[1:1 + size]), second
-
-    shift = np.zeros(size)
-    part, now, second = sums(shift)
-    mass = np.array([float(x or 0.0) for x in cells.agg(*[F.sum(F.col("n") * x) for x in p]).first()])
-    budget = mass.sum() if tokens is None else float(tokens)
-    seen = mass > 0
-    whole = sum(weights[d] for d, m in zip(mix.domains, seen, strict=True) if m) or 1.0
-    target = np.array([budget * weights[d] / whole for d in mix.domains])
-    ridge = RIDGE * mass
-
-    def value(part, shift):
-        return part + target[seen] @ shift[seen] + 0.5 * ridge @ (shift * shift)
-
-    for _ in range(STEPS if seen.any() else 0):
-        slope = (target - now + ridge * shift)[seen]
-        # Rounding leaves some 1e-16 of the largest x in a rate.
-        if np.abs(slope / mass[seen]).max() <= TOLERANCE + 1e-15 * np.abs(shift).max():
-            break
-        # In units in which each domain has mass 1, so that small domains count.
-        unit = np.sqrt(mass[seen])
-        curve = (second + np.diag(ridge))[np.ix_(seen, seen)] / np.outer(unit, unit)
-        step = np.zeros(size)
-        step[seen] = -np.linalg.solve(curve, slope / unit) / unit
-        here, gain, length = value(part, shift), slope @ step[seen], 1.0
-        found = sums(shift + step)
-        while length > 1e-9 and value(found[0], shift + length * step) > here + 1e-4 * length * gain + 1e-12 * abs(here):
-            length /= 2
-            found = sums(shift + length * step)
-        if length <= 1e-9:  # downhill no step is lower: settled to rounding
+    """Projected gradient over ``cells(p, n)``: posteriors and the tokens of the documents that have them."""
+    mix.cap, mix.steps = cap, []
+    p, n = [F.col("p")[d] for d in range(len(mix.domains))], F.col("n")
+    base, pending = cells.select("p", "n", mix.rate(p).alias("rate")), []
+
+    def sums(step: list[float] | None) -> tuple[list[float], float]:
+        """Expected tokens by domain after the step, and the step's squared length by tokens."""
+        old = base.select("p", "n", mix.rate(p, F.col("rate"), pending).alias("before"))
+        rows = old.select("*", mix.rate(p, F.col("before"), [step] if step else []).alias("after"))
+        far = F.col("after") - F.col("before")
+        found = rows.agg(*[F.sum(n * F.col("after") * x) for x in p], F.sum(n * far * far)).first()
+        found = [float(x or 0.0) for x in found]
+        return found[:-1], found[-1]
+
+    mass = [float(x or 0.0) for x in cells.agg(*[F.sum(n * x) for x in p]).first()]
+    budget = sum(mass) if tokens is None else float(tokens)
+    whole = sum(weights[d] for d, m in zip(mix.domains, mass, strict=True) if m > 0) or 1.0
+    target = [budget * weights[d] / whole for d in mix.domains]
+
+    def misses(now: list[float]) -> list[float]:
+        return [(x - t) / m if m > 0 else 0.0 for x, t, m in zip(now, target, mass, strict=True)]
+
+    def loss(miss: list[float]) -> float:
+        return 0.5 * sum(m * e * e for m, e in zip(mass, miss, strict=True))
+
+    (now, _), length, stored = sums(None), 1.0, None
+    miss = misses(now)
+    losses = [loss(miss)]
+    exact = [TOLERANCE * max(1.0, t / m) if m > 0 else 1.0 for t, m in zip(target, mass, strict=True)]
+    settled = False
+    while not settled and any(abs(e) > x for e, x in zip(miss, exact, strict=True)):
+        if len(mix.steps) == STEPS:
+            warnings.warn(f"The mixing rates have not settled in {STEPS} steps", stacklevel=2)
             break
-        shift = shift + length * step
-        part, now, second = found
-    else:
-        if seen.any():
-            raise RuntimeError(f"The mixing rates have not settled in {STEPS} steps")
-    mix.shift, mix.reached = shift.tolist(), now.tolist()
-    mix.unmet = float(np.abs(now - target)[seen].max() / budget) if seen.any() and budget > 0 else 0.0
+        while True:
+            step = [length * e for e in miss]
+            after, far = sums(step)
+            if length == 1.0 or loss(misses(after)) <= max(losses[-LOSSES:]) - 1e-4 * far / length:
+                break
+            length = max(1.0, length / 4)
+        # A longer step moves no less than one of length 1 would.
+        settled = far <= TOLERANCE ** 2 * sum(mass)
+        bend = sum((x - y) ** 2 / m for x, y, m in zip(after, now, mass, strict=True) if m > 0)
+        length = min(max(far / bend, 1.0), 1e12) if bend > 0 else 1.0
+        now, miss = after, misses(after)
+        losses.append(loss(miss))
+        mix.steps.append(step)
+        pending.append(step)
+        if len(pending) == STORED:
+            old, stored = stored, materialized(base.select("p", "n", mix.rate(p, F.col("rate"), pending).alias("rate")), "mix-rates")
+            base, pending = stored, []
+            if old is not None:
+                removed(old)
+    if stored is not None:
+        removed(stored)
+    mix.reached = now
+    mix.unmet = max((abs(x - t) for x, t, m in zip(now, target, mass, strict=True) if m > 0), default=0.0) / budget if budget > 0 else 0.0
     if mix.unmet > UNMET:
         said = ", ".join(f"{d}: {r:.0f} of {t:.0f}" for d, r, t in zip(mix.domains, now, target, strict=True))
         if must_meet:
@@ -257,3 +277,10 @@ def with_rates(docs: DataFrame, labels: DataFrame, weights: dict[str, float], to
         while names[c].lower() in [x.lower() for x in docs.columns]:
             names[c] += "_"
     return out.select(*[F.col("row")[c].alias(c) for c in docs.columns], *[F.col(c).alias(n) for c, n in names.items()])
+
+
+def drawn(rows: DataFrame, copies_col: str = "copies") -> DataFrame:
+    """The mixture itself: each row of ``with_rates`` as often as its copies say, without those that have none."""
+    # A struct holds the row, so that no column name can clash.
+    times = F.explode(F.sequence(F.lit(1), F.col(copies_col).cast("int")))
+    return rows.where(F.col(copies_col) > 0).select(F.struct("*").alias("row"), times.alias("time")).select("row.*")

@@ -96,3 +96,70 @@ def test_unmet_targets_are_reported_or_raise(spark):
     assert mix.unmet > 0.05
     with pytest.raises(ValueError, match="tokens reached"):
         M.fitted(M.SoftMix(["a", "b"], [0, 0], []), cells, {"a": 1.0, "b": 0.0}, None, must_meet=True)
+
+
+def test_weak_separation_gives_the_rates_nearest_to_one_and_three_domains_with_zeros_the_least_loss(spark):
+    rng = np.random.default_rng(5)
+    q = 0.45 + 0.1 * rng.random(200).round(3)
+    p, n = np.column_stack([q, 1 - q]), rng.integers(1, 100, 200).astype(float)
+    mass = n @ p
+    target = n.sum() * np.array([0.503, 0.497])
+    # Without zeros the nearest rates solve a system of two equations.
+    want = 1 - p @ np.linalg.solve(p.T @ (n[:, None] * p), mass - target)
+    frame = spark.createDataFrame([(x.tolist(), float(w)) for x, w in zip(p, n, strict=True)], CELLS)
+    mix = M.fitted(M.SoftMix(["a", "b"], [0, 0], []), frame, {"a": 0.503, "b": 0.497}, None, must_meet=True)
+    got = [r.rate for r in frame.select(mix.rate([F.col("p")[0], F.col("p")[1]]).alias("rate")).collect()]
+    assert want.min() > 0 and np.allclose(sorted(got), sorted(want), atol=1e-5) and len(mix.steps) < 40
+
+    p = (0.8 * rng.dirichlet([0.6, 0.6, 0.6], 12) + 0.2 / 3).round(3)  # all hold some of the third
+    p /= p.sum(1, keepdims=True)
+    n = rng.integers(1, 100, 12).astype(float)
+    mass = n @ p
+    target = n.sum() * np.array([0.9, 0.1, 0.0])
+    frame = spark.createDataFrame([(x.tolist(), float(w)) for x, w in zip(p, n, strict=True)], CELLS)
+    with pytest.warns(UserWarning, match="mixing targets"):
+        mix = M.fitted(M.SoftMix(["a", "b", "c"], [0] * 3, []), frame, {"a": 0.9, "b": 0.1, "c": 0.0}, None)
+    got = np.array([r.rate for r in frame.select(mix.rate([F.col("p")[d] for d in range(3)]).alias("rate")).collect()])
+    assert got.min() == 0 and np.allclose((n * got) @ p, mix.reached)
+    # Numbers with p @ bound >= 0 for every document bound the least loss from below (the dual problem).
+    miss = (np.array(mix.reached) - target) / mass
+    bound = miss + max(0.0, -(p @ miss).min())
+    loss = 0.5 * (mass * miss * miss).sum()
+    assert loss + 0.5 * (mass * bound * bound).sum() + bound @ target <= 1e-6 * loss
+
+
+def test_steps_over_stored_rates_give_the_same_fit(spark, monkeypatch):
+    cells = spark.createDataFrame([([0.55, 0.45, 0.0], 500.0), ([0.4, 0.5, 0.1], 500.0), ([0.1, 0.2, 0.7], 40.0)], CELLS)
+    fits = []
+    for stored in (1, 16):
+        monkeypatch.setattr(M, "STORED", stored)
+        fits.append(M.fitted(M.SoftMix(["a", "b", "c"], [0] * 3, []), cells, {"a": 0.48, "b": 0.45, "c": 0.07}, None))
+    assert np.allclose(fits[0].reached, fits[1].reached) and fits[0].unmet < 1e-6 > fits[1].unmet
+
+
+def test_posteriors_equal_a_count_in_python(spark):
+    docs = docs_of(spark, GOOD + BAD)
+    labels = labels_of(spark)
+    mix, soft = M.soft_mix(docs, labels, {"high": 0.5, "low": 0.5})
+    bins = {r.doc_id: r.bins for r in docs.select("doc_id", *M.featured(docs, "text")).select(
+        "doc_id", F.array(*M.bins()).alias("bins")).collect()}
+    domain = {r.doc_id: r.domain for r in labels.collect()}
+    for r in soft.collect():
+        odds = []
+        for d in ("high", "low"):
+            own = [bins[i] for i, x in domain.items() if x == d]
+            odds.append((len(own) + 1) / (len(domain) + 2) * np.prod(
+                [(sum(b[f] == x for b in own) + 1) / (len(own) + M.BINS) for f, x in enumerate(bins[r.doc_id])]))
+        assert r.p == pytest.approx([x / sum(odds) for x in odds], abs=6e-4)
+
+
+def test_the_drawn_mixture_has_the_target_shares(spark):
+    docs = docs_of(spark, [*GOOD, *BAD, (None, None)], extra=True)
+    planned = M.with_rates(docs, labels_of(spark), {"high": 0.5, "low": 0.5})
+    mixture = M.drawn(planned, "copies_")
+    assert mixture.columns == planned.columns
+    want = {r.doc_id: r.copies_ for r in planned.collect() if r.copies_}
+    assert {r.doc_id: r["count"] for r in mixture.groupBy("doc_id").count().collect()} == want
+    low = F.sum(F.when(F.col("doc_id") >= 60, F.col("n_tokens_")).otherwise(0)) / F.sum("n_tokens_")
+    assert abs(mixture.select(low).first()[0] - 0.5) < 0.1
+    assert M.drawn(planned.limit(0), "copies_").count() == 0
