@@ -13,8 +13,8 @@
 
 Rows whose crc32(id as text) mod 4 is 2 are held out: neither lexicon, trees
 nor calibration see their labels.  Remainder 3 calibrates, 0 and 1 fit.  At
-most ``MAX_LABELLED`` labelled rows (by a hash of the id) are used; the
-lexicon has at most ``MAX_LEXICON`` entries of a kind.
+most ``MAX_LABELLED`` labelled rows (by a hash of the id) are used.  The
+lexicon keeps every entry that passes the least numbers and ratio below.
 
 Null texts are empty; an empty text has the features of no words.  Labels
 that repeat count once, with the largest value; null labels count not at all.
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from leadlens.llm.boosted import Boosted
 from leadlens.llm.common import drop_rows, materialized
 
-MAX_LABELLED, MAX_LEXICON = 40_000, 4_000
+MAX_LABELLED = 40_000
 THRESHOLD = 0.3
 #: Lengths of word beginnings; a word has to be longer.
 BEGINNINGS = (4, 5, 6)
@@ -181,9 +181,7 @@ def learned_lexicon(rows: DataFrame) -> dict[bytes, float]:
     outside = {bytes(r["token"]): r["n"] for r in rows.where("label = 0").select("text").mapInArrow(
         counted(frozenset(inside)), "token binary, n long").groupBy("token").agg(F.sum("n").alias("n")).collect()}
     odds = {t: (k / toxic) / ((outside.get(t, 0) + 0.5) / (other + 1)) for t, k in inside.items()}
-    good = sorted(((o, t) for t, o in odds.items() if o >= LEAST_RATIO), reverse=True)
-    kinds = [[(t, math.log(o)) for o, t in good if t.endswith(b"-") is mark][:MAX_LEXICON] for mark in (False, True)]
-    return dict(kinds[0] + kinds[1])
+    return {t: math.log(o) for t, o in odds.items() if o >= LEAST_RATIO}
 
 
 def featured(rows: DataFrame, lexicon: Lexicon, keep: list[str]) -> DataFrame:
