@@ -56,3 +56,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, stage in STAGES:
         docs = materialized(stage(spark, docs, sf_dir), f"stage-{name}")
     return docs
+
+
+def mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The training set itself: the rows of ``run`` as often as their ``copies`` say."""
+    rows = run(spark, sf_dir)
+    return op2_mixing.drawn(rows, rows.columns[-1])  # with_rates adds copies last, whatever it is called
