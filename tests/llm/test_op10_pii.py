@@ -4,6 +4,7 @@ import re
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from leadlens.llm import op10_pii as P
 from tests.llm.helpers import AWKWARD, docs_of
@@ -151,3 +152,18 @@ def test_a_long_text_takes_time_in_proportion(spark):
     at = time.time()
     row = P.scan(docs_of(spark, [text]), "doc_id", "text").selectExpr("n_ip", "size(proposed) AS n").first()
     assert row.n_ip == 100_000 and row.n > 100_000 and time.time() - at < 60
+
+
+def test_every_taught_proposal_is_learned_or_calibrated(spark, monkeypatch):
+    docs = docs_of(spark, [(i, " ".join(f"write to u{i}x{j}@mail.example.com or +4930{i:03d}{j:04d} now" for j in range(60))) for i in range(120)])
+    seen = []
+
+    class Recorded(P.Boosted):
+        def __init__(self, fit, calibrate, **kw):
+            seen.append(fit.count() + calibrate.count())
+            super().__init__(fit, calibrate, **kw)
+
+    monkeypatch.setattr(P, "Boosted", Recorded)
+    assert P.personal_data(docs).count() == 120
+    taught = P.scan(docs, "doc_id", "text").select(F.explode("proposed").alias("p")).where("p.taught").count()
+    assert taught > 40_000 and seen == [taught]
