@@ -8,6 +8,7 @@ copy, so the sources are scanned once per build.
 from __future__ import annotations
 
 import datetime as _dt
+from dataclasses import fields
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,23 +45,32 @@ def run_feature_build(tables: TV.CrmTables, output_path: str, ref_date: _dt.date
     broadcast options through to ``build_features``.
     """
     from leadlens.operators import summaries as S
-    from leadlens.sources.tables import write_table
+    from leadlens.sources.tables import tasks_by_bytes, write_table
 
     t = tables
-    feats = G.build_features(t.leads, t.activities, t.contacts, t.facebook_events, t.voicebot_logs,
-                             t.users, t.status_master, ref_date=ref_date, computed_at=computed_at,
-                             keywords=keywords, **kw)
-    write_table(feats, output_path)
+    with tasks_by_bytes(t.leads.sparkSession, input_size(t)):
+        feats = G.build_features(t.leads, t.activities, t.contacts, t.facebook_events, t.voicebot_logs,
+                                 t.users, t.status_master, ref_date=ref_date, computed_at=computed_at,
+                                 keywords=keywords, **kw)
+        write_table(feats, output_path)
     stored = feats.sparkSession.read.parquet(output_path)
     return stored, S.build_stats(stored), S.target_correlations(stored)
 
 
+def input_size(tables: TV.CrmTables) -> int:
+    """Bytes of the files behind the CRM tables, a file that several of them read counted for each."""
+    from leadlens.sources.tables import input_bytes
+
+    return sum(input_bytes(getattr(tables, f.name)) for f in fields(tables))
+
+
 def stored_feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feature table written once per application (S4) and read back.
 
     Downstream steps (scores, summaries, preprocessing, training) read this
     copy, as the source pipeline reads its written feature table.
     """
-    from leadlens.sources.tables import stored
+    from leadlens.sources.tables import stored, tasks_by_bytes
 
-    return stored(spark, f"features:{sf_dir}", lambda: feature_table(spark, sf_dir))
+    with tasks_by_bytes(spark, input_size(TV.crm_tables(spark, sf_dir))):
+        return stored(spark, f"features:{sf_dir}", lambda: feature_table(spark, sf_dir))

@@ -10,12 +10,15 @@
   stored copy back: the lineage is cut and a lost executor re-reads files
   instead of recomputing the whole build.
 * ``materialized`` – the same for an unnamed computed side (group statistics).
+* ``tasks_by_bytes`` – shuffles whose tasks stay small however large the input is.
 """
 
 from __future__ import annotations
 
+import math
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -83,6 +86,41 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet",
         store.delete(fresh, True)
 
 
+#: Bytes that a task of ``tasks_by_bytes`` reads of a shuffle and of files, and of input for each partition of its shuffles.
+TASK_BYTES, SCAN_BYTES, PARTITION_BYTES = 16 << 20, 32 << 20, 4 << 20
+MAX_PARTITIONS = 20_000
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of the files that ``df`` reads."""
+    spark = df.sparkSession
+    conf, new_path = spark._jsparkSession.sessionState().newHadoopConf(), spark._jvm.org.apache.hadoop.fs.Path
+    paths = [new_path(f) for f in df.inputFiles()]
+    return sum(p.getFileSystem(conf).getFileStatus(p).getLen() for p in paths)
+
+
+@contextmanager
+def tasks_by_bytes(spark: SparkSession, size: int) -> Iterator[None]:
+    """Within it, tasks read ``TASK_BYTES`` of a shuffle and ``SCAN_BYTES`` of a file at most, for an input of ``size`` bytes.
+
+    Rows take many times their stored bytes in memory: in fewer, larger tasks their sorts and hash tables spill.  The
+    session's own settings come back at the end; finer ones stay as they are.
+    """
+    first = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    most = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": TASK_BYTES, "spark.sql.files.maxPartitionBytes": SCAN_BYTES}
+    before = {k: spark.conf.get(k, None) for k in (first, *most)}
+    in_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    for k, bound in most.items():
+        spark.conf.set(k, str(min(in_bytes(before[k]) if before[k] else bound, bound)))
+    parts = min(MAX_PARTITIONS, math.ceil(size / PARTITION_BYTES))
+    spark.conf.set(first, str(max(int(before[first] or spark.conf.get("spark.sql.shuffle.partitions")), parts)))
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 _STORED: dict[tuple[str, str], str] = {}
 
 
