@@ -10,7 +10,8 @@ the text into groups.
 
 An id pair's count is the number of links in the whole corpus that hold it.
 Tasks store their documents in blocks of about ``BLOCK_CHARS`` characters,
-each with its distinct id pairs once and the links as places in that list.
+each with its distinct id pairs once and the links as places in that list, in
+two bytes each where the list is short enough.
 Spark adds up the pairs over all blocks, finds the highest count of each B id,
 and sends each block the counts of its own pairs by joins on pair and block:
 no table of all pairs is broadcast or held by one task, and a frequent pair
@@ -27,6 +28,7 @@ columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import math
 import uuid
 from collections.abc import Iterator
 
@@ -38,9 +40,12 @@ from pyspark.sql import functions as F
 
 from leadlens.llm.common import materialized
 from leadlens.llm.encoding import ChunkEncoder, byte_encoder, per_worker, piece_encoder, pieces, spaced_chunks
+from leadlens.sources.tables import settings
 
 PIECE_CHARS = 1 << 19
-BLOCK_CHARS = 1 << 22
+BLOCK_CHARS = 1 << 20
+#: Documents that a worker gets at a time, and blocks that a task of the last step handles.
+BATCH_ROWS, TASK_BLOCKS, MAX_TASKS = 500, 4, 20_000
 
 COUNTS = ("n_a", "n_b", "n_groups", "n_links")
 DOCS = ("array<struct<doc_id:bigint,n_a:bigint,n_b:bigint,n_groups:bigint,n_links:bigint,groups_sha256:string>>")
@@ -142,6 +147,11 @@ def align(batch: list[tuple[Doc, str]], one: Side, two: Side, vocabulary: "Pairs
         doc.links.append(places[ends[k] - n_links[k]:ends[k]])
 
 
+def place_type(n_pairs: int) -> str:
+    """How the links of a block with so many distinct pairs are packed."""
+    return "<u2" if n_pairs <= 1 << 16 else "<i4"
+
+
 class Pairs:
     """The distinct id pairs of a block; links are kept as places among the parts' own pairs until the block ends."""
 
@@ -179,7 +189,7 @@ def aligned_blocks(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc
             pa.array([uuid.uuid4().hex]), pa.array([[d.row() for d in found]], schema.field("docs").type),
             pa.ListArray.from_arrays(pa.array([0, len(pairs)], pa.int32()), pa.array(pairs, pa.int64())),
             pa.ListArray.from_arrays(pa.array([0, len(counts)], pa.int32()), pa.array(counts, pa.int64())),
-            pa.array([links.astype("<i4").tobytes()], pa.binary())], schema=schema)
+            pa.array([links.astype(place_type(len(pairs))).tobytes()], pa.binary())], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = per_worker(f"A {path_a}", lambda: Side(byte_encoder(path_a)))
@@ -210,7 +220,9 @@ def aligned_blocks(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc
         two.encoder.forget()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return materialized(rows.mapInArrow(run, BLOCKS), "aligned-blocks")
+    # Batches of Spark's default size would hold tens of MB of text, in the JVM and in the worker.
+    with settings(docs.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": BATCH_ROWS}):
+        return materialized(rows.mapInArrow(run, BLOCKS), "aligned-blocks")
 
 
 def pair_counts(blocks: DataFrame) -> DataFrame:
@@ -228,10 +240,11 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", t
     blocks = aligned_blocks(docs, path_a, path_b, id_col, text_col, block_chars, piece_chars)
     known = materialized(pair_counts(blocks), "pair-best")
     asked = blocks.select("block", F.posexplode("pairs").alias("place", "pair"))
-    # Each block gets its pairs' counts in the order of its list.
-    answers = asked.join(known, "pair").groupBy("block").agg(
+    # Each block gets its pairs' counts in the order of its list; so many tasks that each handles a few blocks.
+    parts = min(MAX_TASKS, max(1, math.ceil(blocks.count() / TASK_BLOCKS)))
+    answers = asked.join(known, "pair").select("block", "place", "count", "best").repartition(parts, "block").groupBy("block").agg(
         F.sort_array(F.collect_list(F.struct("place", "count", "best"))).alias("known"))
-    rows = blocks.join(answers, "block", "left").select("docs", "links", F.col("known.count").alias("count"), F.col("known.best").alias("best"))
+    rows = blocks.repartition(parts, "block").join(answers, "block", "left").select("docs", "links", F.col("known.count").alias("count"), F.col("known.best").alias("best"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -239,7 +252,7 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", t
                 own = pa.RecordBatch.from_struct_array(own.values) if len(own) else None
                 if own is None:
                     continue
-                at = np.frombuffer(links.as_py(), "<i4")
+                at = np.frombuffer(links.as_py(), place_type(len(count) if count.is_valid else 0))
                 n = own.column("n_links").to_numpy()
                 sums = [np.zeros(len(n), np.int64), np.zeros(len(n), np.int64)]
                 if len(at):

@@ -108,12 +108,20 @@ def tasks_by_bytes(spark: SparkSession, size: int) -> Iterator[None]:
     """
     first = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     most = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": TASK_BYTES, "spark.sql.files.maxPartitionBytes": SCAN_BYTES}
-    before = {k: spark.conf.get(k, None) for k in (first, *most)}
     in_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
-    for k, bound in most.items():
-        spark.conf.set(k, str(min(in_bytes(before[k]) if before[k] else bound, bound)))
-    parts = min(MAX_PARTITIONS, math.ceil(size / PARTITION_BYTES))
-    spark.conf.set(first, str(max(int(before[first] or spark.conf.get("spark.sql.shuffle.partitions")), parts)))
+    own = {k: spark.conf.get(k, None) for k in most}
+    parts = int(spark.conf.get(first, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+    with settings(spark, {k: min(in_bytes(own[k]) if own[k] else bound, bound) for k, bound in most.items()}
+                  | {first: max(parts, min(MAX_PARTITIONS, math.ceil(size / PARTITION_BYTES)))}):
+        yield
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, int]) -> Iterator[None]:
+    """The session with these settings, and its own ones again afterwards."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, str(v))
     try:
         yield
     finally:

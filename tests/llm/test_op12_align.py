@@ -98,3 +98,11 @@ def test_query_equals_brute_force(spark):
     sf = "/root/testdata/sf0.001"
     rows = [(r.doc_id, r.text) for r in table(spark, sf, "documents").select("doc_id", "text").collect()]
     assert result(QUERIES["op12_align"](spark, sf)) == sorted(brute(rows), key=str)
+
+
+def test_links_are_stored_in_two_bytes_and_blocks_stay_small(spark):
+    blocks = A.aligned_blocks(docs_of(spark, [prose(i, 3_000) for i in range(120)]).repartition(1), *PATHS).collect()
+    assert len(blocks) > 1
+    for b in blocks:
+        assert len(b.links) == 2 * sum(d.n_links for d in b.docs) <= 2 * (A.BLOCK_CHARS + 100_000)
+    assert A.place_type(1 << 16) == "<u2" and A.place_type((1 << 16) + 1) == "<i4"
