@@ -37,13 +37,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from leadlens.llm.common import materialized
-from leadlens.llm.encoding import json_tokenizer, per_worker, pieces, word_chunks, word_encoder
+from leadlens.llm.encoding import PIECE_CHARS, json_tokenizer, per_worker, pieces, word_encoder
 from leadlens.session import checkpoint_dir
 
 BLOCK_TOKENS = 1 << 21
@@ -54,6 +55,8 @@ STEP = 16
 SLOT_BITS = 18
 #: Bytes of ids that a task sorts and writes.
 PART_BYTES = 16 << 20
+#: Bytes of text that are encoded at once; each byte takes some 20 in memory meanwhile.
+GROUP_BYTES = 4 << 20
 MAGIC = b"RPG1"
 HEAD = "<4sIQIIB"  # magic, documents, symbols, rules, first rule's symbol, bytes of a symbol
 
@@ -74,8 +77,8 @@ def frequent_pairs(seq: np.ndarray, last: np.ndarray, least: int, most: int) ->
     bound = np.bincount(slot, minlength=1 << SLOT_BITS)
     want = max(least, int(bound.max(initial=0)) // STEP)
     while True:
-        at = np.flatnonzero((bound >= want)[slot])
-        at = at[~last[at]]
+        at = np.flatnonzero(np.take(bound >= want, slot))
+        at = at[~np.take(last, at)]
         pairs, n, places = counted(seq, at)
         if len(n) and n.max() >= want:
             break
@@ -162,13 +165,21 @@ def grammar(ids: np.ndarray, ends: np.ndarray, most: int = MOST_RULES,
     return seq, np.flatnonzero(last) + 1, np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32), first
 
 
+def lengths(rules: np.ndarray, first: int) -> np.ndarray:
+    """How many ids each rule expands to."""
+    out: list[int] = []
+    for a, b in rules.tolist():
+        out.append((out[a - first] if a >= first else 1) + (out[b - first] if b >= first else 1))
+    return np.array(out, np.int64)
+
+
 def expansions(rules: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(ids of all rules one after the other, where each rule's begin, how many it has)."""
-    out: list[np.ndarray] = []
+    out: list[bytes] = []
     for a, b in rules.tolist():
-        out.append(np.concatenate([out[x - first] if x >= first else np.array([x], np.uint32) for x in (a, b)]))
-    n = np.array([len(x) for x in out], np.int64)
-    return np.concatenate(out) if out else np.zeros(0, np.uint32), np.cumsum(n) - n, n
+        out.append((out[a - first] if a >= first else a.to_bytes(4, "little")) + (out[b - first] if b >= first else b.to_bytes(4, "little")))
+    n = np.array([len(x) // 4 for x in out], np.int64)
+    return np.frombuffer(b"".join(out), "<u4"), np.cumsum(n) - n, n
 
 
 def write_block(doc_ids: list[int | None], docs: list[np.ndarray]) -> bytes:
@@ -176,7 +187,7 @@ def write_block(doc_ids: list[int | None], docs: list[np.ndarray]) -> bytes:
     sizes = np.array([len(d) for d in docs], np.int64)
     ids = np.concatenate(docs)
     seq, ends, rules, first = grammar(ids, np.cumsum(sizes))
-    _, _, n = expansions(rules, first)
+    n = lengths(rules, first)
     width = 2 if first + len(rules) <= 1 << 16 else 4
     known = np.array([d is not None for d in doc_ids], np.uint8)
     crcs = np.array([zlib.crc32(d.astype("<u4").tobytes()) for d in docs], "<u4")
@@ -269,18 +280,22 @@ def token_ids(docs: DataFrame, tokenizer: str, end_id: int = 1, id_col: str = "d
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = per_worker(f"words {tokenizer}", lambda: word_encoder(tokenizer))
-        end = np.array([end_id], kind).tobytes()
         for batch in batches:
-            doc_ids, texts, keys = (c.to_pylist() for c in batch.columns)
-            for i in range(0, len(texts), 500):
-                some = [word_chunks(t) if len(t) <= 1 << 21 else None for t in texts[i:i + 500]]
-                found = iter(encoder.of([c for c in some if c is not None])[0])
-                ids = [next(found) if c is not None
-                       else b"".join(encoder.of([word_chunks(p)])[0][0] for p in pieces(t))
-                       for c, t in zip(some, texts[i:i + 500], strict=True)]
+            sizes = pc.binary_length(batch.column(1)).to_numpy()
+            # Runs of rows of so many bytes; a longer text is a run of its own, taken in pieces.
+            run_of = (np.cumsum(sizes) - sizes) // GROUP_BYTES + np.cumsum(np.r_[0, (sizes > PIECE_CHARS)[:-1]] | (sizes > PIECE_CHARS))
+            cuts = [0, *(np.flatnonzero(np.diff(run_of)) + 1).tolist(), len(sizes)] if len(sizes) else [0]
+            for i, j in zip(cuts, cuts[1:]):
+                texts = batch.column(1).slice(i, j - i)
+                parts = [encoder.joined(pa.array([p], pa.string())) for p in pieces(texts[0].as_py())] if sizes[i] > PIECE_CHARS else [
+                    encoder.joined(texts)]
+                ids = np.concatenate([x.astype(kind) for x, _ in parts])
+                upto = parts[0][1] if len(parts) == 1 else np.array([len(ids)])
+                ids = np.insert(ids, upto, end_id)  # behind each text
+                ends = np.r_[0, upto + np.arange(1, len(upto) + 1)] * ids.itemsize
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(doc_ids[i:i + 500], pa.int64()), pa.array(keys[i:i + 500], pa.int64()),
-                    pa.array([np.frombuffer(x, "<u4").astype(kind).tobytes() + end for x in ids], pa.binary())], schema=schema)
+                    batch.column(0).slice(i, j - i), batch.column(2).slice(i, j - i),
+                    pa.Array.from_buffers(pa.binary(), j - i, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(ids)])], schema=schema)
 
     return rows.mapInArrow(run, "doc_id long, row_key long, ids binary")
 

@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -104,6 +105,25 @@ def test_pieces_of_a_very_long_text():
     assert whole == plain_ids([text])[0][:-1]
 
 
+def test_whole_texts_by_their_distinct_words_equal_plain_encoding():
+    texts = [*ODD, "", "\x00 \x00a", "e\u0301 H\u0331 \u03a3\u0391\u03a3.", "a\u00a0b \u00a0 ", "Isn't IT 12ab?!", *[prose(i, 300) for i in range(8)]]
+    for most in (600_000, 3):  # kept words, and none to speak of
+        encoder = E.word_encoder(PATH, most_words=most)
+        ids, upto = encoder.joined(pa.array([None, *texts]).slice(1))
+        starts = [0, *upto.tolist()]
+        assert [ids[a:b].tolist() for a, b in zip(starts, starts[1:])] == [x[:-1] for x in plain_ids(texts)]
+    assert encoder.joined(pa.array([], pa.string()))[1].tolist() == [] and encoder.joined(pa.array([""]))[1].tolist() == [0]
+
+
+def test_long_texts_between_short_ones_are_taken_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(R, "PIECE_CHARS", 200)
+    monkeypatch.setattr(R, "GROUP_BYTES", 150)
+    rows = [(i, prose(i, n)) for i, n in enumerate((3, 400, 5, 300, 300, 2, 1, 30, 9))] + [(90, None), (91, "")]
+    kind = R.id_type(PATH, 1)
+    got = {r.doc_id: np.frombuffer(r.ids, kind).tolist() for r in R.token_ids(docs_of(spark, rows), PATH).collect()}
+    assert got == dict(zip([i for i, _ in rows], plain_ids([t for _, t in rows]), strict=True))
+
+
 def test_a_full_cache_changes_nothing():
     encoder = E.word_encoder(PATH)
     encoder.most = 50
