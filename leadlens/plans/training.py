@@ -59,6 +59,11 @@ def _keep(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def _featured(model, df: DataFrame) -> DataFrame:
+    """The label and features of ``df``'s rows, kept: what tiers and evaluations read, without the columns behind them."""
+    return _keep(model.transform(df).select("label", "features"))
+
+
 def available(df: DataFrame, wanted: Sequence[str]) -> tuple[list[str], list[str]]:
     """(present columns, missing columns) of a wanted list."""
     cols = set(df.columns)
@@ -94,7 +99,7 @@ def scored_mode(scored: DataFrame, tiers: Sequence[str] = M.TIERS, challenger: s
     val = data.where(F.col("split") == "validation")
     test = data.where(F.col("split") == "test")
     pre, cols = fit_preprocessor(train, feats, [])
-    tr, va, te = (_keep(pre.transform(x)) for x in (train, val, test))
+    tr, va, te = (_featured(pre, x) for x in (train, val, test))
     runs, models = M.train_tiers(tr, va, tiers, challenger=challenger, parameters=parameters)
     ranked = R.rank_runs(runs)
     win = ranked.where(F.col("is_winner")).select("tier").first()["tier"]
@@ -109,7 +114,7 @@ def raw_mode(features: DataFrame, tiers: Sequence[str] = M.TIERS, test_size: flo
     data = _keep(prepare(features, num, cat, TARGET, extra=["lead_id"]))
     train, test = D.train_test_split(data, "lead_id", test_size, label_col="label", exact=True)
     pre, cols = fit_preprocessor(train, num, cat)
-    tr, te = _keep(pre.transform(train)), _keep(pre.transform(test))
+    tr, te = _featured(pre, train), _featured(pre, test)
     runs, models = M.train_tiers(tr, te, tiers, challenger=challenger, parameters=parameters)
     return R.rank_runs(runs), models, pre, cols
 
@@ -126,6 +131,5 @@ def table_mode(training: DataFrame, numeric: Sequence[str], categorical: Sequenc
     train = flagged.where(~F.col("_is_test")).drop("_is_test")
     test = flagged.where(F.col("_is_test")).drop("_is_test")
     fp = T.FeaturePipeline(numeric, categorical, impute=True).fit(train)
-    runs, models = M.train_tiers(_keep(fp.transform(train)), _keep(fp.transform(test)), tiers, challenger=challenger,
-                                 parameters=parameters)
+    runs, models = M.train_tiers(_featured(fp, train), _featured(fp, test), tiers, challenger=challenger, parameters=parameters)
     return R.rank_runs(runs), models, fp

@@ -142,3 +142,16 @@ def test_tiers_take_challenger_and_parameters(prepared, monkeypatch):
         assert 0 <= low < high <= 1 and model.getNumTrees == 2
     with pytest.raises(ValueError, match="challenger must be"):
         M.build_classifier("challenger", 10, 1.0, challenger="other")
+
+
+def test_table_mode_keeps_only_labels_and_features(spark, monkeypatch):
+    from leadlens.plans import training
+    from leadlens.sources import testviews as views
+
+    kept = []
+    monkeypatch.setattr(training, "_keep", lambda df: kept.append(df.columns) or df.persist())
+    rows = views.training_view(spark, "/root/testdata/sf0.001")
+    ranked, models, fp = training.table_mode(rows, list(views.NUMERIC_FEATURES), list(views.CATEGORICAL_FEATURES), views.TARGET,
+                                             tiers=["baseline"])
+    assert [r.tier for r in ranked.collect()] == ["baseline"] and len(models["baseline"].coefficients) == len(fp.columns)
+    assert kept[1:] == [["label", "features"]] * 2
