@@ -9,9 +9,9 @@ ids of a text are those of its chunks one after the other:
   space.  Their split pattern takes white space only in front of a token, and
   no piece has a space behind another character.
 
-Chunks that were met are kept, up to a bound in number; it bounds memory and
-has no effect on the ids.  A Python worker keeps its encoders from task to task,
-and their chunks unless the task makes it forget them.
+Words and chunks of the word tokenizer that were met are kept, up to a bound in
+number; it bounds memory and has no effect on the ids.  A Python worker keeps
+its encoders from task to task.
 """
 
 from __future__ import annotations
@@ -67,8 +67,14 @@ def word_chunks(text: str) -> list[str]:
     return text.lower().split() if text.isascii() and "<|" not in text else text.split()
 
 
+#: Where an ASCII text has none of these, each of its spaces is a cut.
+NO_CUTS = [f"{c} " for c in "\t\n\v\f\r "]
+
+
 def spaced_chunks(text: str) -> list[str]:
     """The chunks of a text that begins with a space, each without its first space."""
+    if text.isascii() and not any(s in text for s in NO_CUTS):
+        return text[1:].split(" ")
     return CUT.split(text[1:])
 
 
@@ -77,67 +83,88 @@ MARK = "\x01"
 
 
 def by_mark(chunks: list[str], encode: Callable[[list[str]], list[list[int]]], single: Callable[[str], list[int]],
-            before: str, after: str, mark_id: int, group: int = 512) -> list[bytes]:
-    """The packed ids of each chunk: far cheaper than a call for each, groups of them are encoded with a mark between.
+            before: str, after: str, mark_id: int, group: int = 512) -> tuple[np.ndarray, np.ndarray]:
+    """(the ids of all chunks one after the other, the number of each): far cheaper than a call for each.
 
-    ``before`` and ``after`` stand on both sides of the mark.  Chunks that hold the mark, end in white space (which would
-    be cut in another way before a mark) or are empty are encoded alone.
+    Groups are encoded with a mark between, ``before`` and ``after`` on both sides of it.  Chunks that hold the mark, end in
+    white space (which would be cut in another way before a mark) or are empty are encoded alone.
     """
-    alone = {c for c in chunks if not c or MARK in c or c[-1].isspace()}
-    plain = [c for c in chunks if c not in alone]
-    groups = [plain[i:i + group] for i in range(0, len(plain), group)]
-    out = {c: np.array(single(c), dtype="<u4").tobytes() for c in alone}
-    joined = [after + f"{before}{MARK}{after}".join(g) for g in groups]
-    for own, found in zip(groups, encode(joined) if groups else [], strict=True):
-        ids = np.array(found, dtype="<u4")
-        ends = [*(np.flatnonzero(ids == mark_id) * 4).tolist(), len(ids) * 4]
-        raw, start = ids.tobytes(), 0
-        for c, end in zip(own, ends, strict=True):
-            out[c], start = raw[start:end], end + 4
-    return [out[c] for c in chunks]
+    alone = [i for i, c in enumerate(chunks) if not c or c[-1].isspace() or MARK in c]
+    apart = set(alone)
+    plain = [c for i, c in enumerate(chunks) if i not in apart] if alone else chunks
+    joined = [after + f"{before}{MARK}{after}".join(plain[i:i + group]) for i in range(0, len(plain), group)]
+    flat = []
+    for found in encode(joined) if joined else ():
+        flat += [np.array(found, "<u4"), np.array([mark_id], "<u4")]
+    ids = np.concatenate(flat) if flat else np.zeros(0, "<u4")
+    marks = np.flatnonzero(ids == mark_id)
+    sizes, ids = np.diff(marks, prepend=-1) - 1, ids[ids != mark_id]
+    if not alone:
+        return ids, sizes
+    own = [single(chunks[i]) for i in alone]
+    both = Ragged.of(np.concatenate([ids, *(np.array(x, "<u4") for x in own)]), np.r_[sizes, np.array([len(x) for x in own], np.int64)])
+    order = np.empty(len(chunks), np.int64)
+    order[np.delete(np.arange(len(chunks)), alone)] = np.arange(len(sizes))
+    order[alone] = np.arange(len(sizes), len(chunks))
+    return both.taken(order)[0], both.sizes[order]
+
+
+def packed(ids: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+    raw, ends = ids.tobytes(), (np.cumsum(sizes) * 4).tolist()
+    return [raw[i:j] for i, j in zip([0, *ends], ends, strict=False)]
+
+
+class SpelledEncoder:
+    """``encode`` gives the ids of a list of chunks as ``by_mark`` does, ``spelled`` has the bytes of each id."""
+
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], spelled: list[bytes]):
+        self.encode, self.spelled = encode, spelled
+        self.bytes = Ragged.of(np.frombuffer(b"".join(spelled), np.uint8), np.array([len(x) for x in spelled], np.int64))
+
+    def each(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids of all chunks one after the other, the number of each, whether they spell a space and the chunk)."""
+        ids, sizes = self.encode(chunks)
+        whole = " " + " ".join(chunks)
+        lengths = map(len, chunks) if whole.isascii() else (len(c.encode("utf-8", "surrogatepass")) for c in chunks)
+        want = Ragged.of(np.frombuffer(whole.encode("utf-8", "surrogatepass"), np.uint8), np.fromiter(lengths, np.int64, len(chunks)) + 1)
+        found, upto = self.bytes.taken(ids)
+        ends = upto[np.cumsum(sizes)]
+        got = Ragged.of(found, np.diff(ends, prepend=0))
+        plain = got.sizes == want.sizes
+        same = np.flatnonzero(plain)
+        differ = np.flatnonzero(got.taken(same)[0] != want.taken(same)[0])
+        plain[same[np.searchsorted(np.cumsum(want.sizes[same]), differ, "right")]] = False
+        return ids, sizes, plain
 
 
 class ChunkEncoder:
-    """``encode`` gives the packed ids of each of a list of distinct chunks, ``spelled`` the bytes of each id."""
+    """``encode`` gives the packed ids of each of a list of distinct chunks."""
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], spelled: list[bytes] | None = None, lead: bytes = b"",
-                 most: int = 800_000, longest: int = 64):
-        self.encode, self.spelled, self.lead = encode, spelled, lead
-        self.most, self.longest = most, longest
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], most: int = 800_000, longest: int = 64):
+        self.encode, self.most, self.longest = encode, most, longest
         self.known: dict[str, bytes] = {}
-        self.odd: set[str] = set()
-
-    def forget(self) -> None:
-        """Free the chunks that were kept: an idle worker would hold them while later stages need the memory."""
-        self.known, self.odd = {}, set()
 
-    def of(self, texts: list[list[str]]) -> tuple[list[bytes], list[bool]]:
-        """The packed ids of each text, given as its chunks, and whether the ids of each of its chunks spell that chunk."""
+    def of(self, texts: list[list[str]]) -> tuple[list[bytes]]:
+        """The packed ids of each text, given as its chunks."""
         flat = list(chain.from_iterable(texts))
         parts = list(map(self.known.get, flat))
         missing = [i for i, ids in enumerate(parts) if ids is None]
         new = list({flat[i] for i in missing})
         if new:
             if len(self.known) + len(new) > self.most:
-                self.known, self.odd, missing = {}, set(), range(len(flat))
+                self.known, missing = {}, range(len(flat))
                 new = list(set(flat))
             self.known.update(zip(new, self.encode(new), strict=True))
-            if self.spelled is not None:
-                of = self.spelled
-                self.odd.update(c for c in new if b"".join([of[i] for i in np.frombuffer(self.known[c], "<u4").tolist()])
-                                != self.lead + c.encode("utf-8", "surrogatepass"))
             for i in missing:
                 parts[i] = self.known[flat[i]]
         out, at = [], 0
         for chunks in texts:
             out.append(b"".join(parts[at:at + len(chunks)]))
             at += len(chunks)
-        plain = [self.odd.isdisjoint(chunks) for chunks in texts] if self.odd else [True] * len(texts)
         for c in new:
             if len(c) > self.longest:
                 del self.known[c]
-                self.odd.discard(c)
-        return out, plain
+        return (out,)
 
 
 def per_worker(key: str, build: Callable):
@@ -206,7 +233,7 @@ def word_encoder(path: str, word_end: str = "</w>", most_words: int = 600_000) -
         of = dict(zip(distinct, ids_of_words(distinct), strict=True))
         out = {c: b"".join([of[w] for w in own]) for c, own in split.items()}
         rest = [c for c in chunks if c not in out]
-        out.update(zip(rest, by_mark(rest, encode, lambda c: encode([c])[0], " ", " ", mark_id), strict=True))
+        out.update(zip(rest, packed(*by_mark(rest, encode, lambda c: encode([c])[0], " ", " ", mark_id)), strict=True))
         return [out[c] for c in chunks]
 
     return WordEncoder(all_chunks, ids_of_words, most=most_words)
@@ -220,6 +247,12 @@ class Ragged:
         self.sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
         self.starts = np.cumsum(self.sizes) - self.sizes
 
+    @classmethod
+    def of(cls, flat: np.ndarray, sizes: np.ndarray) -> Ragged:
+        out = cls([])
+        out.flat, out.sizes, out.starts = flat, sizes, np.cumsum(sizes) - sizes
+        return out
+
     def taken(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(the arrays that ``codes`` name one after the other, their number of ids up to each of them, from 0)."""
         n = self.sizes[codes]
@@ -271,7 +304,7 @@ def byte_values() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-def byte_encoder(path: str) -> ChunkEncoder:
+def byte_encoder(path: str) -> SpelledEncoder:
     """For ``spaced_chunks``; special strings inside texts are plain text."""
     t, of = json_tokenizer(path, plain_specials=True), byte_values()
     names = {i: s for s, i in t.get_vocab(with_added_tokens=True).items()}
@@ -282,11 +315,10 @@ def byte_encoder(path: str) -> ChunkEncoder:
     spelled = [bytes(of[c] for c in s) if of.keys() >= set(s) else s.encode() for s in entries]
     encode = encode_json(t)
     (mark_id,) = encode([MARK])[0]
-    return ChunkEncoder(lambda chunks: by_mark(chunks, encode, lambda c: encode([" " + c])[0], "", " ", mark_id),
-                        spelled, b" ")
+    return SpelledEncoder(lambda chunks: by_mark(chunks, encode, lambda c: encode([" " + c])[0], "", " ", mark_id), spelled)
 
 
-def piece_encoder(path: str) -> ChunkEncoder:
+def piece_encoder(path: str) -> SpelledEncoder:
     """For ``spaced_chunks`` and a SentencePiece model that adds a space in front."""
     import sentencepiece
 
@@ -305,4 +337,4 @@ def piece_encoder(path: str) -> ChunkEncoder:
     def encode(texts: list[str]) -> list[list[int]]:
         return sp.encode([t[1:] for t in texts], num_threads=1)
 
-    return ChunkEncoder(lambda chunks: by_mark(chunks, encode, single, "", " ", mark_id), spelled, b" ")
+    return SpelledEncoder(lambda chunks: by_mark(chunks, encode, single, "", " ", mark_id), spelled)

@@ -1,7 +1,10 @@
 """Cross-tokenizer alignment: which tokens of two tokenizers cover the same bytes of a text.
 
-Both tokenizers encode a space and the text.  Within a batch the tokens of
-each side lie end to end on one line of bytes, keyed by document.  Two
+Both tokenizers encode a space and the text.  A text is cut into chunks, in
+front of spaces at which tokens of both sides begin, and each distinct chunk
+that a task meets is encoded and aligned once (so long as it keeps it); a
+document has the sums of its chunks.  Within a batch of chunks the tokens of
+each side lie end to end on one line of bytes, keyed by chunk.  Two
 ``pandas.merge_asof`` calls find, for the start of each token, the other
 side's token that covers it; the union of both directions are the links
 (pairs of tokens whose byte ranges overlap), where a pair with equal starts is
@@ -17,9 +20,8 @@ and sends each block the counts of its own pairs by joins on pair and block:
 no table of all pairs is broadcast or held by one task, and a frequent pair
 arrives once a block.
 
-Longer texts are handled in pieces of about ``PIECE_CHARS`` characters, cut in
-front of a space at which tokens of both sides begin; a piece is a key of its
-own in the merge.  A null or empty text, and one that either side's tokens do
+Longer texts are handled in pieces of about ``PIECE_CHARS`` characters, cut
+between chunks.  A null or empty text, and one that either side's tokens do
 not spell, has no tokens: zeros and an empty ``groups_sha256``.  Repeated rows
 count each; null ids stay.  An empty table gives an empty result.  Extra
 columns are ignored.
@@ -39,11 +41,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leadlens.llm.common import materialized
-from leadlens.llm.encoding import ChunkEncoder, byte_encoder, per_worker, piece_encoder, pieces, spaced_chunks
+from leadlens.llm.encoding import Ragged, SpelledEncoder, byte_encoder, per_worker, piece_encoder, pieces, spaced_chunks
 from leadlens.sources.tables import settings
 
 PIECE_CHARS = 1 << 19
 BLOCK_CHARS = 1 << 20
+#: Chunks that a task keeps from block to block, at some 300 bytes each; with more it begins anew.
+MOST_CHUNKS = 200_000
 #: Documents that a worker gets at a time, and blocks that a task of the last step handles.
 BATCH_ROWS, TASK_BLOCKS, MAX_TASKS = 500, 4, 20_000
 
@@ -57,9 +61,8 @@ ALIGNED = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best
 class Side:
     """One tokenizer: its encoder, the length of each id in bytes, and each id as text with the signs behind it."""
 
-    def __init__(self, encoder: ChunkEncoder):
-        self.encoder = encoder
-        self.sizes = np.array([len(b) for b in encoder.spelled], np.int64)
+    def __init__(self, encoder: SpelledEncoder):
+        self.encoder, self.sizes = encoder, encoder.bytes.sizes
         n = range(len(encoder.spelled))
         self.comma, self.bar, self.semicolon = (np.array([f"{i}{s}" for i in n], object) for s in ",|;")
 
@@ -67,12 +70,11 @@ class Side:
 class Tokens:
     """The tokens of one side in a batch of pieces: ids, and byte ranges on one line over all pieces."""
 
-    def __init__(self, side: Side, ids: list[bytes]):
-        self.n = np.array([len(x) // 4 for x in ids], np.int64)
-        self.ids = np.frombuffer(b"".join(ids), "<u4").astype(np.int64)
+    def __init__(self, side: Side, ids: np.ndarray, n: np.ndarray):
+        self.n, self.ids = n, ids.astype(np.int64)
         self.end = np.cumsum(side.sizes[self.ids])
         self.start = self.end - side.sizes[self.ids]
-        self.piece = np.repeat(np.arange(len(ids)), self.n)
+        self.piece = np.repeat(np.arange(len(n)), n)
 
     def frame(self) -> pd.DataFrame:
         return pd.DataFrame({"start": self.start, "piece": self.piece, "token": np.arange(len(self.ids))})
@@ -101,50 +103,107 @@ def group_texts(a: Tokens, b: Tokens, one: Side, two: Side) -> tuple[np.ndarray,
     out[np.arange(len(a.ids)) + np.r_[0, last_b + 1][group_a]] = np.where(ends_a, one.bar[a.ids], one.comma[a.ids])
     out[np.arange(len(b.ids)) + last_a[group_b] + 1] = np.where(ends_b, two.semicolon[b.ids], two.comma[b.ids])
     ends = np.cumsum(a.n + b.n).tolist()
-    texts = ["".join(out[s:e].tolist()) for s, e in zip([0, *ends], ends, strict=False)]
+    signs = out.tolist()
+    texts = ["".join(signs[s:e]) for s, e in zip([0, *ends], ends, strict=False)]
     return np.bincount(a.piece[ends_a], minlength=len(a.n)), texts
 
 
+class Numbers(dict):
+    """The number of each chunk, in the order they are met; ``waiting`` has those met since it was emptied."""
+
+    def __init__(self):
+        super().__init__()
+        self.waiting: list[str] = []
+
+    def __missing__(self, chunk: str) -> int:
+        self.waiting.append(chunk)
+        self[chunk] = n = len(self)
+        return n
+
+
+class Numbers(dict):
+    """The number of each chunk, in the order they are met; ``waiting`` has those met since it was emptied."""
+
+    def __init__(self):
+        super().__init__()
+        self.waiting: list[str] = []
+
+    def __missing__(self, chunk: str) -> int:
+        self.waiting.append(chunk)
+        self[chunk] = n = len(self)
+        return n
+
+
 class Doc:
-    """What is known of a document so far."""
+    """A document and the numbers of its chunks, piece by piece."""
 
-    def __init__(self, doc_id: int | None, has_text: bool):
-        self.doc_id, self.valid, self.any = doc_id, True, has_text
+    def __init__(self, doc_id: int | None):
+        self.doc_id, self.sha256 = doc_id, ""
         self.n = dict.fromkeys(COUNTS, 0)
-        self.digest, self.begun = hashlib.sha256(), False
-        self.links: list[np.ndarray] = []
-
-    def add(self, n: dict[str, int], text: str) -> None:
-        for k, v in n.items():
-            self.n[k] += v
-        self.digest.update(f"{';' * self.begun}{text[:-1]}".encode())
-        self.begun = True
+        self.chunks: list[np.ndarray] = []
 
     def row(self) -> dict:
-        if not (self.valid and self.any):
-            return {"doc_id": self.doc_id, **dict.fromkeys(COUNTS, 0), "groups_sha256": ""}
-        return {"doc_id": self.doc_id, **self.n, "groups_sha256": self.digest.hexdigest()}
-
-
-def align(batch: list[tuple[Doc, str]], one: Side, two: Side, vocabulary: "Pairs") -> None:
-    """Align pieces of texts; each adds its counts and links to its document."""
-    chunks = [spaced_chunks(p) for _, p in batch]
-    (ids_a, plain_a), (ids_b, plain_b) = one.encoder.of(chunks), two.encoder.of(chunks)
-    for (doc, _), x, y in zip(batch, plain_a, plain_b, strict=True):
-        doc.valid &= x and y
-    good = [i for i, (doc, _) in enumerate(batch) if doc.valid]
-    if not good:
-        return
-    a, b = Tokens(one, [ids_a[i] for i in good]), Tokens(two, [ids_b[i] for i in good])
-    left, right = links_of(a, b)
-    groups, texts = group_texts(a, b, one, two)
-    places = vocabulary.places(a.ids[left] << 32 | b.ids[right])
-    n_links = np.bincount(a.piece[left], minlength=len(good))
-    ends = np.cumsum(n_links)
-    for k, i in enumerate(good):
-        doc = batch[i][0]
-        doc.add(dict(zip(COUNTS, (int(a.n[k]), int(b.n[k]), int(groups[k]), int(n_links[k])), strict=True)), texts[k])
-        doc.links.append(places[ends[k] - n_links[k]:ends[k]])
+        return {"doc_id": self.doc_id, **self.n, "groups_sha256": self.sha256}
+
+
+class Chunks:
+    """Distinct chunks of texts, each aligned once however often it occurs."""
+
+    def __init__(self, one: Side, two: Side):
+        self.one, self.two, self.numbers = one, two, Numbers()
+        self.texts: list[str] = []
+        self.plain, self.n, self.pairs = np.zeros(0, bool), np.zeros((len(COUNTS), 0), np.int64), np.zeros(0, np.int64)
+
+    def numbered(self, text: str) -> np.ndarray:
+        chunks = spaced_chunks(text)
+        return np.fromiter(map(self.numbers.__getitem__, chunks), np.int32, len(chunks))
+
+    def align(self) -> None:
+        """Align the chunks met since the last call; on both sides the tokens of a chunk begin and end in it."""
+        chunks, self.numbers.waiting = self.numbers.waiting, []
+        if not chunks:
+            return
+        (ids_a, n_a, plain), (ids_b, n_b, plain_b) = self.one.encoder.each(chunks), self.two.encoder.each(chunks)
+        plain &= plain_b
+        good = np.flatnonzero(plain)
+        n, texts = np.zeros((len(COUNTS), len(chunks)), np.int64), [""] * len(chunks)
+        if len(good):
+            a = Tokens(self.one, ids_a[np.repeat(plain, n_a)], n_a[good])
+            b = Tokens(self.two, ids_b[np.repeat(plain, n_b)], n_b[good])
+            left, right = links_of(a, b)
+            groups, own = group_texts(a, b, self.one, self.two)
+            n[:, good] = a.n, b.n, groups, np.bincount(a.piece[left], minlength=len(good))
+            self.pairs = np.concatenate([self.pairs, a.ids[left] << 32 | b.ids[right]])
+            if len(good) == len(chunks):
+                texts = own
+            else:
+                for i, text in zip(good.tolist(), own, strict=True):
+                    texts[i] = text
+        self.texts += texts
+        self.plain, self.n = np.concatenate([self.plain, plain]), np.concatenate([self.n, n], 1)
+
+    def block(self, docs: list[Doc]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(distinct pairs, how many links hold each, each link's place among them) of the documents, which are filled in."""
+        met = []
+        for doc in docs:
+            # A text that either side's tokens don't spell has no tokens.
+            if not all(self.plain[x].all() for x in doc.chunks):
+                continue
+            digest = hashlib.sha256()
+            for k, x in enumerate(doc.chunks):
+                for name, v in zip(COUNTS, self.n[:, x].sum(1).tolist(), strict=True):
+                    doc.n[name] += v
+                digest.update(f"{';' * (k > 0)}{''.join(map(self.texts.__getitem__, x.tolist()))[:-1]}".encode())
+                met.append(x)
+            if doc.chunks:
+                doc.sha256 = digest.hexdigest()
+        chunks = np.concatenate(met) if met else np.zeros(0, np.int32)
+        held = np.zeros(len(self.texts), bool)
+        held[chunks] = True
+        of = self.n[COUNTS.index("n_links")]
+        own, which = np.unique(Ragged.of(self.pairs, of).taken(np.flatnonzero(held))[0], return_inverse=True)
+        links = Ragged.of(which.astype(np.int32), of[held]).taken((np.cumsum(held) - 1)[chunks])[0]
+        return own, np.bincount(links, minlength=len(own)), links
 
 
 def place_type(n_pairs: int) -> str:
@@ -152,39 +211,16 @@ def place_type(n_pairs: int) -> str:
     return "<u2" if n_pairs <= 1 << 16 else "<i4"
 
 
-class Pairs:
-    """The distinct id pairs of a block; links are kept as places among the parts' own pairs until the block ends."""
-
-    def __init__(self):
-        self.parts: list[np.ndarray] = []
-        self.size = 0
-
-    def places(self, pairs: np.ndarray) -> np.ndarray:
-        own, which = np.unique(pairs, return_inverse=True)
-        self.parts.append(own)
-        self.size += len(own)
-        return (which + (self.size - len(own))).astype(np.int32)
-
-    def ended(self, docs: list[Doc]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(distinct pairs, how many links hold each, each link's place among them) of the documents that are valid."""
-        own, which = np.unique(np.concatenate(self.parts) if self.parts else np.zeros(0, np.int64), return_inverse=True)
-        links = [x for d in docs if d.valid for x in d.links]
-        placed = which.astype(np.int32)[np.concatenate(links)] if links else np.zeros(0, np.int32)
-        counts = np.bincount(placed, minlength=len(own))
-        # Pairs of documents that turned out to be unspellable later on have no links.
-        kept = counts > 0
-        return own[kept], counts[kept], (np.cumsum(kept) - 1).astype(np.int32)[placed]
-
-
 def aligned_blocks(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text",
-                   block_chars: int = BLOCK_CHARS, piece_chars: int = PIECE_CHARS) -> DataFrame:
+                   block_chars: int = BLOCK_CHARS, piece_chars: int = PIECE_CHARS, most_chunks: int = MOST_CHUNKS) -> DataFrame:
     """A row per block: its documents, its distinct id pairs and their counts, and the links as places among them."""
     fields = [("doc_id", pa.int64()), *((c, pa.int64()) for c in COUNTS), ("groups_sha256", pa.string())]
     schema = pa.schema([("block", pa.string()), ("docs", pa.list_(pa.struct(fields))), ("pairs", pa.list_(pa.int64())),
                         ("counts", pa.list_(pa.int64())), ("links", pa.binary())])
 
-    def stored(found: list[Doc], vocabulary: Pairs) -> pa.RecordBatch:
-        pairs, counts, links = vocabulary.ended(found)
+    def stored(found: list[Doc], chunks: Chunks) -> pa.RecordBatch:
+        chunks.align()
+        pairs, counts, links = chunks.block(found)
         return pa.RecordBatch.from_arrays([
             pa.array([uuid.uuid4().hex]), pa.array([[d.row() for d in found]], schema.field("docs").type),
             pa.ListArray.from_arrays(pa.array([0, len(pairs)], pa.int32()), pa.array(pairs, pa.int64())),
@@ -194,30 +230,26 @@ def aligned_blocks(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = per_worker(f"A {path_a}", lambda: Side(byte_encoder(path_a)))
         two = per_worker(f"B {path_b}", lambda: Side(piece_encoder(path_b)))
-        found, vocabulary, chars, waiting, held = [], Pairs(), 0, [], 0
+        found, chunks, chars, held = [], Chunks(one, two), 0, 0
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 text = text.as_py() or ""
-                doc = Doc(doc_id, bool(text))
+                doc = Doc(doc_id)
                 found.append(doc)
                 chars += len(text)
                 for p in pieces(" " + text, piece_chars) if text else ():
-                    waiting.append((doc, p))
+                    doc.chunks.append(chunks.numbered(p))
                     held += len(p)
                     if held >= piece_chars:
-                        align(waiting, one, two, vocabulary)
-                        waiting, held = [], 0
+                        chunks.align()
+                        held = 0
                 if chars >= block_chars:
-                    if waiting:
-                        align(waiting, one, two, vocabulary)
-                    yield stored(found, vocabulary)
-                    found, vocabulary, chars, waiting, held = [], Pairs(), 0, [], 0
-        if waiting:
-            align(waiting, one, two, vocabulary)
+                    yield stored(found, chunks)
+                    found, chars, held = [], 0, 0
+                    if len(chunks.numbers) > most_chunks:
+                        chunks = Chunks(one, two)
         if found:
-            yield stored(found, vocabulary)
-        one.encoder.forget()
-        two.encoder.forget()
+            yield stored(found, chunks)
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     # Batches of Spark's default size would hold tens of MB of text, in the JVM and in the worker.

@@ -106,3 +106,32 @@ def test_links_are_stored_in_two_bytes_and_blocks_stay_small(spark):
     for b in blocks:
         assert len(b.links) == 2 * sum(d.n_links for d in b.docs) <= 2 * (A.BLOCK_CHARS + 100_000)
     assert A.place_type(1 << 16) == "<u2" and A.place_type((1 << 16) + 1) == "<i4"
+
+
+def test_a_chunk_is_encoded_once_in_a_task_however_often_it_occurs():
+    one, two = A.Side(E.byte_encoder(PATHS[0])), A.Side(E.piece_encoder(PATHS[1]))
+    rows, met = [(i, t) for i, t in enumerate([prose(1, 400), "a ▁ b", prose(1, 200), *ODD, "a b"])], []
+    encode = one.encoder.encode
+    one.encoder.encode = lambda chunks: met.extend(chunks) or encode(chunks)
+    chunks = A.Chunks(one, two)
+    for _ in range(2):  # two blocks
+        docs = []
+        for doc_id, text in rows:
+            docs.append(A.Doc(doc_id))
+            docs[-1].chunks = [chunks.numbered(p) for p in E.pieces(" " + text, 300)] if text else []
+            chunks.align()
+        pairs, counts, links = chunks.block(docs)
+        got = [tuple(d.row().values()) for d in docs]
+        assert got == [(*x[:5], x[7]) for x in brute(rows)]
+        assert counts.sum() == len(links) == sum(d.n["n_links"] for d in docs) and counts.min() > 0 and links.max() + 1 == len(pairs)
+    assert len(met) == len(set(met))
+
+
+def test_a_task_that_keeps_few_chunks_gives_the_same_blocks(spark):
+    frame = docs_of(spark, [*ODD, *[prose(i % 7, 50) for i in range(30)]]).repartition(1)
+    found = []
+    for most in (1, A.MOST_CHUNKS):
+        blocks = A.aligned_blocks(frame, *PATHS, block_chars=400, most_chunks=most).collect()
+        assert len(blocks) > 3
+        found.append(sorted((str(b.docs), b.pairs, b.counts, bytes(b.links)) for b in blocks))
+    assert found[0] == found[1]
