@@ -189,30 +189,20 @@ def encode_json(t) -> Callable[[list[str]], list[list[int]]]:
     return lambda texts: [e.ids for e in t.encode_batch_fast(texts, add_special_tokens=False)]
 
 
-def word_encoder(path: str, word_end: str = "</w>", most_words: int = 600_000) -> "WordEncoder":
-    """For ``word_chunks``; the last token of each word, and no other, ends in ``word_end``."""
-    from tokenizers import normalizers, pre_tokenizers
-
+def word_encoder(path: str, most_words: int = 600_000) -> "WordEncoder":
+    """For ``word_chunks``."""
     t = json_tokenizer(path)
     encode = encode_json(t)
-    names = t.get_vocab(with_added_tokens=True)
-    ends = np.zeros(max(names.values()) + 1, bool)
-    ends[[i for s, i in names.items() if s.endswith(word_end)]] = True
     (mark_id,) = encode([f" {MARK} "])[0]
-    # Lower-case words of simple signs between spaces need neither the normalizer nor the split pattern.
-    words_only = json_tokenizer(path)
-    words_only.normalizer = normalizers.Sequence([])
-    words_only.pre_tokenizer = pre_tokenizers.Sequence([
-        pre_tokenizers.Split(" ", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-    bare = encode_json(words_only)
-
-    def by_words(chunks: list[str], group: int = 1024) -> Iterator[tuple[str, bytes]]:
-        groups = [chunks[i:i + group] for i in range(0, len(chunks), group)]
-        for own, found in zip(groups, bare([" ".join(g) for g in groups]) if groups else [], strict=True):
-            ids = np.array(found, dtype="<u4")
-            at = ((np.flatnonzero(ends[ids]) + 1) * 4).tolist()
-            raw = ids.tobytes()
-            yield from zip(own, map(raw.__getitem__, map(slice, [0, *at], at)), strict=True)
+    # Lower-case words of simple signs need neither the normalizer nor the split pattern: the model takes their bytes.
+    signs, tokenize = {b: c for c, b in byte_values().items()}, t.model.tokenize
+
+    def by_model(own: list[str]) -> list[bytes]:
+        spelled = (w if w.isascii() and w.isprintable() else w.encode().decode("latin-1").translate(signs) for w in own)
+        found = [[x.id for x in tokenize(w)] for w in spelled]
+        raw = np.fromiter(chain.from_iterable(found), "<u4").tobytes()
+        at = (np.cumsum(np.fromiter(map(len, found), np.int64, len(found))) * 4).tolist()
+        return list(map(raw.__getitem__, map(slice, [0, *at], at)))
 
     words: dict[str, bytes] = {}
 
@@ -222,8 +212,7 @@ def word_encoder(path: str, word_end: str = "</w>", most_words: int = 600_000) -
         if len(words) + len(new) > most_words:
             words.clear()
             new = wanted
-        words.update(by_words([w for w in new if w]))
-        words[""] = b""
+        words.update(zip(new, by_model(new), strict=True))
         return list(map(words.__getitem__, wanted))
 
     def all_chunks(chunks: list[str]) -> list[bytes]:
@@ -281,19 +270,24 @@ class WordEncoder(ChunkEncoder):
 
     def distinct(self, chunks: pa.Array) -> Ragged:
         """The ids of each of the distinct ``chunks``."""
-        simple = pc.and_not(pc.match_substring_regex(chunks, ARROW_SIMPLE), pc.match_substring(chunks, "<|"))
-        at = simple.to_numpy(zero_copy_only=False)
-        ended = pc.replace_substring_regex(pc.utf8_lower(chunks.filter(simple)), ARROW_WORD, "\\1\n")
+        # Chunks of ASCII letters alone, which are most, are one word each.
+        whole = pc.ascii_is_alpha(chunks)
+        others = chunks.filter(pc.invert(whole))
+        simple = pc.and_not(pc.match_substring_regex(others, ARROW_SIMPLE), pc.match_substring(others, "<|"))
+        ended = pc.replace_substring_regex(pc.utf8_lower(others.filter(simple)), ARROW_WORD, "\\1\n")
         split = pc.split_pattern(ended, "\n")  # with an empty word at the end of each
-        coded = split.flatten().dictionary_encode()
+        words = pa.concat_arrays([pc.ascii_lower(chunks.filter(whole)), split.flatten()])
+        coded = words.dictionary_encode()
         ids, upto = Ragged(self.ids_of_words(coded.dictionary.to_pylist())).taken(coded.indices.to_numpy())
-        ends = upto[split.offsets.to_numpy() - split.offsets[0].as_py()]
-        rest = Ragged(self.of([[c] if c else [] for c in chunks.filter(pc.invert(simple)).to_pylist()])[0])
+        rest = Ragged(self.of([[c] if c else [] for c in others.filter(pc.invert(simple)).to_pylist()])[0])
+        is_whole, is_simple = (x.to_numpy(zero_copy_only=False) for x in (whole, simple))
+        at, other = np.flatnonzero(is_whole), np.flatnonzero(~is_whole)
+        ends = np.r_[upto[:len(at)], upto[len(at) + split.offsets.to_numpy() - split.offsets[0].as_py()]]
+        of = np.r_[at, other[is_simple], other[~is_simple]]
         out = Ragged([])
         out.flat = np.concatenate([ids, rest.flat])
         out.sizes, out.starts = np.empty(len(chunks), np.int64), np.empty(len(chunks), np.int64)
-        out.sizes[at], out.starts[at] = np.diff(ends), ends[:-1]
-        out.sizes[~at], out.starts[~at] = rest.sizes, rest.starts + len(ids)
+        out.sizes[of], out.starts[of] = np.r_[np.diff(ends), rest.sizes], np.r_[ends[:-1], rest.starts + len(ids)]
         return out
 
 

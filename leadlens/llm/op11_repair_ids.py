@@ -66,15 +66,22 @@ TOKENS = "doc_id long, start long, n_tokens long, ids_crc32 long, ids binary"
 
 # The grammar of a block.
 
-def frequent_pairs(seq: np.ndarray, last: np.ndarray, least: int, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def slots(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The hash slot of each pair of neighbours."""
+    mixed = left * np.uint32(0x9E3779B1)
+    mixed += right
+    mixed *= np.uint32(0x85EBCA6B)
+    mixed >>= np.uint32(32 - SLOT_BITS)
+    return mixed.astype(np.int64)
+
+
+def frequent_pairs(seq: np.ndarray, last: np.ndarray, slot: np.ndarray, bound: np.ndarray, least: int,
+                   most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(pairs, positions, their ranks): pairs of at least one part in ``STEP`` of the greatest count, most frequent first.
 
-    ``last`` marks the symbols that end a document; no pair begins there.
+    ``last`` marks the symbols that end a document; no pair begins there.  ``slot`` has the slot of each pair and ``bound``
+    how many each slot has: upper bounds, and only pairs in slots with enough of them are counted one by one.
     """
-    mixed = seq * np.uint32(0x9E3779B1)
-    slot = ((mixed[:-1] + seq[1:]) * np.uint32(0x85EBCA6B) >> np.uint32(32 - SLOT_BITS)).astype(np.int64)
-    # Upper bounds by hash slot; only pairs in slots with enough of them are counted one by one.
-    bound = np.bincount(slot, minlength=1 << SLOT_BITS)
     want = max(least, int(bound.max(initial=0)) // STEP)
     while True:
         at = np.flatnonzero(np.take(bound >= want, slot))
@@ -90,24 +97,30 @@ def frequent_pairs(seq: np.ndarray, last: np.ndarray, least: int, most: int) ->
     of = np.full(len(pairs), -1, np.int64)
     of[order] = np.arange(len(order))
     rank = np.repeat(of, n)
+    wanted = rank >= 0
     # One sort of (place, rank) as numbers brings the places back in order.
-    both = np.sort(places[rank >= 0] << 20 | rank[rank >= 0])
+    both = np.sort(places[wanted] << 20 | rank[wanted])
     return pairs[order], both >> 20, both & ((1 << 20) - 1)
 
 
 def counted(seq: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(distinct pairs that begin at ``at``, how often each occurs, the places pair by pair)."""
-    if len(seq) < 1 << 31 and seq.max() < 1 << 16:
+    narrow = len(seq) < 1 << 31 and seq.max() < 1 << 16
+    if narrow:
         # Pair and place fit in one number, which sorts far faster than the places by their pairs.
-        both = np.sort((seq[at].astype(np.int64) << 16 | seq[at + 1]) << 31 | at)
-        key, places = (both >> 31).astype(np.uint64), both & ((1 << 31) - 1)
+        both = seq[at].astype(np.int64) << 16
+        both |= seq[at + 1]
+        both <<= 31
+        both |= at
+        both.sort()
+        key, places = both >> 31, both & ((1 << 31) - 1)
     else:
         key = seq[at].astype(np.uint64) << np.uint64(32) | seq[at + 1]
         order = np.argsort(key, kind="stable")
         key, places = key[order], at[order]
     begins = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
-    pairs = key[begins]
-    if len(seq) < 1 << 31 and seq.max() < 1 << 16:
+    pairs = key[begins].astype(np.uint64)
+    if narrow:
         pairs = pairs >> np.uint64(16) << np.uint64(32) | pairs & np.uint64(0xFFFF)
     return pairs, np.diff(np.r_[begins, len(key)]), places
 
@@ -147,8 +160,10 @@ def grammar(ids: np.ndarray, ends: np.ndarray, most: int = MOST_RULES,
     first = int(ids.max(initial=0)) + 1
     rules: list[np.ndarray] = []
     made = 0
+    slot = slots(seq[:-1], seq[1:])
+    bound = np.bincount(slot, minlength=1 << SLOT_BITS)
     while made < most and len(seq) > 1:
-        pairs, at, rank = frequent_pairs(seq, last, least, most - made)
+        pairs, at, rank = frequent_pairs(seq, last, slot, bound, least, most - made)
         at, rank = chosen(at, rank)
         worth = np.bincount(rank, minlength=len(pairs)) >= 2
         if not worth.any():
@@ -160,7 +175,14 @@ def grammar(ids: np.ndarray, ends: np.ndarray, most: int = MOST_RULES,
         last[at] = last[at + 1]
         stay = np.ones(len(seq), bool)
         stay[at + 1] = False
-        seq, last = seq[stay], last[stay]
+        # Only the pairs that begin at a replaced symbol, in front of it or behind it have another slot now.
+        new = np.zeros(len(seq), bool)
+        new[at] = new[at + 1] = new[np.maximum(at - 1, 0)] = True
+        bound -= np.bincount(slot[new[:-1]], minlength=1 << SLOT_BITS)
+        seq, last, new = seq[stay], last[stay], np.flatnonzero(new[stay][:-1])
+        slot = slot[stay[:-1]][:len(seq) - 1]
+        slot[new] = slots(seq[new], seq[new + 1])
+        bound += np.bincount(slot[new], minlength=1 << SLOT_BITS)
         made += int(worth.sum())
     return seq, np.flatnonzero(last) + 1, np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32), first
 

@@ -137,3 +137,24 @@ def test_query_equals_plain_encoding(spark):
     rows = [(r.doc_id, r.text) for r in table(spark, sf, "documents").select("doc_id", "text").orderBy("doc_id").collect()]
     got = QUERIES["op11_repair_ids"](spark, sf).orderBy("doc_id").collect()
     assert [tuple(r) for r in got] == expected(rows)
+
+
+def test_slots_follow_the_replaced_pairs(monkeypatch):
+    rng = random.Random(8)
+    ids = np.array([rng.choice((2, 3, 3, 4, 5)) for _ in range(3_000)] + [7] * 50, np.uint32)
+    ends, seen, inner = np.array([700, 701, 2_000, len(ids)]), [], R.frequent_pairs
+
+    def watched(seq, last, slot, bound, least, most):
+        seen.append(len(seq))
+        assert slot.tolist() == R.slots(seq[:-1], seq[1:]).tolist()
+        assert bound.tolist() == np.bincount(slot, minlength=1 << R.SLOT_BITS).tolist()
+        return inner(seq, last, slot, bound, least, most)
+
+    monkeypatch.setattr(R, "frequent_pairs", watched)
+    R.grammar(ids, ends)
+    assert len(seen) > 2
+
+
+def test_words_go_to_the_model_as_their_bytes():
+    words = ["and", "été", "\x00\x01", "\x7f", "'s", "!?", "7", "ÿß", "x" * 300]
+    assert [np.frombuffer(x, "<u4").tolist() for x in E.word_encoder(PATH).ids_of_words(words)] == [x[:-1] for x in plain_ids(words)]
