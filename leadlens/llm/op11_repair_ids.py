@@ -34,6 +34,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -53,10 +54,16 @@ LEAST_COUNT = 8
 #: A round takes the pairs of at least this part of the greatest count.
 STEP = 16
 SLOT_BITS = 18
+#: From this share of positions on at which no pair can be replaced any more, the others are handled by themselves.
+MOST_BARRED = 0.4
+#: That needs tables of its own, which so few symbols don't repay.
+LEAST_LINKED = 1 << 14
 #: Bytes of ids that a task sorts and writes.
 PART_BYTES = 16 << 20
-#: Bytes of text that are encoded at once; each byte takes some 20 in memory meanwhile.
+#: Bytes of text that are split at once; each byte takes some 20 in memory meanwhile.
 GROUP_BYTES = 4 << 20
+#: So many such groups share their distinct words; each byte takes some 3 more in memory meanwhile.
+GROUPS = 4
 MAGIC = b"RPG1"
 HEAD = "<4sIQIIB"  # magic, documents, symbols, rules, first rule's symbol, bytes of a symbol
 
@@ -66,6 +73,9 @@ TOKENS = "doc_id long, start long, n_tokens long, ids_crc32 long, ids binary"
 
 # The grammar of a block.
 
+#: Places are always within their array; told to clip, numpy takes them at once instead of checking them first.
+take = partial(np.take, mode="clip")
+
 def slots(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """The hash slot of each pair of neighbours."""
     mixed = left * np.uint32(0x9E3779B1)
@@ -75,47 +85,66 @@ def slots(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return mixed.astype(np.int64)
 
 
-def frequent_pairs(seq: np.ndarray, last: np.ndarray, slot: np.ndarray, bound: np.ndarray, least: int,
+def frequent_pairs(seq: np.ndarray, barred: np.ndarray, slot: np.ndarray, bound: np.ndarray, least: int,
                    most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(pairs, positions, their ranks): pairs of at least one part in ``STEP`` of the greatest count, most frequent first.
 
-    ``last`` marks the symbols that end a document; no pair begins there.  ``slot`` has the slot of each pair and ``bound``
-    how many each slot has: upper bounds, and only pairs in slots with enough of them are counted one by one.
+    ``slot`` has the slot of each pair and ``bound`` how many each slot has: upper bounds, and only pairs in slots with
+    enough of them are counted one by one.  No pair begins at a symbol that is ``barred``; pairs that are counted here and
+    occur less than ``least`` times are barred as well, since a pair of symbols that exist never becomes more frequent.
     """
     want = max(least, int(bound.max(initial=0)) // STEP)
+    free = np.flatnonzero(~barred[:len(slot)])
+    own = take(slot, free)
     while True:
-        at = np.flatnonzero(np.take(bound >= want, slot))
-        at = at[~np.take(last, at)]
-        pairs, n, places = counted(seq, at)
+        at = take(free, np.flatnonzero(take(bound >= want, own)))
+        pairs, n, places = counted(take(seq, at), take(seq, at + 1), at)
+        barred[places[np.repeat(n < least, n)]] = True
         if len(n) and n.max() >= want:
             break
         if want == least:
             return pairs[:0], at[:0], at[:0]
         want = max(least, want // STEP)
+    return ranked(pairs, n, places, want, most)
+
+
+def ranked(pairs: np.ndarray, n: np.ndarray, places: np.ndarray, want: int, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(pairs, positions, their ranks): those that occur ``want`` times, most frequent first; positions in order."""
     order = np.lexsort((pairs, -n))
     order = order[n[order] >= want][:most]
-    of = np.full(len(pairs), -1, np.int64)
+    of = np.full(len(pairs), -1, np.int32)
     of[order] = np.arange(len(order))
     rank = np.repeat(of, n)
-    wanted = rank >= 0
+    size = int(places.max(initial=-1)) + 1
+    if len(places) * 8 > size:
+        # So many are in order sooner by a table of all positions.
+        of = np.full(size, -1, np.int32)
+        of[places] = rank
+        at = np.flatnonzero(of >= 0)
+        return pairs[order], at, take(of, at)
+    wanted = np.flatnonzero(rank >= 0)
     # One sort of (place, rank) as numbers brings the places back in order.
-    both = np.sort(places[wanted] << 20 | rank[wanted])
+    both = take(places, wanted)
+    both <<= 20
+    both |= take(rank, wanted)
+    both.sort()
     return pairs[order], both >> 20, both & ((1 << 20) - 1)
 
 
-def counted(seq: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(distinct pairs that begin at ``at``, how often each occurs, the places pair by pair)."""
-    narrow = len(seq) < 1 << 31 and seq.max() < 1 << 16
+def counted(left: np.ndarray, right: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct pairs of ``left`` and ``right``, which are at ``at``, how often each occurs, the places pair by pair)."""
+    narrow = at.max(initial=0) < 1 << 31 and max(left.max(initial=0), right.max(initial=0)) < 1 << 16
     if narrow:
         # Pair and place fit in one number, which sorts far faster than the places by their pairs.
-        both = seq[at].astype(np.int64) << 16
-        both |= seq[at + 1]
+        both = left.astype(np.int64)
+        both <<= 16
+        both |= right
         both <<= 31
         both |= at
         both.sort()
         key, places = both >> 31, both & ((1 << 31) - 1)
     else:
-        key = seq[at].astype(np.uint64) << np.uint64(32) | seq[at + 1]
+        key = left.astype(np.uint64) << np.uint64(32) | right
         order = np.argsort(key, kind="stable")
         key, places = key[order], at[order]
     begins = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
@@ -125,25 +154,35 @@ def counted(seq: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return pairs, np.diff(np.r_[begins, len(key)]), places
 
 
-def chosen(at: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions to replace and their ranks: none overlap, the more frequent pair wins, in a run of one symbol every second."""
-    same = np.zeros(len(at), bool)
-    same[1:] = (at[1:] == at[:-1] + 1) & (rank[1:] == rank[:-1])
-    run = np.arange(len(at))
-    first = np.maximum.accumulate(np.where(same, 0, run))
-    keep = (run - first) % 2 == 0
-    at, rank = at[keep], rank[keep]
+def chosen(at: np.ndarray, rank: np.ndarray, behind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions to replace and their ranks: none overlap, the more frequent pair wins, in a run of one symbol every second.
+
+    ``behind`` has the position of the second symbol of each.
+    """
+    same = np.flatnonzero((at[1:] == behind[:-1]) & (rank[1:] == rank[:-1])) + 1
+    if len(same):
+        # Places behind the first of a run: the first, third and so on of them go.
+        run = np.arange(len(same))
+        begins = np.maximum.accumulate(np.where(np.diff(same, prepend=-1) == 1, 0, run))
+        stay = np.ones(len(at), bool)
+        stay[same[(run - begins) % 2 == 0]] = False
+        stay = np.flatnonzero(stay)
+        at, rank, behind = take(at, stay), take(rank, stay), take(behind, stay)
     taken = []
     while len(at):
-        near = np.flatnonzero(at[1:] == at[:-1] + 1)
+        near = np.flatnonzero(at[1:] == behind[:-1])
+        more = take(rank, near) < take(rank, near + 1)
+        # No two neighbours have the same rank any more.
         best = np.ones(len(at), bool)
-        best[near] &= rank[near] < rank[near + 1]
-        best[near + 1] &= rank[near + 1] < rank[near]
-        taken.append((at[best], rank[best]))
+        best[near[~more]] = False
+        best[near[more] + 1] = False
+        which = np.flatnonzero(best)
+        taken.append((take(at, which), take(rank, which)))
         gone = best.copy()
         gone[near] |= best[near + 1]
         gone[near + 1] |= best[near]
-        at, rank = at[~gone], rank[~gone]
+        which = np.flatnonzero(~gone)
+        at, rank, behind = take(at, which), take(rank, which), take(behind, which)
     if not taken:
         return at, rank
     return np.concatenate([x for x, _ in taken]), np.concatenate([x for _, x in taken])
@@ -162,31 +201,82 @@ def grammar(ids: np.ndarray, ends: np.ndarray, most: int = MOST_RULES,
     made = 0
     slot = slots(seq[:-1], seq[1:])
     bound = np.bincount(slot, minlength=1 << SLOT_BITS)
-    while made < most and len(seq) > 1:
-        pairs, at, rank = frequent_pairs(seq, last, slot, bound, least, most - made)
-        at, rank = chosen(at, rank)
-        worth = np.bincount(rank, minlength=len(pairs)) >= 2
-        if not worth.any():
+    # Where no pair begins that can be replaced, now or later: at documents' ends and at pairs known to be too rare.
+    barred = last.copy()
+    barred[:-1] |= take(bound < least, slot)
+    while made < most and len(seq) > 1 and (len(seq) < LEAST_LINKED or np.count_nonzero(barred) < MOST_BARRED * len(seq)):
+        pairs, at, rank = frequent_pairs(seq, barred, slot, bound, least, most - made)
+        pairs, at, name = worthwhile(pairs, *chosen(at, rank, at + 1))
+        if not len(pairs):
             break
-        name = np.cumsum(worth) - 1
-        at, rank = at[worth[rank]], rank[worth[rank]]
-        rules.append(np.stack([pairs[worth] >> np.uint64(32), pairs[worth] & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
-        seq[at] = (first + made + name[rank]).astype(np.uint32)
+        rules.append(pairs)
+        seq[at] = first + made + name
         last[at] = last[at + 1]
         stay = np.ones(len(seq), bool)
         stay[at + 1] = False
+        stay = np.flatnonzero(stay)
         # Only the pairs that begin at a replaced symbol, in front of it or behind it have another slot now.
         new = np.zeros(len(seq), bool)
         new[at] = new[at + 1] = new[np.maximum(at - 1, 0)] = True
-        bound -= np.bincount(slot[new[:-1]], minlength=1 << SLOT_BITS)
-        seq, last, new = seq[stay], last[stay], np.flatnonzero(new[stay][:-1])
-        slot = slot[stay[:-1]][:len(seq) - 1]
-        slot[new] = slots(seq[new], seq[new + 1])
-        bound += np.bincount(slot[new], minlength=1 << SLOT_BITS)
-        made += int(worth.sum())
+        bound -= np.bincount(take(slot, np.flatnonzero(new[:-1])), minlength=1 << SLOT_BITS)
+        # By place, which is several times as fast as by a mask.
+        seq, last, barred = take(seq, stay), take(last, stay), take(barred, stay)
+        slot = take(slot, stay[:len(seq) - 1])
+        new = np.flatnonzero(take(new, stay[:len(seq) - 1]))
+        slot[new] = own = slots(seq[new], seq[new + 1])
+        bound += np.bincount(own, minlength=1 << SLOT_BITS)
+        barred[new] = last[new] | take(bound < least, own)
+        made += len(pairs)
+    else:
+        seq, last, more = linked_rounds(seq, last, np.flatnonzero(~barred[:-1]), first + made, least, most - made)
+        rules += more
     return seq, np.flatnonzero(last) + 1, np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32), first
 
 
+def worthwhile(pairs: np.ndarray, at: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(rules, positions, the number of the rule at each): the pairs that have two positions left."""
+    worth = np.bincount(rank, minlength=len(pairs)) >= 2
+    which = np.flatnonzero(take(worth, rank))
+    name = np.cumsum(worth) - 1
+    rules = np.stack([pairs[worth] >> np.uint64(32), pairs[worth] & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32)
+    return rules, take(at, which), take(name, take(rank, which)).astype(np.uint32)
+
+
+def linked_rounds(seq: np.ndarray, last: np.ndarray, free: np.ndarray, first: int, least: int,
+                  most: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """(symbols, whether each ends a document, rules) after further rounds, for few positions ``free`` where pairs to replace begin.
+
+    Symbols stay where they are and are linked, so that a round handles the free positions only, whose pairs it counts exactly.
+    """
+    behind, before, gone = np.arange(1, len(seq) + 1), np.arange(-1, len(seq) - 1), np.zeros(len(seq), bool)
+    rules: list[np.ndarray] = []
+    made = 0
+    while made < most and len(free):
+        pairs, n, places = counted(take(seq, free), take(seq, take(behind, free)), free)
+        if n.max() < least:
+            break
+        free = np.zeros(len(seq), bool)
+        free[places[np.repeat(n >= least, n)]] = True
+        pairs, at, rank = ranked(pairs, n, places, max(least, int(n.max()) // STEP), most - made)
+        pairs, at, name = worthwhile(pairs, *chosen(at, rank, take(behind, at)))
+        if not len(pairs):
+            break
+        rules.append(pairs)
+        right = take(behind, at)
+        far = take(behind, right)
+        seq[at], last[at], behind[at], gone[right] = first + made + name, take(last, right), far, True
+        inner = np.flatnonzero(far < len(seq))
+        before[far[inner]] = at[inner]
+        new = np.concatenate([at, before[at]])
+        new = new[new >= 0]
+        free[right] = False
+        free[new] = ~last[new]
+        free = np.flatnonzero(free)
+        made += len(pairs)
+    stay = np.flatnonzero(~gone)
+    return take(seq, stay), take(last, stay), rules
+
+
 def lengths(rules: np.ndarray, first: int) -> np.ndarray:
     """How many ids each rule expands to."""
     out: list[int] = []
@@ -212,7 +302,7 @@ def write_block(doc_ids: list[int | None], docs: list[np.ndarray]) -> bytes:
     n = lengths(rules, first)
     width = 2 if first + len(rules) <= 1 << 16 else 4
     known = np.array([d is not None for d in doc_ids], np.uint8)
-    crcs = np.array([zlib.crc32(d.astype("<u4").tobytes()) for d in docs], "<u4")
+    crcs = np.array([zlib.crc32(d.astype("<u4", copy=False)) for d in docs], "<u4")
     return b"".join([struct.pack(HEAD, MAGIC, len(docs), len(seq), len(rules), first, width),
                      np.array([d or 0 for d in doc_ids], "<i8").tobytes(), known.tobytes(), ends.astype("<i8").tobytes(),
                      sizes.astype("<i8").tobytes(), crcs.tobytes(), rules.astype("<u4").tobytes(),
@@ -239,7 +329,7 @@ class Block:
         self.ends, self.sizes, self.crcs = take("<i8", docs), take("<i8", docs), take("<u4", docs)
         self.rules, self.lengths = take("<u4", 2 * rules).reshape(-1, 2), take("<i8", rules)
         self.symbols = take(f"<u{width}", symbols)
-        self.flat = None
+        self.spelled = None
 
     def sizes_of(self, symbols: np.ndarray) -> np.ndarray:
         """The number of ids behind each symbol."""
@@ -249,17 +339,16 @@ class Block:
         return out
 
     def expand(self, symbols: np.ndarray) -> np.ndarray:
-        if self.flat is None:
-            self.flat, self.begins, _ = expansions(self.rules, self.first)
-        n = self.sizes_of(symbols)
-        at, made = np.cumsum(n) - n, symbols >= self.first
-        out = np.empty(int(n.sum()), np.uint32)
-        out[at[~made]] = symbols[~made]
-        grown = n[made]
-        offset = np.arange(int(grown.sum())) - np.repeat(np.cumsum(grown) - grown, grown)
-        out[np.repeat(at[made], grown) + offset] = self.flat[
-            np.repeat(self.begins[symbols[made].astype(np.int64) - self.first], grown) + offset]
-        return out
+        if self.spelled is None:
+            flat, begins, _ = expansions(self.rules, self.first)
+            # The ids below the first rule's symbol stand for themselves.
+            at = np.concatenate([np.arange(self.first), self.first + begins, [self.first + len(flat)]]) * 4
+            data = np.concatenate([np.arange(self.first, dtype="<u4"), flat])
+            self.spelled = pa.Array.from_buffers(pa.large_binary(), len(at) - 1, [None, pa.py_buffer(at), pa.py_buffer(data)])
+        found = self.spelled.take(pa.array(symbols))
+        _, at, data = found.buffers()
+        size = int(np.frombuffer(at, np.int64)[len(found)]) if len(found) else 0
+        return np.frombuffer(data or b"", "<u4", size // 4)
 
     def own(self, doc: int) -> np.ndarray:
         return self.symbols[self.ends[doc - 1] if doc else 0:self.ends[doc]]
@@ -307,17 +396,31 @@ def token_ids(docs: DataFrame, tokenizer: str, end_id: int = 1, id_col: str = "d
             # Runs of rows of so many bytes; a longer text is a run of its own, taken in pieces.
             run_of = (np.cumsum(sizes) - sizes) // GROUP_BYTES + np.cumsum(np.r_[0, (sizes > PIECE_CHARS)[:-1]] | (sizes > PIECE_CHARS))
             cuts = [0, *(np.flatnonzero(np.diff(run_of)) + 1).tolist(), len(sizes)] if len(sizes) else [0]
+            held = []
             for i, j in zip(cuts, cuts[1:]):
-                texts = batch.column(1).slice(i, j - i)
-                parts = [encoder.joined(pa.array([p], pa.string())) for p in pieces(texts[0].as_py())] if sizes[i] > PIECE_CHARS else [
-                    encoder.joined(texts)]
-                ids = np.concatenate([x.astype(kind) for x, _ in parts])
-                upto = parts[0][1] if len(parts) == 1 else np.array([len(ids)])
-                ids = np.insert(ids, upto, end_id)  # behind each text
-                ends = np.r_[0, upto + np.arange(1, len(upto) + 1)] * ids.itemsize
-                yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(i, j - i), batch.column(2).slice(i, j - i),
-                    pa.Array.from_buffers(pa.binary(), j - i, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(ids)])], schema=schema)
+                if sizes[i] > PIECE_CHARS:
+                    parts = [encoder.joined(pa.array([p], pa.string()))[0].astype(kind) for p in pieces(batch.column(1)[i].as_py())]
+                    ids = np.concatenate(parts)
+                    yield packed(batch, i, j, ids, np.array([len(ids)]))
+                    continue
+                held.append((i, j))
+                if len(held) == GROUPS:
+                    yield from encoded(encoder, batch, held)
+                    held = []
+            if held:
+                yield from encoded(encoder, batch, held)
+
+    def encoded(encoder, batch: pa.RecordBatch, held: list[tuple[int, int]]) -> Iterator[pa.RecordBatch]:
+        groups = encoder.together([batch.column(1).slice(i, j - i) for i, j in held])
+        for (i, j), (ids, upto) in zip(held, groups, strict=True):
+            yield packed(batch, i, j, ids.astype(kind), upto)
+
+    def packed(batch: pa.RecordBatch, i: int, j: int, ids: np.ndarray, upto: np.ndarray) -> pa.RecordBatch:
+        ids = np.insert(ids, upto, end_id)  # behind each text
+        ends = np.r_[0, upto + np.arange(1, len(upto) + 1)] * ids.itemsize
+        return pa.RecordBatch.from_arrays([
+            batch.column(0).slice(i, j - i), batch.column(2).slice(i, j - i),
+            pa.Array.from_buffers(pa.binary(), j - i, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(ids)])], schema=schema)
 
     return rows.mapInArrow(run, "doc_id long, row_key long, ids binary")
 

@@ -158,3 +158,47 @@ def test_slots_follow_the_replaced_pairs(monkeypatch):
 def test_words_go_to_the_model_as_their_bytes():
     words = ["and", "été", "\x00\x01", "\x7f", "'s", "!?", "7", "ÿß", "x" * 300]
     assert [np.frombuffer(x, "<u4").tolist() for x in E.word_encoder(PATH).ids_of_words(words)] == [x[:-1] for x in plain_ids(words)]
+
+
+def test_rounds_over_linked_symbols_give_every_document_back(monkeypatch):
+    monkeypatch.setattr(R, "LEAST_LINKED", 0)
+    inner, seen = R.linked_rounds, []
+    monkeypatch.setattr(R, "linked_rounds", lambda seq, *a: seen.append(len(seq)) or inner(seq, *a))
+    rng = random.Random(5)
+    for barred in (0.0, 0.4):  # linked from the first round on, or after some
+        monkeypatch.setattr(R, "MOST_BARRED", barred)
+        docs = [np.array([rng.randrange(6) for _ in range(rng.randrange(1, 300))], np.uint32) for _ in range(40)] + [np.zeros(999, np.uint32)]
+        ids = np.concatenate(docs)
+        seq, ends, rules, first = R.grammar(ids, np.cumsum([len(d) for d in docs]))
+        assert len(rules) > 20 and len(seq) < len(ids) / 2 and len(ends) == len(docs) and ends[-1] == len(seq)
+        block = R.Block(R.write_block([0] * len(docs), docs))
+        for k, d in enumerate(docs):
+            assert block.expand(seq[ends[k - 1] if k else 0:ends[k]]).tolist() == d.tolist()
+        # No pair is left that occurs often enough, but where occurrences overlap.
+        pairs, n = np.unique([p for a, b in zip([0, *ends[:-1]], ends) for p in zip(seq[a:b - 1], seq[a + 1:b])], axis=0, return_counts=True)
+        assert all(a == b for (a, b), k in zip(pairs.tolist(), n.tolist(), strict=True) if k >= 2 * R.LEAST_COUNT)
+    assert len(seen) >= 3
+
+
+def test_linked_rounds_count_no_symbol_but_the_free_ones():
+    """Positions known to be too rare are never counted again: on this block most are, after one round."""
+    rng = np.random.default_rng(1)
+    ids = np.concatenate([rng.integers(0, 60_000, 40_000), np.tile([1, 2, 3, 4], 5_000)]).astype(np.uint32)
+    handled, inner = [], R.counted
+    R.counted = lambda left, right, at: handled.append(len(at)) or inner(left, right, at)
+    try:
+        seq, ends, rules, first = R.grammar(ids, np.array([len(ids)]))
+    finally:
+        R.counted = inner
+    assert len(rules) >= 3 and sum(handled) < 2 * len(ids) and handled[-1] < len(ids) / 20
+
+
+def test_chunks_that_several_groups_have_are_encoded_once():
+    encoder, seen = E.word_encoder(PATH), []
+    inner = encoder.words.of
+    encoder.words.of = lambda wanted: seen.append(sorted(wanted)) or inner(wanted)
+    texts = [["the cat, The", "Été 12"], ["", "cat, don't <|endoftext|> ×"], ["THE été"]]
+    got = list(encoder.together([pa.array(t) for t in texts]))
+    assert [[ids[a:b].tolist() for a, b in zip([0, *upto.tolist()], upto.tolist())] for ids, upto in got] == [
+        [x[:-1] for x in plain_ids(t)] for t in texts]
+    assert seen[0] == sorted(["the", "cat", ",", "été", "1", "2"])
